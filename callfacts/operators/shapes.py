@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callfacts import schemas as S
@@ -18,19 +20,27 @@ def client_chats(df: DataFrame) -> DataFrame:
     return S.conform(df, S.CLIENT_CHAT)
 
 
-def chat_messages(df: DataFrame, *, keep_empty: bool = False) -> DataFrame:
+def chat_messages(
+    df: DataFrame, *, keep_empty: bool = False, send_at: Callable[[Column], Column] | None = None
+) -> DataFrame:
     """P10: one row per message.
 
     ``explode`` drops chats whose list is empty or NULL; ``keep_empty=True``
     keeps them as one row with NULL message fields (``explode_outer``).
+
+    ``send_at`` is applied to each exploded ``sendAt`` value.  Parsing after
+    the explode is one scalar expression per row; parsing the list before it
+    would be evaluated twice, because Spark infers a non-empty-list filter for
+    ``explode`` and pushes it below the list rewrite.
     """
     explode = F.explode_outer if keep_empty else F.explode
     m = F.col("m")
+    sent = m.getField("sendAt")
     return df.select("id", "clientId", "name", explode("messages").alias("m")).select(
         "id",
         "clientId",
         "name",
         m.getField("id").alias("message_id"),
         m.getField("text").alias("text"),
-        m.getField("sendAt").alias("sendAt"),
+        (send_at(sent) if send_at else sent).alias("sendAt"),
     )

@@ -8,7 +8,7 @@ from callfacts.plans.cache import cached
 from callfacts.plans.explain import physical_operators, plan_text
 from callfacts.plans.sizing import DEFAULT_BROADCAST_MAX_BYTES, Size, measure, row_bytes
 
-_JOB_NAMES = ("JobResult", "JoinOptions", "enrich_calls", "enrich_chats", "run")
+_JOB_NAMES = ("JobResult", "JoinOptions", "enrich_calls", "enrich_chat_messages", "enrich_chats", "run")
 
 
 def __getattr__(name):

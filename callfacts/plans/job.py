@@ -26,7 +26,8 @@ from callfacts.operators.enrich import (
     join_client,
 )
 from callfacts.operators.normalize import parse_message_times, to_utc
-from callfacts.operators.shapes import client_calls, client_chats
+from callfacts.functions.times import parse_date_text
+from callfacts.operators.shapes import chat_messages
 from callfacts.plans.cache import cached
 from callfacts.plans.sizing import DEFAULT_BROADCAST_MAX_BYTES
 from callfacts.sinks.writer import write_table
@@ -66,7 +67,7 @@ def enrich_calls(
 ) -> DataFrame:
     """Raw (Moscow wall time) calls -> ClientCall rows, times in UTC."""
     joined = join_client(to_utc(calls, rule=time_rule), dim, **join.kwargs())
-    return _shape(joined, S.CLIENT_CALL, keep_partition) if keep_partition else client_calls(joined)
+    return _shape(joined, S.CLIENT_CALL, keep_partition)
 
 
 def enrich_chats(
@@ -79,7 +80,20 @@ def enrich_chats(
 ) -> DataFrame:
     """Raw chats (text message dates) -> ClientChat rows."""
     joined = join_client(parse_message_times(chats, strict=strict_dates), dim, **join.kwargs())
-    return _shape(joined, S.CLIENT_CHAT, keep_partition) if keep_partition else client_chats(joined)
+    return _shape(joined, S.CLIENT_CHAT, keep_partition)
+
+
+def enrich_chat_messages(
+    chats: DataFrame,
+    dim: DataFrame,
+    *,
+    join: JoinOptions = JoinOptions(),
+    strict_dates: bool = False,
+    keep_empty: bool = False,
+) -> DataFrame:
+    """Raw chats -> one ClientChatMessage row per message (dates parsed per row)."""
+    joined = join_client(chats, dim, **join.kwargs())
+    return chat_messages(joined, keep_empty=keep_empty, send_at=lambda c: parse_date_text(c, strict=strict_dates))
 
 
 @dataclass(frozen=True)

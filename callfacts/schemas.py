@@ -103,4 +103,22 @@ def conform(df: DataFrame, schema: T.StructType, *, keep: tuple[str, ...] = ())
     if missing:
         raise ContractError(f"missing columns {missing}; table has {df.columns}")
     extra = [df.schema[c] for c in keep if c in df.columns and c not in schema.fieldNames()]
-    return df.to(T.StructType(schema.fields + extra))
+    target = T.StructType(schema.fields + extra)
+    have = {f.name.lower(): f.dataType for f in df.schema.fields}
+    if all(_same_type(have[f.name.lower()], f.dataType) for f in target.fields):
+        # already the right types: a plain projection, no per-element rebuild
+        return df.select(*[df[f.name].alias(f.name) for f in target.fields])
+    return df.to(target)
+
+
+def _same_type(a: T.DataType, b: T.DataType) -> bool:
+    """Equal types, nullability ignored."""
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return len(a.fields) == len(b.fields) and all(
+            x.name == y.name and _same_type(x.dataType, y.dataType) for x, y in zip(a.fields, b.fields)
+        )
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return _same_type(a.elementType, b.elementType)
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType):
+        return _same_type(a.keyType, b.keyType) and _same_type(a.valueType, b.valueType)
+    return a == b

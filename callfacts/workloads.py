@@ -17,10 +17,9 @@ from callfacts import fixtures, scratch
 from callfacts import schemas as S
 from callfacts.operators.checks import violation_rows
 from callfacts.operators.enrich import join_client
-from callfacts.operators.normalize import parse_message_times, rewrite_nested, to_utc
-from callfacts.operators.shapes import chat_messages
 from callfacts.functions.times import parse_date_text
-from callfacts.plans.job import JoinOptions, enrich_calls, enrich_chats, run
+from callfacts.operators.normalize import rewrite_nested, to_utc
+from callfacts.plans.job import JoinOptions, enrich_calls, enrich_chat_messages, enrich_chats, run
 from callfacts.sinks.writer import target_name, write_table
 from callfacts.sources.readers import read_calls_csv, read_chats_json, read_table, read_text
 
@@ -102,10 +101,10 @@ def times_fixed_offset(spark, sf_dir):
 
 
 def message_times(spark, sf_dir):
-    parsed = parse_message_times(_chats(spark, sf_dir))
+    """Message dates read from the nested list, parsed once per message row."""
     m = F.col("m")
-    return parsed.select("id", F.explode("messages").alias("m")).select(
-        "id", m.getField("id").alias("message_id"), m.getField("sendAt").alias("sendAt")
+    return _chats(spark, sf_dir).select("id", F.explode("messages").alias("m")).select(
+        "id", m.getField("id").alias("message_id"), parse_date_text(m.getField("sendAt")).alias("sendAt")
     )
 
 
@@ -127,14 +126,23 @@ def client_calls(spark, sf_dir):
 
 
 def client_chats(spark, sf_dir):
+    """ClientChat rows; the rewritten list is checked through its first and last message."""
     chats = enrich_chats(_chats(spark, sf_dir), _dim(spark, sf_dir))
+    sent = lambda i: F.element_at("messages", i).getField("sendAt")
     return chats.select(
-        "id", "clientId", "startAt", "endAt", "name", F.size("messages").cast("bigint").alias("n_messages")
+        "id",
+        "clientId",
+        "startAt",
+        "endAt",
+        "name",
+        F.size("messages").cast("bigint").alias("n_messages"),
+        sent(1).alias("first_sendAt"),
+        sent(-1).alias("last_sendAt"),
     )
 
 
 def client_chat_messages(spark, sf_dir):
-    return chat_messages(enrich_chats(_chats(spark, sf_dir), _dim(spark, sf_dir)))
+    return enrich_chat_messages(_chats(spark, sf_dir), _dim(spark, sf_dir))
 
 
 def join_dirty_keys(spark, sf_dir):
@@ -239,7 +247,7 @@ _CHATS = """chats AS (
   SELECT conv_id AS id, CAST(conv_id AS VARCHAR) AS clientId,
          TIMESTAMP '2024-01-01 00:00:00' + to_minutes(conv_id) AS startAt,
          TIMESTAMP '2024-01-01 00:00:00' + to_minutes(conv_id + count(*)) AS endAt,
-         count(*) AS n_messages,
+         count(*) AS n_messages, min(turn) AS first_turn, max(turn) AS last_turn,
          DATE '2024-01-01' + CAST(conv_id % 7 AS INTEGER) AS date
   FROM conversations GROUP BY conv_id)"""
 
@@ -253,6 +261,12 @@ def _utc(col: str) -> str:
     return f"timezone('UTC', timezone('Europe/Moscow', {col}))"
 
 
+def _turn_time(turn: str) -> str:
+    """Message n's date text (epoch + n days, MM/dd/yyyy) parsed back to a time."""
+    text = f"strftime(DATE '2024-01-01' + CAST({turn} AS INTEGER), '%m/%d/%Y')"
+    return f"CAST(try_strptime({text}, '%m/%d/%Y') AS TIMESTAMP)"
+
+
 _CLIENT_CALLS = f"""
 SELECT c.id, c.clientId, {_utc('c.startAt')} AS startAt, {_utc('c.endAt')} AS endAt, cu.c_name AS name
 FROM calls c JOIN customer cu ON cu.c_custkey = TRY_CAST(c.clientId AS BIGINT)"""
@@ -275,7 +289,8 @@ SELECT id, message_id, CAST(try_strptime(sendAtText, '%m/%d/%Y') AS TIMESTAMP) A
 SELECT m.id, m.message_id, CAST(try_strptime(m.sendAtText, '%m/%d/%Y') AS TIMESTAMP) AS sendAt
 FROM messages m JOIN last l ON l.id = m.id AND l.message_id = m.message_id""",
     "client_chats": f"""WITH {_CHATS}
-SELECT c.id, c.clientId, c.startAt, c.endAt, cu.c_name AS name, c.n_messages
+SELECT c.id, c.clientId, c.startAt, c.endAt, cu.c_name AS name, c.n_messages,
+       {_turn_time('c.first_turn')} AS first_sendAt, {_turn_time('c.last_turn')} AS last_sendAt
 FROM chats c JOIN customer cu ON cu.c_custkey = TRY_CAST(c.clientId AS BIGINT)""",
     "client_chat_messages": f"""WITH {_CHATS}, {_MESSAGES}
 SELECT c.id, c.clientId, cu.c_name AS name, m.message_id, m.text,
