@@ -204,6 +204,25 @@ def two_sinks_shared_dim(spark, sf_dir):
     return calls.unionByName(chats)
 
 
+def stream_client_calls(spark, sf_dir):
+    """The calls enrichment as a stream over the date folders (available-now run)."""
+    from callfacts.streaming import start
+
+    root = scratch.fresh_folder(spark, "streams", "calls")
+    q = start(
+        spark,
+        kind="calls",
+        fact_root=fixtures.call_folder(spark, sf_dir),
+        target=f"{root}/out",
+        checkpoint=f"{root}/checkpoint",
+        dim_table=fixtures.register_clients(spark, sf_dir),
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.parquet(f"{root}/out").select("id", "clientId", "startAt", "endAt", "name")
+
+
 QUERIES: dict[str, Query] = {
     "client_calls": client_calls,
     "scan_dim_client": scan_dim_client,
@@ -222,6 +241,7 @@ QUERIES: dict[str, Query] = {
     "sink_overwrite": sink_overwrite,
     "sink_modes": sink_modes,
     "two_sinks_shared_dim": two_sinks_shared_dim,
+    "stream_client_calls": stream_client_calls,
 }
 
 
@@ -308,6 +328,7 @@ UNION ALL SELECT id, 'startAt is missing' FROM dirty WHERE startAt IS NULL
 UNION ALL SELECT id, 'endAt is missing' FROM dirty WHERE endAt IS NULL
 UNION ALL SELECT id, 'endAt is before startAt' FROM dirty WHERE endAt < startAt""",
     "sink_overwrite": f"WITH {_CALLS} {_CLIENT_CALLS}",
+    "stream_client_calls": f"WITH {_CALLS} {_CLIENT_CALLS}",
     "sink_modes": f"WITH {_CALLS}, once AS ({_CLIENT_CALLS}) SELECT * FROM once UNION ALL SELECT * FROM once",
     "two_sinks_shared_dim": f"""WITH {_CALLS}, {_CHATS}, cc AS ({_CLIENT_CALLS})
 SELECT 'calls{TARGET_SUFFIX}' AS target, id, clientId, startAt, endAt, name FROM cc
