@@ -145,3 +145,27 @@ def test_message_rule(spark):
     got = {r["id"]: r["violations"] for r in with_violations(chats).collect()}
     assert got[1] == [R.MESSAGE_DATE_UNREADABLE]
     assert got[2] == [] and got[3] == []
+
+
+def test_ambiguous_wall_time_takes_the_first_occurrence(spark):
+    """Clocks going back repeat an hour; like Spark's own to_utc_timestamp,
+    the earlier (summer) offset is used.  (DuckDB's ICU takes the later one.)"""
+    df = one_col(spark, [D(2010, 10, 31, 2, 30), D(2014, 10, 26, 1, 30)], T.TimestampNTZType())
+    assert [r[0] for r in df.select(wall_to_utc("v")).collect()] == [D(2010, 10, 30, 22, 30), D(2014, 10, 25, 21, 30)]
+
+
+def test_nonexistent_wall_time_moves_forward(spark):
+    df = one_col(spark, [D(2010, 3, 28, 2, 30)], T.TimestampNTZType())
+    assert df.select(wall_to_utc("v")).first()[0] == D(2010, 3, 27, 23, 30)
+
+
+def test_zone_rule_equals_to_utc_timestamp_under_utc_session(spark, session_conf):
+    """The reference's function, evaluated where it is unambiguous (UTC session)."""
+    df = spark.range(0, 20000).select(
+        (F.lit(D(1985, 1, 1)) + F.make_dt_interval(mins=(F.col("id") * 2741) % (45 * 365 * 24 * 60)))
+        .cast("timestamp_ntz")
+        .alias("v")
+    )
+    with session_conf(**{"spark.sql.session.timeZone": "UTC"}):
+        ref = F.to_utc_timestamp(F.col("v").cast("timestamp"), "Europe/Moscow").cast("timestamp_ntz")
+        assert df.where(wall_to_utc("v") != ref).count() == 0

@@ -129,3 +129,27 @@ def test_job_fixed_offset_rule(spark):
 def test_job_arguments_are_keyword_only(spark):
     with pytest.raises(TypeError):
         run(spark, "2024-01-05", "calls", "chats")  # noqa
+
+
+def test_command_line(spark, capsys):
+    from callfacts.__main__ import main, parser
+
+    root = _folder(spark, "cli")
+    fixtures.register_clients(spark, SF_SMALL)
+    rc = main(
+        [
+            "--partition", "2024-01-05",
+            "--callsTable", f"{root}/calls",
+            "--chatsTable", f"{root}/chats",
+            "--calls-root", fixtures.call_folder(spark, SF_SMALL),
+            "--chats-root", fixtures.chat_folder(spark, SF_SMALL),
+            "--target-option", "path",
+        ]
+    )
+    assert rc == 0
+    assert f'"calls_table": "{root}/calls"' in capsys.readouterr().out
+    assert spark.read.parquet(f"{root}/calls").count() > 0
+    args = parser().parse_args(["-p", "2024-01-05", "--tableSuffix", "_stg"])
+    assert args.table_suffix == "_stg" and args.calls_table is None
+    with pytest.raises(SystemExit):
+        parser().parse_args(["--partition", "2024-01-05"])  # no targets
