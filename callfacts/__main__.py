@@ -1,6 +1,6 @@
 """Command line for spark-submit:
 
-    spark-submit --py-files callfacts.zip -m callfacts \\
+    spark-submit --py-files callfacts.zip callfacts/__main__.py \\
         --partition 2021-09-21 --callsTable calls_stg --chatsTable chats_stg
 
 Options mirror the original job: one partition date and the two target

@@ -5,9 +5,10 @@ Strategies
 ``broadcast``  hash the dimension and ship it to every task (no shuffle of the
                facts).  Forced, as the original job does; only safe while the
                dimension is small.
-``shuffle``    no hint: Spark/AQE choose.  A sort-merge join shuffles both
-               sides on the key; AQE splits a skewed key's partition at
-               runtime (``spark.sql.adaptive.skewJoin.enabled``).
+``shuffle``    sort-merge join (``merge`` hint, so a plan-time estimate can
+               not broadcast a side whose measured size was too big); both
+               sides are shuffled on the key and AQE splits a skewed key's
+               partition at runtime (``spark.sql.adaptive.skewJoin.enabled``).
 ``split``      exact hot-key split without relying on AQE: keys holding at
                least ``hot_key_rows`` facts are found by a partial aggregate,
                joined against a broadcast of just their (bounded) dimension
@@ -72,9 +73,9 @@ def _split_join(facts: DataFrame, dim: DataFrame, hot_key_rows: int, max_hot_key
     )
     hot_dim = dim.join(F.broadcast(hot), KEY, "left_semi").checkpoint(eager=True)
     if measure(hot_dim).bytes > max_bytes:
-        return facts.join(dim, KEY, "inner")
+        return facts.join(dim.hint("merge"), KEY, "inner")
     hot_part = facts.join(F.broadcast(hot_dim), KEY, "inner")
-    cold_part = facts.join(F.broadcast(hot), KEY, "left_anti").join(dim, KEY, "inner")
+    cold_part = facts.join(F.broadcast(hot), KEY, "left_anti").join(dim.hint("merge"), KEY, "inner")
     return hot_part.unionByName(cold_part)
 
 
@@ -111,7 +112,7 @@ def join_client(
     if how == "broadcast":
         joined = keyed.join(F.broadcast(side), KEY, "inner")
     elif how == "shuffle":
-        joined = keyed.join(side, KEY, "inner")
+        joined = keyed.join(side.hint("merge"), KEY, "inner")
     else:
         joined = _split_join(keyed, side, hot_key_rows, max_hot_keys, broadcast_max_bytes)
     return joined.select(*facts.columns, *dim_columns)

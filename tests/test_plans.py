@@ -81,6 +81,24 @@ def test_strategies_agree_with_broadcast_under_skew(spark, dim, skewed_calls, se
             assert "Union" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
 
 
+def test_shuffle_path_never_broadcasts_and_aqe_splits_the_hot_key(spark, dim, skewed_calls, session_conf):
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    facts = skewed_calls.repartition(8)  # several map outputs, so a hot partition can be split
+    with session_conf(**small):  # broadcast threshold left on: the hint must still win
+        got = join_client(facts, dim, strategy="shuffle")
+        rows = got.collect()
+        final = plan_text(got, "simple")
+    assert len(rows) == join_client(skewed_calls, dim, strategy="broadcast").count()
+    assert "isFinalPlan=true" in final
+    assert "SortMergeJoin(skew=true)" in final
+    assert "BroadcastHashJoin" not in final
+
+
 def test_split_with_no_hot_keys_is_still_exact(spark, dim):
     calls = fixtures.calls_frame(spark, SF_SMALL)
     got = join_client(calls, dim, strategy="split", hot_key_rows=10**9)
