@@ -1,8 +1,8 @@
 """All failed rules per fact row.
 
 ``with_violations`` adds an ARRAY<STRING> of every failed rule of the row;
-``violation_rows`` turns it into one (id, rule) row per failure.  Both are
-narrow (no shuffle), so they scale with the facts.
+``violation_rows`` gives one (id, rule) row per failure.  Both are narrow
+(no shuffle), so they scale with the facts.
 """
 
 from __future__ import annotations
@@ -10,24 +10,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callfacts.functions.rules import fact_rules, message_rules, violations
+from callfacts.functions.rules import Rule, fact_rules, message_rules, violations
 
 COLUMN = "violations"
 
 
-def with_violations(df: DataFrame, *, messages: bool | None = None, column: str = COLUMN) -> DataFrame:
+def rules_for(df: DataFrame, *, messages: bool | None = None) -> list[Rule]:
     """Call rules on any fact; message rules too when the row has a raw message list."""
     rules = fact_rules()
     if messages is None:
         messages = "messages" in df.columns
     if messages:
         rules += message_rules()
-    return df.withColumn(column, violations(rules))
+    return rules
 
 
-def violation_rows(df: DataFrame, *, id_column: str = "id", column: str = COLUMN) -> DataFrame:
-    checked = df if column in df.columns else with_violations(df, column=column)
-    return checked.select(id_column, F.explode(column).alias("rule"))
+def with_violations(df: DataFrame, *, messages: bool | None = None, column: str = COLUMN) -> DataFrame:
+    return df.withColumn(column, violations(rules_for(df, messages=messages)))
+
+
+def violation_rows(
+    df: DataFrame, *, id_column: str = "id", column: str = COLUMN, messages: bool | None = None
+) -> DataFrame:
+    """One row per failed rule.
+
+    Each rule's message-or-NULL goes into a fixed-size array that is exploded
+    in place and filtered on NULL: plain codegen'd expressions, evaluated once.
+    (Exploding a stored list column instead makes Spark infer a non-empty
+    filter from it and push that below, evaluating every rule twice.)
+    """
+    if column in df.columns:
+        return df.select(id_column, F.explode(column).alias("rule"))
+    flagged = F.array(*[F.when(cond, F.lit(msg)) for cond, msg in rules_for(df, messages=messages)])
+    return df.select(id_column, F.explode(flagged).alias("rule")).where(F.col("rule").isNotNull())
 
 
 def passing(df: DataFrame, *, column: str = COLUMN) -> DataFrame:

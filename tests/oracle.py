@@ -65,6 +65,16 @@ class Comparison:
         return self.rows_spark == self.rows_oracle and self.names_equal and self.types_equal and self.hash_equal
 
 
+def arrow_equal(df, con, sql: str) -> bool:
+    """Exact compare through Arrow: same column types, same multiset of rows."""
+    t, o = df.toArrow(), con.sql(sql).to_arrow_table()
+    if {f.name: f.type for f in t.schema} != {f.name: f.type for f in o.schema}:
+        return False
+    cols = sorted(t.column_names)
+    order = [(c, "ascending") for c in cols]
+    return t.select(cols).sort_by(order).cast(o.select(cols).schema).equals(o.select(cols).sort_by(order))
+
+
 def compare(df, con, sql: str) -> Comparison:
     s_names = df.columns
     s_types = [_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields]

@@ -3,7 +3,7 @@ row count and an order-insensitive value hash."""
 
 import pytest
 from conftest import SF_ORACLE
-from oracle import compare, duck
+from oracle import arrow_equal, compare, duck
 
 import __spark_entry__ as entry
 
@@ -22,9 +22,11 @@ def test_every_query_has_oracle_sql():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    c = compare(QUERIES[name](spark, SF_ORACLE), con, SQL[name])
+    df = QUERIES[name](spark, SF_ORACLE)
+    c = compare(df, con, SQL[name])
     assert c.ok, f"{name}: {c}"
     assert c.rows_spark > 0
+    assert arrow_equal(df, con, SQL[name]), f"{name}: Arrow types or values differ"
 
 
 def test_entry_smoke(spark):
