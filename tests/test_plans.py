@@ -159,3 +159,29 @@ def test_job_forced_strategies_give_equal_tables(spark):
     for s in ("shuffle", "split"):
         assert same_rows(out[s][0], out["broadcast"][0])
         assert same_rows(out[s][1].drop("messages"), out["broadcast"][1].drop("messages"))
+
+
+def test_one_date_lists_only_its_files(spark):
+    root = fixtures.call_folder(spark, SF_SMALL)
+    files = read_calls_csv(spark, root, "2024-01-05").inputFiles()
+    assert files and all("/date=2024-01-05/" in f for f in files)
+    assert len(read_calls_csv(spark, root).inputFiles()) > len(files)
+
+
+def test_second_write_failing_keeps_the_first_and_releases_the_cache(spark):
+    fixtures.register_clients(spark, SF_SMALL)
+    root = scratch.fresh_folder(spark, "tests", "job-second-fails")
+    blocker = f"{root}/blocker"
+    spark.range(1).coalesce(1).write.parquet(blocker)  # a folder of files ...
+    before = persistent_rdds(spark)
+    with pytest.raises(Exception):
+        run(
+            spark,
+            partition="2024-01-05",
+            calls_table=f"{root}/calls",
+            chats_table=f"{blocker}/_SUCCESS/chats",  # ... so a path below one of its files cannot be made
+            calls_root=fixtures.call_folder(spark, SF_SMALL),
+            chats_root=fixtures.chat_folder(spark, SF_SMALL),
+        )
+    assert persistent_rdds(spark) == before
+    assert spark.read.parquet(f"{root}/calls").count() > 0  # calls were written first: no transaction
