@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 
 def numeric_key(text: Column | str, *, strict: bool = False) -> Column:
     """Text key -> BIGINT.  Tolerant: non-numbers become NULL (never match).
-    Strict: a non-NULL non-number fails the query, whatever the ANSI mode."""
+    Strict: a non-NULL non-number fails the query, whatever the ANSI mode.
+
+    Surrounding whitespace, a sign and leading zeros are accepted; decimals
+    (``'1.5'``), exponents, hex and digit separators are not numbers here, and
+    neither is anything beyond the BIGINT range.
+    """
     c = F.col(text) if isinstance(text, str) else text
     key = c.try_cast("bigint")
     if not strict:

@@ -58,9 +58,26 @@ def choose_strategy(dim: DataFrame, strategy: str, broadcast_max_bytes: int) ->
     return "shuffle" if _aqe_splits_skew(dim.sparkSession) else "split"
 
 
-def _split_join(facts: DataFrame, dim: DataFrame, hot_key_rows: int, max_hot_keys: int, max_bytes: int) -> DataFrame:
-    spark = facts.sparkSession
-    scratch.shared_root(spark)  # checkpoint() needs the shared folder
+def _join(
+    facts: DataFrame, dim: DataFrame, out: Sequence[str], dim_columns: Sequence[str], hint: str | None
+) -> DataFrame:
+    """Inner equi-join of the aliased sides (P7) on the cast key, projected to ``out``."""
+    f, d = facts.alias("facts"), dim.alias("clients")
+    d = F.broadcast(d) if hint == "broadcast" else (d.hint(hint) if hint else d)
+    joined = f.join(d, F.col(f"facts.{KEY}") == F.col(f"clients.{KEY}"), "inner")
+    return joined.select(*[F.col(f"facts.`{c}`") for c in out], *[F.col(f"clients.`{c}`") for c in dim_columns])
+
+
+def _split_join(
+    facts: DataFrame,
+    dim: DataFrame,
+    out: Sequence[str],
+    dim_columns: Sequence[str],
+    hot_key_rows: int,
+    max_hot_keys: int,
+    max_bytes: int,
+) -> DataFrame:
+    scratch.shared_root(facts.sparkSession)  # checkpoint() needs the shared folder
     counts = facts.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
     # Bounded by construction: at most max_hot_keys BIGINTs, written once to
     # the shared checkpoint folder (survives executor loss, scanned once).
@@ -73,10 +90,10 @@ def _split_join(facts: DataFrame, dim: DataFrame, hot_key_rows: int, max_hot_key
     )
     hot_dim = dim.join(F.broadcast(hot), KEY, "left_semi").checkpoint(eager=True)
     if measure(hot_dim).bytes > max_bytes:
-        return facts.join(dim.hint("merge"), KEY, "inner")
-    hot_part = facts.join(F.broadcast(hot_dim), KEY, "inner")
-    cold_part = facts.join(F.broadcast(hot), KEY, "left_anti").join(dim.hint("merge"), KEY, "inner")
-    return hot_part.unionByName(cold_part)
+        return _join(facts, dim, out, dim_columns, "merge")
+    hot_part = _join(facts, hot_dim, out, dim_columns, "broadcast")
+    cold_facts = facts.join(F.broadcast(hot), KEY, "left_anti")
+    return hot_part.unionByName(_join(cold_facts, dim, out, dim_columns, "merge"))
 
 
 def client_side(dim: DataFrame, dim_key: str = "id", dim_columns: Sequence[str] = ("name",)) -> DataFrame:
@@ -109,10 +126,6 @@ def join_client(
     keyed = facts.withColumn(KEY, numeric_key(fact_key, strict=strict))
     side = client_side(dim, dim_key, dim_columns)
     how = choose_strategy(side, strategy, broadcast_max_bytes)
-    if how == "broadcast":
-        joined = keyed.join(F.broadcast(side), KEY, "inner")
-    elif how == "shuffle":
-        joined = keyed.join(side.hint("merge"), KEY, "inner")
-    else:
-        joined = _split_join(keyed, side, hot_key_rows, max_hot_keys, broadcast_max_bytes)
-    return joined.select(*facts.columns, *dim_columns)
+    if how == "split":
+        return _split_join(keyed, side, facts.columns, dim_columns, hot_key_rows, max_hot_keys, broadcast_max_bytes)
+    return _join(keyed, side, facts.columns, dim_columns, "broadcast" if how == "broadcast" else "merge")

@@ -25,6 +25,12 @@ def test_numeric_key_tolerant(spark):
     assert got == [10, 10, 11, None, None, -3]
 
 
+def test_numeric_key_rejects_decimals_and_other_notations(spark):
+    vals = ["+7", "\t8\n", "-0", "1.5", "1.0", "1e3", "0x10", "1_000", "9223372036854775808", "9223372036854775807"]
+    got = [r[0] for r in one_col(spark, vals, T.StringType()).select(numeric_key("v")).collect()]
+    assert got == [7, 8, 0, None, None, None, None, None, None, 9223372036854775807]
+
+
 def test_numeric_key_strict_fails_on_text(spark):
     df = one_col(spark, ["10", "xx"], T.StringType())
     with pytest.raises(Exception, match="not a number"):
