@@ -5,17 +5,25 @@ Strategies
 ``broadcast``  hash the dimension and ship it to every task (no shuffle of the
                facts).  Forced, as the original job does; only safe while the
                dimension is small.
+``hash``       shuffled hash join with the dimension as the build side: both
+               sides are shuffled on the key, the facts are streamed through a
+               per-partition hash table of the dimension -- no sort of the
+               facts.  Safe while the dimension's share of one shuffle
+               partition is small.
 ``shuffle``    sort-merge join (``merge`` hint, so a plan-time estimate can
-               not broadcast a side whose measured size was too big); both
-               sides are shuffled on the key and AQE splits a skewed key's
+               not broadcast a side whose measured size was too big): no
+               memory bound on either side, spills as needed.
+               For ``hash`` and ``shuffle`` AQE splits a skewed key's
                partition at runtime (``spark.sql.adaptive.skewJoin.enabled``).
 ``split``      exact hot-key split without relying on AQE: keys holding at
                least ``hot_key_rows`` facts are found by a partial aggregate,
                joined against a broadcast of just their (bounded) dimension
                rows; all other keys go through the shuffle join.
 ``auto``       (default) measure the dimension first; broadcast it when its
-               measured size is within ``broadcast_max_bytes``, otherwise
-               ``shuffle`` when AQE skew handling is on, else ``split``.
+               measured size is within ``broadcast_max_bytes``; otherwise,
+               with AQE skew handling on, ``hash`` when its size per shuffle
+               partition is within ``hash_partition_max_bytes``, else
+               ``shuffle``; with AQE skew handling off, ``split``.
 
 Facts whose key is NULL or not a number never match (inner join); Catalyst's
 inferred ``isnotnull`` filter drops them before any shuffle, so they cannot
@@ -34,7 +42,8 @@ from callfacts.functions.keys import numeric_key
 from callfacts.plans.sizing import DEFAULT_BROADCAST_MAX_BYTES, measure
 
 KEY = "_client_key"
-STRATEGIES = ("auto", "broadcast", "shuffle", "split")
+STRATEGIES = ("auto", "broadcast", "hash", "shuffle", "split")
+_HINTS = {"broadcast": "broadcast", "hash": "shuffle_hash", "shuffle": "merge"}
 
 # Defaults of the hot-key split: a key is hot from this many fact rows on, and
 # at most this many hot keys are split off (the rest stay in the shuffle join,
@@ -42,20 +51,42 @@ STRATEGIES = ("auto", "broadcast", "shuffle", "split")
 DEFAULT_HOT_KEY_ROWS = 1_000_000
 DEFAULT_MAX_HOT_KEYS = 10_000
 
+# Largest share of the dimension that one shuffle partition may hold for the
+# hash join's in-memory build side.
+DEFAULT_HASH_PARTITION_MAX_BYTES = 64 * 1024 * 1024
+
 
 def _aqe_splits_skew(spark) -> bool:
     on = lambda k, d: (spark.conf.get(k, d) or d).strip().lower() == "true"
     return on("spark.sql.adaptive.enabled", "true") and on("spark.sql.adaptive.skewJoin.enabled", "true")
 
 
-def choose_strategy(dim: DataFrame, strategy: str, broadcast_max_bytes: int) -> str:
+def shuffle_partitions(spark) -> int:
+    """Partitions a join shuffle starts with (AQE may coalesce them afterwards,
+    which never makes a partition's build side bigger than the advisory size
+    or than one of the original partitions)."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def choose_strategy(
+    dim: DataFrame,
+    strategy: str,
+    broadcast_max_bytes: int,
+    hash_partition_max_bytes: int = DEFAULT_HASH_PARTITION_MAX_BYTES,
+) -> str:
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown join strategy {strategy!r}; use one of {STRATEGIES}")
     if strategy != "auto":
         return strategy
-    if measure(dim).bytes <= broadcast_max_bytes:
+    size = measure(dim)
+    if size.bytes <= broadcast_max_bytes:
         return "broadcast"
-    return "shuffle" if _aqe_splits_skew(dim.sparkSession) else "split"
+    spark = dim.sparkSession
+    if not _aqe_splits_skew(spark):
+        return "split"
+    per_partition = size.bytes / max(1, shuffle_partitions(spark))
+    return "hash" if per_partition <= hash_partition_max_bytes else "shuffle"
 
 
 def _join(
@@ -63,7 +94,7 @@ def _join(
 ) -> DataFrame:
     """Inner equi-join of the aliased sides (P7) on the cast key, projected to ``out``."""
     f, d = facts.alias("facts"), dim.alias("clients")
-    d = F.broadcast(d) if hint == "broadcast" else (d.hint(hint) if hint else d)
+    d = d.hint(hint) if hint else d
     joined = f.join(d, F.col(f"facts.{KEY}") == F.col(f"clients.{KEY}"), "inner")
     return joined.select(*[F.col(f"facts.`{c}`") for c in out], *[F.col(f"clients.`{c}`") for c in dim_columns])
 
@@ -76,6 +107,7 @@ def _split_join(
     hot_key_rows: int,
     max_hot_keys: int,
     max_bytes: int,
+    cold_hint: str = "merge",
 ) -> DataFrame:
     scratch.shared_root(facts.sparkSession)  # checkpoint() needs the shared folder
     counts = facts.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
@@ -90,10 +122,10 @@ def _split_join(
     )
     hot_dim = dim.join(F.broadcast(hot), KEY, "left_semi").checkpoint(eager=True)
     if measure(hot_dim).bytes > max_bytes:
-        return _join(facts, dim, out, dim_columns, "merge")
+        return _join(facts, dim, out, dim_columns, cold_hint)
     hot_part = _join(facts, hot_dim, out, dim_columns, "broadcast")
     cold_facts = facts.join(F.broadcast(hot), KEY, "left_anti")
-    return hot_part.unionByName(_join(cold_facts, dim, out, dim_columns, "merge"))
+    return hot_part.unionByName(_join(cold_facts, dim, out, dim_columns, cold_hint))
 
 
 def client_side(dim: DataFrame, dim_key: str = "id", dim_columns: Sequence[str] = ("name",)) -> DataFrame:
@@ -113,6 +145,7 @@ def join_client(
     broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+    hash_partition_max_bytes: int = DEFAULT_HASH_PARTITION_MAX_BYTES,
 ) -> DataFrame:
     """Inner join facts to the dimension; returns the fact columns + ``dim_columns``.
 
@@ -125,7 +158,9 @@ def join_client(
         raise ValueError(f"dimension columns {sorted(clash)} already exist in the facts")
     keyed = facts.withColumn(KEY, numeric_key(fact_key, strict=strict))
     side = client_side(dim, dim_key, dim_columns)
-    how = choose_strategy(side, strategy, broadcast_max_bytes)
+    how = choose_strategy(side, strategy, broadcast_max_bytes, hash_partition_max_bytes)
     if how == "split":
-        return _split_join(keyed, side, facts.columns, dim_columns, hot_key_rows, max_hot_keys, broadcast_max_bytes)
-    return _join(keyed, side, facts.columns, dim_columns, "broadcast" if how == "broadcast" else "merge")
+        return _split_join(
+            keyed, side, facts.columns, dim_columns, hot_key_rows, max_hot_keys, broadcast_max_bytes
+        )
+    return _join(keyed, side, facts.columns, dim_columns, _HINTS[how])

@@ -12,6 +12,7 @@ dimension, and used for both joins.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from callfacts import schemas as S
 from callfacts.operators.enrich import (
+    DEFAULT_HASH_PARTITION_MAX_BYTES,
     DEFAULT_HOT_KEY_ROWS,
     DEFAULT_MAX_HOT_KEYS,
     choose_strategy,
@@ -41,6 +43,7 @@ class JoinOptions:
     broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS
+    hash_partition_max_bytes: int = DEFAULT_HASH_PARTITION_MAX_BYTES
 
     def kwargs(self) -> dict:
         return dict(
@@ -49,8 +52,13 @@ class JoinOptions:
             broadcast_max_bytes=self.broadcast_max_bytes,
             hot_key_rows=self.hot_key_rows,
             max_hot_keys=self.max_hot_keys,
+            hash_partition_max_bytes=self.hash_partition_max_bytes,
         )
 
+    def fixed(self, strategy: str) -> JoinOptions:
+        """The same options with a decided strategy."""
+        return dataclasses.replace(self, strategy=strategy)
+
 
 def _shape(df: DataFrame, schema, keep_partition: bool) -> DataFrame:
     keep = (S.PARTITION_COLUMN,) if keep_partition else ()
@@ -142,8 +150,10 @@ def run(
     )
     with cached(dim) as shared:
         # measured once (this also fills the cache), used for both joins
-        how = choose_strategy(client_side(shared), join.strategy, join.broadcast_max_bytes)
-        fixed = JoinOptions(how, join.strict, join.broadcast_max_bytes, join.hot_key_rows, join.max_hot_keys)
+        how = choose_strategy(
+            client_side(shared), join.strategy, join.broadcast_max_bytes, join.hash_partition_max_bytes
+        )
+        fixed = join.fixed(how)
         write_table(enrich_calls(calls, shared, time_rule=time_rule, join=fixed, keep_partition=keep), calls_table, **sink)
         write_table(
             enrich_chats(chats, shared, join=fixed, strict_dates=strict_dates, keep_partition=keep), chats_table, **sink

@@ -60,10 +60,12 @@ def start(
     """
     facts = fact_stream(spark, kind, fact_root, max_files_per_trigger=max_files_per_trigger)
     dim = read_table(spark, dim_table, S.CLIENT)
-    how = choose_strategy(client_side(dim), join.strategy, join.broadcast_max_bytes)
-    if how == "split":  # the hot-key split needs batch statistics; AQE handles skew per batch
+    how = choose_strategy(client_side(dim), join.strategy, join.broadcast_max_bytes, join.hash_partition_max_bytes)
+    if how == "split":
+        # The hot-key split needs statistics of the whole input; a stream sees
+        # bounded micro-batches instead (size them with max_files_per_trigger).
         how = "shuffle"
-    fixed = JoinOptions(how, join.strict, join.broadcast_max_bytes, join.hot_key_rows, join.max_hot_keys)
+    fixed = join.fixed(how)
     if kind == "calls":
         out = enrich_calls(facts, dim, time_rule=time_rule, join=fixed, keep_partition=True)
     else:

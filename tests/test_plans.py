@@ -52,8 +52,12 @@ def test_auto_broadcasts_a_measured_small_dimension(spark, dim):
 
 
 def test_auto_beyond_the_bound(spark, dim, session_conf):
-    side = client_side(dim)
-    assert choose_strategy(side, "auto", 1000) == "shuffle"  # AQE splits skew at runtime
+    side = client_side(dim)  # 7,200 bytes measured
+    with session_conf(**{"spark.sql.shuffle.partitions": "8"}):
+        assert choose_strategy(side, "auto", 1000) == "hash"  # 900 bytes per partition
+        assert choose_strategy(side, "auto", 1000, hash_partition_max_bytes=800) == "shuffle"
+        with session_conf(**{"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16"}):
+            assert choose_strategy(side, "auto", 1000, hash_partition_max_bytes=800) == "hash"
     with session_conf(**{"spark.sql.adaptive.skewJoin.enabled": "false"}):
         assert choose_strategy(side, "auto", 1000) == "split"
     with pytest.raises(ValueError):
@@ -69,19 +73,22 @@ def test_null_and_text_keys_are_filtered_before_the_shuffle(spark, dim, skewed_c
     assert plan.index("isnotnull(try_cast(") < plan.index("(5) Exchange")
 
 
-@pytest.mark.parametrize("strategy", ["shuffle", "split"])
+@pytest.mark.parametrize("strategy", ["hash", "shuffle", "split"])
 def test_strategies_agree_with_broadcast_under_skew(spark, dim, skewed_calls, session_conf, strategy):
     expected = join_client(skewed_calls, dim, strategy="broadcast")
     with session_conf(**{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         got = join_client(skewed_calls, dim, strategy=strategy, hot_key_rows=50, max_hot_keys=4)
         assert same_rows(expected, got)
         assert got.count() == expected.count() > 0
+        plan = plan_text(got)
         if strategy == "split":
-            plan = plan_text(got)
             assert "Union" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+        if strategy == "hash":
+            assert "ShuffledHashJoin" in plan and "BuildRight" in plan and "Sort " not in plan
 
 
-def test_shuffle_path_never_broadcasts_and_aqe_splits_the_hot_key(spark, dim, skewed_calls, session_conf):
+@pytest.mark.parametrize("strategy, join", [("shuffle", "SortMergeJoin"), ("hash", "ShuffledHashJoin")])
+def test_shuffle_paths_never_broadcast_and_aqe_splits_the_hot_key(spark, dim, skewed_calls, session_conf, strategy, join):
     small = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
@@ -90,12 +97,12 @@ def test_shuffle_path_never_broadcasts_and_aqe_splits_the_hot_key(spark, dim, sk
     }
     facts = skewed_calls.repartition(8)  # several map outputs, so a hot partition can be split
     with session_conf(**small):  # broadcast threshold left on: the hint must still win
-        got = join_client(facts, dim, strategy="shuffle")
+        got = join_client(facts, dim, strategy=strategy)
         rows = got.collect()
         final = plan_text(got, "simple")
     assert len(rows) == join_client(skewed_calls, dim, strategy="broadcast").count()
     assert "isFinalPlan=true" in final
-    assert "SortMergeJoin(skew=true)" in final
+    assert f"{join}(skew=true)" in final
     assert "BroadcastHashJoin" not in final
 
 
@@ -143,7 +150,7 @@ def test_job_releases_cache_when_a_write_fails(spark):
 def test_job_forced_strategies_give_equal_tables(spark):
     fixtures.register_clients(spark, SF_SMALL)
     out = {}
-    for strategy in ("broadcast", "shuffle", "split"):
+    for strategy in ("broadcast", "hash", "shuffle", "split"):
         root = scratch.fresh_folder(spark, "tests", f"job-{strategy}")
         res = run(
             spark,
@@ -156,7 +163,7 @@ def test_job_forced_strategies_give_equal_tables(spark):
         )
         assert res.join_strategy == strategy
         out[strategy] = (spark.read.parquet(f"{root}/calls"), spark.read.parquet(f"{root}/chats"))
-    for s in ("shuffle", "split"):
+    for s in ("hash", "shuffle", "split"):
         assert same_rows(out[s][0], out["broadcast"][0])
         assert same_rows(out[s][1].drop("messages"), out["broadcast"][1].drop("messages"))
 
