@@ -3,7 +3,9 @@
 from callfacts.sinks.writer import (
     SAVE_MODES,
     WAREHOUSE_SETTINGS,
+    SelfOverwriteError,
     connector_options,
+    guard_self_overwrite,
     missing_settings,
     target_name,
     write_table,
@@ -12,7 +14,9 @@ from callfacts.sinks.writer import (
 __all__ = [
     "SAVE_MODES",
     "WAREHOUSE_SETTINGS",
+    "SelfOverwriteError",
     "connector_options",
+    "guard_self_overwrite",
     "missing_settings",
     "target_name",
     "write_table",

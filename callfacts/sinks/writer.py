@@ -16,6 +16,7 @@ single write all-or-nothing; two writes in a row are not one transaction.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame
 
@@ -46,6 +47,31 @@ def connector_options(settings: Mapping[str, str], required: Mapping[str, str] =
     return {option: settings[name] for name, option in required.items()}
 
 
+class SelfOverwriteError(ValueError):
+    """An overwrite would delete files the written DataFrame still reads."""
+
+
+def _path_of(uri: str) -> str:
+    path = urlparse(uri).path if "://" in uri or uri.startswith("file:") else uri
+    return "/" + path.strip("/")
+
+
+def guard_self_overwrite(df: DataFrame, target: str) -> None:
+    """Refuse to overwrite a folder that ``df`` reads from.
+
+    A path-based overwrite deletes the target before the job reads its input,
+    so reading and overwriting the same folder loses the data (Spark guards
+    catalog tables, not plain paths).  The file listing is the one the scan
+    already holds on the driver.  Different file systems with equal paths are
+    refused too: the check errs on the safe side.
+    """
+    root = _path_of(target)
+    for f in df.inputFiles():
+        p = _path_of(f)
+        if p == root or p.startswith(root + "/"):
+            raise SelfOverwriteError(f"refusing to overwrite {target}: the written data reads {f}")
+
+
 def write_table(
     df: DataFrame,
     target: str,
@@ -66,6 +92,8 @@ def write_table(
             raise ValueError("partition_overwrite is 'static' or 'dynamic'")
         opts["partitionOverwriteMode"] = partition_overwrite
         partition_by = partition_by or [PARTITION_COLUMN]
+    if mode == "overwrite" and not catalog:
+        guard_self_overwrite(df, opts.get("path", target) if target_option else target)
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -20,6 +21,7 @@ def spark():
         .appName("callfacts-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="callfacts-warehouse-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

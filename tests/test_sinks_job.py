@@ -153,3 +153,54 @@ def test_command_line(spark, capsys):
     assert args.table_suffix == "_stg" and args.calls_table is None
     with pytest.raises(SystemExit):
         parser().parse_args(["--partition", "2024-01-05"])  # no targets
+
+
+def test_catalog_tables_round_trip(spark):
+    from callfacts.sources import read_table
+
+    clients = fixtures.clients_frame(spark, SF_SMALL)
+    write_table(clients, "dim_client_saved", catalog=True)
+    write_table(clients, "dim_client_saved", catalog=True, mode="append")
+    got = read_table(spark, "dim_client_saved")
+    assert got.columns == ["id", "name"] and got.count() == 2 * clients.count()
+    write_table(clients, "dim_client_saved", catalog=True)  # overwrite
+    assert read_table(spark, "dim_client_saved").count() == clients.count()
+
+
+def test_job_into_catalog_tables(spark):
+    fixtures.register_clients(spark, SF_SMALL)
+    res = _run_tables(spark, "calls_stg_cat", "chats_stg_cat")
+    assert spark.read.table(res.calls_table).count() > 0
+    assert spark.read.table(res.chats_table).count() > 0
+
+
+def _run_tables(spark, calls, chats):
+    return run(
+        spark,
+        partition="2024-01-05",
+        calls_table=calls,
+        chats_table=chats,
+        calls_root=fixtures.call_folder(spark, SF_SMALL),
+        chats_root=fixtures.chat_folder(spark, SF_SMALL),
+        dim_table=fixtures.register_clients(spark, SF_SMALL),
+        catalog=True,
+    )
+
+
+def test_never_overwrites_a_path_being_read(spark):
+    from callfacts.sinks import SelfOverwriteError
+
+    t = _folder(spark, "self-overwrite")
+    write_table(spark.range(3), t)
+    with pytest.raises(SelfOverwriteError):
+        write_table(spark.read.parquet(t), t, mode="overwrite")
+    with pytest.raises(SelfOverwriteError):
+        write_table(spark.read.parquet(t), "file://" + t, mode="overwrite", partition_overwrite="dynamic")
+    with pytest.raises(SelfOverwriteError):  # the parent of the folder being read
+        write_table(spark.read.parquet(t), t.rsplit("/", 1)[0], mode="overwrite")
+    assert spark.read.parquet(t).count() == 3  # untouched
+    write_table(spark.read.parquet(t), t, mode="append")  # appending is safe
+    assert spark.read.parquet(t).count() == 6
+    other = _folder(spark, "self-overwrite-neighbour")
+    write_table(spark.read.parquet(t), other, mode="overwrite")  # prefix of a name is not a parent
+    assert spark.read.parquet(other).count() == 6
