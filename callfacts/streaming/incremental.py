@@ -62,8 +62,11 @@ def start(
     dim = read_table(spark, dim_table, S.CLIENT)
     how = choose_strategy(client_side(dim), join.strategy, join.broadcast_max_bytes, join.hash_partition_max_bytes)
     if how == "split":
-        # The hot-key split needs statistics of the whole input; a stream sees
-        # bounded micro-batches instead (size them with max_files_per_trigger).
+        # The hot-key split needs statistics of the whole input, which a stream
+        # never has; each micro-batch is planned adaptively instead (AQE runs in
+        # the micro-batches of this stateless query), so a shuffled join there
+        # still gets its skewed partitions split, and batches stay bounded by
+        # max_files_per_trigger.
         how = "shuffle"
     fixed = join.fixed(how)
     if kind == "calls":

@@ -1,5 +1,8 @@
 """The stream form of the job: each date folder is processed once, late folders later."""
 
+import contextlib
+import io
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +60,10 @@ def test_chat_stream_parses_message_dates(spark):
         join=JoinOptions(strategy="shuffle"),
     )
     q.awaitTermination()
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        q.explain()
+    assert "AdaptiveSparkPlan" in plan.getvalue() and "SortMergeJoin" in plan.getvalue()  # AQE per micro-batch
     got = spark.read.parquet(f"{base}/out")
     assert got.count() == 20
     assert got.schema["messages"].dataType.elementType["sendAt"].dataType.simpleString() == "timestamp_ntz"
