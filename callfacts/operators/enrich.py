@@ -19,10 +19,12 @@ Strategies
                least ``hot_key_rows`` facts are found by a partial aggregate,
                joined against a broadcast of just their (bounded) dimension
                rows; all other keys go through the shuffle join.
-``auto``       (default) measure the dimension first; broadcast it when its
-               measured size is within ``broadcast_max_bytes``; otherwise,
-               with AQE skew handling on, ``hash`` when its size per shuffle
-               partition is within ``hash_partition_max_bytes``, else
+``auto``       (default) measure the dimension first -- total bytes and the
+               bytes of its largest partition of the join's shuffle, in one
+               action; broadcast it when the total is within
+               ``broadcast_max_bytes``; otherwise, with AQE skew handling on,
+               ``hash`` when the largest partition (and AQE's coalescing
+               target) is within ``hash_partition_max_bytes``, else
                ``shuffle``; with AQE skew handling off, ``split``.
 
 Facts whose key is NULL or not a number never match (inner join); Catalyst's
@@ -39,7 +41,7 @@ from pyspark.sql import functions as F
 
 from callfacts import scratch
 from callfacts.functions.keys import numeric_key
-from callfacts.plans.sizing import DEFAULT_BROADCAST_MAX_BYTES, measure
+from callfacts.plans.sizing import DEFAULT_BROADCAST_MAX_BYTES, measure, parse_bytes
 
 KEY = "_client_key"
 STRATEGIES = ("auto", "broadcast", "hash", "shuffle", "split")
@@ -62,13 +64,22 @@ def _aqe_splits_skew(spark) -> bool:
 
 
 def shuffle_partitions(spark) -> int:
-    """Partitions a join shuffle starts with (AQE may coalesce them afterwards,
-    which never makes a partition's build side bigger than the advisory size
-    or than one of the original partitions)."""
+    """Partitions a join shuffle starts with."""
     initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
     return int(initial or spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def coalesce_cap(spark) -> int:
+    """How big AQE may make a coalesced partition from smaller ones: its
+    advisory size (0 when coalescing is off).  Merging never makes a partition
+    bigger than this or than one original partition."""
+    aqe = (spark.conf.get("spark.sql.adaptive.enabled", "true") or "true").lower() == "true"
+    on = (spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true") or "true").lower() == "true"
+    if not (aqe and on):
+        return 0
+    return parse_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
+
+
 def choose_strategy(
     dim: DataFrame,
     strategy: str,
@@ -79,14 +90,14 @@ def choose_strategy(
         raise ValueError(f"unknown join strategy {strategy!r}; use one of {STRATEGIES}")
     if strategy != "auto":
         return strategy
-    size = measure(dim)
+    spark = dim.sparkSession
+    size = measure(dim, KEY if KEY in dim.columns else None, shuffle_partitions(spark))
     if size.bytes <= broadcast_max_bytes:
         return "broadcast"
-    spark = dim.sparkSession
     if not _aqe_splits_skew(spark):
         return "split"
-    per_partition = size.bytes / max(1, shuffle_partitions(spark))
-    return "hash" if per_partition <= hash_partition_max_bytes else "shuffle"
+    build = max(size.max_partition_bytes or size.bytes, coalesce_cap(spark))
+    return "hash" if build <= hash_partition_max_bytes else "shuffle"
 
 
 def _join(

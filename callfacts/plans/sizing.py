@@ -1,13 +1,15 @@
 """Proven size bounds for broadcast decisions.
 
 A side is broadcast only after its size was *measured*: one aggregate action
-(partial counts per task, one tiny shuffle) gives the exact row count and the
-bytes of its rows in Spark's row format.  When the side is cached, the same
+(partial counts per task, tiny shuffles) gives the exact row count, the bytes
+of its rows in Spark's row format and, per hash partition of the join's
+shuffle, the bytes one task would have to hold.  When the side is cached, the same
 action also fills the cache, so the scan is not wasted.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -44,8 +46,37 @@ def row_bytes(schema: T.StructType) -> Column:
 class Size:
     rows: int
     bytes: int
+    max_partition_bytes: int = 0  # largest share of one hash partition (0: not measured)
 
 
-def measure(df: DataFrame) -> Size:
-    r = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df.schema)).alias("bytes")).first()
-    return Size(int(r["rows"]), int(r["bytes"] or 0))
+def measure(df: DataFrame, key: str | None = None, partitions: int | None = None) -> Size:
+    """Exact rows and bytes of ``df``; with ``key`` and ``partitions`` also the
+    bytes of its largest hash partition on ``key``.
+
+    The partition id is computed with the function a shuffle on ``key`` uses
+    (Murmur3 ``hash`` modulo the partition count), so the maximum is what the
+    biggest partition of that shuffle will hold -- duplicate or hot keys
+    included.  Rows with a NULL key are left out: an inner join drops them
+    before it shuffles or broadcasts.  One action either way; the grouped form
+    aggregates to at most ``partitions`` rows before its tiny shuffles.
+    """
+    size = row_bytes(df.schema)
+    if key is None or not partitions:
+        r = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")).first()
+        return Size(int(r["rows"]), int(r["bytes"] or 0))
+    part = F.pmod(F.hash(F.col(key)), F.lit(partitions))
+    keyed = df.where(F.col(key).isNotNull())
+    per = keyed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes"))
+    r = per.agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.max("bytes").alias("top")).first()
+    return Size(int(r["rows"] or 0), int(r["bytes"] or 0), int(r["top"] or 0))
+
+
+_UNITS = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+
+
+def parse_bytes(text: str) -> int:
+    """Spark's size strings: ``67108864b``, ``64m``, ``64MB``, ``1g`` ..."""
+    m = re.fullmatch(r"\s*(\d+)\s*([kmgtp]?)b?\s*", text.lower())
+    if not m:
+        raise ValueError(f"not a byte size: {text!r}")
+    return int(m.group(1)) * _UNITS[m.group(2)]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from callfacts import fixtures, scratch
 from callfacts.operators import choose_strategy, join_client
-from callfacts.operators.enrich import client_side
+from callfacts.operators.enrich import KEY, client_side
 from callfacts.plans import cached, measure, plan_text
 from callfacts.plans.job import JoinOptions, enrich_calls, run
 from callfacts.sources import read_calls_csv
@@ -42,6 +42,32 @@ def test_measure_is_exact(spark, dim):
     assert size.bytes == 150 * (8 + 8 + 8 + 24)
 
 
+def test_partition_measure_matches_the_real_shuffle(spark, dim):
+    side = client_side(dim)
+    size = measure(side, KEY, 8)
+    assert (size.rows, size.bytes) == (150, 150 * 48)
+    biggest = side.repartition(8, KEY).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert size.max_partition_bytes == biggest * 48
+
+
+def test_hot_duplicate_key_in_the_dimension_avoids_the_hash_join(spark, dim, session_conf):
+    hot = dim.withColumn("id", F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")))
+    with session_conf(**{"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}):
+        even, skewed = client_side(dim), client_side(hot)
+        assert measure(skewed, KEY, 8).max_partition_bytes >= 50 * 48
+        assert choose_strategy(even, "auto", 1000, hash_partition_max_bytes=1500) == "hash"
+        assert choose_strategy(skewed, "auto", 1000, hash_partition_max_bytes=1500) == "shuffle"
+
+
+def test_parse_bytes():
+    from callfacts.plans.sizing import parse_bytes
+
+    assert parse_bytes("67108864b") == parse_bytes("64m") == parse_bytes("64MB") == 64 << 20
+    assert parse_bytes("7") == 7 and parse_bytes("2kb") == 2048
+    with pytest.raises(ValueError):
+        parse_bytes("lots")
+
+
 def test_auto_broadcasts_a_measured_small_dimension(spark, dim):
     assert choose_strategy(client_side(dim), "auto", 1 << 20) == "broadcast"
     calls = read_calls_csv(spark, fixtures.call_folder(spark, SF_ORACLE))
@@ -53,11 +79,16 @@ def test_auto_broadcasts_a_measured_small_dimension(spark, dim):
 
 def test_auto_beyond_the_bound(spark, dim, session_conf):
     side = client_side(dim)  # 7,200 bytes measured
-    with session_conf(**{"spark.sql.shuffle.partitions": "8"}):
-        assert choose_strategy(side, "auto", 1000) == "hash"  # 900 bytes per partition
-        assert choose_strategy(side, "auto", 1000, hash_partition_max_bytes=800) == "shuffle"
+    with session_conf(**{"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}):
+        top8 = measure(side, KEY, 8).max_partition_bytes
+        top16 = measure(side, KEY, 16).max_partition_bytes
+        assert top16 < top8
+        assert choose_strategy(side, "auto", 1000, hash_partition_max_bytes=top8) == "hash"
+        assert choose_strategy(side, "auto", 1000, hash_partition_max_bytes=top16) == "shuffle"
         with session_conf(**{"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16"}):
-            assert choose_strategy(side, "auto", 1000, hash_partition_max_bytes=800) == "hash"
+            assert choose_strategy(side, "auto", 1000, hash_partition_max_bytes=max(top16, 1024)) == "hash"
+    with session_conf(**{"spark.sql.shuffle.partitions": "8"}):  # coalescing may reach 64 MB
+        assert choose_strategy(side, "auto", 1000, hash_partition_max_bytes=top8) == "shuffle"
     with session_conf(**{"spark.sql.adaptive.skewJoin.enabled": "false"}):
         assert choose_strategy(side, "auto", 1000) == "split"
     with pytest.raises(ValueError):
