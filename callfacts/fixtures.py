@@ -34,6 +34,7 @@ CHAT_DATES = 7
 
 # Dirty-key binding: by event_id % 5 the key becomes
 # 0 -> 'x' || key, 1 -> '0' || key, 2 -> ' ' || key || ' ', 3 -> NULL, 4 -> key.
+# Dirty-date binding: message n with n % 4 = 3 gets month 13 ('13/' || its day/year).
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,6 +103,17 @@ def chats_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dirty_chats_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chats where every fourth message date is unreadable (month 13)."""
+
+    def spoil(m):
+        sent = m.getField("sendAt")
+        bad = F.concat(F.lit("13"), F.substring(sent, 3, 8))
+        return m.withField("sendAt", F.when(m.getField("id") % 4 == 3, bad).otherwise(sent))
+
+    return chats_frame(spark, sf_dir).withColumn("messages", F.transform("messages", spoil))
+
+
 _written: dict[tuple[str, str, str], str] = {}
 
 

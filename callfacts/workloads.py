@@ -154,6 +154,11 @@ def call_rule_violations(spark, sf_dir):
     return violation_rows(fixtures.dirty_calls_frame(spark, sf_dir).drop("date"))
 
 
+def chat_rule_violations(spark, sf_dir):
+    """All failed rules of raw chats, message dates included."""
+    return violation_rows(fixtures.dirty_chats_frame(spark, sf_dir).drop("date"))
+
+
 # -- sinks -------------------------------------------------------------------
 
 
@@ -238,6 +243,7 @@ QUERIES: dict[str, Query] = {
     "client_chat_messages": client_chat_messages,
     "join_dirty_keys": join_dirty_keys,
     "call_rule_violations": call_rule_violations,
+    "chat_rule_violations": chat_rule_violations,
     "sink_overwrite": sink_overwrite,
     "sink_modes": sink_modes,
     "two_sinks_shared_dim": two_sinks_shared_dim,
@@ -327,6 +333,8 @@ UNION ALL SELECT id, 'clientId is not a number' FROM dirty
 UNION ALL SELECT id, 'startAt is missing' FROM dirty WHERE startAt IS NULL
 UNION ALL SELECT id, 'endAt is missing' FROM dirty WHERE endAt IS NULL
 UNION ALL SELECT id, 'endAt is before startAt' FROM dirty WHERE endAt < startAt""",
+    "chat_rule_violations": """SELECT conv_id AS id, 'message date is unreadable' AS rule
+FROM conversations GROUP BY conv_id HAVING bool_or(turn % 4 = 3)""",
     "sink_overwrite": f"WITH {_CALLS} {_CLIENT_CALLS}",
     "stream_client_calls": f"WITH {_CALLS} {_CLIENT_CALLS}",
     "sink_modes": f"WITH {_CALLS}, once AS ({_CLIENT_CALLS}) SELECT * FROM once UNION ALL SELECT * FROM once",
