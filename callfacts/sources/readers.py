@@ -36,9 +36,11 @@ def partition_paths(root: str, partition: Partition) -> list[str]:
     return [f"{root}/{S.PARTITION_COLUMN}={d}/" for d in dates]
 
 
-def _fact_reader(spark: SparkSession, root: str, schema: T.StructType, corrupt_column: str | None):
+def _fact_reader(
+    spark: SparkSession, root: str, schema: T.StructType, corrupt_column: str | None, timestamp_format: str
+):
     read_schema = S.with_partition(schema)
-    reader = spark.read.option("basePath", root.rstrip("/")).option("timestampNTZFormat", TIMESTAMP_NTZ_FORMAT)
+    reader = spark.read.option("basePath", root.rstrip("/")).option("timestampNTZFormat", timestamp_format)
     if corrupt_column:
         read_schema = T.StructType(read_schema.fields + [T.StructField(corrupt_column, T.StringType())])
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
@@ -61,13 +63,16 @@ def read_calls_csv(
     *,
     schema: T.StructType = S.CALL,
     corrupt_column: str | None = None,
+    timestamp_format: str = TIMESTAMP_NTZ_FORMAT,
 ) -> DataFrame:
     """S2 + S5: header-less CSV call facts, columns by position.
 
     A cell that does not parse becomes NULL; with ``corrupt_column`` the raw
-    line of such a row is kept in that column.
+    line of such a row is kept in that column.  Times are parsed with
+    ``timestamp_format`` directly (a matching pattern avoids Spark's per-cell
+    fallback parse after a failed one).
     """
-    reader = _fact_reader(spark, root, schema, corrupt_column).option("header", "false")
+    reader = _fact_reader(spark, root, schema, corrupt_column, timestamp_format).option("header", "false")
     df = reader.csv(partition_paths(root, partition))
     return S.conform(df, schema, keep=_keep(corrupt_column))
 
@@ -79,9 +84,11 @@ def read_chats_json(
     *,
     schema: T.StructType = S.CHAT_RAW,
     corrupt_column: str | None = None,
+    timestamp_format: str = TIMESTAMP_NTZ_FORMAT,
 ) -> DataFrame:
     """S3 + S5: JSON-lines chat facts with a nested message list."""
-    df = _fact_reader(spark, root, schema, corrupt_column).json(partition_paths(root, partition))
+    reader = _fact_reader(spark, root, schema, corrupt_column, timestamp_format)
+    df = reader.json(partition_paths(root, partition))
     return S.conform(df, schema, keep=_keep(corrupt_column))
 
 

@@ -47,6 +47,13 @@ def test_csv_by_position_with_partition_column(spark):
     assert read_calls_csv(spark, root, ["2024-01-05", "2024-01-06"]).count() == 2
 
 
+def test_timestamp_format_is_a_parameter(spark):
+    root = _folder(spark, "csv-format")
+    _write_lines(spark, f"{root}/date=2024-01-05", ["1,1,05.01.2024 10:00,05.01.2024 10:30"])
+    r = read_calls_csv(spark, root, "2024-01-05", timestamp_format="dd.MM.yyyy HH:mm").first()
+    assert (r["startAt"], r["endAt"]) == (D(2024, 1, 5, 10, 0), D(2024, 1, 5, 10, 30))
+
+
 def test_missing_date_fails_before_anything_runs(spark):
     root = _folder(spark, "csv-missing")
     _write_lines(spark, f"{root}/date=2024-01-05", ["1,1,2024-01-05 10:00:00.000000,2024-01-05 10:05:00.000000"])
