@@ -59,6 +59,30 @@ def test_hot_duplicate_key_in_the_dimension_avoids_the_hash_join(spark, dim, ses
         assert choose_strategy(skewed, "auto", 1000, hash_partition_max_bytes=1500) == "shuffle"
 
 
+def _jobs_in(spark, group, fn):
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        fn()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    return len(sc.statusTracker().getJobIdsForGroup(group))
+
+
+def test_measure_is_reused_only_for_the_same_files(spark, dim):
+    side = client_side(dim)
+    first = measure(side, KEY, 8)
+    again = client_side(fixtures.clients_frame(spark, SF_SMALL))  # built anew, same plan and files
+    assert _jobs_in(spark, "measure-again", lambda: measure(again, KEY, 8)) == 0
+    assert measure(again, KEY, 8) == first
+    assert _jobs_in(spark, "measure-forced", lambda: measure(again, KEY, 8, memo=False)) > 0
+    other = client_side(fixtures.clients_frame(spark, SF_ORACLE))  # other files: measured
+    assert _jobs_in(spark, "measure-other", lambda: measure(other, KEY, 8)) > 0
+    mem = spark.createDataFrame([(1, "a")], "_client_key long, name string")  # no files: always measured
+    assert _jobs_in(spark, "measure-mem", lambda: measure(mem, KEY, 8)) > 0
+    assert _jobs_in(spark, "measure-mem-2", lambda: measure(mem, KEY, 8)) > 0
+
+
 def test_parse_bytes():
     from callfacts.plans.sizing import parse_bytes
 
