@@ -77,7 +77,7 @@ def test_measure_is_reused_only_for_the_same_files(spark, dim):
     assert measure(again, KEY, 8) == first
     assert _jobs_in(spark, "measure-forced", lambda: measure(again, KEY, 8, memo=False)) > 0
     other = client_side(fixtures.clients_frame(spark, SF_ORACLE))  # other files: measured
-    assert _jobs_in(spark, "measure-other", lambda: measure(other, KEY, 8)) > 0
+    assert _jobs_in(spark, "measure-other", lambda: measure(other, KEY, 13)) > 0  # 13: a key no other test uses
     mem = spark.createDataFrame([(1, "a")], "_client_key long, name string")  # no files: always measured
     assert _jobs_in(spark, "measure-mem", lambda: measure(mem, KEY, 8)) > 0
     assert _jobs_in(spark, "measure-mem-2", lambda: measure(mem, KEY, 8)) > 0
