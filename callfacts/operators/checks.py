@@ -45,6 +45,23 @@ def violation_rows(
     return df.select(id_column, F.explode(flagged).alias("rule")).where(F.col("rule").isNotNull())
 
 
+class StrictInputError(ValueError):
+    """Strict mode found a row its rules refuse; nothing was written."""
+
+
+def require_none(df: DataFrame, rules: list[Rule], *, what: str, show: str = "id") -> None:
+    """Fail if any row breaks one of ``rules``.
+
+    A bounded probe: ``limit(1)`` stops at the first offending row and brings
+    only that row to the driver.  Meant to run before a write, so a strict
+    failure can never leave a half-replaced target.
+    """
+    for cond, message in rules:
+        hit = df.where(cond).select(show).limit(1).collect()
+        if hit:
+            raise StrictInputError(f"{what}: {message} ({show}={hit[0][0]!r}); nothing was written")
+
+
 def passing(df: DataFrame, *, column: str = COLUMN) -> DataFrame:
     """Rows that fail no rule (the column is dropped)."""
     checked = df if column in df.columns else with_violations(df, column=column)

@@ -17,6 +17,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from callfacts import schemas as S
 from callfacts.operators.enrich import (
@@ -28,7 +29,9 @@ from callfacts.operators.enrich import (
     join_client,
 )
 from callfacts.operators.normalize import parse_message_times, to_utc
+from callfacts.functions.rules import KEY_NOT_NUMBER, message_rules
 from callfacts.functions.times import parse_date_text
+from callfacts.operators.checks import require_none
 from callfacts.operators.shapes import chat_messages
 from callfacts.plans.cache import cached
 from callfacts.plans.sizing import DEFAULT_BROADCAST_MAX_BYTES
@@ -139,6 +142,14 @@ def run(
     dim = read_table(spark, dim_table, S.CLIENT)
     calls = read_calls_csv(spark, calls_root, partition)  # fails here if a date is missing
     chats = read_chats_json(spark, chats_root, partition)
+    # Strict modes are checked before any write: an overwrite removes the old
+    # target when it starts, so a failure inside it would leave nothing.
+    if join.strict:
+        bad_key = F.col("clientId").isNotNull() & F.col("clientId").try_cast("bigint").isNull()
+        require_none(calls, [(bad_key, KEY_NOT_NUMBER)], what="calls", show="clientId")
+        require_none(chats, [(bad_key, KEY_NOT_NUMBER)], what="chats", show="clientId")
+    if strict_dates:
+        require_none(chats, message_rules(), what="chats")
     keep = partition_overwrite is not None
     sink = dict(
         fmt=sink_format,

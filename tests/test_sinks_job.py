@@ -116,6 +116,32 @@ def test_job_rerun_with_dynamic_partition_overwrite_keeps_other_dates(spark):
     assert {str(r[0]) for r in calls.select("date").distinct().collect()} == {"2024-01-05", "2024-01-06"}
 
 
+def test_strict_job_fails_before_touching_the_targets(spark):
+    from callfacts.operators.checks import StrictInputError
+    from callfacts.plans.job import JoinOptions
+
+    root = _folder(spark, "job-strict")
+    _run(spark, root, "2024-01-05")
+    before = spark.read.parquet(f"{root}/calls").count()
+    dirty = _folder(spark, "dirty-calls")
+    spark.createDataFrame([("1,xx,2024-01-05 10:00:00.000000,2024-01-05 10:01:00.000000",)], "value string").write.text(
+        f"{dirty}/date=2024-01-05"
+    )
+    with pytest.raises(StrictInputError, match="clientId='xx'"):
+        run(
+            spark,
+            partition="2024-01-05",
+            calls_table=f"{root}/calls",
+            chats_table=f"{root}/chats",
+            calls_root=dirty,
+            chats_root=fixtures.chat_folder(spark, SF_SMALL),
+            dim_table=fixtures.register_clients(spark, SF_SMALL),
+            join=JoinOptions(strict=True),
+        )
+    assert spark.read.parquet(f"{root}/calls").count() == before  # old target intact
+    _run(spark, root, "2024-01-05", join=JoinOptions(strict=True), strict_dates=True)  # clean input passes
+
+
 def test_job_fixed_offset_rule(spark):
     zone = _folder(spark, "job-zone")
     fixed = _folder(spark, "job-fixed")
