@@ -64,15 +64,18 @@ def read_calls_csv(
     schema: T.StructType = S.CALL,
     corrupt_column: str | None = None,
     timestamp_format: str = TIMESTAMP_NTZ_FORMAT,
+    header: bool = False,
 ) -> DataFrame:
-    """S2 + S5: header-less CSV call facts, columns by position.
+    """S2 + S5: CSV call facts, columns by position (header-less by default;
+    ``header=True`` skips a first line, columns still bound by position).
 
     A cell that does not parse becomes NULL; with ``corrupt_column`` the raw
     line of such a row is kept in that column.  Times are parsed with
     ``timestamp_format`` directly (a matching pattern avoids Spark's per-cell
     fallback parse after a failed one).
     """
-    reader = _fact_reader(spark, root, schema, corrupt_column, timestamp_format).option("header", "false")
+    reader = _fact_reader(spark, root, schema, corrupt_column, timestamp_format)
+    reader = reader.option("header", str(header).lower()).option("enforceSchema", "true")
     df = reader.csv(partition_paths(root, partition))
     return S.conform(df, schema, keep=_keep(corrupt_column))
 

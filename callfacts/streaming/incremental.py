@@ -25,12 +25,19 @@ from callfacts.sources.readers import TIMESTAMP_NTZ_FORMAT, read_table
 KINDS = ("calls", "chats")
 
 
-def fact_stream(spark: SparkSession, kind: str, root: str, *, max_files_per_trigger: int | None = None) -> DataFrame:
+def fact_stream(
+    spark: SparkSession,
+    kind: str,
+    root: str,
+    *,
+    max_files_per_trigger: int | None = None,
+    timestamp_format: str = TIMESTAMP_NTZ_FORMAT,
+) -> DataFrame:
     """Streaming read of a fact root under the declared schema (+ ``date``)."""
     if kind not in KINDS:
         raise ValueError(f"kind is one of {KINDS}")
     schema = S.with_partition(S.CALL if kind == "calls" else S.CHAT_RAW)
-    reader = spark.readStream.schema(schema).option("timestampNTZFormat", TIMESTAMP_NTZ_FORMAT)
+    reader = spark.readStream.schema(schema).option("timestampNTZFormat", timestamp_format)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if kind == "calls":

@@ -54,6 +54,14 @@ def test_timestamp_format_is_a_parameter(spark):
     assert (r["startAt"], r["endAt"]) == (D(2024, 1, 5, 10, 0), D(2024, 1, 5, 10, 30))
 
 
+def test_header_line_is_skipped_and_columns_stay_positional(spark):
+    root = _folder(spark, "csv-header")
+    _write_lines(spark, f"{root}/date=2024-01-05", ["a,b,c,d", "1,7,2024-01-05 10:00:00.000000,2024-01-05 10:01:00.000000"])
+    rows = read_calls_csv(spark, root, "2024-01-05", header=True).collect()
+    assert len(rows) == 1 and rows[0]["clientId"] == "7"
+    assert read_calls_csv(spark, root, "2024-01-05").count() == 2  # without: the header is a (bad) row
+
+
 def test_missing_date_fails_before_anything_runs(spark):
     root = _folder(spark, "csv-missing")
     _write_lines(spark, f"{root}/date=2024-01-05", ["1,1,2024-01-05 10:00:00.000000,2024-01-05 10:05:00.000000"])
