@@ -29,11 +29,16 @@ def violations(rules: Iterable[Rule]) -> Column:
     return F.filter(F.array(*flagged), lambda m: m.isNotNull())
 
 
+def key_not_number(key: str = "clientId") -> Rule:
+    k = F.col(key)
+    return (k.isNotNull() & k.try_cast("bigint").isNull(), KEY_NOT_NUMBER)
+
+
 def fact_rules(key: str = "clientId", start: str = "startAt", end: str = "endAt") -> list[Rule]:
     k = F.col(key)
     return [
         (k.isNull(), KEY_MISSING),
-        (k.isNotNull() & k.try_cast("bigint").isNull(), KEY_NOT_NUMBER),
+        key_not_number(key),
         (F.col(start).isNull(), START_MISSING),
         (F.col(end).isNull(), END_MISSING),
         (F.col(end) < F.col(start), END_BEFORE_START),

@@ -17,7 +17,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from callfacts import schemas as S
 from callfacts.operators.enrich import (
@@ -29,7 +28,7 @@ from callfacts.operators.enrich import (
     join_client,
 )
 from callfacts.operators.normalize import parse_message_times, to_utc
-from callfacts.functions.rules import KEY_NOT_NUMBER, message_rules
+from callfacts.functions.rules import key_not_number, message_rules
 from callfacts.functions.times import parse_date_text
 from callfacts.operators.checks import require_none
 from callfacts.operators.shapes import chat_messages
@@ -145,9 +144,8 @@ def run(
     # Strict modes are checked before any write: an overwrite removes the old
     # target when it starts, so a failure inside it would leave nothing.
     if join.strict:
-        bad_key = F.col("clientId").isNotNull() & F.col("clientId").try_cast("bigint").isNull()
-        require_none(calls, [(bad_key, KEY_NOT_NUMBER)], what="calls", show="clientId")
-        require_none(chats, [(bad_key, KEY_NOT_NUMBER)], what="chats", show="clientId")
+        require_none(calls, [key_not_number()], what="calls", show="clientId")
+        require_none(chats, [key_not_number()], what="chats", show="clientId")
     if strict_dates:
         require_none(chats, message_rules(), what="chats")
     keep = partition_overwrite is not None
@@ -165,8 +163,8 @@ def run(
             client_side(shared), join.strategy, join.broadcast_max_bytes, join.hash_partition_max_bytes
         )
         fixed = join.fixed(how)
-        write_table(enrich_calls(calls, shared, time_rule=time_rule, join=fixed, keep_partition=keep), calls_table, **sink)
-        write_table(
-            enrich_chats(chats, shared, join=fixed, strict_dates=strict_dates, keep_partition=keep), chats_table, **sink
-        )
+        calls_out = enrich_calls(calls, shared, time_rule=time_rule, join=fixed, keep_partition=keep)
+        write_table(calls_out, calls_table, **sink)
+        chats_out = enrich_chats(chats, shared, join=fixed, strict_dates=strict_dates, keep_partition=keep)
+        write_table(chats_out, chats_table, **sink)
     return JobResult(calls_table, chats_table, how)
