@@ -156,6 +156,7 @@ def run(
         target_option=target_option,
         catalog=catalog,
         partition_overwrite=partition_overwrite,
+        read_roots=[calls_root, chats_root],  # compare folders, not every input file
     )
     with cached(dim) as shared:
         # measured once (this also fills the cache), used for both joins

@@ -56,19 +56,28 @@ def _path_of(uri: str) -> str:
     return "/" + path.strip("/")
 
 
-def guard_self_overwrite(df: DataFrame, target: str) -> None:
+def _inside(path: str, root: str) -> bool:
+    return path == root or path.startswith(root.rstrip("/") + "/")
+
+
+def guard_self_overwrite(df: DataFrame, target: str, read_roots: Sequence[str] | None = None) -> None:
     """Refuse to overwrite a folder that ``df`` reads from.
 
     A path-based overwrite deletes the target before the job reads its input,
     so reading and overwriting the same folder loses the data (Spark guards
-    catalog tables, not plain paths).  The file listing is the one the scan
-    already holds on the driver.  Different file systems with equal paths are
+    catalog tables, not plain paths).  With ``read_roots`` (the folders the
+    caller read from) the check compares folders only; without, it walks the
+    scan's own file listing.  Different file systems with equal paths are
     refused too: the check errs on the safe side.
     """
     root = _path_of(target)
+    if read_roots is not None:
+        for r in map(_path_of, read_roots):
+            if _inside(r, root) or _inside(root, r):
+                raise SelfOverwriteError(f"refusing to overwrite {target}: the written data is read from {r}")
+        return
     for f in df.inputFiles():
-        p = _path_of(f)
-        if p == root or p.startswith(root + "/"):
+        if _inside(_path_of(f), root):
             raise SelfOverwriteError(f"refusing to overwrite {target}: the written data reads {f}")
 
 
@@ -83,6 +92,7 @@ def write_table(
     catalog: bool = False,
     partition_by: Sequence[str] | None = None,
     partition_overwrite: str | None = None,
+    read_roots: Sequence[str] | None = None,
 ) -> None:
     if mode not in SAVE_MODES:
         raise ValueError(f"unknown save mode {mode!r}; use one of {SAVE_MODES}")
@@ -93,7 +103,7 @@ def write_table(
         opts["partitionOverwriteMode"] = partition_overwrite
         partition_by = partition_by or [PARTITION_COLUMN]
     if mode == "overwrite" and not catalog:
-        guard_self_overwrite(df, opts.get("path", target) if target_option else target)
+        guard_self_overwrite(df, opts.get("path", target) if target_option else target, read_roots)
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -193,6 +193,33 @@ def test_catalog_tables_round_trip(spark):
     assert read_table(spark, "dim_client_saved").count() == clients.count()
 
 
+def test_job_refuses_to_overwrite_its_own_input(spark):
+    from callfacts.sinks import SelfOverwriteError
+
+    calls_root = fixtures.call_folder(spark, SF_SMALL)
+    with pytest.raises(SelfOverwriteError):
+        _run_paths(spark, calls_root + "/date=2024-01-05", _folder(spark, "chats-elsewhere"))
+    assert read_calls_csv_count(spark, calls_root) == 1000
+
+
+def _run_paths(spark, calls_t, chats_t):
+    return run(
+        spark,
+        partition="2024-01-05",
+        calls_table=calls_t,
+        chats_table=chats_t,
+        calls_root=fixtures.call_folder(spark, SF_SMALL),
+        chats_root=fixtures.chat_folder(spark, SF_SMALL),
+        dim_table=fixtures.register_clients(spark, SF_SMALL),
+    )
+
+
+def read_calls_csv_count(spark, root):
+    from callfacts.sources import read_calls_csv
+
+    return read_calls_csv(spark, root).count()
+
+
 def test_job_into_catalog_tables(spark):
     fixtures.register_clients(spark, SF_SMALL)
     res = _run_tables(spark, "calls_stg_cat", "chats_stg_cat")
@@ -227,6 +254,10 @@ def test_never_overwrites_a_path_being_read(spark):
     assert spark.read.parquet(t).count() == 3  # untouched
     write_table(spark.read.parquet(t), t, mode="append")  # appending is safe
     assert spark.read.parquet(t).count() == 6
+    with pytest.raises(SelfOverwriteError):  # the caller names what it read: folders compared
+        write_table(spark.range(1), t, mode="overwrite", read_roots=[t + "/part"])
+    with pytest.raises(SelfOverwriteError):
+        write_table(spark.range(1), t + "/sub", mode="overwrite", read_roots=[t])
     other = _folder(spark, "self-overwrite-neighbour")
     write_table(spark.read.parquet(t), other, mode="overwrite")  # prefix of a name is not a parent
     assert spark.read.parquet(other).count() == 6
