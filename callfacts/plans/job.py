@@ -88,9 +88,14 @@ def enrich_chats(
     strict_dates: bool = False,
     keep_partition: bool = False,
 ) -> DataFrame:
-    """Raw chats (text message dates) -> ClientChat rows."""
-    joined = join_client(parse_message_times(chats, strict=strict_dates), dim, **join.kwargs())
-    return _shape(joined, S.CLIENT_CHAT, keep_partition)
+    """Raw chats (text message dates) -> ClientChat rows.
+
+    The message list is rewritten after the join: only matched chats are
+    parsed, and scan, filter and join stay one generated-code stage (the list
+    rewrite is a higher-order function, which Spark evaluates interpreted).
+    """
+    joined = join_client(chats, dim, **join.kwargs())
+    return _shape(parse_message_times(joined, strict=strict_dates), S.CLIENT_CHAT, keep_partition)
 
 
 def enrich_chat_messages(
