@@ -49,6 +49,11 @@ def _client_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_calls(_calls(spark, sf_dir), _dim(spark, sf_dir))
 
 
+def _read_back(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Our own output, read with the schema it was written with (no inference job)."""
+    return spark.read.schema(schema).parquet(path)
+
+
 # -- scans -------------------------------------------------------------------
 
 
@@ -168,7 +173,7 @@ def sink_overwrite(spark, sf_dir):
     rows = _client_calls(spark, sf_dir)
     write_table(rows, target, mode="overwrite")
     write_table(rows, target, mode="overwrite")
-    return spark.read.parquet(target)
+    return _read_back(spark, target, S.CLIENT_CALL)
 
 
 def sink_modes(spark, sf_dir):
@@ -185,7 +190,7 @@ def sink_modes(spark, sf_dir):
             raise
     else:
         raise AssertionError("mode 'error' wrote over an existing target")
-    return spark.read.parquet(target)
+    return _read_back(spark, target, S.CLIENT_CALL)
 
 
 def two_sinks_shared_dim(spark, sf_dir):
@@ -204,8 +209,8 @@ def two_sinks_shared_dim(spark, sf_dir):
         join=JoinOptions(),
     )
     cols = ["id", "clientId", "startAt", "endAt", "name"]
-    calls = spark.read.parquet(f"{root}/{calls_t}").select(F.lit(calls_t).alias("target"), *cols)
-    chats = spark.read.parquet(f"{root}/{chats_t}").select(F.lit(chats_t).alias("target"), *cols)
+    calls = _read_back(spark, f"{root}/{calls_t}", S.CLIENT_CALL).select(F.lit(calls_t).alias("target"), *cols)
+    chats = _read_back(spark, f"{root}/{chats_t}", S.CLIENT_CHAT).select(F.lit(chats_t).alias("target"), *cols)
     return calls.unionByName(chats)
 
 
@@ -225,7 +230,9 @@ def stream_client_calls(spark, sf_dir):
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return spark.read.parquet(f"{root}/out").select("id", "clientId", "startAt", "endAt", "name")
+    return _read_back(spark, f"{root}/out", S.with_partition(S.CLIENT_CALL)).select(
+        "id", "clientId", "startAt", "endAt", "name"
+    )
 
 
 QUERIES: dict[str, Query] = {
