@@ -37,8 +37,19 @@ CHAT_DATES = 7
 # Dirty-date binding: message n with n % 4 = 3 gets month 13 ('13/' || its day/year).
 
 
+# Declared schemas of the driver tables' columns used here (FIXTURES.md §4):
+# reading with them skips the schema-inference job of every read.
+TABLE_SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_name STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ",
+    "conversations": "conv_id BIGINT, turn BIGINT, text STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def clients_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
