@@ -261,3 +261,15 @@ def test_never_overwrites_a_path_being_read(spark):
     other = _folder(spark, "self-overwrite-neighbour")
     write_table(spark.read.parquet(t), other, mode="overwrite")  # prefix of a name is not a parent
     assert spark.read.parquet(other).count() == 6
+
+
+def test_command_line_warehouse_settings_are_checked_before_spark(tmp_path):
+    import json
+
+    from callfacts.__main__ import main
+
+    settings = tmp_path / "sink.json"
+    settings.write_text(json.dumps({"host": "h", "db": "d"}))
+    args = ["-p", "2024-01-05", "--tableSuffix", "_stg", "--warehouse", "--sink-options-file", str(settings)]
+    with pytest.raises(ValueError, match="user is not set; password is not set; stagingFsUrl is not set"):
+        main(args)
