@@ -59,21 +59,25 @@ def start(
     trigger: str = "available_now",
     processing_time: str = "1 minute",
     max_files_per_trigger: int | None = None,
+    timestamp_format: str = TIMESTAMP_NTZ_FORMAT,
 ) -> StreamingQuery:
     """Start the incremental enrichment of one fact kind; returns the running query.
 
     The join strategy is decided once, from the measured dimension, when the
     query starts.  The sink is partitioned by ``date``.
     """
-    facts = fact_stream(spark, kind, fact_root, max_files_per_trigger=max_files_per_trigger)
+    facts = fact_stream(
+        spark, kind, fact_root, max_files_per_trigger=max_files_per_trigger, timestamp_format=timestamp_format
+    )
     dim = read_table(spark, dim_table, S.CLIENT)
     how = choose_strategy(client_side(dim), join.strategy, join.broadcast_max_bytes, join.hash_partition_max_bytes)
     if how == "split":
         # The hot-key split needs statistics of the whole input, which a stream
-        # never has; each micro-batch is planned adaptively instead (AQE runs in
-        # the micro-batches of this stateless query), so a shuffled join there
-        # still gets its skewed partitions split, and batches stay bounded by
-        # max_files_per_trigger.
+        # never has.  ``auto`` only picks it when AQE skew handling is off, so
+        # the stream falls back to the sort-merge join without skew splits:
+        # keep micro-batches small with max_files_per_trigger, or turn AQE skew
+        # handling on (micro-batches of this stateless query are planned
+        # adaptively, so their skewed partitions are then split).
         how = "shuffle"
     fixed = join.fixed(how)
     if kind == "calls":
