@@ -45,6 +45,15 @@ def fact_stream(
     return reader.json(root)
 
 
+def run_available_now(query: StreamingQuery, timeout_s: float = 3600.0) -> None:
+    """Wait for an available-now run to finish; stop it and fail past ``timeout_s``."""
+    if not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"stream {query.name or query.id} still running after {timeout_s:.0f} s; stopped")
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def start(
     spark: SparkSession,
     *,

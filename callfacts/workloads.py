@@ -216,7 +216,7 @@ def two_sinks_shared_dim(spark, sf_dir):
 
 def stream_client_calls(spark, sf_dir):
     """The calls enrichment as a stream over the date folders (available-now run)."""
-    from callfacts.streaming import start
+    from callfacts.streaming import run_available_now, start
 
     root = scratch.fresh_folder(spark, "streams", "calls")
     q = start(
@@ -227,9 +227,7 @@ def stream_client_calls(spark, sf_dir):
         checkpoint=f"{root}/checkpoint",
         dim_table=fixtures.register_clients(spark, sf_dir),
     )
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    run_available_now(q)
     return _read_back(spark, f"{root}/out", S.with_partition(S.CLIENT_CALL)).select(
         "id", "clientId", "startAt", "endAt", "name"
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from callfacts import fixtures, scratch
 from callfacts.plans.job import JoinOptions
 from callfacts.sources.readers import TIMESTAMP_NTZ_FORMAT
-from callfacts.streaming import fact_stream, start
+from callfacts.streaming import fact_stream, run_available_now, start
 
 from conftest import SF_SMALL
 
@@ -33,9 +33,7 @@ def test_new_date_folders_are_processed_once(spark):
     n1 = _write_dates(spark, src, ["2024-01-01", "2024-01-02"])
 
     def run_once():
-        q = start(spark, kind="calls", fact_root=src, target=out, checkpoint=ckpt)
-        q.awaitTermination()
-        assert q.exception() is None
+        run_available_now(start(spark, kind="calls", fact_root=src, target=out, checkpoint=ckpt), timeout_s=300)
 
     run_once()
     assert spark.read.parquet(out).count() == n1
