@@ -70,7 +70,9 @@ def read_calls_csv(
     ``header=True`` skips a first line, columns still bound by position).
 
     A cell that does not parse becomes NULL; with ``corrupt_column`` the raw
-    line of such a row is kept in that column.  Times are parsed with
+    line of such a row is kept in that column.  An empty cell reads as NULL
+    (CSV has no separate empty string; for the key both mean "no client").
+    Times are parsed with
     ``timestamp_format`` directly (a matching pattern avoids Spark's per-cell
     fallback parse after a failed one).
     """

@@ -3,7 +3,7 @@
 import datetime as dt
 import re
 
-from hypothesis import given, settings
+from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T
 
@@ -48,3 +48,54 @@ def test_date_pattern_round_trips(spark, days):
     df = spark.createDataFrame([(t,) for t in text], T.StructType([T.StructField("v", T.StringType())]))
     got = [r[0] for r in df.select(parse_date_text("v")).collect()]
     assert got == [dt.datetime(d.year, d.month, d.day) for d in days]
+
+
+KEYS = st.text(alphabet=st.characters(blacklist_categories=("Cs",), blacklist_characters="\n\r\x00"), max_size=12)
+TEXTS = st.text(alphabet=st.characters(blacklist_categories=("Cs",), blacklist_characters="\x00"), max_size=40)
+TIMES = st.datetimes(min_value=dt.datetime(1990, 1, 1), max_value=dt.datetime(2030, 12, 31)).map(
+    lambda t: t.replace(fold=0)
+)
+
+
+NO_SHRINK = (Phase.explicit, Phase.reuse, Phase.generate)  # each example runs Spark jobs
+
+
+@settings(max_examples=8, deadline=None, phases=NO_SHRINK)
+@given(st.lists(st.tuples(st.integers(0, 2**40), st.one_of(st.none(), KEYS), TIMES, TIMES), min_size=1, max_size=20))
+def test_csv_facts_round_trip(spark, rows):
+    """Any key text without line breaks survives Spark's CSV writer and our reader
+    (an empty text reads back as NULL: CSV has no separate empty string)."""
+    from callfacts import scratch
+    from callfacts import schemas as S
+    from callfacts.sources import TIMESTAMP_NTZ_FORMAT, read_calls_csv
+
+    root = scratch.fresh_folder(spark, "tests", "csv-prop")
+    df = spark.createDataFrame(rows, S.CALL)
+    (
+        df.coalesce(1)
+        .write.option("timestampNTZFormat", TIMESTAMP_NTZ_FORMAT)
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
+        .option("emptyValue", '""')
+        .csv(f"{root}/date=2024-01-05")
+    )
+    got = sorted(repr(tuple(r)) for r in read_calls_csv(spark, root, "2024-01-05").drop("date").collect())
+    want = sorted(repr((i, k if k != "" else None, a.replace(fold=0), b.replace(fold=0))) for i, k, a, b in rows)
+    assert got == want
+
+
+@settings(max_examples=8, deadline=None, phases=NO_SHRINK)
+@given(st.lists(st.tuples(st.integers(0, 2**40), st.lists(st.tuples(st.integers(0, 99), TEXTS), max_size=4)), min_size=1, max_size=10))
+def test_json_chats_round_trip(spark, chats):
+    """Message texts with quotes, unicode and line breaks survive the JSON round trip."""
+    from callfacts import scratch
+    from callfacts import schemas as S
+    from callfacts.sources import TIMESTAMP_NTZ_FORMAT, read_chats_json
+
+    root = scratch.fresh_folder(spark, "tests", "json-prop")
+    t = dt.datetime(2024, 1, 1, 12, 0, 0, 123456)
+    rows = [(i, str(i), t, t, [(m, text, "01/02/2024") for m, text in msgs]) for i, msgs in chats]
+    df = spark.createDataFrame(rows, S.CHAT_RAW)
+    df.coalesce(1).write.option("timestampNTZFormat", TIMESTAMP_NTZ_FORMAT).json(f"{root}/date=2024-01-01")
+    got = sorted(repr(tuple(r)) for r in read_chats_json(spark, root, "2024-01-01").drop("date").collect())
+    assert got == sorted(repr(tuple(r)) for r in df.collect())
