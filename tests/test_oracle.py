@@ -48,3 +48,19 @@ def test_results_do_not_depend_on_ansi_mode(spark, con, session_conf):
         for name in ("join_dirty_keys", "call_rule_violations", "message_times"):
             c = compare(QUERIES[name](spark, SF_ORACLE), con, SQL[name])
             assert c.ok, f"{name} with ANSI off: {c}"
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "hash", "shuffle", "split"])
+def test_every_join_tier_matches_the_oracle(spark, con, session_conf, strategy):
+    """The flagship and the exploded chats through each tier, against the same SQL."""
+    from callfacts import fixtures
+    from callfacts.plans.job import JoinOptions, enrich_calls, enrich_chat_messages
+    from callfacts.sources import read_calls_csv, read_chats_json, read_table
+
+    join = JoinOptions(strategy=strategy, hot_key_rows=50)
+    dim = read_table(spark, fixtures.register_clients(spark, SF_ORACLE))
+    with session_conf(**{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        calls = enrich_calls(read_calls_csv(spark, fixtures.call_folder(spark, SF_ORACLE)), dim, join=join)
+        assert arrow_equal(calls, con, SQL["client_calls"])
+        chats = enrich_chat_messages(read_chats_json(spark, fixtures.chat_folder(spark, SF_ORACLE)), dim, join=join)
+        assert arrow_equal(chats, con, SQL["client_chat_messages"])
