@@ -22,13 +22,20 @@ from callfacts.plans.sizing import DEFAULT_BROADCAST_MAX_BYTES
 from callfacts.sinks.writer import SAVE_MODES, connector_options, target_name
 
 
+# Fixed values, kept so that existing invocations keep working: the option
+# names of the original command line (-p/--partition, --callsTable,
+# --chatsTable) and its input names (fact_call, fact_chat, dim_client).
+
+
 def parser() -> argparse.ArgumentParser:
-    p = argparse.ArgumentParser(prog="callfacts", description="Call center job")
-    p.add_argument("-p", "--partition", required=True, nargs="+", metavar="2021-09-21", help="Partition date(s)")
+    p = argparse.ArgumentParser(
+        prog="callfacts", description="Enrich one date of call and chat facts with client names and write them out."
+    )
+    p.add_argument("-p", "--partition", required=True, nargs="+", metavar="DATE", help="date folder(s) to process, yyyy-MM-dd")
     names = p.add_mutually_exclusive_group(required=True)
-    names.add_argument("--callsTable", dest="calls_table", metavar="calls_stg_table", help="Calls target table")
+    names.add_argument("--callsTable", dest="calls_table", metavar="TARGET", help="where the enriched calls go")
     names.add_argument("--tableSuffix", dest="table_suffix", help="targets are calls<suffix> and chats<suffix>")
-    p.add_argument("--chatsTable", dest="chats_table", metavar="chats_stg_table", help="Chats target table")
+    p.add_argument("--chatsTable", dest="chats_table", metavar="TARGET", help="where the enriched chats go")
     p.add_argument("--calls-root", default="fact_call")
     p.add_argument("--chats-root", default="fact_chat")
     p.add_argument("--dim-table", default="dim_client")
