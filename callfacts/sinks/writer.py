@@ -37,7 +37,7 @@ WAREHOUSE_SETTINGS = {
 
 def missing_settings(settings: Mapping[str, str], required: Mapping[str, str] = WAREHOUSE_SETTINGS) -> list[str]:
     """Every required setting that is absent, all at once (not just the first)."""
-    return [f"{name} is not set" for name in required if not settings.get(name)]
+    return [f"sink setting {name!r} is missing" for name in required if not settings.get(name)]
 
 
 def connector_options(settings: Mapping[str, str], required: Mapping[str, str] = WAREHOUSE_SETTINGS) -> dict[str, str]:

@@ -39,11 +39,11 @@ def test_target_as_option_and_other_formats(spark):
 
 def test_missing_connector_settings_are_all_reported():
     assert missing_settings({"host": "h", "db": "d"}) == [
-        "user is not set",
-        "password is not set",
-        "stagingFsUrl is not set",
+        "sink setting 'user' is missing",
+        "sink setting 'password' is missing",
+        "sink setting 'stagingFsUrl' is missing",
     ]
-    with pytest.raises(ValueError, match="user is not set; password is not set"):
+    with pytest.raises(ValueError, match="'user' is missing; sink setting 'password' is missing"):
         connector_options({"host": "h", "db": "d", "stagingFsUrl": "s"})
     opts = connector_options({"host": "h", "user": "u", "db": "d", "password": "p", "stagingFsUrl": "s"})
     assert opts == {"host": "h", "user": "u", "db": "d", "password": "p", "staging_fs_url": "s"}
@@ -271,5 +271,5 @@ def test_command_line_warehouse_settings_are_checked_before_spark(tmp_path):
     settings = tmp_path / "sink.json"
     settings.write_text(json.dumps({"host": "h", "db": "d"}))
     args = ["-p", "2024-01-05", "--tableSuffix", "_stg", "--warehouse", "--sink-options-file", str(settings)]
-    with pytest.raises(ValueError, match="user is not set; password is not set; stagingFsUrl is not set"):
+    with pytest.raises(ValueError, match="'user' is missing; .*'password' is missing; .*'stagingFsUrl' is missing"):
         main(args)
