@@ -75,9 +75,12 @@ def enrich_calls(
     join: JoinOptions = JoinOptions(),
     keep_partition: bool = False,
 ) -> DataFrame:
-    """Raw (Moscow wall time) calls -> ClientCall rows, times in UTC."""
-    joined = join_client(to_utc(calls, rule=time_rule), dim, **join.kwargs())
-    return _shape(joined, S.CLIENT_CALL, keep_partition)
+    """Raw (Moscow wall time) calls -> ClientCall rows, times in UTC.
+
+    Times are converted after the join, so calls the inner join drops are
+    never converted."""
+    joined = join_client(calls, dim, **join.kwargs())
+    return _shape(to_utc(joined, rule=time_rule), S.CLIENT_CALL, keep_partition)
 
 
 def enrich_chats(
