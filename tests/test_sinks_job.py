@@ -220,6 +220,16 @@ def read_calls_csv_count(spark, root):
     return read_calls_csv(spark, root).count()
 
 
+def test_catalog_dynamic_partition_overwrite_keeps_other_dates(spark):
+    write_table(_by_date(spark, ["2024-01-01"]), "t_dyn_dates", catalog=True, partition_overwrite="dynamic")
+    write_table(_by_date(spark, ["2024-01-02"]), "t_dyn_dates", catalog=True, partition_overwrite="dynamic")
+    write_table(_by_date(spark, ["2024-01-02", "2024-01-02"]), "t_dyn_dates", catalog=True, partition_overwrite="dynamic")
+    rows = spark.table("t_dyn_dates").collect()
+    assert sorted(str(r["date"]) for r in rows) == ["2024-01-01", "2024-01-02", "2024-01-02"]
+    write_table(_by_date(spark, ["2024-01-03"]), "t_dyn_dates", catalog=True, partition_overwrite="static")
+    assert [str(r["date"]) for r in spark.table("t_dyn_dates").collect()] == ["2024-01-03"]
+
+
 def test_job_into_catalog_tables(spark):
     fixtures.register_clients(spark, SF_SMALL)
     res = _run_tables(spark, "calls_stg_cat", "chats_stg_cat")
@@ -273,3 +283,26 @@ def test_command_line_warehouse_settings_are_checked_before_spark(tmp_path):
     args = ["-p", "2024-01-05", "--tableSuffix", "_stg", "--warehouse", "--sink-options-file", str(settings)]
     with pytest.raises(ValueError, match="'user' is missing; .*'password' is missing; .*'stagingFsUrl' is missing"):
         main(args)
+
+
+def test_job_catalog_dynamic_overwrite_per_date(spark):
+    fixtures.register_clients(spark, SF_SMALL)
+
+    def job(date):
+        return run(
+            spark,
+            partition=date,
+            calls_table="calls_by_date",
+            chats_table="chats_by_date",
+            calls_root=fixtures.call_folder(spark, SF_SMALL),
+            chats_root=fixtures.chat_folder(spark, SF_SMALL),
+            catalog=True,
+            partition_overwrite="dynamic",
+        )
+
+    job("2024-01-05")
+    job("2024-01-06")
+    job("2024-01-06")  # rerun of one date: idempotent
+    calls = spark.table("calls_by_date")
+    expect = fixtures.calls_frame(spark, SF_SMALL).where("date IN (DATE'2024-01-05', DATE'2024-01-06')").count()
+    assert calls.count() == expect
