@@ -57,19 +57,19 @@ def _read_back(spark: SparkSession, path: str, schema) -> DataFrame:
 # -- scans -------------------------------------------------------------------
 
 
-def scan_dim_client(spark, sf_dir):
+def scan_dim_client(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dim(spark, sf_dir)
 
 
-def scan_calls_csv(spark, sf_dir):
+def scan_calls_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _calls(spark, sf_dir)
 
 
-def calls_one_partition(spark, sf_dir):
+def calls_one_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _calls(spark, sf_dir, ONE_DATE)
 
 
-def scan_chats_json(spark, sf_dir):
+def scan_chats_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.col("m")
     return _chats(spark, sf_dir).select(
         "id", "clientId", "startAt", "endAt", "date", F.explode("messages").alias("m")
@@ -85,27 +85,27 @@ def scan_chats_json(spark, sf_dir):
     )
 
 
-def scan_text_lines(spark, sf_dir):
+def scan_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_text(spark, fixtures.text_folder(spark, sf_dir))
 
 
 # -- expressions -------------------------------------------------------------
 
 
-def _orders_as_calls(spark, sf_dir):
+def _orders_as_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = fixtures.table(spark, sf_dir, "orders")
     return o.select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("startAt"))
 
 
-def times_zone_rule(spark, sf_dir):
+def times_zone_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_utc(_orders_as_calls(spark, sf_dir), rule="zone", columns=("startAt",))
 
 
-def times_fixed_offset(spark, sf_dir):
+def times_fixed_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_utc(_orders_as_calls(spark, sf_dir), rule="fixed", columns=("startAt",))
 
 
-def message_times(spark, sf_dir):
+def message_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message dates read from the nested list, parsed once per message row."""
     m = F.col("m")
     return _chats(spark, sf_dir).select("id", F.explode("messages").alias("m")).select(
@@ -113,7 +113,7 @@ def message_times(spark, sf_dir):
     )
 
 
-def message_time_struct(spark, sf_dir):
+def message_time_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The struct form of the nested rewrite: each chat's last message."""
     last = _chats(spark, sf_dir).select("id", F.element_at("messages", -1).alias("last_message"))
     parsed = rewrite_nested(last, "last_message", "sendAt", parse_date_text)
@@ -126,11 +126,11 @@ def message_time_struct(spark, sf_dir):
 # -- joins -------------------------------------------------------------------
 
 
-def client_calls(spark, sf_dir):
+def client_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _client_calls(spark, sf_dir)
 
 
-def client_chats(spark, sf_dir):
+def client_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ClientChat rows; the rewritten list is checked through its first and last message."""
     chats = enrich_chats(_chats(spark, sf_dir), _dim(spark, sf_dir))
     sent = lambda i: F.element_at("messages", i).getField("sendAt")
@@ -146,20 +146,20 @@ def client_chats(spark, sf_dir):
     )
 
 
-def client_chat_messages(spark, sf_dir):
+def client_chat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_chat_messages(_chats(spark, sf_dir), _dim(spark, sf_dir))
 
 
-def join_dirty_keys(spark, sf_dir):
+def join_dirty_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = join_client(fixtures.dirty_calls_frame(spark, sf_dir), _dim(spark, sf_dir))
     return joined.select("id", "clientId", "name")
 
 
-def call_rule_violations(spark, sf_dir):
+def call_rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return violation_rows(fixtures.dirty_calls_frame(spark, sf_dir).drop("date"))
 
 
-def chat_rule_violations(spark, sf_dir):
+def chat_rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All failed rules of raw chats, message dates included."""
     return violation_rows(fixtures.dirty_chats_frame(spark, sf_dir).drop("date"))
 
@@ -167,7 +167,7 @@ def chat_rule_violations(spark, sf_dir):
 # -- sinks -------------------------------------------------------------------
 
 
-def sink_overwrite(spark, sf_dir):
+def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the enriched calls twice with overwrite; the second replaces the first."""
     target = scratch.fresh_folder(spark, "sinks", "overwrite")
     rows = _client_calls(spark, sf_dir)
@@ -176,7 +176,7 @@ def sink_overwrite(spark, sf_dir):
     return _read_back(spark, target, S.CLIENT_CALL)
 
 
-def sink_modes(spark, sf_dir):
+def sink_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """overwrite -> append -> ignore -> error on one target: two copies remain."""
     target = scratch.fresh_folder(spark, "sinks", "modes")
     rows = _client_calls(spark, sf_dir)
@@ -193,7 +193,7 @@ def sink_modes(spark, sf_dir):
     return _read_back(spark, target, S.CLIENT_CALL)
 
 
-def two_sinks_shared_dim(spark, sf_dir):
+def two_sinks_shared_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job over every date: two targets from one cached dimension."""
     root = scratch.fresh_folder(spark, "sinks", "job")
     calls_t = target_name("calls", TARGET_SUFFIX)
@@ -214,7 +214,7 @@ def two_sinks_shared_dim(spark, sf_dir):
     return calls.unionByName(chats)
 
 
-def stream_client_calls(spark, sf_dir):
+def stream_client_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The calls enrichment as a stream over the date folders (available-now run)."""
     from callfacts.streaming import run_available_now, start
 
