@@ -70,14 +70,17 @@ def shuffle_partitions(spark) -> int:
 
 
 def coalesce_cap(spark) -> int:
-    """How big AQE may make a coalesced partition from smaller ones: its
-    advisory size (0 when coalescing is off).  Merging never makes a partition
-    bigger than this or than one original partition."""
+    """How big AQE may make a coalesced partition from smaller ones (0 when
+    coalescing is off).  Its target is at most the larger of the advisory size
+    and the minimum partition size, and merging never makes a partition bigger
+    than that target or than one original partition."""
     aqe = (spark.conf.get("spark.sql.adaptive.enabled", "true") or "true").lower() == "true"
     on = (spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true") or "true").lower() == "true"
     if not (aqe and on):
         return 0
-    return parse_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
+    advisory = parse_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
+    floor = parse_bytes(spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1MB"))
+    return max(advisory, floor)
 
 
 def choose_strategy(

@@ -52,7 +52,12 @@ def test_partition_measure_matches_the_real_shuffle(spark, dim):
 
 def test_hot_duplicate_key_in_the_dimension_avoids_the_hash_join(spark, dim, session_conf):
     hot = dim.withColumn("id", F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")))
-    with session_conf(**{"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}):
+    small = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+    }
+    with session_conf(**small):
         even, skewed = client_side(dim), client_side(hot)
         assert measure(skewed, KEY, 8).max_partition_bytes >= 50 * 48
         assert choose_strategy(even, "auto", 1000, hash_partition_max_bytes=1500) == "hash"
@@ -103,7 +108,12 @@ def test_auto_broadcasts_a_measured_small_dimension(spark, dim):
 
 def test_auto_beyond_the_bound(spark, dim, session_conf):
     side = client_side(dim)  # 7,200 bytes measured
-    with session_conf(**{"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}):
+    small = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+    }
+    with session_conf(**small):
         top8 = measure(side, KEY, 8).max_partition_bytes
         top16 = measure(side, KEY, 16).max_partition_bytes
         assert top16 < top8
@@ -113,6 +123,8 @@ def test_auto_beyond_the_bound(spark, dim, session_conf):
             assert choose_strategy(side, "auto", 1000, hash_partition_max_bytes=max(top16, 1024)) == "hash"
     with session_conf(**{"spark.sql.shuffle.partitions": "8"}):  # coalescing may reach 64 MB
         assert choose_strategy(side, "auto", 1000, hash_partition_max_bytes=top8) == "shuffle"
+    with session_conf(**{**small, "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1MB"}):
+        assert choose_strategy(side, "auto", 1000, hash_partition_max_bytes=top8) == "shuffle"  # 1 MB floor
     with session_conf(**{"spark.sql.adaptive.skewJoin.enabled": "false"}):
         assert choose_strategy(side, "auto", 1000) == "split"
     with pytest.raises(ValueError):
