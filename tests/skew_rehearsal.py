@@ -19,7 +19,9 @@ from callfacts.operators.enrich import client_side  # noqa: E402
 from callfacts.sources import read_calls_csv  # noqa: E402
 
 
-def main(sf_dir: str) -> None:
+def main(sf_dir: str, mode: str = "aqe") -> None:
+    """``aqe``: AQE skew handling on (shuffled tier, split at runtime);
+    ``split``: skew handling off, so ``auto`` runs the exact hot-key split."""
     events = tempfile.mkdtemp(prefix="callfacts-skew-events-")
     spark = (
         SparkSession.builder.master("local[8]")
@@ -35,6 +37,7 @@ def main(sf_dir: str) -> None:
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16KB")  # (default 1 MB)
         .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")  # honour the advisory size
+        .config("spark.sql.adaptive.skewJoin.enabled", "true" if mode == "aqe" else "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -44,14 +47,15 @@ def main(sf_dir: str) -> None:
     dim = fixtures.clients_frame(spark, sf_dir)
     total = calls.count()
     hot_rows = calls.where(hot).count()
-    strategy = choose_strategy(client_side(dim), "auto", broadcast_max_bytes=1024, hash_partition_max_bytes=1 << 20)
+    limits = dict(broadcast_max_bytes=1024, hash_partition_max_bytes=1 << 20)
+    strategy = choose_strategy(client_side(dim), "auto", **limits)
     spark.sparkContext.setJobDescription("rehearsal")
-    joined = join_client(calls, dim, strategy="auto", broadcast_max_bytes=1024, hash_partition_max_bytes=1 << 20)
+    joined = join_client(calls, dim, strategy="auto", hot_key_rows=10_000, **limits)
     joined.write.format("noop").mode("overwrite").save()  # full rows through the join
     spark.sparkContext.setJobDescription(None)
     spark.stop()
 
-    owner, reads = {}, {}
+    owner, reads, written = {}, {}, 0
     for d, _, files in os.walk(events):
         for f in files:
             if f.startswith("."):
@@ -63,6 +67,8 @@ def main(sf_dir: str) -> None:
                         for sid in ev.get("Stage IDs", []):
                             owner[sid] = True
                 elif ev.get("Event") == "SparkListenerTaskEnd" and owner.get(ev.get("Stage ID")):
+                    w = (ev.get("Task Metrics") or {}).get("Shuffle Write Metrics", {})
+                    written += w.get("Shuffle Records Written", 0)
                     m = (ev.get("Task Metrics") or {}).get("Shuffle Read Metrics", {})
                     nbytes = m.get("Remote Bytes Read", 0) + m.get("Local Bytes Read", 0)
                     reads.setdefault(ev["Stage ID"], []).append((m.get("Total Records Read", 0), nbytes))
@@ -79,10 +85,11 @@ def main(sf_dir: str) -> None:
                 "join_stage_rows": sum(r for r, _ in tasks),
                 "join_stage_bytes": sum(b for _, b in tasks),
                 "max_task_bytes": max(b for _, b in tasks),
+                "shuffled_records": written,
             }
         )
     )
 
 
 if __name__ == "__main__":
-    main(sys.argv[1])
+    main(*sys.argv[1:3])
