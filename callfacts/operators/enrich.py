@@ -89,6 +89,11 @@ def choose_strategy(
     broadcast_max_bytes: int,
     hash_partition_max_bytes: int = DEFAULT_HASH_PARTITION_MAX_BYTES,
 ) -> str:
+    """The tier for joining to ``dim`` (the projected join side, see
+    ``client_side``).  A forced strategy is returned as is; ``auto`` measures
+    ``dim`` once -- total bytes and, on the join's own partitioning, the
+    largest partition -- and picks broadcast / hash / shuffle (or split when
+    AQE will not split skewed partitions)."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown join strategy {strategy!r}; use one of {STRATEGIES}")
     if strategy != "auto":
