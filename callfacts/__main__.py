@@ -46,6 +46,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--catalog", action="store_true", help="targets are catalog tables (saveAsTable)")
     p.add_argument("--mode", default="overwrite", choices=SAVE_MODES)
     p.add_argument("--partition-overwrite", choices=("static", "dynamic"))
+    p.add_argument("--publish", default="overwrite", choices=("overwrite", "staged"))
+    p.add_argument("--staging-root", help="versioned folders for --publish staged (catalog targets)")
     p.add_argument("--time-rule", default="zone", choices=("zone", "fixed"))
     p.add_argument("--join-strategy", default="auto", choices=STRATEGIES)
     p.add_argument("--broadcast-max-bytes", type=int, default=DEFAULT_BROADCAST_MAX_BYTES)
@@ -90,6 +92,8 @@ def main(argv: list[str] | None = None) -> int:
         time_rule=args.time_rule,
         join=JoinOptions(args.join_strategy, args.strict_keys, args.broadcast_max_bytes),
         strict_dates=args.strict_dates,
+        publish=args.publish,
+        staging_root=args.staging_root,
     )
     print(json.dumps(result.__dict__))
     return 0

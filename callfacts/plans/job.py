@@ -34,6 +34,7 @@ from callfacts.operators.checks import require_none
 from callfacts.operators.shapes import chat_messages
 from callfacts.plans.cache import cached
 from callfacts.plans.sizing import DEFAULT_BROADCAST_MAX_BYTES
+from callfacts.sinks.publish import publish_staged
 from callfacts.sinks.writer import write_table
 from callfacts.sources.readers import Partition, read_calls_csv, read_chats_json, read_table
 
@@ -139,13 +140,22 @@ def run(
     time_rule: str = "zone",
     join: JoinOptions = JoinOptions(),
     strict_dates: bool = False,
+    publish: str = "overwrite",
+    staging_root: str | None = None,
 ) -> JobResult:
     """Run the job for ``partition`` (a date, a list of dates, or None = all).
 
     Keyword-only on purpose: the calls and chats targets can never be swapped
-    by position.  Writes happen in order calls, then chats; each write is
-    atomic on its own, the pair is not.
+    by position.  With ``publish="overwrite"`` the writes happen in order
+    calls, then chats; each write is atomic on its own, the pair is not.  With
+    ``publish="staged"`` (catalog targets, whole-table) both outputs are
+    written below ``staging_root`` first and the two tables are repointed only
+    after both writes succeeded.
     """
+    if publish not in ("overwrite", "staged"):
+        raise ValueError("publish is 'overwrite' or 'staged'")
+    if publish == "staged" and not (catalog and staging_root and partition_overwrite is None and mode == "overwrite"):
+        raise ValueError("staged publish needs catalog targets, a staging_root and whole-table overwrite")
     dim = read_table(spark, dim_table, S.CLIENT)
     calls = read_calls_csv(spark, calls_root, partition)  # fails here if a date is missing
     chats = read_chats_json(spark, chats_root, partition)
@@ -173,7 +183,11 @@ def run(
         )
         fixed = join.fixed(how)
         calls_out = enrich_calls(calls, shared, time_rule=time_rule, join=fixed, keep_partition=keep)
-        write_table(calls_out, calls_table, **sink)
         chats_out = enrich_chats(chats, shared, join=fixed, strict_dates=strict_dates, keep_partition=keep)
-        write_table(chats_out, chats_table, **sink)
+        if publish == "staged":
+            outputs = {calls_table: calls_out, chats_table: chats_out}
+            publish_staged(spark, outputs, staging_root=staging_root, fmt=sink_format, options=sink_options)
+        else:
+            write_table(calls_out, calls_table, **sink)
+            write_table(chats_out, chats_table, **sink)
     return JobResult(calls_table, chats_table, how)

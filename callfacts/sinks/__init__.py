@@ -1,5 +1,7 @@
-"""Sinks: any Spark format, save modes, partition overwrite, target naming."""
+"""Sinks: any Spark format, save modes, partition overwrite, target naming,
+staged publish of several catalog tables."""
 
+from callfacts.sinks.publish import publish_staged
 from callfacts.sinks.writer import (
     SAVE_MODES,
     WAREHOUSE_SETTINGS,
@@ -18,6 +20,7 @@ __all__ = [
     "connector_options",
     "guard_self_overwrite",
     "missing_settings",
+    "publish_staged",
     "target_name",
     "write_table",
 ]

@@ -306,3 +306,40 @@ def test_job_catalog_dynamic_overwrite_per_date(spark):
     calls = spark.table("calls_by_date")
     expect = fixtures.calls_frame(spark, SF_SMALL).where("date IN (DATE'2024-01-05', DATE'2024-01-06')").count()
     assert calls.count() == expect
+
+
+def test_staged_publish_swaps_all_tables_or_none(spark):
+    from callfacts.sinks import publish_staged
+
+    root = _folder(spark, "staged")
+    first = publish_staged(spark, {"st_a": spark.range(3), "st_b": spark.range(4)}, staging_root=root)
+    assert (spark.table("st_a").count(), spark.table("st_b").count()) == (3, 4)
+    boom = spark.range(5).select(F.when(F.col("id") == 2, F.raise_error(F.lit("boom"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="boom"):
+        publish_staged(spark, {"st_a": spark.range(7), "st_b": boom}, staging_root=root)
+    assert (spark.table("st_a").count(), spark.table("st_b").count()) == (3, 4)  # neither table moved
+    publish_staged(spark, {"st_a": spark.range(8), "st_b": spark.range(9)}, staging_root=root)
+    assert (spark.table("st_a").count(), spark.table("st_b").count()) == (8, 9)
+    assert spark.read.parquet(first["st_a"]).count() == 3  # the old version stays readable
+
+
+def test_job_staged_publish(spark):
+    root = _folder(spark, "job-staged")
+    fixtures.register_clients(spark, SF_SMALL)
+    kw = dict(
+        partition="2024-01-05",
+        calls_table="calls_staged",
+        chats_table="chats_staged",
+        calls_root=fixtures.call_folder(spark, SF_SMALL),
+        chats_root=fixtures.chat_folder(spark, SF_SMALL),
+        catalog=True,
+        publish="staged",
+        staging_root=root,
+    )
+    run(spark, **kw)
+    run(spark, **kw)  # a rerun publishes a newer version of the same rows
+    expect = fixtures.calls_frame(spark, SF_SMALL).where("date = DATE'2024-01-05'").count()
+    assert spark.table("calls_staged").count() == expect
+    assert spark.table("chats_staged").count() > 0
+    with pytest.raises(ValueError, match="staged publish needs"):
+        run(spark, **{**kw, "catalog": False})
