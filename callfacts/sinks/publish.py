@@ -23,6 +23,11 @@ def _quote(path: str) -> str:
     return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _ident(name: str) -> str:
+    """``db.table`` -> ```db`.`table```: each part quoted as an identifier."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
 def new_version() -> str:
     return f"{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:8]}"
 
@@ -51,7 +56,7 @@ def publish_staged(
         locations[table] = location
     for table, location in locations.items():  # 2. publish: catalog calls only
         if spark.catalog.tableExists(table):
-            spark.sql(f"ALTER TABLE {table} SET LOCATION {_quote(location)}")
+            spark.sql(f"ALTER TABLE {_ident(table)} SET LOCATION {_quote(location)}")
             spark.catalog.refreshTable(table)
         else:
             spark.catalog.createTable(table, path=location, source=fmt)
