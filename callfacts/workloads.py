@@ -214,6 +214,28 @@ def two_sinks_shared_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calls.unionByName(chats)
 
 
+def two_sinks_staged_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job into catalog tables through a staged publish (outputs first, then repoint)."""
+    calls_t = target_name("calls", TARGET_SUFFIX)
+    chats_t = target_name("chats", TARGET_SUFFIX)
+    run(
+        spark,
+        partition=None,
+        calls_table=calls_t,
+        chats_table=chats_t,
+        calls_root=fixtures.call_folder(spark, sf_dir),
+        chats_root=fixtures.chat_folder(spark, sf_dir),
+        dim_table=fixtures.register_clients(spark, sf_dir),
+        catalog=True,
+        publish="staged",
+        staging_root=scratch.fresh_folder(spark, "sinks", "staged"),
+    )
+    cols = ["id", "clientId", "startAt", "endAt", "name"]
+    calls = spark.read.table(calls_t).select(F.lit(calls_t).alias("target"), *cols)
+    chats = spark.read.table(chats_t).select(F.lit(chats_t).alias("target"), *cols)
+    return calls.unionByName(chats)
+
+
 def stream_client_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The calls enrichment as a stream over the date folders (available-now run)."""
     from callfacts.streaming import run_available_now, start
@@ -252,6 +274,7 @@ QUERIES: dict[str, Query] = {
     "sink_overwrite": sink_overwrite,
     "sink_modes": sink_modes,
     "two_sinks_shared_dim": two_sinks_shared_dim,
+    "two_sinks_staged_publish": two_sinks_staged_publish,
     "stream_client_calls": stream_client_calls,
 }
 
@@ -302,6 +325,12 @@ _CLIENT_CALLS = f"""
 SELECT c.id, c.clientId, {_utc('c.startAt')} AS startAt, {_utc('c.endAt')} AS endAt, cu.c_name AS name
 FROM calls c JOIN customer cu ON cu.c_custkey = TRY_CAST(c.clientId AS BIGINT)"""
 
+_TWO_SINKS = f"""WITH {_CALLS}, {_CHATS}, cc AS ({_CLIENT_CALLS})
+SELECT 'calls{TARGET_SUFFIX}' AS target, id, clientId, startAt, endAt, name FROM cc
+UNION ALL
+SELECT 'chats{TARGET_SUFFIX}' AS target, c.id, c.clientId, c.startAt, c.endAt, cu.c_name AS name
+FROM chats c JOIN customer cu ON cu.c_custkey = TRY_CAST(c.clientId AS BIGINT)"""
+
 ORACLE_SQL: dict[str, str] = {
     "client_calls": f"WITH {_CALLS} {_CLIENT_CALLS}",
     "scan_dim_client": "SELECT c_custkey AS id, c_name AS name FROM customer",
@@ -343,9 +372,6 @@ FROM conversations GROUP BY conv_id HAVING bool_or(turn % 4 = 3)""",
     "sink_overwrite": f"WITH {_CALLS} {_CLIENT_CALLS}",
     "stream_client_calls": f"WITH {_CALLS} {_CLIENT_CALLS}",
     "sink_modes": f"WITH {_CALLS}, once AS ({_CLIENT_CALLS}) SELECT * FROM once UNION ALL SELECT * FROM once",
-    "two_sinks_shared_dim": f"""WITH {_CALLS}, {_CHATS}, cc AS ({_CLIENT_CALLS})
-SELECT 'calls{TARGET_SUFFIX}' AS target, id, clientId, startAt, endAt, name FROM cc
-UNION ALL
-SELECT 'chats{TARGET_SUFFIX}' AS target, c.id, c.clientId, c.startAt, c.endAt, cu.c_name AS name
-FROM chats c JOIN customer cu ON cu.c_custkey = TRY_CAST(c.clientId AS BIGINT)""",
+    "two_sinks_shared_dim": _TWO_SINKS,
+    "two_sinks_staged_publish": _TWO_SINKS,
 }
