@@ -70,3 +70,39 @@ def test_chat_stream_parses_message_dates(spark):
 def test_unknown_kind(spark):
     with pytest.raises(ValueError):
         fact_stream(spark, "emails", "/nowhere")
+
+
+def test_bounded_micro_batches_give_the_same_rows(spark):
+    fixtures.register_clients(spark, SF_SMALL)
+    base = scratch.fresh_folder(spark, "tests", "stream-batches")
+    q = start(
+        spark,
+        kind="calls",
+        fact_root=fixtures.call_folder(spark, SF_SMALL),
+        target=f"{base}/out",
+        checkpoint=f"{base}/ckpt",
+        max_files_per_trigger=4,
+    )
+    run_available_now(q, timeout_s=300)
+    assert len(q.recentProgress) > 1  # the 30 date folders came in several batches
+    assert spark.read.parquet(f"{base}/out").count() == 1000
+
+
+def test_processing_time_trigger_runs_until_stopped(spark):
+    fixtures.register_clients(spark, SF_SMALL)
+    base = scratch.fresh_folder(spark, "tests", "stream-continuous")
+    q = start(
+        spark,
+        kind="calls",
+        fact_root=fixtures.call_folder(spark, SF_SMALL),
+        target=f"{base}/out",
+        checkpoint=f"{base}/ckpt",
+        trigger="processing_time",
+        processing_time="1 second",
+    )
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
+    assert spark.read.parquet(f"{base}/out").count() == 1000
