@@ -44,9 +44,16 @@ def publish_staged(
     """Write each ``table -> DataFrame`` to ``<staging_root>/<table>/v=<version>``,
     then point every table at its new folder.  Returns the new locations.
 
-    Existing tables are repointed with ``ALTER TABLE ... SET LOCATION``;
-    missing ones are created as external tables over the folder.
+    Existing tables are repointed with ``ALTER TABLE ... SET LOCATION`` and
+    must already have the output's columns (checked before anything is
+    written); missing ones are created as external tables over the folder.
     """
+    for table, df in outputs.items():  # 0. refuse before writing anything
+        if spark.catalog.tableExists(table):
+            have = [(f.name, f.dataType) for f in spark.table(table).schema.fields]
+            want = [(f.name, f.dataType) for f in df.schema.fields]
+            if have != want:
+                raise ValueError(f"{table} has columns {have}, the new output {want}; nothing was written")
     version = version or new_version()
     root = staging_root.rstrip("/")
     locations: dict[str, str] = {}

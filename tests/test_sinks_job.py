@@ -321,6 +321,9 @@ def test_staged_publish_swaps_all_tables_or_none(spark):
     publish_staged(spark, {"st_a": spark.range(8), "st_b": spark.range(9)}, staging_root=root)
     assert (spark.table("st_a").count(), spark.table("st_b").count()) == (8, 9)
     assert spark.read.parquet(first["st_a"]).count() == 3  # the old version stays readable
+    with pytest.raises(ValueError, match="nothing was written"):
+        publish_staged(spark, {"st_a": spark.range(1).selectExpr("'x' AS id")}, staging_root=root)
+    assert spark.table("st_a").count() == 8
 
 
 def test_job_staged_publish(spark):
