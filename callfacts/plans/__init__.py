@@ -5,7 +5,7 @@ first use because the job builds on the operators, which use the size checks.
 """
 
 from callfacts.plans.cache import cached
-from callfacts.plans.explain import physical_operators, plan_text
+from callfacts.plans.explain import plan_text
 from callfacts.plans.sizing import DEFAULT_BROADCAST_MAX_BYTES, Size, measure, row_bytes
 
 _JOB_NAMES = ("JobResult", "JoinOptions", "enrich_calls", "enrich_chat_messages", "enrich_chats", "run")
@@ -24,7 +24,6 @@ __all__ = [
     "Size",
     "cached",
     "measure",
-    "physical_operators",
     "plan_text",
     "row_bytes",
     *_JOB_NAMES,

@@ -14,7 +14,3 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
         df.explain(mode=mode)
     return buf.getvalue()
 
-
-def physical_operators(df: DataFrame) -> str:
-    """The physical plan only (``explain("simple")``)."""
-    return plan_text(df, "simple")
