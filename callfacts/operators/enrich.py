@@ -19,6 +19,9 @@ Strategies
                least ``hot_key_rows`` facts are found by a partial aggregate,
                joined against a broadcast of just their (bounded) dimension
                rows; all other keys go through the shuffle join.
+``spark``      no hint and no size check: Spark and AQE choose from their own
+               estimates (a file-size estimate is not a proven bound; kept
+               for comparison and for sessions that tune the thresholds).
 ``auto``       (default) measure the dimension first -- total bytes and the
                bytes of its largest partition of the join's shuffle, in one
                action; broadcast it when the total is within
@@ -44,8 +47,8 @@ from callfacts.functions.keys import numeric_key
 from callfacts.plans.sizing import DEFAULT_BROADCAST_MAX_BYTES, measure, parse_bytes
 
 KEY = "_client_key"
-STRATEGIES = ("auto", "broadcast", "hash", "shuffle", "split")
-_HINTS = {"broadcast": "broadcast", "hash": "shuffle_hash", "shuffle": "merge"}
+STRATEGIES = ("auto", "broadcast", "hash", "shuffle", "split", "spark")
+_HINTS = {"broadcast": "broadcast", "hash": "shuffle_hash", "shuffle": "merge", "spark": None}
 
 # Defaults of the hot-key split: a key is hot from this many fact rows on, and
 # at most this many hot keys are split off (the rest stay in the shuffle join,

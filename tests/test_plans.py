@@ -140,7 +140,7 @@ def test_null_and_text_keys_are_filtered_before_the_shuffle(spark, dim, skewed_c
     assert plan.index("isnotnull(try_cast(") < plan.index("(5) Exchange")
 
 
-@pytest.mark.parametrize("strategy", ["hash", "shuffle", "split"])
+@pytest.mark.parametrize("strategy", ["hash", "shuffle", "split", "spark"])
 def test_strategies_agree_with_broadcast_under_skew(spark, dim, skewed_calls, session_conf, strategy):
     expected = join_client(skewed_calls, dim, strategy="broadcast")
     with session_conf(**{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
