@@ -36,7 +36,7 @@ from callfacts.plans.cache import cached
 from callfacts.plans.sizing import DEFAULT_BROADCAST_MAX_BYTES
 from callfacts.sinks.publish import publish_staged
 from callfacts.sinks.writer import write_table
-from callfacts.sources.readers import Partition, read_calls_csv, read_chats_json, read_table
+from callfacts.sources.readers import Partition, read_calls_csv, read_chats_json, read_table, require_files
 
 
 @dataclass(frozen=True)
@@ -159,6 +159,8 @@ def run(
     dim = read_table(spark, dim_table, S.CLIENT)
     calls = read_calls_csv(spark, calls_root, partition)  # fails here if a date is missing
     chats = read_chats_json(spark, chats_root, partition)
+    require_files(calls, calls_root, partition)  # ... or holds no data files
+    require_files(chats, chats_root, partition)
     # Strict modes are checked before any write: an overwrite removes the old
     # target when it starts, so a failure inside it would leave nothing.
     if join.strict:

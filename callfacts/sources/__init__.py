@@ -2,18 +2,22 @@
 
 from callfacts.sources.readers import (
     TIMESTAMP_NTZ_FORMAT,
+    EmptyInputError,
     partition_paths,
     read_calls_csv,
     read_chats_json,
     read_table,
     read_text,
+    require_files,
 )
 
 __all__ = [
     "TIMESTAMP_NTZ_FORMAT",
+    "EmptyInputError",
     "partition_paths",
     "read_calls_csv",
     "read_chats_json",
     "read_table",
     "read_text",
+    "require_files",
 ]

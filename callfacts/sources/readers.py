@@ -97,6 +97,31 @@ def read_chats_json(
     return S.conform(df, schema, keep=_keep(corrupt_column))
 
 
+class EmptyInputError(ValueError):
+    """A requested fact folder holds no data files; nothing was written."""
+
+
+def require_files(df: DataFrame, root: str, partition: Partition = None) -> None:
+    """Fail when a requested date folder exists but holds no data files.
+
+    With a declared schema Spark reads such a folder as zero rows, and a
+    whole-table overwrite would then empty the target.  (Without a schema the
+    read itself fails, as it cannot infer one.)  For named dates the scan's
+    own listing of those folders is checked date by date; for the whole root,
+    only whether the scan has any partition at all, so no big listing is
+    copied to Python.
+    """
+    if partition is None:
+        if df.rdd.getNumPartitions() == 0:
+            raise EmptyInputError(f"no data files under {root}; nothing was written")
+        return
+    dates = [partition] if isinstance(partition, str) else list(partition)
+    files = df.inputFiles()
+    empty = [d for d in dates if not any(f"/{S.PARTITION_COLUMN}={d}/" in f for f in files)]
+    if empty:
+        raise EmptyInputError(f"no data files for {S.PARTITION_COLUMN}={empty} under {root}; nothing was written")
+
+
 def read_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """One row per line, column ``value``."""
     return spark.read.text(path if isinstance(path, str) else list(path))

@@ -105,6 +105,29 @@ def test_job_missing_date_leaves_targets_untouched(spark):
     assert spark.read.parquet(f"{root}/calls").count() == before
 
 
+def test_job_empty_date_folder_fails_and_leaves_targets_untouched(spark):
+    import os
+
+    from callfacts.sources import EmptyInputError
+
+    root = _folder(spark, "job-empty")
+    _run(spark, root, "2024-01-05")
+    before = spark.read.parquet(f"{root}/calls").count()
+    empty = _folder(spark, "empty-calls")
+    os.makedirs(f"{empty}/date=2024-01-05")  # the folder exists, no data files
+    with pytest.raises(EmptyInputError, match="no data files"):
+        run(
+            spark,
+            partition="2024-01-05",
+            calls_table=f"{root}/calls",
+            chats_table=f"{root}/chats",
+            calls_root=empty,
+            chats_root=fixtures.chat_folder(spark, SF_SMALL),
+            dim_table=fixtures.register_clients(spark, SF_SMALL),
+        )
+    assert spark.read.parquet(f"{root}/calls").count() == before
+
+
 def test_job_rerun_with_dynamic_partition_overwrite_keeps_other_dates(spark):
     root = _folder(spark, "job-dynamic")
     _run(spark, root, "2024-01-05", partition_overwrite="dynamic")

@@ -69,6 +69,24 @@ def test_missing_date_fails_before_anything_runs(spark):
         read_calls_csv(spark, root, "1999-01-01")
 
 
+def test_require_files(spark):
+    import os
+
+    from callfacts.sources import EmptyInputError, require_files
+
+    root = _folder(spark, "csv-empty")
+    _write_lines(spark, f"{root}/date=2024-01-05", ["1,1,2024-01-05 10:00:00.000000,2024-01-05 10:05:00.000000"])
+    os.makedirs(f"{root}/date=2024-01-06")
+    require_files(read_calls_csv(spark, root, "2024-01-05"), root, "2024-01-05")
+    require_files(read_calls_csv(spark, root), root)
+    with pytest.raises(EmptyInputError, match="2024-01-06"):
+        require_files(read_calls_csv(spark, root, ["2024-01-05", "2024-01-06"]), root, ["2024-01-05", "2024-01-06"])
+    only_empty = _folder(spark, "csv-all-empty")
+    os.makedirs(f"{only_empty}/date=2024-01-06")
+    with pytest.raises(EmptyInputError):
+        require_files(read_calls_csv(spark, only_empty), only_empty)
+
+
 def test_bad_cell_is_null_and_raw_line_kept(spark):
     root = _folder(spark, "csv-bad")
     line = "3,12,2024-01-05 10:00:00.000000,bad"
