@@ -91,7 +91,15 @@ def read_chats_json(
     corrupt_column: str | None = None,
     timestamp_format: str = TIMESTAMP_NTZ_FORMAT,
 ) -> DataFrame:
-    """S3 + S5: JSON-lines chat facts with a nested message list."""
+    """S3 + S5: JSON-lines chat facts with a nested message list.
+
+    Lines are read permissively with partial results: a field of the wrong
+    type becomes NULL while the others are kept, and with ``corrupt_column``
+    the raw line is kept too.  A chat whose ``messages`` is one object rather
+    than a list therefore reads with NULL messages; for data shaped like that
+    throughout, pass a ``schema`` whose ``messages`` is a struct -- the nested
+    rewrite handles both forms.
+    """
     reader = _fact_reader(spark, root, schema, corrupt_column, timestamp_format)
     df = reader.json(partition_paths(root, partition))
     return S.conform(df, schema, keep=_keep(corrupt_column))

@@ -112,6 +112,21 @@ def test_json_nested_messages(spark):
     assert rows[2]["messages"] is None and rows[2]["endAt"] is None
 
 
+def test_json_partial_results_and_single_object_messages(spark):
+    from callfacts.operators import parse_message_times
+
+    root = _folder(spark, "json-shapes")
+    single = '{"id":1,"clientId":"10","messages":{"id":1,"text":"one","sendAt":"01/02/2024"}}'
+    _write_lines(spark, f"{root}/date=2024-01-01", [single, '{"id":"abc","clientId":"11","messages":[]}'])
+    rows = {r["clientId"]: r for r in read_chats_json(spark, root, "2024-01-01", corrupt_column="_raw").collect()}
+    assert rows["10"]["messages"] is None and rows["10"]["_raw"] == single  # wrong shape: NULL, raw kept
+    assert rows["11"]["id"] is None and rows["11"]["messages"] == []  # partial result: other fields kept
+    struct_schema = T.StructType(S.CHAT_RAW.fields[:4] + [T.StructField("messages", S.MESSAGE_RAW)])
+    chats = read_chats_json(spark, root, "2024-01-01", schema=struct_schema)
+    m = parse_message_times(chats).where("clientId = '10'").first()["messages"]
+    assert (m["text"], m["sendAt"]) == ("one", D(2024, 1, 2))
+
+
 def test_text_lines(spark):
     path = _folder(spark, "text")
     _write_lines(spark, path, ["a", "b c", ""])
