@@ -29,8 +29,13 @@ DIM_TABLE = "dim_client"
 
 # Fixed values of the chat binding: chats start on this day (plus conv_id
 # minutes), message n is dated this day + n days, chats spread over 7 dates.
+# A chat record holds at most CHAT_TURNS consecutive turns of a conversation
+# (block b of conversation c is chat c + b * CHAT_ID_STRIDE), so every
+# collected message list is bounded whatever one conversation holds.
 CHAT_EPOCH = "2024-01-01"
 CHAT_DATES = 7
+CHAT_TURNS = 64
+CHAT_ID_STRIDE = 1_000_000_000
 
 # Dirty-key binding: by event_id % 5 the key becomes
 # 0 -> 'x' || key, 1 -> '0' || key, 2 -> ' ' || key || ' ', 3 -> NULL, 4 -> key.
@@ -88,10 +93,10 @@ def dirty_calls_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chats_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw chats: one row per conversation, its turns as a sorted message list.
-
-    The nested list is the chat record's own shape (one JSON line per chat);
-    the grouping is a partial-aggregated shuffle on ``conv_id``.
+    """Raw chats: up to ``CHAT_TURNS`` consecutive turns of a conversation per
+    chat, as a sorted message list (the record's own shape: one JSON line per
+    chat).  The grouping is a partial-aggregated shuffle on (conversation,
+    block), and no group exceeds ``CHAT_TURNS`` messages.
     """
     conv = table(spark, sf_dir, "conversations")
     epoch_day = F.lit(CHAT_EPOCH).cast("date")
@@ -101,11 +106,12 @@ def chats_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("text"),
         F.date_format(F.date_add(epoch_day, F.col("turn").cast("int")), MESSAGE_DATE_PATTERN).alias("sendAt"),
     )
-    grouped = conv.groupBy("conv_id").agg(F.array_sort(F.collect_list(message)).alias("messages"))
+    block = F.floor(F.col("turn") / F.lit(CHAT_TURNS)).alias("block")
+    grouped = conv.groupBy("conv_id", block).agg(F.array_sort(F.collect_list(message)).alias("messages"))
     minutes = lambda n: F.make_dt_interval(mins=n.cast("int"))
-    start = epoch + minutes(F.col("conv_id"))
+    start = epoch + minutes(F.col("conv_id") + F.col("block") * F.lit(CHAT_TURNS))
     return grouped.select(
-        F.col("conv_id").alias("id"),
+        (F.col("conv_id") + F.col("block") * F.lit(CHAT_ID_STRIDE)).alias("id"),
         F.col("conv_id").cast("string").alias("clientId"),
         start.alias("startAt"),
         (start + minutes(F.size("messages"))).alias("endAt"),

@@ -298,15 +298,15 @@ _DIRTY = """dirty AS (
   FROM events)"""
 
 _CHATS = """chats AS (
-  SELECT conv_id AS id, CAST(conv_id AS VARCHAR) AS clientId,
-         TIMESTAMP '2024-01-01 00:00:00' + to_minutes(conv_id) AS startAt,
-         TIMESTAMP '2024-01-01 00:00:00' + to_minutes(conv_id + count(*)) AS endAt,
+  SELECT conv_id + (turn // 64) * 1000000000 AS id, CAST(conv_id AS VARCHAR) AS clientId,
+         TIMESTAMP '2024-01-01 00:00:00' + to_minutes(conv_id + (turn // 64) * 64) AS startAt,
+         TIMESTAMP '2024-01-01 00:00:00' + to_minutes(conv_id + (turn // 64) * 64 + count(*)) AS endAt,
          count(*) AS n_messages, min(turn) AS first_turn, max(turn) AS last_turn,
          DATE '2024-01-01' + CAST(conv_id % 7 AS INTEGER) AS date
-  FROM conversations GROUP BY conv_id)"""
+  FROM conversations GROUP BY conv_id, turn // 64)"""
 
 _MESSAGES = """messages AS (
-  SELECT conv_id AS id, turn AS message_id, text,
+  SELECT conv_id + (turn // 64) * 1000000000 AS id, turn AS message_id, text,
          strftime(DATE '2024-01-01' + CAST(turn AS INTEGER), '%m/%d/%Y') AS sendAtText
   FROM conversations)"""
 
@@ -367,8 +367,8 @@ UNION ALL SELECT id, 'clientId is not a number' FROM dirty
 UNION ALL SELECT id, 'startAt is missing' FROM dirty WHERE startAt IS NULL
 UNION ALL SELECT id, 'endAt is missing' FROM dirty WHERE endAt IS NULL
 UNION ALL SELECT id, 'endAt is before startAt' FROM dirty WHERE endAt < startAt""",
-    "chat_rule_violations": """SELECT conv_id AS id, 'message date is unreadable' AS rule
-FROM conversations GROUP BY conv_id HAVING bool_or(turn % 4 = 3)""",
+    "chat_rule_violations": """SELECT conv_id + (turn // 64) * 1000000000 AS id, 'message date is unreadable' AS rule
+FROM conversations GROUP BY conv_id, turn // 64 HAVING bool_or(turn % 4 = 3)""",
     "sink_overwrite": f"WITH {_CALLS} {_CLIENT_CALLS}",
     "stream_client_calls": f"WITH {_CALLS} {_CLIENT_CALLS}",
     "sink_modes": f"WITH {_CALLS}, once AS ({_CLIENT_CALLS}) SELECT * FROM once UNION ALL SELECT * FROM once",
