@@ -9,9 +9,11 @@ Sub-packages:
 
 * ``sources``   -- catalog / CSV / JSON / text readers, partition selection
 * ``functions`` -- column expressions: time zones, offsets, patterns, keys, rules
-* ``operators`` -- DataFrame operators: normalize, enrich (join), shapes, checks
-* ``plans``     -- join strategy and size checks, cache scope, the batch job
-* ``sinks``     -- generic writer with save modes and partition overwrite
+* ``operators`` -- DataFrame operators: normalize, enrich (measured join tiers),
+                   shapes, checks
+* ``plans``     -- size checks, cache scope, plan text, the batch job ``run``
+* ``sinks``     -- generic writer (save modes, partition overwrite, self-overwrite
+                   guard) and staged publish of several catalog tables
 * ``streaming`` -- the same job driven by newly landing date folders
 """
 
