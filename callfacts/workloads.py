@@ -255,6 +255,34 @@ def stream_client_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_client_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chats enrichment as a stream; shaped like ``client_chats`` for the check."""
+    from callfacts.streaming import run_available_now, start
+
+    root = scratch.fresh_folder(spark, "streams", "chats")
+    q = start(
+        spark,
+        kind="chats",
+        fact_root=fixtures.chat_folder(spark, sf_dir),
+        target=f"{root}/out",
+        checkpoint=f"{root}/checkpoint",
+        dim_table=fixtures.register_clients(spark, sf_dir),
+    )
+    run_available_now(q)
+    chats = _read_back(spark, f"{root}/out", S.with_partition(S.CLIENT_CHAT))
+    sent = lambda i: F.element_at("messages", i).getField("sendAt")
+    return chats.select(
+        "id",
+        "clientId",
+        "startAt",
+        "endAt",
+        "name",
+        F.size("messages").cast("bigint").alias("n_messages"),
+        sent(1).alias("first_sendAt"),
+        sent(-1).alias("last_sendAt"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "client_calls": client_calls,
     "scan_dim_client": scan_dim_client,
@@ -276,6 +304,7 @@ QUERIES: dict[str, Query] = {
     "two_sinks_shared_dim": two_sinks_shared_dim,
     "two_sinks_staged_publish": two_sinks_staged_publish,
     "stream_client_calls": stream_client_calls,
+    "stream_client_chats": stream_client_chats,
 }
 
 
@@ -325,6 +354,11 @@ _CLIENT_CALLS = f"""
 SELECT c.id, c.clientId, {_utc('c.startAt')} AS startAt, {_utc('c.endAt')} AS endAt, cu.c_name AS name
 FROM calls c JOIN customer cu ON cu.c_custkey = TRY_CAST(c.clientId AS BIGINT)"""
 
+_CLIENT_CHATS = f"""WITH {_CHATS}
+SELECT c.id, c.clientId, c.startAt, c.endAt, cu.c_name AS name, c.n_messages,
+       {_turn_time('c.first_turn')} AS first_sendAt, {_turn_time('c.last_turn')} AS last_sendAt
+FROM chats c JOIN customer cu ON cu.c_custkey = TRY_CAST(c.clientId AS BIGINT)"""
+
 _TWO_SINKS = f"""WITH {_CALLS}, {_CHATS}, cc AS ({_CLIENT_CALLS})
 SELECT 'calls{TARGET_SUFFIX}' AS target, id, clientId, startAt, endAt, name FROM cc
 UNION ALL
@@ -348,10 +382,7 @@ SELECT id, message_id, CAST(try_strptime(sendAtText, '%m/%d/%Y') AS TIMESTAMP) A
     "message_time_struct": f"""WITH {_MESSAGES}, last AS (SELECT id, max(message_id) AS message_id FROM messages GROUP BY id)
 SELECT m.id, m.message_id, CAST(try_strptime(m.sendAtText, '%m/%d/%Y') AS TIMESTAMP) AS sendAt
 FROM messages m JOIN last l ON l.id = m.id AND l.message_id = m.message_id""",
-    "client_chats": f"""WITH {_CHATS}
-SELECT c.id, c.clientId, c.startAt, c.endAt, cu.c_name AS name, c.n_messages,
-       {_turn_time('c.first_turn')} AS first_sendAt, {_turn_time('c.last_turn')} AS last_sendAt
-FROM chats c JOIN customer cu ON cu.c_custkey = TRY_CAST(c.clientId AS BIGINT)""",
+    "client_chats": _CLIENT_CHATS,
     "client_chat_messages": f"""WITH {_CHATS}, {_MESSAGES}
 SELECT c.id, c.clientId, cu.c_name AS name, m.message_id, m.text,
        CAST(try_strptime(m.sendAtText, '%m/%d/%Y') AS TIMESTAMP) AS sendAt
@@ -371,6 +402,7 @@ UNION ALL SELECT id, 'endAt is before startAt' FROM dirty WHERE endAt < startAt"
 FROM conversations GROUP BY conv_id, turn // 64 HAVING bool_or(turn % 4 = 3)""",
     "sink_overwrite": f"WITH {_CALLS} {_CLIENT_CALLS}",
     "stream_client_calls": f"WITH {_CALLS} {_CLIENT_CALLS}",
+    "stream_client_chats": _CLIENT_CHATS,
     "sink_modes": f"WITH {_CALLS}, once AS ({_CLIENT_CALLS}) SELECT * FROM once UNION ALL SELECT * FROM once",
     "two_sinks_shared_dim": _TWO_SINKS,
     "two_sinks_staged_publish": _TWO_SINKS,
