@@ -99,3 +99,39 @@ def test_json_chats_round_trip(spark, chats):
     df.coalesce(1).write.option("timestampNTZFormat", TIMESTAMP_NTZ_FORMAT).json(f"{root}/date=2024-01-01")
     got = sorted(repr(tuple(r)) for r in read_chats_json(spark, root, "2024-01-01").drop("date").collect())
     assert got == sorted(repr(tuple(r)) for r in df.collect())
+
+
+ROW = st.tuples(
+    st.one_of(st.none(), st.sampled_from(["", "7", " 8 ", "x1", "1.5", "+3"]), st.integers(0, 99).map(str)),
+    st.one_of(st.none(), TIMES),
+    st.one_of(st.none(), TIMES),
+)
+
+
+def model_rules(key, start, end):
+    from callfacts.functions import rules as R
+
+    out = []
+    if key is None:
+        out.append(R.KEY_MISSING)
+    elif model_key(key) is None:
+        out.append(R.KEY_NOT_NUMBER)
+    if start is None:
+        out.append(R.START_MISSING)
+    if end is None:
+        out.append(R.END_MISSING)
+    if start is not None and end is not None and end < start:
+        out.append(R.END_BEFORE_START)
+    return out
+
+
+@settings(max_examples=15, deadline=None, phases=NO_SHRINK)
+@given(st.lists(ROW, min_size=1, max_size=30))
+def test_violation_rows_match_the_rule_model(spark, rows):
+    from callfacts import schemas as S
+    from callfacts.operators import violation_rows
+
+    data = [(i, k, a, b) for i, (k, a, b) in enumerate(rows)]
+    got = sorted((r["id"], r["rule"]) for r in violation_rows(spark.createDataFrame(data, S.CALL)).collect())
+    want = sorted((i, rule) for i, k, a, b in data for rule in model_rules(k, a, b))
+    assert got == want
