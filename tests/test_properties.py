@@ -135,3 +135,25 @@ def test_violation_rows_match_the_rule_model(spark, rows):
     got = sorted((r["id"], r["rule"]) for r in violation_rows(spark.createDataFrame(data, S.CALL)).collect())
     want = sorted((i, rule) for i, k, a, b in data for rule in model_rules(k, a, b))
     assert got == want
+
+
+WALL = st.datetimes(min_value=dt.datetime(1900, 1, 1), max_value=dt.datetime(2030, 12, 31)).map(
+    lambda t: t.replace(fold=0)
+)
+
+
+@settings(max_examples=15, deadline=None, phases=NO_SHRINK)
+@given(st.lists(WALL, min_size=1, max_size=60))
+def test_zone_rule_matches_python_zoneinfo(spark, walls):
+    """An independent oracle for the zone rule, gaps and overlaps included: with
+    fold=0 Python resolves them as Spark does (pre-transition offset in a gap,
+    first occurrence in an overlap)."""
+    import zoneinfo
+
+    from callfacts.functions import SOURCE_ZONE, wall_to_utc
+
+    zone = zoneinfo.ZoneInfo(SOURCE_ZONE)
+    df = spark.createDataFrame([(w,) for w in walls], T.StructType([T.StructField("v", T.TimestampNTZType())]))
+    got = [r[0] for r in df.select(wall_to_utc("v")).collect()]
+    want = [w.replace(tzinfo=zone).astimezone(dt.timezone.utc).replace(tzinfo=None) for w in walls]
+    assert got == want
