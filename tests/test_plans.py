@@ -259,3 +259,15 @@ def test_second_write_failing_keeps_the_first_and_releases_the_cache(spark):
         )
     assert persistent_rdds(spark) == before
     assert spark.read.parquet(f"{root}/calls").count() > 0  # calls were written first: no transaction
+
+
+def test_chat_join_in_the_broadcast_tier_has_no_shuffle(spark):
+    from callfacts.plans.job import enrich_chat_messages, enrich_chats
+    from callfacts.sources import read_chats_json
+
+    chats = read_chats_json(spark, fixtures.chat_folder(spark, SF_ORACLE))
+    dim = fixtures.clients_frame(spark, SF_ORACLE)
+    for df in (enrich_chats(chats, dim), enrich_chat_messages(chats, dim)):
+        plan = plan_text(df)
+        assert "BroadcastHashJoin" in plan
+        assert "Exchange hashpartitioning" not in plan
