@@ -31,7 +31,9 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(
         prog="callfacts", description="Enrich one date of call and chat facts with client names and write them out."
     )
-    p.add_argument("-p", "--partition", required=True, nargs="+", metavar="DATE", help="date folder(s) to process, yyyy-MM-dd")
+    p.add_argument(
+        "-p", "--partition", required=True, nargs="+", metavar="DATE", help="date folder(s) to process, yyyy-MM-dd"
+    )
     names = p.add_mutually_exclusive_group(required=True)
     names.add_argument("--callsTable", dest="calls_table", metavar="TARGET", help="where the enriched calls go")
     names.add_argument("--tableSuffix", dest="table_suffix", help="targets are calls<suffix> and chats<suffix>")

@@ -104,7 +104,8 @@ def write_table(
         partition_by = partition_by or [PARTITION_COLUMN]
     if mode == "overwrite" and not catalog:
         guard_self_overwrite(df, opts.get("path", target) if target_option else target, read_roots)
-    if catalog and partition_overwrite == "dynamic" and mode == "overwrite" and df.sparkSession.catalog.tableExists(target):
+    dynamic_insert = catalog and partition_overwrite == "dynamic" and mode == "overwrite"
+    if dynamic_insert and df.sparkSession.catalog.tableExists(target):
         # saveAsTable would replace the whole table; an insert replaces only the
         # dates present in ``df``.  insertInto binds by position: use the table's order.
         order = df.sparkSession.table(target).columns

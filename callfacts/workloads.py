@@ -379,7 +379,8 @@ FROM chats c JOIN messages m ON m.id = c.id""",
     "times_fixed_offset": "SELECT o_orderkey AS id, o_orderdate - INTERVAL 3 HOUR AS startAt FROM orders",
     "message_times": f"""WITH {_MESSAGES}
 SELECT id, message_id, CAST(try_strptime(sendAtText, '%m/%d/%Y') AS TIMESTAMP) AS sendAt FROM messages""",
-    "message_time_struct": f"""WITH {_MESSAGES}, last AS (SELECT id, max(message_id) AS message_id FROM messages GROUP BY id)
+    "message_time_struct": f"""WITH {_MESSAGES},
+last AS (SELECT id, max(message_id) AS message_id FROM messages GROUP BY id)
 SELECT m.id, m.message_id, CAST(try_strptime(m.sendAtText, '%m/%d/%Y') AS TIMESTAMP) AS sendAt
 FROM messages m JOIN last l ON l.id = m.id AND l.message_id = m.message_id""",
     "client_chats": _CLIENT_CHATS,
