@@ -2,11 +2,34 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import callfacts
 from callfacts.scratch import fresh_folder
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application, as ``--py-files`` would.
+
+    The zip file is handed to Spark, which serves it to every executor.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = Path(callfacts.__file__).parent
+    with tempfile.NamedTemporaryFile(prefix="callfacts-", suffix=".zip", delete=False) as out, zipfile.ZipFile(out, "w") as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, p.relative_to(top.parent))
+    context.addPyFile(out.name)
+    _shipped.add(context.applicationId)
+
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder below the shared checkpoint folder and read it back.

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callfacts.llm import quality_rules, sql, url_filters
+from callfacts.llm import packing, quality_rules, sql, token_files, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,9 +24,19 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op6_url_filters": op6_url_filters,
+    "op3_token_files": op3_token_files,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL = {
