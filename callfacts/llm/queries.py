@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callfacts.llm import packing, quality_rules, sql, token_files, url_filters
+from callfacts.llm import packing, quality_rules, simhash, sql, token_files, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -36,6 +40,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op6_url_filters": op6_url_filters,
     "op3_token_files": op3_token_files,
+    "op8_simhash": op8_simhash,
     "op10_packing": op10_packing,
 }
 
