@@ -3,16 +3,42 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callfacts.llm import packing, quality_rules, simhash, sql, token_files, url_filters
+from callfacts.llm import packing, quality_classifier, quality_rules, simhash, sql, token_files, toxicity, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _bucket(doc_id: Column, n: int) -> Column:
+    """crc32 of the id as text, modulo n: the folds that the held-out rows are taken from."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % n
+
+
+def _scored(scores: DataFrame, n: int, held: int) -> DataFrame:
+    return scores.select(
+        "doc_id",
+        F.coalesce(_bucket(F.col("doc_id"), n) == held, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels, lambda i: _bucket(i, 4) != 2)
+    return _scored(toxicity.score(docs, model), 4, 2)
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    model = quality_classifier.fit(docs, labels, lambda i: _bucket(i, 5) != 0)
+    return _scored(quality_classifier.score(docs, model), 5, 0)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     q = F.col("quality")
@@ -37,9 +63,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
     "op6_url_filters": op6_url_filters,
     "op3_token_files": op3_token_files,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_simhash": op8_simhash,
     "op10_packing": op10_packing,
 }
