@@ -101,7 +101,9 @@ def text_stats(df: DataFrame, out: str, text_col: str = "text") -> DataFrame:
         F.transform(F.array(lines), lambda x: F.size(x) - F.size(F.array_distinct(x)))[0].cast("long").alias("n_dup_lines"),
         covered.cast("long").alias("n_repeat_words"),
     )
-    return df.withColumn(out, stats).drop(t, w, g, p)
+    # explode of one element: a filter on the result is not pushed below it, where each use of a
+    # column inside a lambda would be replaced by the expression that makes it
+    return df.withColumn(out, F.explode(F.array(stats))).drop(t, w, g, p)
 
 
 def measure(sample: DataFrame, stats: str, rules: Sequence[Rule]) -> list[tuple[Rule, float, float]]:
@@ -128,11 +130,11 @@ def cascade(df: DataFrame, stats: str, rules: Sequence[Rule] = RULES, sample_row
     ``sample_rows`` bounds the sample that costs and selectivities are measured
     on; it decides the order of evaluation and nothing else.
     """
-    fraction_of = df.sample(0.05, seed=11).limit(sample_rows).persist()
+    sample = df.sample(0.05, seed=11).limit(sample_rows).persist()
     try:
-        ordered = order_rules(measure(fraction_of, stats, rules))
+        ordered = order_rules(measure(sample, stats, rules))
     finally:
-        fraction_of.unpersist()
+        sample.unpersist()
     return chain(ordered, stats)
 
 

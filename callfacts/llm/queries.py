@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callfacts.llm import packing, quality_classifier, quality_rules, simhash, sql, token_files, toxicity, url_filters
+from callfacts.llm import line_dedup, mixing, packing, quality_classifier, quality_rules, simhash, sql, token_files, toxicity, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,15 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[q[n].alias(n) for n in names])
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "lang", "mix.topic", "mix.tokens", "mix.probability", "mix.kept")
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "removed_lines", "text")
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -65,6 +74,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
+    "op4_mixing": op4_mixing,
+    "op5_line_dedup": op5_line_dedup,
     "op6_url_filters": op6_url_filters,
     "op3_token_files": op3_token_files,
     "op7_quality_classifier": op7_quality_classifier,

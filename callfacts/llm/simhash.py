@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callfacts.llm.common import components, ship, staged
+from callfacts.llm.quality_rules import free_name
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -60,16 +61,16 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)``, one row per document; ``fp`` holds the 64 bits as a signed long."""
+    """``(doc_id, hash, fp)``, one row per document: the hash of its text, and the 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = np.fromiter((fingerprint(t.as_py(), size) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.record_batch([b.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            found = np.fromiter((fingerprint(t.as_py(), size) for t in b.column(2)), np.uint64, b.num_rows)
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(found.view(np.int64))], names=["doc_id", "hash", "fp"])
 
     ship(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_hash"), F.col(text_col).alias("_text"))
+    return rows.mapInArrow(run, "doc_id long, hash long, fp long")
 
 
 def gray_rank(fp: Column) -> Column:
@@ -200,16 +201,47 @@ def _bucket(rank: Column, cuts: list[int]) -> Column:
     return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < rank)).cast("long")
 
 
+def groups(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
+    """``(fp, first)``: the first document of the component of each fingerprint.
+
+    ``first`` is the struct of the smallest id (nulls last) and, of its rows, the
+    smallest text hash.
+    """
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")
+    nodes = staged(prints.groupBy("fp").agg(F.min(row).alias("least")), "nodes")
+    grouped = components(links(nodes.select("fp"), bits))
+    grouped = nodes.join(grouped, nodes.fp == grouped.node, "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("component")
+    )
+    named = grouped.groupBy("component").agg(F.min("least").alias("first"))
+    return grouped.join(named, "component").select("fp", "first")
+
+
 def near_duplicates(
     docs: DataFrame, bits: int = MAX_BITS, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``(doc_id, fingerprint, component_id)``, one row per document."""
     prints = staged(fingerprints(docs, id_col, text_col, size), "fingerprints")
-    nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    grouped = components(links(nodes.select("fp"), bits))
-    grouped = nodes.join(grouped, nodes.fp == grouped.node, "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")
+    joined = prints.join(groups(prints, bits), "fp")
+    return joined.select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first.doc_id").alias("component_id")
     )
-    named = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = grouped.join(named, "component").select("fp", "component_id")
-    return prints.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_first(
+    docs: DataFrame, bits: int = MAX_BITS, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with one document of each group: the one whose id names the component.
+
+    The first documents are found by id and text hash; only if such a key occurs
+    twice are equal rows dropped, which takes a shuffle of its own.
+    """
+    prints = staged(fingerprints(docs, id_col, text_col, size), "fingerprints")
+    i, h = free_name(docs, "_id"), free_name(docs, "_hash")
+    at = lambda c: F.coalesce(c, F.lit(_TOP))
+    first = groups(prints, bits).select(at(F.col("first.doc_id")).alias(i), F.col("first.hash").alias(h)).distinct()
+    keyed = docs.withColumn(i, at(F.col(id_col).cast("long"))).withColumn(h, F.xxhash64(text_col))
+    kept = keyed.join(first, [i, h], "left_semi")
+    if not prints.groupBy("doc_id", "hash").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates([i, h])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
