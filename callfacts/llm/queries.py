@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callfacts.llm import line_dedup, mixing, packing, quality_classifier, quality_rules, simhash, sql, token_files, toxicity, url_filters
+from callfacts.llm import embedding_dedup, line_dedup, mixing, packing, quality_classifier, quality_rules, simhash, sql, token_files, toxicity, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -80,6 +84,7 @@ QUERIES = {
     "op3_token_files": op3_token_files,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_simhash": op8_simhash,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_packing": op10_packing,
 }
 
