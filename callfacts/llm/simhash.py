@@ -35,7 +35,8 @@ from callfacts.llm.quality_rules import free_name
 SHINGLE = 3
 MAX_BITS = 2
 SEED = 42
-RANGE_ROWS = 20_000  # distinct fingerprints that a range is meant to hold
+RANGE_ROWS = 50_000  # distinct fingerprints that a range is meant to hold
+MIN_RANGES = 64  # where there are enough fingerprints, so that small inputs spread too
 MAX_RANGES = 4096  # so the table of patterns, 24 bytes a range, stays under 100 KB
 FANOUT = 16
 FRONTIER = 2_000_000  # nodes that a search holds at once
@@ -159,7 +160,7 @@ def links(distinct: DataFrame, bits: int = MAX_BITS, range_rows: int = RANGE_ROW
     ship(spark)
     ranked = distinct.select("fp", gray_rank(F.col("fp")).alias("rank"))
     n = distinct.count()
-    k = max(1, min(MAX_RANGES, -(-n // range_rows)))
+    k = max(1, min(MAX_RANGES, max(-(-n // range_rows), min(MIN_RANGES, n // 256))))
     cuts = []
     if k > 1:
         steps = [i / k for i in range(1, k)]
