@@ -1,0 +1,318 @@
+"""Parts of the operators against plain models, and edge rows through every operator."""
+
+import math
+import random
+
+import numpy as np
+import pandas as pd
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from test_llm_queries import check_packing, union
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from callfacts.llm import (
+    embedding_dedup,
+    line_dedup,
+    mixing,
+    packing,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    token_files,
+    toxicity,
+    url_filters,
+)
+from callfacts.llm.common import components, staged
+from callfacts.llm.tokens import Encoder
+
+BYTE, WORD = (public_tokenizers.path(f"{x}.json") for x in ("byte_bpe_50k", "word_bpe_49k"))
+TEXTS = {
+    "prose": "One two three four five. " * 30,
+    "empty": "",
+    "blank": " \n\t ",
+    "null": None,
+    "long": " ".join(f"word{i % 997} x{i}" for i in range(60_000)),
+    "tie": "Alpha beta gamma.\nAlpha beta gamma.",
+    "odd": "naïve 日本 語   it's <|endoftext|>  tabs\t\x1c end ",
+}
+
+
+@pytest.fixture(scope="module")
+def edge(spark):
+    """Null, empty and long texts, repeated rows and ids, null ids, and columns named as the operators name theirs."""
+    rows = [(i, t, "en", None if i == 2 else f"s{i % 2}") for i, t in enumerate(TEXTS.values())]
+    rows += [rows[0], rows[3], rows[5], (None, TEXTS["prose"], None, "s0"), (None, None, "de", "s1"), (4, "other text", "en", "s1")]
+    data = [(*r, 7, f"x{k % 3}", 1, "q", "m", 3, 4, "h", 2, 8) for k, r in enumerate(rows)]
+    names = "doc_id long, text string, lang string, source string, n_chars long"
+    clash = "words string, _id int, quality string, mix string, removed_lines int, spans int, _hash string, fp int, Label int"
+    return staged(spark.createDataFrame(data, f"{names}, {clash}"), "edge")
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("ab .,\n\t'é<|1日 \x85\x1ćΣA")), max_size=40))
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_encoder_equals_the_library(path, text):
+    e = _encoders.setdefault(path, Encoder(path, limit=50))
+    assert np.frombuffer(e.encode(text), e.dtype).tolist() == e.library.encode(text, add_special_tokens=False).ids
+
+
+_encoders: dict = {}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(-3, 3), max_size=14))
+def test_segments_are_the_maximal_ones(scores):
+    """Against the definition: repeatedly the best segment, then left and right of it."""
+
+    def best(lo, hi):
+        found = [(sum(scores[a:b]), a - b, -a, a, b) for a in range(lo, hi) for b in range(a + 1, hi + 1)]
+        top = max(found, default=(0,))
+        if top[0] <= 0:
+            return []
+        total = top[0]
+        a, b = min((b - a, a, b) for s, _, _, a, b in found if s == total)[1:]
+        return best(lo, a) + [(a, b, float(total))] + best(b, hi)
+
+    got = maximal_with_negatives(scores)
+    assert sum(s for *_, s in got) == sum(s for *_, s in best(0, len(scores)))
+    assert all(abs(sum(scores[a:b]) - s) < 1e-9 for a, b, s in got)
+
+
+def maximal_with_negatives(scores):
+    """The scan takes positive hits over a constant background; give it -1 between hits of any size."""
+    hits = [(i, s + 1.0) for i, s in enumerate(scores) if s >= 0]
+    flat = [s if s >= 0 else -1 for s in scores]
+    for i, s in enumerate(flat):
+        scores[i] = s + 1 if s >= 0 else -1
+    return toxicity.maximal_segments(hits, -1.0)
+
+
+def test_isotonic_is_the_least_squares_rising_fit():
+    rng = np.random.default_rng(0)
+    x = np.arange(60.0)
+    y = (rng.random(60) < x / 60).astype(float)
+    knots, values = quality_classifier.isotonic(x, y)
+    assert (np.diff(knots) > 0).all() and (np.diff(values) >= -1e-12).all()
+
+
+def test_components_of_chains_stars_and_rings(spark):
+    random.seed(3)
+    chain = [(i, i + 1) for i in range(0, 200)]
+    star = [(1000, 1000 + i) for i in range(1, 300)]
+    ring = [(2000 + i, 2000 + (i + 1) % 50) for i in range(50)]
+    edges = chain + star + ring + [(5, 5)]
+    random.shuffle(edges)
+    got = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    want = {**{i: 0 for i in range(201)}, **{i: 1000 for i in range(1000, 1300)}, **{i: 2000 for i in range(2000, 2050)}}
+    assert {r.node: r.component for r in got} == want
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_gray_index_finds_every_link_over_many_ranges(spark):
+    rng = np.random.default_rng(0)
+    base = rng.integers(-(1 << 62), 1 << 62, 500)
+    flip = lambda x: x ^ (np.int64(1) << rng.integers(0, 62, len(x))) ^ (np.int64(1) << rng.integers(0, 62, len(x)))
+    x = np.unique(np.r_[base, flip(base), flip(flip(base)), flip(base)])
+    got = components(simhash.links(spark.createDataFrame([(int(v),) for v in x], "fp long"), 2, 50)).toPandas()
+    comp = dict(zip(got.node, got.component))
+    u = x.view(np.uint64)
+    pairs = [(i, i + j) for i in range(len(u)) for j in np.flatnonzero(np.bitwise_count(u[i:] ^ u[i]) <= 2)]
+    want = union(len(x), pairs)
+    have = [comp.get(v, v) for v in x]
+    assert len(set(zip(want, have))) == len(set(want)) == len(set(have))
+
+
+def test_url_rules_and_trust(spark):
+    rows = [
+        (0, "http://A.ORG/x", '<a href="http://b.net/1">b</a><a href=//c.net/>c</a>'),
+        (1, "http://b.net/1", '<a href="http://d.net/">d</a>'),
+        (2, "http://s.net/", '<a href="http://x.com/de/1">x</a>'),
+        (3, "https://x.com/de/9?q#f", None),
+        (4, "http://example.org/en/12", "<p>no links</p>"),
+        (5, "http://notorg/es/", ""),
+        (6, None, None),
+        (7, "no scheme", "x"),
+        (8, "http://d.net", None),
+        (2, "http://s.net/", None),
+    ]
+    got = url_filters.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    by = {r.page_id: r for r in got}
+    assert len(got) == len(rows)
+    assert (by[0].host, by[0].path, by[0].rule, by[0].verdict) == ("a.org", "/x", "org/", "allow")
+    assert by[4].rule == "example.org/en/1" and by[4].verdict == "block"
+    assert by[3].path == "/de/9" and by[3].verdict == "block"
+    assert by[2].verdict == "block" and by[2].distrust > 0  # links to a blocked host
+    assert by[1].verdict == "allow" and by[1].trust > by[8].trust > 0
+    assert (by[5].rule, by[5].verdict, by[6].host, by[7].path) == (None, "allow", "", "")
+
+
+def test_scores_of_edge_rows(spark, edge):
+    labels = spark.createDataFrame([(0, 1, 1), (0, 1, 1), (4, 0, 0), (5, None, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    anything = lambda i: F.lit(True)
+    n = edge.count()
+    for known in (labels, labels.limit(0), labels.where("toxic = 1")):
+        for module in (toxicity, quality_classifier):
+            model = module.fit(edge, known, anything)
+            got = module.score(edge, model).collect()
+            assert len(got) == n and all(0 <= r.score <= 1 for r in got)
+            assert module.score(edge.limit(0), model).count() == 0
+        assert toxicity.fit(edge.limit(0), known, anything).slope == 0
+
+
+def test_quality_rules_of_edge_rows(edge):
+    got = quality_rules.judge(edge)
+    assert got.columns[:-1] == edge.columns
+    rows = got.select("text", F.col(got.columns[-1]).alias("q")).collect()
+    assert len(rows) == edge.count()
+    for r in rows:
+        if not (r.text or "").split():
+            assert (r.q.n_words, r.q.word_chars, r.q.n_repeat_words, r.q.base_failed, r.q.kept) == (0, 0, 0, True, False)
+        if r.text == TEXTS["long"]:
+            assert r.q.n_words == 120_000 and r.q.n_repeat_words == 0 and r.q.kept
+        if r.text == TEXTS["tie"]:
+            assert r.q.n_dup_lines == 1 and r.q.n_repeat_words == 6
+    assert quality_rules.keep_good(edge).columns == edge.columns
+    assert quality_rules.keep_good(edge.limit(0)).count() == 0
+
+
+def test_token_files_of_edge_rows(spark, edge):
+    got = token_files.round_trip(edge, BYTE, seq_len=16).toPandas().sort_values("start")
+    library = Tokenizer.from_file(BYTE)
+    want = [len(library.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in edge.collect()]
+    assert sorted(got.n_tokens) == sorted(want)
+    assert got.start.tolist() == np.concatenate([[0], got.n_tokens.cumsum()[:-1]]).tolist()
+    ids = got.doc_id.tolist()
+    assert all(math.isnan(i) for i in ids[:2]) and ids[2:] == sorted(ids[2:])
+    assert token_files.round_trip(edge.limit(0), BYTE).count() == 0
+
+
+def test_token_sequences_are_views_of_the_file(tmp_path):
+    w = token_files.ShardWriter(str(tmp_path), "s", np.dtype("<u2"), 8)
+    flat = np.arange(1, 1500, dtype="<u2")
+    for part in np.array_split(flat, 7):
+        w.add(1, part)
+    w.close()
+    r = token_files.ShardReader(str(tmp_path), "s.ids.arrow")
+    ids, mask = r.sequence(70)
+    assert ids.base is not None and ids.tolist() == list(range(561, 569)) and all(mask.to_pylist())
+    last, mask = r.sequence(187)
+    assert mask.to_pylist() == [True] * 3 + [False] * 5 and last.tolist() == [1497, 1498, 1499, 0, 0, 0, 0, 0]
+    assert np.concatenate(list(r.ids(500, 700))).tolist() == list(range(501, 1201))
+
+
+def test_packing_of_edge_rows(spark, edge):
+    one = edge.where("doc_id is not null").dropDuplicates(["doc_id"])
+    texts = {r.doc_id: r.text for r in one.collect()}
+    check_packing(packing.pack(one, WORD, shard_tokens=3000).toPandas(), texts)
+    every = packing.pack(edge, WORD).toPandas()
+    assert every.length.sum() == sum(len(Tokenizer.from_file(WORD).encode(r.text or "", add_special_tokens=False).ids) + 1 for r in edge.collect())
+    assert packing.pack(edge.limit(0), WORD).count() == 0
+
+
+def test_packing_puts_like_documents_together():
+    rng = np.random.default_rng(2)
+    docs = [rng.integers(1000 * (i % 4), 1000 * (i % 4) + 200, 100).astype("<u2") for i in range(160)]
+    full = [s for s in packing.pack_shard(docs, 400) if sum(n for *_, n in s) == 400]
+    assert len(full) == 40
+    same = [len({d % 4 for d, *_ in s}) == 1 for s in full]
+    assert np.mean(same) > 0.85
+
+
+def test_simhash_of_edge_rows(edge):
+    got = simhash.near_duplicates(edge).collect()
+    assert len(got) == edge.count()
+    zero = [r for r in got if r.fingerprint == "0" * 16]
+    assert len(zero) >= 5 and {r.component_id for r in zero} == {1}
+    assert next(r for r in got if r.doc_id == 0).component_id == 0
+    kept = simhash.keep_first(edge)
+    assert kept.columns == edge.columns
+    assert kept.count() == len({r.fingerprint for r in got})  # no two of these texts are near copies
+    assert simhash.keep_first(edge.limit(0)).count() == 0
+    assert simhash.near_duplicates(edge.limit(0)).count() == 0
+
+
+def test_line_dedup_of_edge_rows(spark, edge):
+    got = line_dedup.dedup_lines(edge)
+    assert got.columns[:-1] == edge.columns and got.columns[-1] == "removed_lines_"
+    rows = got.select("doc_id", "text", F.col("removed_lines_").alias("n")).collect()
+    assert len(rows) == edge.count()
+    assert {r.n for r in rows if r.doc_id == 0 and r.text} == {1 - 1} or all(r.n == 1 for r in rows if r.doc_id == 0)
+    assert all(r.text is None for r in rows if r.doc_id == 3)
+    assert line_dedup.dedup_lines(edge.limit(0)).count() == 0
+
+
+def test_mixing_of_edge_rows(spark, edge):
+    for cells in (100_000, 0):  # raked on the driver, and in Spark
+        got = mixing.mix(edge, max_cells=cells)
+        assert got.columns == [*edge.columns, "mix_"]
+        rows = got.select("mix_.*").collect()
+        assert len(rows) == edge.count() and all(0 <= r.probability <= 1 for r in rows)
+        assert mixing.mix(edge.limit(0), max_cells=cells).count() == 0
+    assert mixing.sampled(edge).columns == edge.columns
+
+
+def test_both_ways_of_raking_agree(spark):
+    rows = [(i, f"word{i % 5} " * (1 + i % 7), ["en", "de", "fr"][i % 3], f"s{i % 4 if i % 2 else 0}") for i in range(300)]
+    docs = staged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), "raked")
+    targets = {"lang": {"en": 0.5, "de": 0.3}, "source": {"s1": 0.4}}
+    p = [mixing.mix(docs, targets, max_cells=m).select("doc_id", "mix.*").toPandas().sort_values("doc_id") for m in (1000, 0)]
+    assert np.allclose(p[0].probability, p[1].probability, atol=1e-4)
+
+
+def test_embeddings_of_edge_rows(spark):
+    v = [1.0, 2.0, 3.0]
+    rows = [
+        (0, v, 1), (1, v, 1), (1, v, 1), (2, None, 1), (3, [0.0, 0.0, 0.0], 1), (4, [1.0, None, 2.0], 1),
+        (5, [math.nan, 1.0, 1.0], 1), (6, [math.inf, 1.0, 1.0], 1), (7, v, None), (8, v, 2), (9, [1.0, 2.0], 1),
+        (None, [2.0, 4.0, 6.0], 1), (10, [], 1), (11, [-1.0, -2.0, -3.0], 1), (12, [1e30, 2e30, 3e30], 2),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("node", F.lit(1))
+    got = embedding_dedup.near_duplicates(df).collect()
+    assert len(got) == len(rows)
+    by = {r.vec_id: r for r in got}
+    assert by[0].n_links == 3 and by[1].component_id == 0 and by[None].component_id == 0 and not by[None].kept
+    assert all(by[i].n_links == 0 and by[i].component_id == i and by[i].kept for i in (2, 3, 4, 5, 6, 7, 9, 10, 11))
+    assert by[12].component_id == 8 and by[8].n_links == 1
+    assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_pipeline_stages_of_edge_rows(spark, edge):
+    docs = edge
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "")
+        if name != "packing":
+            assert out.columns == edge.columns, name
+        assert stage(spark, docs.limit(0), "").count() == 0
+        docs = staged(out, name)
+    assert docs.count() >= 1
+
+
+def test_pipeline_against_its_parts(spark):
+    """Stage by stage over a small table: what each keeps, by plain Python."""
+    from conftest import SF_SMALL
+    from test_llm_queries import lines_by_hand, simhash_by_hand
+
+    source = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    docs, kept = source, []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = staged(stage(spark, docs, SF_SMALL), name)
+        kept.append(docs.toPandas())
+    judged = quality_rules.judge(source).toPandas()
+    assert set(kept[0].doc_id) == set(judged.doc_id[[q["kept"] for q in judged.quality]])
+    short = {r.doc_id: r.text for r in kept[0].itertuples() if len(r.text.split("\n")) < 60}
+    want = lines_by_hand(sorted(short.items())) if len(short) == len(kept[0]) else {}
+    for r in kept[1].itertuples():
+        assert r.n_chars == len(r.text)
+        if want:
+            assert r.text == want[r.doc_id]
+    prints = [simhash_by_hand(t) for t in kept[1].sort_values("doc_id").text]
+    ids = sorted(kept[1].doc_id)
+    pairs = [(a, b) for a in range(len(ids)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 2]
+    assert set(kept[2].doc_id) == {ids[r] for r in set(union(len(ids), pairs))}
+    assert set(kept[3].doc_id) <= set(kept[2].doc_id) and 0.4 < len(kept[3]) / len(kept[2]) < 1
+    check_packing(kept[4], dict(zip(kept[3].doc_id, kept[3].text)))
+    assert isinstance(kept[4], pd.DataFrame) and corpus_pipeline.run(spark, SF_SMALL).count() == len(kept[4])
