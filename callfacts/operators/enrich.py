@@ -3,8 +3,8 @@
 Strategies
 ----------
 ``broadcast``  hash the dimension and ship it to every task (no shuffle of the
-               facts).  Forced, as the original job does; only safe while the
-               dimension is small.
+               facts), as the original job does.  Measured too: a dimension
+               over ``broadcast_max_bytes`` is refused (``BroadcastTooLarge``).
 ``hash``       shuffled hash join with the dimension as the build side: both
                sides are shuffled on the key, the facts are streamed through a
                per-partition hash table of the dimension -- no sort of the
@@ -15,10 +15,11 @@ Strategies
                memory bound on either side, spills as needed.
                For ``hash`` and ``shuffle`` AQE splits a skewed key's
                partition at runtime (``spark.sql.adaptive.skewJoin.enabled``).
-``split``      exact hot-key split without relying on AQE: keys holding at
-               least ``hot_key_rows`` facts are found by a partial aggregate,
-               joined against a broadcast of just their (bounded) dimension
-               rows; all other keys go through the shuffle join.
+``split``      salted hot keys, without relying on AQE: keys holding at least
+               ``hot_key_rows`` facts are found by a partial aggregate; their
+               facts are dealt over as many salts as they hold that many rows
+               and their dimension rows are repeated once per salt, so every
+               key goes through the one sort-merge join on (key, salt).
 ``spark``      no hint and no size check: Spark and AQE choose from their own
                estimates (a file-size estimate is not a proven bound; kept
                for comparison and for sessions that tune the thresholds).
@@ -50,17 +51,24 @@ KEY = "_client_key"
 STRATEGIES = ("auto", "broadcast", "hash", "shuffle", "split", "spark")
 _HINTS = {"broadcast": "broadcast", "hash": "shuffle_hash", "shuffle": "merge", "spark": None}
 
-# Defaults of the hot-key split: a key is hot from this many fact rows on, and
-# at most this many hot keys are split off (the rest stay in the shuffle join,
-# which is exact for them too).
+SALT = "_client_salt"
+
+# Default of the hot-key split: a key is hot from this many fact rows on.  The
+# list of hot keys is broadcast; N rows hold at most N / T keys of T rows, so
+# where the list passes HOT_LIST_ROWS the threshold T is doubled until it fits.
+# A key below it holds under 2 N / HOT_LIST_ROWS rows, which one task can join.
 DEFAULT_HOT_KEY_ROWS = 1_000_000
-DEFAULT_MAX_HOT_KEYS = 10_000
+HOT_LIST_ROWS = 1_000_000
 
 # Largest share of the dimension that one shuffle partition may hold for the
 # hash join's in-memory build side.
 DEFAULT_HASH_PARTITION_MAX_BYTES = 64 * 1024 * 1024
 
 
+class BroadcastTooLarge(ValueError):
+    """A forced broadcast of a side whose measured size is over the bound."""
+
+
 def _aqe_splits_skew(spark) -> bool:
     on = lambda k, d: (spark.conf.get(k, d) or d).strip().lower() == "true"
     return on("spark.sql.adaptive.enabled", "true") and on("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -93,12 +101,17 @@ def choose_strategy(
     hash_partition_max_bytes: int = DEFAULT_HASH_PARTITION_MAX_BYTES,
 ) -> str:
     """The tier for joining to ``dim`` (the projected join side, see
-    ``client_side``).  A forced strategy is returned as is; ``auto`` measures
+    ``client_side``).  A forced strategy is returned as is, ``broadcast`` only
+    after a check of the measured size; ``auto`` measures
     ``dim`` once -- total bytes and, on the join's own partitioning, the
     largest partition -- and picks broadcast / hash / shuffle (or split when
     AQE will not split skewed partitions)."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown join strategy {strategy!r}; use one of {STRATEGIES}")
+    if strategy == "broadcast":
+        size = measure(dim)
+        if size.bytes > broadcast_max_bytes:
+            raise BroadcastTooLarge(f"the dimension has {size.bytes} bytes; the broadcast bound is {broadcast_max_bytes}")
     if strategy != "auto":
         return strategy
     spark = dim.sparkSession
@@ -121,33 +134,36 @@ def _join(
     return joined.select(*[F.col(f"facts.`{c}`") for c in out], *[F.col(f"clients.`{c}`") for c in dim_columns])
 
 
-def _split_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    out: Sequence[str],
-    dim_columns: Sequence[str],
-    hot_key_rows: int,
-    max_hot_keys: int,
-    max_bytes: int,
-    cold_hint: str = "merge",
-) -> DataFrame:
+def hot_keys(facts: DataFrame, hot_key_rows: int, list_rows: int | None = None) -> DataFrame:
+    """``(key, salts)`` of every key with at least ``hot_key_rows`` facts (see HOT_LIST_ROWS).
+
+    Counts are partially aggregated; the list is written once to the shared
+    checkpoint folder, so it survives the loss of an executor.
+    """
     scratch.shared_root(facts.sparkSession)  # checkpoint() needs the shared folder
+    list_rows = HOT_LIST_ROWS if list_rows is None else list_rows
     counts = facts.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
-    # Bounded by construction: at most max_hot_keys BIGINTs, written once to
-    # the shared checkpoint folder (survives executor loss, scanned once).
-    hot = (
-        counts.where(F.col("n") >= hot_key_rows)
-        .orderBy(F.col("n").desc(), F.col(KEY))
-        .limit(max_hot_keys)
-        .select(KEY)
-        .checkpoint(eager=True)
+    hot = counts.where(F.col("n") >= hot_key_rows).checkpoint(eager=True)
+    while hot.count() > list_rows:
+        hot_key_rows *= 2
+        hot = hot.where(F.col("n") >= hot_key_rows)
+    return hot.select(KEY, F.ceil(F.col("n") / F.lit(hot_key_rows)).cast("int").alias(SALT))
+
+
+def _split_join(
+    facts: DataFrame, dim: DataFrame, out: Sequence[str], dim_columns: Sequence[str], hot_key_rows: int
+) -> DataFrame:
+    hot = F.broadcast(hot_keys(facts, hot_key_rows))  # bounded by HOT_LIST_ROWS rows of 12 bytes
+    # a hash of the whole fact, not a random number: a retried task deals its rows as before
+    deal = F.xxhash64(*[F.col(f"`{c}`") for c in out])
+    salted = facts.join(hot, KEY, "left").withColumn(SALT, F.coalesce(F.pmod(deal, F.col(SALT)).cast("int"), F.lit(0)))
+    spread = dim.join(hot, KEY, "left").withColumn(
+        SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SALT), F.lit(1)) - 1))
     )
-    hot_dim = dim.join(F.broadcast(hot), KEY, "left_semi").checkpoint(eager=True)
-    if measure(hot_dim).bytes > max_bytes:
-        return _join(facts, dim, out, dim_columns, cold_hint)
-    hot_part = _join(facts, hot_dim, out, dim_columns, "broadcast")
-    cold_facts = facts.join(F.broadcast(hot), KEY, "left_anti")
-    return hot_part.unionByName(_join(cold_facts, dim, out, dim_columns, cold_hint))
+    f, d = salted.alias("facts"), spread.alias("clients").hint("merge")
+    on = (F.col(f"facts.{KEY}") == F.col(f"clients.{KEY}")) & (F.col(f"facts.{SALT}") == F.col(f"clients.{SALT}"))
+    joined = f.join(d, on, "inner")
+    return joined.select(*[F.col(f"facts.`{c}`") for c in out], *[F.col(f"clients.`{c}`") for c in dim_columns])
 
 
 def client_side(dim: DataFrame, dim_key: str = "id", dim_columns: Sequence[str] = ("name",)) -> DataFrame:
@@ -166,7 +182,6 @@ def join_client(
     strict: bool = False,
     broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
-    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
     hash_partition_max_bytes: int = DEFAULT_HASH_PARTITION_MAX_BYTES,
 ) -> DataFrame:
     """Inner join facts to the dimension; returns the fact columns + ``dim_columns``.
@@ -182,7 +197,5 @@ def join_client(
     side = client_side(dim, dim_key, dim_columns)
     how = choose_strategy(side, strategy, broadcast_max_bytes, hash_partition_max_bytes)
     if how == "split":
-        return _split_join(
-            keyed, side, facts.columns, dim_columns, hot_key_rows, max_hot_keys, broadcast_max_bytes
-        )
+        return _split_join(keyed, side, facts.columns, dim_columns, hot_key_rows)
     return _join(keyed, side, facts.columns, dim_columns, _HINTS[how])

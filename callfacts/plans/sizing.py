@@ -10,7 +10,6 @@ action also fills the cache, so the scan is not wasted.
 from __future__ import annotations
 
 import re
-from collections import OrderedDict
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -50,11 +49,7 @@ class Size:
     max_partition_bytes: int = 0  # largest share of one hash partition (0: not measured)
 
 
-_MEMO: OrderedDict[tuple, Size] = OrderedDict()
-_MEMO_ENTRIES = 64
-
-
-def measure(df: DataFrame, key: str | None = None, partitions: int | None = None, *, memo: bool = True) -> Size:
+def measure(df: DataFrame, key: str | None = None, partitions: int | None = None) -> Size:
     """Exact rows and bytes of ``df``; with ``key`` and ``partitions`` also the
     bytes of its largest hash partition on ``key``.
 
@@ -65,25 +60,8 @@ def measure(df: DataFrame, key: str | None = None, partitions: int | None = None
     before it shuffles or broadcasts.  One action either way; the grouped form
     aggregates to at most ``partitions`` rows before its tiny shuffles.
 
-    With ``memo`` a result is reused for the same plan over the very same
-    files (data files are immutable; a rewrite or an added file changes the
-    listing and so the key).  Plans without a file listing -- in-memory,
-    cached or external sources -- are measured every time.
+    Nothing is remembered between calls: a file may be rewritten in place.
     """
-    files = tuple(sorted(df.inputFiles())) if memo else ()
-    memo_key = (df.semanticHash(), files, key, partitions) if files else None
-    if memo_key is not None and memo_key in _MEMO:
-        _MEMO.move_to_end(memo_key)
-        return _MEMO[memo_key]
-    result = _measure(df, key, partitions)
-    if memo_key is not None:
-        _MEMO[memo_key] = result
-        while len(_MEMO) > _MEMO_ENTRIES:
-            _MEMO.popitem(last=False)
-    return result
-
-
-def _measure(df: DataFrame, key: str | None, partitions: int | None) -> Size:
     size = row_bytes(df.schema)
     if key is None or not partitions:
         r = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")).first()

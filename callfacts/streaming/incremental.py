@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from callfacts import schemas as S
 from callfacts.operators.enrich import choose_strategy, client_side
 from callfacts.plans.job import JoinOptions, enrich_calls, enrich_chats
-from callfacts.sources.readers import TIMESTAMP_NTZ_FORMAT, read_table
+from callfacts.sources.readers import read_table
 
 KINDS = ("calls", "chats")
 
@@ -31,13 +31,15 @@ def fact_stream(
     root: str,
     *,
     max_files_per_trigger: int | None = None,
-    timestamp_format: str = TIMESTAMP_NTZ_FORMAT,
+    timestamp_format: str | None = None,
 ) -> DataFrame:
     """Streaming read of a fact root under the declared schema (+ ``date``)."""
     if kind not in KINDS:
         raise ValueError(f"kind is one of {KINDS}")
     schema = S.with_partition(S.CALL if kind == "calls" else S.CHAT_RAW)
-    reader = spark.readStream.schema(schema).option("timestampNTZFormat", timestamp_format)
+    reader = spark.readStream.schema(schema)
+    if timestamp_format:
+        reader = reader.option("timestampNTZFormat", timestamp_format)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if kind == "calls":
@@ -68,12 +70,16 @@ def start(
     trigger: str = "available_now",
     processing_time: str = "1 minute",
     max_files_per_trigger: int | None = None,
-    timestamp_format: str = TIMESTAMP_NTZ_FORMAT,
+    timestamp_format: str | None = None,
 ) -> StreamingQuery:
     """Start the incremental enrichment of one fact kind; returns the running query.
 
     The join strategy is decided once, from the measured dimension, when the
-    query starts.  The sink is partitioned by ``date``.
+    query starts.  A query that stays (``processing_time``) therefore never
+    broadcasts or hashes the dimension, which may grow meanwhile: it takes the
+    sort-merge join.  ``split`` needs statistics of the whole input, which a
+    stream never has: it is refused, and so is a session whose AQE would not
+    split skewed keys.  The sink is partitioned by ``date``.
     """
     facts = fact_stream(
         spark, kind, fact_root, max_files_per_trigger=max_files_per_trigger, timestamp_format=timestamp_format
@@ -81,12 +87,11 @@ def start(
     dim = read_table(spark, dim_table, S.CLIENT)
     how = choose_strategy(client_side(dim), join.strategy, join.broadcast_max_bytes, join.hash_partition_max_bytes)
     if how == "split":
-        # The hot-key split needs statistics of the whole input, which a stream
-        # never has.  ``auto`` only picks it when AQE skew handling is off, so
-        # the stream falls back to the sort-merge join without skew splits:
-        # keep micro-batches small with max_files_per_trigger, or turn AQE skew
-        # handling on (micro-batches of this stateless query are planned
-        # adaptively, so their skewed partitions are then split).
+        raise ValueError(
+            "a stream cannot split hot keys: choose another join strategy, or turn on "
+            "spark.sql.adaptive.enabled and spark.sql.adaptive.skewJoin.enabled"
+        )
+    if trigger == "processing_time" and how in ("broadcast", "hash"):
         how = "shuffle"
     fixed = join.fixed(how)
     if kind == "calls":

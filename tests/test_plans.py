@@ -74,18 +74,39 @@ def _jobs_in(spark, group, fn):
     return len(sc.statusTracker().getJobIdsForGroup(group))
 
 
-def test_measure_is_reused_only_for_the_same_files(spark, dim):
-    side = client_side(dim)
-    first = measure(side, KEY, 8)
-    again = client_side(fixtures.clients_frame(spark, SF_SMALL))  # built anew, same plan and files
-    assert _jobs_in(spark, "measure-again", lambda: measure(again, KEY, 8)) == 0
-    assert measure(again, KEY, 8) == first
-    assert _jobs_in(spark, "measure-forced", lambda: measure(again, KEY, 8, memo=False)) > 0
-    other = client_side(fixtures.clients_frame(spark, SF_ORACLE))  # other files: measured
-    assert _jobs_in(spark, "measure-other", lambda: measure(other, KEY, 13)) > 0  # 13: a key no other test uses
-    mem = spark.createDataFrame([(1, "a")], "_client_key long, name string")  # no files: always measured
-    assert _jobs_in(spark, "measure-mem", lambda: measure(mem, KEY, 8)) > 0
-    assert _jobs_in(spark, "measure-mem-2", lambda: measure(mem, KEY, 8)) > 0
+def test_measure_sees_a_dimension_rewritten_in_place(spark):
+    from callfacts import scratch
+
+    path = scratch.fresh_folder(spark, "tests", "dim") + "/dim.parquet"
+    spark.range(10).selectExpr("id", "'n' AS name").write.parquet(path)
+    assert choose_strategy(client_side(spark.read.parquet(path)), "auto", 1000) == "broadcast"
+    spark.range(100_000).selectExpr("id", "'n' AS name").write.mode("overwrite").parquet(path)
+    assert choose_strategy(client_side(spark.read.parquet(path)), "auto", 1000) != "broadcast"
+
+
+def test_forced_broadcast_of_a_large_side_is_refused(spark, dim):
+    from callfacts.operators.enrich import BroadcastTooLarge
+
+    with pytest.raises(BroadcastTooLarge, match="bytes"):
+        choose_strategy(client_side(dim), "broadcast", 10)
+
+
+def test_split_has_no_cap_and_no_fallback(spark, dim, skewed_calls, session_conf):
+    """Every hot key is salted, with a tiny broadcast bound and a list bound below the number of hot keys."""
+    from callfacts.operators import enrich
+
+    expected = join_client(skewed_calls, dim, strategy="broadcast")
+    off = {"spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    with session_conf(**off):
+        assert choose_strategy(client_side(dim), "auto", 10) == "split"
+        got = join_client(skewed_calls, dim, strategy="auto", hot_key_rows=2, broadcast_max_bytes=10)
+        assert same_rows(expected, got)
+    keyed = skewed_calls.withColumn(KEY, F.col("clientId").try_cast("bigint"))
+    every = enrich.hot_keys(keyed, 2)
+    few = enrich.hot_keys(keyed, 2, list_rows=every.count() // 2)
+    assert 0 < few.count() <= every.count() // 2
+    top = keyed.groupBy(KEY).count().where(f"{KEY} IS NOT NULL").orderBy(F.desc("count")).first()[0]
+    assert top in {r[0] for r in few.select(KEY).collect()}  # the hottest keys stay on the list
 
 
 def test_parse_bytes():
@@ -144,12 +165,12 @@ def test_null_and_text_keys_are_filtered_before_the_shuffle(spark, dim, skewed_c
 def test_strategies_agree_with_broadcast_under_skew(spark, dim, skewed_calls, session_conf, strategy):
     expected = join_client(skewed_calls, dim, strategy="broadcast")
     with session_conf(**{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        got = join_client(skewed_calls, dim, strategy=strategy, hot_key_rows=50, max_hot_keys=4)
+        got = join_client(skewed_calls, dim, strategy=strategy, hot_key_rows=50)
         assert same_rows(expected, got)
         assert got.count() == expected.count() > 0
         plan = plan_text(got)
         if strategy == "split":
-            assert "Union" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+            assert "SortMergeJoin" in plan and "_client_salt" in plan and "Union" not in plan
         if strategy == "hash":
             assert "ShuffledHashJoin" in plan and "BuildRight" in plan and "Sort " not in plan
 
