@@ -53,6 +53,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--time-rule", default="zone", choices=("zone", "fixed"))
     p.add_argument("--join-strategy", default="auto", choices=STRATEGIES)
     p.add_argument("--broadcast-max-bytes", type=int, default=DEFAULT_BROADCAST_MAX_BYTES)
+    p.add_argument("--timestamp-format", help="pattern of the facts' times (ISO forms need none)")
+    p.add_argument("--allow-empty", action="store_true", help="accept a date without data")
     p.add_argument("--strict-keys", action="store_true")
     p.add_argument("--strict-dates", action="store_true")
     return p
@@ -96,6 +98,8 @@ def main(argv: list[str] | None = None) -> int:
         strict_dates=args.strict_dates,
         publish=args.publish,
         staging_root=args.staging_root,
+        timestamp_format=args.timestamp_format,
+        allow_empty=args.allow_empty,
     )
     print(json.dumps(result.__dict__))
     return 0

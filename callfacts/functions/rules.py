@@ -45,6 +45,16 @@ def fact_rules(key: str = "clientId", start: str = "startAt", end: str = "endAt"
     ]
 
 
+def unreadable_rules(corrupt: str, fields: Iterable[str]) -> list[Rule]:
+    """Fields that are NULL in a record the reader could not read whole.
+
+    ``corrupt`` is the reader's corrupt-record column: it holds the raw record
+    when some field of it did not parse, and is NULL otherwise.
+    """
+    raw = F.col(corrupt)
+    return [(raw.isNotNull() & F.col(f).isNull(), f"{f} is unreadable") for f in fields]
+
+
 def message_rules(messages: str = "messages", field: str = "sendAt", pattern: str = MESSAGE_DATE_PATTERN) -> list[Rule]:
     """Rules over a raw (text-dated) message list."""
     unreadable = F.exists(

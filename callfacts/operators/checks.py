@@ -52,14 +52,18 @@ class StrictInputError(ValueError):
 def require_none(df: DataFrame, rules: list[Rule], *, what: str, show: str = "id") -> None:
     """Fail if any row breaks one of ``rules``.
 
-    A bounded probe: ``limit(1)`` stops at the first offending row and brings
-    only that row to the driver.  Meant to run before a write, so a strict
-    failure can never leave a half-replaced target.
+    One pass over ``df`` for all rules together: a count and one example per
+    rule, in one row.  Meant to run before a write, so a strict failure can
+    never leave a half-replaced target.
     """
-    for cond, message in rules:
-        hit = df.where(cond).select(show).limit(1).collect()
-        if hit:
-            raise StrictInputError(f"{what}: {message} ({show}={hit[0][0]!r}); nothing was written")
+    if not rules:
+        return
+    shown = F.coalesce(F.col(show).cast("string"), F.lit("NULL"))
+    found = [c for cond, _ in rules for c in (F.count_if(cond), F.min(F.when(cond, shown)))]
+    row = df.agg(*[c.alias(f"_{i}") for i, c in enumerate(found)]).first()
+    broken = [f"{m} ({row[2 * i]} rows, e.g. {show}={row[2 * i + 1]!r})" for i, (_, m) in enumerate(rules) if row[2 * i]]
+    if broken:
+        raise StrictInputError(f"{what}: {'; '.join(broken)}; nothing was written")
 
 
 def passing(df: DataFrame, *, column: str = COLUMN) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callfacts import schemas as S
 
@@ -44,3 +45,11 @@ def chat_messages(
         m.getField("text").alias("text"),
         (send_at(sent) if send_at else sent).alias("sendAt"),
     )
+
+
+def as_message_list(df: DataFrame, messages: str = "messages") -> DataFrame:
+    """Chats whose ``messages`` are one object each, as lists of that one message."""
+    if not isinstance(df.schema[messages].dataType, T.StructType):
+        return df
+    m = F.col(messages)
+    return df.withColumn(messages, F.when(m.isNotNull(), F.array(m)))

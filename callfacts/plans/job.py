@@ -5,8 +5,8 @@ read dimension (catalog) + calls (CSV) + chats (JSON) under declared schemas
 -> ClientCall / ClientChat -> write calls, then chats.
 
 The fact folders are resolved before anything is written, so a missing date
-fails with the targets untouched.  The dimension is cached for both joins and
-always released.  The join strategy is chosen once, from the measured
+fails with the targets untouched.  A dimension too large to broadcast is cached
+for both joins and always released.  The join strategy is chosen once, from the measured
 dimension, and used for both joins.
 """
 
@@ -14,28 +14,29 @@ from __future__ import annotations
 
 import dataclasses
 from collections.abc import Mapping
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from callfacts import schemas as S
 from callfacts.operators.enrich import (
     DEFAULT_HASH_PARTITION_MAX_BYTES,
     DEFAULT_HOT_KEY_ROWS,
-    DEFAULT_MAX_HOT_KEYS,
     choose_strategy,
     client_side,
     join_client,
 )
 from callfacts.operators.normalize import parse_message_times, to_utc
-from callfacts.functions.rules import key_not_number, message_rules
+from callfacts.functions.rules import key_not_number, message_rules, unreadable_rules
 from callfacts.functions.times import parse_date_text
 from callfacts.operators.checks import require_none
-from callfacts.operators.shapes import chat_messages
+from callfacts.operators.shapes import as_message_list, chat_messages
 from callfacts.plans.cache import cached
 from callfacts.plans.sizing import DEFAULT_BROADCAST_MAX_BYTES
 from callfacts.sinks.publish import publish_staged
-from callfacts.sinks.writer import write_table
+from callfacts.sinks.writer import SelfOverwriteError, qualified, write_table
 from callfacts.sources.readers import Partition, read_calls_csv, read_chats_json, read_table, require_files
 
 
@@ -45,7 +46,6 @@ class JoinOptions:
     strict: bool = False
     broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS
-    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS
     hash_partition_max_bytes: int = DEFAULT_HASH_PARTITION_MAX_BYTES
 
     def kwargs(self) -> dict:
@@ -54,7 +54,6 @@ class JoinOptions:
             strict=self.strict,
             broadcast_max_bytes=self.broadcast_max_bytes,
             hot_key_rows=self.hot_key_rows,
-            max_hot_keys=self.max_hot_keys,
             hash_partition_max_bytes=self.hash_partition_max_bytes,
         )
 
@@ -63,6 +62,28 @@ class JoinOptions:
         return dataclasses.replace(self, strategy=strategy)
 
 
+# The reader's column for records it could not read whole.
+CORRUPT = "_corrupt_fact"
+
+
+def _require_apart(
+    spark: SparkSession, calls_table: str, chats_table: str, dim_table: str, dim: DataFrame, catalog: bool
+) -> None:
+    """Refuse targets that are one another, or the dimension, before anything is written."""
+    if catalog:
+        names = [n.lower() for n in (calls_table, chats_table, dim_table)]
+        if len(set(names)) < 3:
+            raise SelfOverwriteError(f"the targets and the dimension must be three tables, not {names}")
+        return
+    a, b = (qualified(spark, t) for t in (calls_table, chats_table))
+    if f"{a}/".startswith(f"{b}/") or f"{b}/".startswith(f"{a}/"):
+        raise SelfOverwriteError(f"the two targets overlap: {a} and {b}")
+    for f in (qualified(spark, x) for x in dim.inputFiles()):
+        for t in (a, b):
+            if f"{f}/".startswith(f"{t}/"):
+                raise SelfOverwriteError(f"refusing to write to {t}: the dimension is read from {f}")
+
+
 def _shape(df: DataFrame, schema, keep_partition: bool) -> DataFrame:
     keep = (S.PARTITION_COLUMN,) if keep_partition else ()
     return S.conform(df, schema, keep=keep)
@@ -142,6 +163,9 @@ def run(
     strict_dates: bool = False,
     publish: str = "overwrite",
     staging_root: str | None = None,
+    timestamp_format: str | None = None,
+    chat_schema: T.StructType = S.CHAT_RAW,
+    allow_empty: bool = False,
 ) -> JobResult:
     """Run the job for ``partition`` (a date, a list of dates, or None = all).
 
@@ -151,23 +175,35 @@ def run(
     ``publish="staged"`` (catalog targets, whole-table) both outputs are
     written below ``staging_root`` first and the two tables are repointed only
     after both writes succeeded.
+
+    Times are read by the ISO rules or by ``timestamp_format``; chats whose
+    ``messages`` are one object each are read with a ``chat_schema`` that says
+    so, and come out with a list of one message.  With a strict mode a record
+    that cannot be read whole fails the job before any write.  A requested
+    date without a byte of data fails too, unless ``allow_empty``.
     """
     if publish not in ("overwrite", "staged"):
         raise ValueError("publish is 'overwrite' or 'staged'")
     if publish == "staged" and not (catalog and staging_root and partition_overwrite is None and mode == "overwrite"):
         raise ValueError("staged publish needs catalog targets, a staging_root and whole-table overwrite")
     dim = read_table(spark, dim_table, S.CLIENT)
-    calls = read_calls_csv(spark, calls_root, partition)  # fails here if a date is missing
-    chats = read_chats_json(spark, chats_root, partition)
-    require_files(calls, calls_root, partition)  # ... or holds no data files
-    require_files(chats, chats_root, partition)
+    _require_apart(spark, calls_table, chats_table, dim_table, dim, catalog)
+    read = dict(timestamp_format=timestamp_format, corrupt_column=CORRUPT)  # pruned where no rule asks for it
+    calls = read_calls_csv(spark, calls_root, partition, **read)  # fails here if a date is missing
+    chats = as_message_list(read_chats_json(spark, chats_root, partition, schema=chat_schema, **read))
+    if not allow_empty:
+        require_files(calls, calls_root, partition)  # ... or holds no data
+        require_files(chats, chats_root, partition)
     # Strict modes are checked before any write: an overwrite removes the old
     # target when it starts, so a failure inside it would leave nothing.
-    if join.strict:
-        require_none(calls, [key_not_number()], what="calls", show="clientId")
-        require_none(chats, [key_not_number()], what="chats", show="clientId")
-    if strict_dates:
-        require_none(chats, message_rules(), what="chats")
+    # One pass per fact over all rules.
+    keys = [key_not_number()] if join.strict else []
+    if join.strict or strict_dates:
+        times = ["startAt", "endAt"]
+        require_none(calls, keys + unreadable_rules(CORRUPT, times), what="calls", show="clientId")
+        dates = message_rules() if strict_dates else []
+        require_none(chats, keys + dates + unreadable_rules(CORRUPT, [*times, "messages"]), what="chats", show="clientId")
+    calls, chats = calls.drop(CORRUPT), chats.drop(CORRUPT)
     keep = partition_overwrite is not None
     sink = dict(
         fmt=sink_format,
@@ -178,12 +214,11 @@ def run(
         partition_overwrite=partition_overwrite,
         read_roots=[calls_root, chats_root],  # compare folders, not every input file
     )
-    with cached(dim) as shared:
-        # measured once (this also fills the cache), used for both joins
-        how = choose_strategy(
-            client_side(shared), join.strategy, join.broadcast_max_bytes, join.hash_partition_max_bytes
-        )
-        fixed = join.fixed(how)
+    # measured once, used for both joins
+    how = choose_strategy(client_side(dim), join.strategy, join.broadcast_max_bytes, join.hash_partition_max_bytes)
+    fixed = join.fixed(how)
+    # A dimension small enough to broadcast is read again faster than it is cached.
+    with nullcontext(dim) if how == "broadcast" else cached(dim) as shared:
         calls_out = enrich_calls(calls, shared, time_rule=time_rule, join=fixed, keep_partition=keep)
         chats_out = enrich_chats(chats, shared, join=fixed, strict_dates=strict_dates, keep_partition=keep)
         if publish == "staged":

@@ -1,8 +1,9 @@
 """Shared scratch folders for staged and derived tables.
 
 On a cluster the shared folder is the one the session names in
-``spark.checkpoint.dir`` (HDFS, object store, ...).  Only where it is unset,
-as in local tests, a folder of our own is made and set as the checkpoint dir.
+``spark.checkpoint.dir`` (HDFS, object store, ...); without it the call fails.
+Only under a ``local`` master, as in tests, a folder of our own is made and set
+as the checkpoint dir.
 Every process writes below its own unique run folder, so runs never clear or
 overwrite each other's files.
 """
@@ -22,6 +23,8 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="callfacts-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

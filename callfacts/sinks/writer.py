@@ -16,9 +16,8 @@ single write all-or-nothing; two writes in a row are not one transaction.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from urllib.parse import urlparse
-
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 
 from callfacts.schemas import PARTITION_COLUMN
 
@@ -51,9 +50,19 @@ class SelfOverwriteError(ValueError):
     """An overwrite would delete files the written DataFrame still reads."""
 
 
-def _path_of(uri: str) -> str:
-    path = urlparse(uri).path if "://" in uri or uri.startswith("file:") else uri
-    return "/" + path.strip("/")
+def qualified(spark: SparkSession, uri: str) -> str:
+    """The whole address of a folder: scheme, authority and absolute path.
+
+    The Hadoop file system resolves relative and scheme-less paths.  An address
+    whose file system is not on the class path is compared as it is written.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    try:
+        path = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path)
+    except Py4JJavaError:
+        pass
+    at = path.toUri()
+    return f"{at.getScheme() or ''}://{at.getAuthority() or ''}{at.getPath()}".rstrip("/")
 
 
 def _inside(path: str, root: str) -> bool:
@@ -67,17 +76,18 @@ def guard_self_overwrite(df: DataFrame, target: str, read_roots: Sequence[str] |
     so reading and overwriting the same folder loses the data (Spark guards
     catalog tables, not plain paths).  With ``read_roots`` (the folders the
     caller read from) the check compares folders only; without, it walks the
-    scan's own file listing.  Different file systems with equal paths are
-    refused too: the check errs on the safe side.
+    scan's own file listing.  Whole addresses are compared: relative paths are
+    resolved, and equal paths in different buckets are different folders.
     """
-    root = _path_of(target)
+    spark = df.sparkSession
+    root = qualified(spark, target)
     if read_roots is not None:
-        for r in map(_path_of, read_roots):
+        for r in (qualified(spark, x) for x in read_roots):
             if _inside(r, root) or _inside(root, r):
                 raise SelfOverwriteError(f"refusing to overwrite {target}: the written data is read from {r}")
         return
     for f in df.inputFiles():
-        if _inside(_path_of(f), root):
+        if _inside(qualified(spark, f), root):
             raise SelfOverwriteError(f"refusing to overwrite {target}: the written data reads {f}")
 
 
@@ -111,6 +121,10 @@ def write_table(
         order = df.sparkSession.table(target).columns
         df.select(*order).write.options(**opts).insertInto(target, overwrite=True)
         return
+    if partition_by:
+        # one exchange by date: small dates become one file each instead of one per task,
+        # and AQE cuts a large date into pieces of the advisory size
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -20,7 +20,10 @@ from pyspark.sql import types as T
 
 from callfacts import schemas as S
 
-# Fixed text format of TIMESTAMP_NTZ cells in the fact files (microseconds kept).
+# Text format in which the fixtures write times (microseconds kept).  Readers need no
+# format: without one Spark reads ISO times by its cast rules, with a space or a T and
+# with or without a fraction of a second.  A time that names a zone does not parse: a
+# fact's zone is fixed, so such a cell is unreadable (NULL, raw record kept), not shifted.
 TIMESTAMP_NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 Partition = str | Sequence[str] | None
@@ -37,10 +40,12 @@ def partition_paths(root: str, partition: Partition) -> list[str]:
 
 
 def _fact_reader(
-    spark: SparkSession, root: str, schema: T.StructType, corrupt_column: str | None, timestamp_format: str
+    spark: SparkSession, root: str, schema: T.StructType, corrupt_column: str | None, timestamp_format: str | None
 ):
     read_schema = S.with_partition(schema)
-    reader = spark.read.option("basePath", root.rstrip("/")).option("timestampNTZFormat", timestamp_format)
+    reader = spark.read.option("basePath", root.rstrip("/"))
+    if timestamp_format:
+        reader = reader.option("timestampNTZFormat", timestamp_format)
     if corrupt_column:
         read_schema = T.StructType(read_schema.fields + [T.StructField(corrupt_column, T.StringType())])
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
@@ -63,7 +68,7 @@ def read_calls_csv(
     *,
     schema: T.StructType = S.CALL,
     corrupt_column: str | None = None,
-    timestamp_format: str = TIMESTAMP_NTZ_FORMAT,
+    timestamp_format: str | None = None,
     header: bool = False,
 ) -> DataFrame:
     """S2 + S5: CSV call facts, columns by position (header-less by default;
@@ -72,9 +77,7 @@ def read_calls_csv(
     A cell that does not parse becomes NULL; with ``corrupt_column`` the raw
     line of such a row is kept in that column.  An empty cell reads as NULL
     (CSV has no separate empty string; for the key both mean "no client").
-    Times are parsed with
-    ``timestamp_format`` directly (a matching pattern avoids Spark's per-cell
-    fallback parse after a failed one).
+    Times are read by the ISO rules, or by ``timestamp_format`` if one is given.
     """
     reader = _fact_reader(spark, root, schema, corrupt_column, timestamp_format)
     reader = reader.option("header", str(header).lower()).option("enforceSchema", "true")
@@ -89,7 +92,7 @@ def read_chats_json(
     *,
     schema: T.StructType = S.CHAT_RAW,
     corrupt_column: str | None = None,
-    timestamp_format: str = TIMESTAMP_NTZ_FORMAT,
+    timestamp_format: str | None = None,
 ) -> DataFrame:
     """S3 + S5: JSON-lines chat facts with a nested message list.
 
@@ -109,25 +112,24 @@ class EmptyInputError(ValueError):
     """A requested fact folder holds no data files; nothing was written."""
 
 
+def bytes_below(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder, from the file system's own summary."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
 def require_files(df: DataFrame, root: str, partition: Partition = None) -> None:
-    """Fail when a requested date folder exists but holds no data files.
+    """Fail when a requested date folder exists but holds no bytes of data.
 
     With a declared schema Spark reads such a folder as zero rows, and a
     whole-table overwrite would then empty the target.  (Without a schema the
-    read itself fails, as it cannot infer one.)  For named dates the scan's
-    own listing of those folders is checked date by date; for the whole root,
-    only whether the scan has any partition at all, so no big listing is
-    copied to Python.
+    read itself fails, as it cannot infer one.)  One folder summary per named
+    date, or one of the root; no list of files comes to Python.
     """
-    if partition is None:
-        if df.rdd.getNumPartitions() == 0:
-            raise EmptyInputError(f"no data files under {root}; nothing was written")
-        return
-    dates = [partition] if isinstance(partition, str) else list(partition)
-    files = df.inputFiles()
-    empty = [d for d in dates if not any(f"/{S.PARTITION_COLUMN}={d}/" in f for f in files)]
+    empty = [p for p in partition_paths(root, partition) if bytes_below(df.sparkSession, p) == 0]
     if empty:
-        raise EmptyInputError(f"no data files for {S.PARTITION_COLUMN}={empty} under {root}; nothing was written")
+        raise EmptyInputError(f"no data in {empty}; nothing was written")
 
 
 def read_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
