@@ -7,7 +7,7 @@ they are derived by Spark from the given tables:
 * clients  <- ``customer``      (id = c_custkey, name = c_name)
 * calls    <- ``events``        (every row; times read as Moscow wall time)
 * chats    <- ``conversations`` (one chat per conversation, turns as messages)
-* lines    <- ``events.event_type`` written as text
+* lines    <- ``documents.text`` written as text
 
 Folders are written once per process below the shared scratch folder and
 reused by every query of that process.
@@ -30,15 +30,21 @@ DIM_TABLE = "dim_client"
 # Fixed values of the chat binding: chats start on this day (plus conv_id
 # minutes), message n is dated this day + n days, chats spread over 7 dates.
 # A chat record holds at most CHAT_TURNS consecutive turns of a conversation
-# (block b of conversation c is chat c + b * CHAT_ID_STRIDE), so every
-# collected message list is bounded whatever one conversation holds.
+# (block b of conversation c is chat c * CHAT_ID_STRIDE + b, so no two chats
+# share an id), and every collected message list is bounded whatever one
+# conversation holds.
 CHAT_EPOCH = "2024-01-01"
 CHAT_DATES = 7
 CHAT_TURNS = 64
-CHAT_ID_STRIDE = 1_000_000_000
+CHAT_ID_STRIDE = 1_000_000
 
 # Dirty-key binding: by event_id % 5 the key becomes
 # 0 -> 'x' || key, 1 -> '0' || key, 2 -> ' ' || key || ' ', 3 -> NULL, 4 -> key.
+# Dirty-time binding: by event_id % 7 startAt is NULL (4), endAt is NULL (5) or
+# endAt is an hour before startAt (6).
+# ISO binding: by event_id % 3 both times are written with a space (0), with a T
+# (1), or with a T and a fraction (2); by event_id % 11 = 10 startAt names a
+# zone, which no fact may.
 # Dirty-date binding: message n with n % 4 = 3 gets month 13 ('13/' || its day/year).
 
 
@@ -49,6 +55,7 @@ TABLE_SCHEMAS = {
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE",
     "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ",
     "conversations": "conv_id BIGINT, turn BIGINT, text STRING",
+    "documents": "doc_id BIGINT, text STRING",
 }
 
 
@@ -89,7 +96,31 @@ def dirty_calls_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(r == 3, F.lit(None).cast("string"))
         .otherwise(k)
     )
-    return calls.withColumn("clientId", dirty)
+    t = F.pmod(F.col("id"), F.lit(7))
+    return (
+        calls.withColumn("clientId", dirty)
+        .withColumn("endAt", F.when(t == 6, add_seconds("startAt", F.lit(-3600))).when(t != 5, F.col("endAt")))
+        .withColumn("startAt", F.when(t != 4, F.col("startAt")))
+    )
+
+
+def iso_call_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Call facts whose times are ISO text of several forms, some of them unreadable."""
+
+    def form(c):
+        n = F.pmod(F.col("id"), F.lit(3))
+        text = F.when(n == 0, F.date_format(c, "yyyy-MM-dd HH:mm:ss")).when(n == 1, F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"))
+        return text.otherwise(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS"))
+
+    def write(path: str) -> None:
+        calls = calls_frame(spark, sf_dir)
+        zoned = F.pmod(F.col("id"), F.lit(11)) == 10
+        start = F.concat(form(F.col("startAt")), F.when(zoned, F.lit("Z")).otherwise(F.lit("")))
+        calls.select("id", "clientId", start.alias("startAt"), form(F.col("endAt")).alias("endAt"), "date").write.partitionBy(
+            "date"
+        ).csv(path)
+
+    return _materialize(spark, sf_dir, "fact_call_iso", write)
 
 
 def chats_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,13 +139,12 @@ def chats_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     block = F.floor(F.col("turn") / F.lit(CHAT_TURNS)).alias("block")
     grouped = conv.groupBy("conv_id", block).agg(F.array_sort(F.collect_list(message)).alias("messages"))
-    minutes = lambda n: F.make_dt_interval(mins=n.cast("int"))
-    start = epoch + minutes(F.col("conv_id") + F.col("block") * F.lit(CHAT_TURNS))
+    start = add_seconds(epoch, 60 * (F.col("conv_id") + F.col("block") * F.lit(CHAT_TURNS)))
     return grouped.select(
-        (F.col("conv_id") + F.col("block") * F.lit(CHAT_ID_STRIDE)).alias("id"),
+        (F.col("conv_id") * F.lit(CHAT_ID_STRIDE) + F.col("block")).alias("id"),
         F.col("conv_id").cast("string").alias("clientId"),
         start.alias("startAt"),
-        (start + minutes(F.size("messages"))).alias("endAt"),
+        add_seconds(start, 60 * F.size("messages")).alias("endAt"),
         "messages",
         F.date_add(epoch_day, F.pmod(F.col("conv_id"), F.lit(CHAT_DATES)).cast("int")).alias("date"),
     )
@@ -172,8 +202,28 @@ def chat_folder(spark: SparkSession, sf_dir: str) -> str:
     return _materialize(spark, sf_dir, "fact_chat", write)
 
 
+def dirty_chat_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Chats with unreadable message dates, their times written with a T and no fraction."""
+
+    def write(path: str) -> None:
+        writer = dirty_chats_frame(spark, sf_dir).write.partitionBy("date")
+        writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss").json(path)
+
+    return _materialize(spark, sf_dir, "fact_chat_dirty", write)
+
+
+def struct_chat_folder(spark: SparkSession, sf_dir: str) -> str:
+    """One chat per message: ``messages`` is one object, not a list."""
+
+    def write(path: str) -> None:
+        one = dirty_chats_frame(spark, sf_dir).withColumn("messages", F.explode("messages"))
+        one.write.partitionBy("date").json(path)
+
+    return _materialize(spark, sf_dir, "fact_chat_struct", write)
+
+
 def text_folder(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
-        table(spark, sf_dir, "events").select(F.col("event_type").alias("value")).write.text(path)
+        table(spark, sf_dir, "documents").select("text").write.text(path)
 
     return _materialize(spark, sf_dir, "lines", write)

@@ -12,9 +12,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callfacts import fixtures, scratch
 from callfacts import schemas as S
+from callfacts.functions.rules import unreadable_rules
 from callfacts.functions.times import parse_date_text
 from callfacts.operators.checks import violation_rows
 from callfacts.operators.enrich import join_client
@@ -28,6 +30,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The one date that the single-partition read selects (a date with calls).
 ONE_DATE = "2024-01-05"
 TARGET_SUFFIX = "_stg"
+# Chats whose ``messages`` are one object each.
+CHAT_STRUCT = T.StructType(S.CHAT_RAW.fields[:4] + [T.StructField("messages", S.MESSAGE_RAW)])
 
 
 # -- inputs ------------------------------------------------------------------
@@ -105,22 +109,40 @@ def times_fixed_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_utc(_orders_as_calls(spark, sf_dir), rule="fixed", columns=("startAt",))
 
 
+def _dirty_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_chats_json(spark, fixtures.dirty_chat_folder(spark, sf_dir))
+
+
 def message_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Message dates read from the nested list, parsed once per message row."""
+    """Message dates read from the nested list, parsed once per message row; some are unreadable."""
     m = F.col("m")
-    return _chats(spark, sf_dir).select("id", F.explode("messages").alias("m")).select(
+    return _dirty_chats(spark, sf_dir).select("id", F.explode("messages").alias("m")).select(
         "id", m.getField("id").alias("message_id"), parse_date_text(m.getField("sendAt")).alias("sendAt")
     )
 
 
 def message_time_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The struct form of the nested rewrite: each chat's last message."""
-    last = _chats(spark, sf_dir).select("id", F.element_at("messages", -1).alias("last_message"))
-    parsed = rewrite_nested(last, "last_message", "sendAt", parse_date_text)
-    lm = F.col("last_message")
-    return parsed.select(
-        "id", lm.getField("id").alias("message_id"), lm.getField("sendAt").alias("sendAt")
+    """The struct form of the nested rewrite, over every message."""
+    each = _dirty_chats(spark, sf_dir).select("id", F.explode("messages").alias("message"))
+    parsed = rewrite_nested(each, "message", "sendAt", parse_date_text)
+    m = F.col("message")
+    return parsed.select("id", m.getField("id").alias("message_id"), m.getField("sendAt").alias("sendAt"))
+
+
+def calls_iso_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls whose times are ISO text of several forms; a time that names a zone is unreadable."""
+    calls = read_calls_csv(spark, fixtures.iso_call_folder(spark, sf_dir), corrupt_column="raw")
+    bad = F.filter(
+        F.array(*[F.when(c, F.lit(m)) for c, m in unreadable_rules("raw", ["startAt", "endAt"])]), lambda x: x.isNotNull()
     )
+    return calls.select("id", "clientId", "startAt", "endAt", F.array_join(bad, "; ").alias("unreadable"))
+
+
+def chats_struct_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job over chats whose ``messages`` are one object each."""
+    root = scratch.fresh_folder(spark, "sinks", "struct")
+    _run_job(spark, sf_dir, root, chats_root=fixtures.struct_chat_folder(spark, sf_dir), chat_schema=CHAT_STRUCT)
+    return _each_message(_read_back(spark, f"{root}/chats{TARGET_SUFFIX}", S.CLIENT_CHAT))
 
 
 # -- joins -------------------------------------------------------------------
@@ -130,22 +152,26 @@ def client_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _client_calls(spark, sf_dir)
 
 
-def client_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ClientChat rows; the rewritten list is checked through its first and last message."""
-    chats = enrich_chats(_chats(spark, sf_dir), _dim(spark, sf_dir))
-    sent = lambda i: F.element_at("messages", i).getField("sendAt")
-    return chats.select(
+def _each_message(chats: DataFrame) -> DataFrame:
+    """Every field of ClientChat rows, one row per message."""
+    m = F.col("m")
+    return chats.select("id", "clientId", "startAt", "endAt", "name", F.explode("messages").alias("m")).select(
         "id",
         "clientId",
         "startAt",
         "endAt",
         "name",
-        F.size("messages").cast("bigint").alias("n_messages"),
-        sent(1).alias("first_sendAt"),
-        sent(-1).alias("last_sendAt"),
+        m.getField("id").alias("message_id"),
+        m.getField("text").alias("text"),
+        m.getField("sendAt").alias("sendAt"),
     )
 
 
+def client_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ClientChat rows, every message of the rewritten list."""
+    return _each_message(enrich_chats(_chats(spark, sf_dir), _dim(spark, sf_dir)))
+
+
 def client_chat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_chat_messages(_chats(spark, sf_dir), _dim(spark, sf_dir))
 
@@ -155,6 +181,12 @@ def join_dirty_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("id", "clientId", "name")
 
 
+def join_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The salted join: most clients are hot at this bound, none may lose a call."""
+    calls = enrich_calls(_calls(spark, sf_dir), _dim(spark, sf_dir), join=JoinOptions(strategy="split", hot_key_rows=2))
+    return calls
+
+
 def call_rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return violation_rows(fixtures.dirty_calls_frame(spark, sf_dir).drop("date"))
 
@@ -193,47 +225,69 @@ def sink_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_back(spark, target, S.CLIENT_CALL)
 
 
-def two_sinks_shared_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job over every date: two targets from one cached dimension."""
-    root = scratch.fresh_folder(spark, "sinks", "job")
-    calls_t = target_name("calls", TARGET_SUFFIX)
-    chats_t = target_name("chats", TARGET_SUFFIX)
-    run(
-        spark,
+def _run_job(spark: SparkSession, sf_dir: str, root: str, **options) -> None:
+    """The whole job into Parquet folders below ``root``."""
+    given = dict(
         partition=None,
-        calls_table=f"{root}/{calls_t}",
-        chats_table=f"{root}/{chats_t}",
+        calls_table=f"{root}/{target_name('calls', TARGET_SUFFIX)}",
+        chats_table=f"{root}/{target_name('chats', TARGET_SUFFIX)}",
         calls_root=fixtures.call_folder(spark, sf_dir),
-        chats_root=fixtures.chat_folder(spark, sf_dir),
+        chats_root=options.pop("chats_root", None) or fixtures.chat_folder(spark, sf_dir),
         dim_table=fixtures.register_clients(spark, sf_dir),
-        join=JoinOptions(),
     )
+    run(spark, **(given | options))
+
+
+def _both_targets(calls: DataFrame, chats: DataFrame) -> DataFrame:
+    """Calls, and every message of the chats, under the names of their targets."""
     cols = ["id", "clientId", "startAt", "endAt", "name"]
-    calls = _read_back(spark, f"{root}/{calls_t}", S.CLIENT_CALL).select(F.lit(calls_t).alias("target"), *cols)
-    chats = _read_back(spark, f"{root}/{chats_t}", S.CLIENT_CHAT).select(F.lit(chats_t).alias("target"), *cols)
-    return calls.unionByName(chats)
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("message_id", "bigint"), ("text", "string"), ("sendAt", "timestamp_ntz"))]
+    left = calls.select(F.lit(target_name("calls", TARGET_SUFFIX)).alias("target"), *cols, *none)
+    return left.unionByName(_each_message(chats).withColumn("target", F.lit(target_name("chats", TARGET_SUFFIX))))
+
+
+def _job_output(spark: SparkSession, root: str) -> DataFrame:
+    return _both_targets(
+        _read_back(spark, f"{root}/{target_name('calls', TARGET_SUFFIX)}", S.CLIENT_CALL),
+        _read_back(spark, f"{root}/{target_name('chats', TARGET_SUFFIX)}", S.CLIENT_CHAT),
+    )
+
+
+def two_sinks_shared_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job over every date: two targets from one dimension."""
+    root = scratch.fresh_folder(spark, "sinks", "job")
+    _run_job(spark, sf_dir, root)
+    return _job_output(spark, root)
+
+
+def job_one_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job for one date, as it is run in production, with every strict check."""
+    root = scratch.fresh_folder(spark, "sinks", "date")
+    _run_job(spark, sf_dir, root, partition=ONE_DATE, join=JoinOptions(strict=True), strict_dates=True)
+    return _job_output(spark, root)
+
+
+def job_fixed_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job with the flat offset instead of the zone's rules."""
+    root = scratch.fresh_folder(spark, "sinks", "offset")
+    _run_job(spark, sf_dir, root, time_rule="fixed")
+    return _job_output(spark, root)
+
+
+def sink_target_option(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The connector form of the write: the target is an option of the format."""
+    target = scratch.fresh_folder(spark, "sinks", "option")
+    write_table(_client_calls(spark, sf_dir), target, fmt="orc", options={"compression": "zlib"}, target_option="path")
+    return spark.read.schema(S.CLIENT_CALL).orc(target)
 
 
 def two_sinks_staged_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job into catalog tables through a staged publish (outputs first, then repoint)."""
     calls_t = target_name("calls", TARGET_SUFFIX)
     chats_t = target_name("chats", TARGET_SUFFIX)
-    run(
-        spark,
-        partition=None,
-        calls_table=calls_t,
-        chats_table=chats_t,
-        calls_root=fixtures.call_folder(spark, sf_dir),
-        chats_root=fixtures.chat_folder(spark, sf_dir),
-        dim_table=fixtures.register_clients(spark, sf_dir),
-        catalog=True,
-        publish="staged",
-        staging_root=scratch.fresh_folder(spark, "sinks", "staged"),
-    )
-    cols = ["id", "clientId", "startAt", "endAt", "name"]
-    calls = spark.read.table(calls_t).select(F.lit(calls_t).alias("target"), *cols)
-    chats = spark.read.table(chats_t).select(F.lit(chats_t).alias("target"), *cols)
-    return calls.unionByName(chats)
+    staging = scratch.fresh_folder(spark, "sinks", "staged")
+    _run_job(spark, sf_dir, "", calls_table=calls_t, chats_table=chats_t, catalog=True, publish="staged", staging_root=staging)
+    return _both_targets(spark.read.table(calls_t), spark.read.table(chats_t))
 
 
 def stream_client_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,18 +323,7 @@ def stream_client_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
         dim_table=fixtures.register_clients(spark, sf_dir),
     )
     run_available_now(q)
-    chats = _read_back(spark, f"{root}/out", S.with_partition(S.CLIENT_CHAT))
-    sent = lambda i: F.element_at("messages", i).getField("sendAt")
-    return chats.select(
-        "id",
-        "clientId",
-        "startAt",
-        "endAt",
-        "name",
-        F.size("messages").cast("bigint").alias("n_messages"),
-        sent(1).alias("first_sendAt"),
-        sent(-1).alias("last_sendAt"),
-    )
+    return _each_message(_read_back(spark, f"{root}/out", S.with_partition(S.CLIENT_CHAT)))
 
 
 QUERIES: dict[str, Query] = {
@@ -303,6 +346,12 @@ QUERIES: dict[str, Query] = {
     "sink_modes": sink_modes,
     "two_sinks_shared_dim": two_sinks_shared_dim,
     "two_sinks_staged_publish": two_sinks_staged_publish,
+    "job_one_date": job_one_date,
+    "job_fixed_offset": job_fixed_offset,
+    "sink_target_option": sink_target_option,
+    "calls_iso_times": calls_iso_times,
+    "chats_struct_messages": chats_struct_messages,
+    "join_hot_keys": join_hot_keys,
     "stream_client_calls": stream_client_calls,
     "stream_client_chats": stream_client_chats,
 }
@@ -323,11 +372,13 @@ _DIRTY = """dirty AS (
            WHEN 2 THEN ' ' || CAST(user_id AS VARCHAR) || ' '
            WHEN 3 THEN NULL
            ELSE CAST(user_id AS VARCHAR) END AS clientId,
-         ts AS startAt, ts + to_seconds(CAST(floor(value) AS BIGINT)) AS endAt
+         CASE WHEN event_id % 7 <> 4 THEN ts END AS startAt,
+         CASE event_id % 7 WHEN 5 THEN NULL WHEN 6 THEN ts - INTERVAL 1 HOUR
+           ELSE ts + to_seconds(CAST(floor(value) AS BIGINT)) END AS endAt
   FROM events)"""
 
 _CHATS = """chats AS (
-  SELECT conv_id + (turn // 64) * 1000000000 AS id, CAST(conv_id AS VARCHAR) AS clientId,
+  SELECT conv_id * 1000000 + turn // 64 AS id, CAST(conv_id AS VARCHAR) AS clientId,
          TIMESTAMP '2024-01-01 00:00:00' + to_minutes(conv_id + (turn // 64) * 64) AS startAt,
          TIMESTAMP '2024-01-01 00:00:00' + to_minutes(conv_id + (turn // 64) * 64 + count(*)) AS endAt,
          count(*) AS n_messages, min(turn) AS first_turn, max(turn) AS last_turn,
@@ -335,35 +386,40 @@ _CHATS = """chats AS (
   FROM conversations GROUP BY conv_id, turn // 64)"""
 
 _MESSAGES = """messages AS (
-  SELECT conv_id + (turn // 64) * 1000000000 AS id, turn AS message_id, text,
+  SELECT conv_id * 1000000 + turn // 64 AS id, turn AS message_id, text,
          strftime(DATE '2024-01-01' + CAST(turn AS INTEGER), '%m/%d/%Y') AS sendAtText
   FROM conversations)"""
 
 
-def _utc(col: str) -> str:
-    return f"timezone('UTC', timezone('Europe/Moscow', {col}))"
+# every fourth message date has month 13
+def _dirty_time(turn: str) -> str:
+    return f"CASE WHEN {turn} % 4 <> 3 THEN CAST(DATE '2024-01-01' + CAST({turn} AS INTEGER) AS TIMESTAMP) END"
 
 
-def _turn_time(turn: str) -> str:
-    """Message n's date text (epoch + n days, MM/dd/yyyy) parsed back to a time."""
-    text = f"strftime(DATE '2024-01-01' + CAST({turn} AS INTEGER), '%m/%d/%Y')"
-    return f"CAST(try_strptime({text}, '%m/%d/%Y') AS TIMESTAMP)"
+def _utc(col: str) -> str:
+    return f"timezone('UTC', timezone('Europe/Moscow', {col}))"
 
 
 _CLIENT_CALLS = f"""
 SELECT c.id, c.clientId, {_utc('c.startAt')} AS startAt, {_utc('c.endAt')} AS endAt, cu.c_name AS name
 FROM calls c JOIN customer cu ON cu.c_custkey = TRY_CAST(c.clientId AS BIGINT)"""
 
-_CLIENT_CHATS = f"""WITH {_CHATS}
-SELECT c.id, c.clientId, c.startAt, c.endAt, cu.c_name AS name, c.n_messages,
-       {_turn_time('c.first_turn')} AS first_sendAt, {_turn_time('c.last_turn')} AS last_sendAt
-FROM chats c JOIN customer cu ON cu.c_custkey = TRY_CAST(c.clientId AS BIGINT)"""
+_CLIENT_CHATS = """
+SELECT c.id, c.clientId, c.startAt, c.endAt, cu.c_name AS name, m.message_id, m.text,
+       CAST(try_strptime(m.sendAtText, '%m/%d/%Y') AS TIMESTAMP) AS sendAt
+FROM chats c JOIN customer cu ON cu.c_custkey = TRY_CAST(c.clientId AS BIGINT) JOIN messages m ON m.id = c.id"""
+
+
+def _two_sinks(calls: str = _CLIENT_CALLS, calls_where: str = "", chats_where: str = "") -> str:
+    return f"""WITH {_CALLS}, {_CHATS}, {_MESSAGES}, cc AS ({calls} {calls_where}), ch AS ({_CLIENT_CHATS} {chats_where})
+SELECT 'calls{TARGET_SUFFIX}' AS target, id, clientId, startAt, endAt, name,
+       CAST(NULL AS BIGINT) AS message_id, CAST(NULL AS VARCHAR) AS text, CAST(NULL AS TIMESTAMP) AS sendAt FROM cc
+UNION ALL SELECT 'chats{TARGET_SUFFIX}', id, clientId, startAt, endAt, name, message_id, text, sendAt FROM ch"""
+
 
-_TWO_SINKS = f"""WITH {_CALLS}, {_CHATS}, cc AS ({_CLIENT_CALLS})
-SELECT 'calls{TARGET_SUFFIX}' AS target, id, clientId, startAt, endAt, name FROM cc
-UNION ALL
-SELECT 'chats{TARGET_SUFFIX}' AS target, c.id, c.clientId, c.startAt, c.endAt, cu.c_name AS name
-FROM chats c JOIN customer cu ON cu.c_custkey = TRY_CAST(c.clientId AS BIGINT)"""
+_FIXED_CALLS = _CLIENT_CALLS.replace(_utc("c.startAt"), "c.startAt - INTERVAL 3 HOUR").replace(
+    _utc("c.endAt"), "c.endAt - INTERVAL 3 HOUR"
+)
 
 ORACLE_SQL: dict[str, str] = {
     "client_calls": f"WITH {_CALLS} {_CLIENT_CALLS}",
@@ -374,16 +430,14 @@ ORACLE_SQL: dict[str, str] = {
     "scan_chats_json": f"""WITH {_CHATS}, {_MESSAGES}
 SELECT c.id, c.clientId, c.startAt, c.endAt, c.date, m.message_id, m.text, m.sendAtText AS sendAt
 FROM chats c JOIN messages m ON m.id = c.id""",
-    "scan_text_lines": "SELECT event_type AS value FROM events",
+    "scan_text_lines": "SELECT unnest(string_split(text, chr(10))) AS value FROM documents",
     "times_zone_rule": f"SELECT o_orderkey AS id, {_utc('o_orderdate')} AS startAt FROM orders",
     "times_fixed_offset": "SELECT o_orderkey AS id, o_orderdate - INTERVAL 3 HOUR AS startAt FROM orders",
     "message_times": f"""WITH {_MESSAGES}
-SELECT id, message_id, CAST(try_strptime(sendAtText, '%m/%d/%Y') AS TIMESTAMP) AS sendAt FROM messages""",
-    "message_time_struct": f"""WITH {_MESSAGES},
-last AS (SELECT id, max(message_id) AS message_id FROM messages GROUP BY id)
-SELECT m.id, m.message_id, CAST(try_strptime(m.sendAtText, '%m/%d/%Y') AS TIMESTAMP) AS sendAt
-FROM messages m JOIN last l ON l.id = m.id AND l.message_id = m.message_id""",
-    "client_chats": _CLIENT_CHATS,
+SELECT id, message_id, {_dirty_time('message_id')} AS sendAt FROM messages""",
+    "message_time_struct": f"""WITH {_MESSAGES}
+SELECT id, message_id, {_dirty_time('message_id')} AS sendAt FROM messages""",
+    "client_chats": f"WITH {_CHATS}, {_MESSAGES} {_CLIENT_CHATS}",
     "client_chat_messages": f"""WITH {_CHATS}, {_MESSAGES}
 SELECT c.id, c.clientId, cu.c_name AS name, m.message_id, m.text,
        CAST(try_strptime(m.sendAtText, '%m/%d/%Y') AS TIMESTAMP) AS sendAt
@@ -399,12 +453,28 @@ UNION ALL SELECT id, 'clientId is not a number' FROM dirty
 UNION ALL SELECT id, 'startAt is missing' FROM dirty WHERE startAt IS NULL
 UNION ALL SELECT id, 'endAt is missing' FROM dirty WHERE endAt IS NULL
 UNION ALL SELECT id, 'endAt is before startAt' FROM dirty WHERE endAt < startAt""",
-    "chat_rule_violations": """SELECT conv_id + (turn // 64) * 1000000000 AS id, 'message date is unreadable' AS rule
+    "chat_rule_violations": """SELECT conv_id * 1000000 + turn // 64 AS id, 'message date is unreadable' AS rule
 FROM conversations GROUP BY conv_id, turn // 64 HAVING bool_or(turn % 4 = 3)""",
     "sink_overwrite": f"WITH {_CALLS} {_CLIENT_CALLS}",
     "stream_client_calls": f"WITH {_CALLS} {_CLIENT_CALLS}",
-    "stream_client_chats": _CLIENT_CHATS,
+    "stream_client_chats": f"WITH {_CHATS}, {_MESSAGES} {_CLIENT_CHATS}",
     "sink_modes": f"WITH {_CALLS}, once AS ({_CLIENT_CALLS}) SELECT * FROM once UNION ALL SELECT * FROM once",
-    "two_sinks_shared_dim": _TWO_SINKS,
-    "two_sinks_staged_publish": _TWO_SINKS,
+    "two_sinks_shared_dim": _two_sinks(),
+    "two_sinks_staged_publish": _two_sinks(),
+    "job_one_date": _two_sinks(
+        calls_where=f"WHERE c.date = DATE '{ONE_DATE}'", chats_where=f"WHERE c.date = DATE '{ONE_DATE}'"
+    ),
+    "job_fixed_offset": _two_sinks(_FIXED_CALLS),
+    "sink_target_option": f"WITH {_CALLS} {_CLIENT_CALLS}",
+    "join_hot_keys": f"WITH {_CALLS} {_CLIENT_CALLS}",
+    "calls_iso_times": f"""WITH {_CALLS},
+written AS (  -- only one form in three keeps milliseconds
+  SELECT id, clientId, CASE WHEN id % 3 = 2 THEN date_trunc('milliseconds', startAt) ELSE date_trunc('second', startAt) END AS s,
+         CASE WHEN id % 3 = 2 THEN date_trunc('milliseconds', endAt) ELSE date_trunc('second', endAt) END AS e
+  FROM calls)
+SELECT id, clientId, CASE WHEN id % 11 <> 10 THEN s END AS startAt, e AS endAt,
+       CASE WHEN id % 11 = 10 THEN 'startAt is unreadable' ELSE '' END AS unreadable FROM written""",
+    "chats_struct_messages": f"""WITH {_CHATS}, {_MESSAGES}
+SELECT c.id, c.clientId, c.startAt, c.endAt, cu.c_name AS name, m.message_id, m.text, {_dirty_time('m.message_id')} AS sendAt
+FROM chats c JOIN customer cu ON cu.c_custkey = TRY_CAST(c.clientId AS BIGINT) JOIN messages m ON m.id = c.id""",
 }

@@ -23,7 +23,16 @@ def test_long_conversation_is_split_into_bounded_chats(spark):
     assert max(sizes.values()) <= fixtures.CHAT_TURNS
     total = 21 * n
     blocks = -(-total // fixtures.CHAT_TURNS)
-    assert [sizes[b * fixtures.CHAT_ID_STRIDE] for b in range(blocks)] == [
+    assert [sizes[b] for b in range(blocks)] == [
         min(fixtures.CHAT_TURNS, total - b * fixtures.CHAT_TURNS) for b in range(blocks)
     ]
     assert sum(sizes.values()) == conv.count() - n + total  # no message lost
+
+
+def test_chat_ids_of_large_conversation_ids_do_not_collide(spark):
+    rows = [(c, t, "x") for c in (1, 1_000_000_001, 3_000_000_000) for t in range(70)]
+    sf_dir = scratch.fresh_folder(spark, "tests", "sf-large-ids")
+    spark.createDataFrame(rows, "conv_id long, turn long, text string").write.parquet(f"{sf_dir}/conversations.parquet")
+    chats = fixtures.chats_frame(spark, sf_dir).collect()
+    assert len(chats) == 6 and len({c.id for c in chats}) == 6  # two blocks each
+    assert sorted(len(c.messages) for c in chats) == [6, 6, 6, 64, 64, 64]

@@ -6,9 +6,8 @@ from conftest import SF_ORACLE
 from oracle import arrow_equal, compare, duck
 
 import __spark_entry__ as entry
-
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+from callfacts.workloads import ORACLE_SQL as SQL
+from callfacts.workloads import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -31,8 +30,8 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.columns == ["id", "clientId", "startAt", "endAt", "name"]
-    assert df.count() == 1000
+    assert df.columns == ["target", "id", "clientId", "startAt", "endAt", "name", "message_id", "text", "sendAt"]
+    assert {r.target for r in df.select("target").distinct().collect()} == {"calls_stg", "chats_stg"}
 
 
 @pytest.mark.parametrize("zone", ["UTC", "Europe/Moscow", "America/Los_Angeles"])
