@@ -27,4 +27,5 @@ def test_bench_prints_one_json_line():
     assert {"metric", "value", "unit", "queries", "sf"} <= set(out)
     assert out["unit"] == "sec" and out["sf"] == 0.001
     assert set(out["queries"]) == {"client_calls", "times_zone_rule"}
-    assert out["plan_stats"]["client_calls"]["shuffle_bytes"] == 0
+    assert out["plan_stats"]["times_zone_rule"]["shuffle_bytes"] == 0
+    assert 0 < out["plan_stats"]["client_calls"]["shuffle_bytes"] < 10_000  # the size check of the dimension alone
