@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # -- records ---------------------------------------------------------------
+# The field names of the records are fixed values: inputs and targets carry them.
 
 CLIENT = T.StructType(
     [
