@@ -133,7 +133,7 @@ def lines_by_hand(rows, run_words=50):
 def test_line_dedup_matches_brute_force(spark):
     rng = np.random.default_rng(4)
     pool = [" ".join(f"w{x}" for x in rng.integers(0, 40, rng.integers(1, 30))) for _ in range(25)]
-    texts = ["\n".join([*rng.choice(pool, rng.integers(1, 9)).tolist(), *[""] * (i % 3 == 0)]) for i in range(150)]
+    texts = ["\n".join([*rng.choice(pool, rng.integers(1, 9)).tolist(), *[""] * (i % 3 == 0)]) for i in range(300)]
     rows = list(enumerate(texts))
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     want = lines_by_hand(rows)
