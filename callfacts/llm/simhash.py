@@ -165,7 +165,14 @@ def links(distinct: DataFrame, bits: int = MAX_BITS, range_rows: int = RANGE_ROW
     if k > 1:
         steps = [i / k for i in range(1, k)]
         cuts = sorted(set(ranked.agg(F.percentile_approx("rank", steps, 20 * k)).first()[0]))
-    ranged = ranked.select("fp", _bucket(F.col("rank"), cuts).alias("home"))
+    edges = np.array(cuts, np.int64).view(np.uint64) ^ np.uint64(1 << 63)  # as unsigned ranks
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            home = np.searchsorted(edges, _rank(b.column(0).to_numpy()))
+            yield pa.record_batch([b.column(0), pa.array(home, pa.int64())], names=["fp", "home"])
+
+    ranged = distinct.select("fp").mapInArrow(place, "fp long, home long")
     pattern = ranged.groupBy("home").agg(F.bit_and("fp").alias("ones"), F.bit_or("fp").alias("some")).orderBy("home").collect()
     homes = np.array([p["home"] for p in pattern], np.int64)
     ones = np.array([p["ones"] for p in pattern], np.int64).view(np.uint64)
@@ -195,13 +202,6 @@ def links(distinct: DataFrame, bits: int = MAX_BITS, range_rows: int = RANGE_ROW
     return sent.groupBy("range_id").applyInPandas(lambda key, rows: search(key, rows), "a long, b long")
 
 
-def _bucket(rank: Column, cuts: list[int]) -> Column:
-    if not cuts:
-        return F.lit(0).cast("long")
-    # the first cut that is at least the rank: binary search by the built-in sorted-array function
-    return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < rank)).cast("long")
-
-
 def groups(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     """``(fp, first)``: the first document of the component of each fingerprint.
 
