@@ -27,7 +27,7 @@ from callfacts.llm.common import ship
 from callfacts.llm.tokens import encoder
 
 WINDOW = 4096
-SHARD_TOKENS = 8_000_000
+SHARD_TOKENS = 4_000_000
 QUERY_TERMS = 24
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"

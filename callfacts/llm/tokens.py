@@ -54,10 +54,10 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """``limit`` bounds the cached chunks of each of two generations (about 170 bytes each)."""
 
-    def __init__(self, path: str, limit: int = 700_000):
+    def __init__(self, path: str, limit: int = 250_000):
         self.library = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size(True) <= 1 << 16 else "<u4")
-        self.kind = self._kind(json.loads(self.library.to_str()))
+        self.kind = self._kind(self.library)
         self.pattern = regex.compile(WORD_PATTERN if self.kind == "word" else BYTE_PATTERN)
         self.letters = _byte_letters()
         self.bpe = self.library.model
@@ -67,10 +67,12 @@ class Encoder:
         self.firsts = Generations(self._first, limit // 10)
 
     @staticmethod
-    def _kind(spec: dict) -> str:
-        pre, norm, model = spec.get("pre_tokenizer") or {}, spec.get("normalizer") or {}, spec.get("model") or {}
-        marks = all(t["content"].startswith("<|") and not t["normalized"] for t in spec.get("added_tokens") or [])
-        if model.get("type", "BPE") != "BPE" or model.get("dropout") or not marks:
+    def _kind(library: Tokenizer) -> str:
+        """Which cutting rules hold, from the parts' own settings (the vocabulary is not copied to Python)."""
+        part = lambda x: json.loads(x.__getstate__()) if x else {}
+        pre, norm, model = part(library.pre_tokenizer), part(library.normalizer), library.model
+        marks = all(t.content.startswith("<|") and not t.normalized for t in library.get_added_tokens_decoder().values())
+        if type(model).__name__ != "BPE" or model.dropout or not marks:
             return ""
         if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not norm:
             return "byte"
