@@ -39,7 +39,7 @@ RANGE_ROWS = 50_000  # distinct fingerprints that a range is meant to hold
 MIN_RANGES = 64  # where there are enough fingerprints, so that small inputs spread too
 MAX_RANGES = 4096  # so the table of patterns, 24 bytes a range, stays under 100 KB
 FANOUT = 16
-FRONTIER = 2_000_000  # nodes that a search holds at once
+FRONTIER = 400_000  # nodes that a search holds at once
 _TOP = -(1 << 63)
 
 
@@ -180,9 +180,10 @@ def links(distinct: DataFrame, bits: int = MAX_BITS, range_rows: int = RANGE_ROW
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 4096):
-                b = whole.slice(at, 4096)
-                fp, home = b.column(0).to_numpy(), b.column(1).to_numpy()
+            step = max(64, (1 << 18) // len(homes))
+            for at in range(0, whole.num_rows, step):
+                fp = whole.slice(at, step).column(0).to_numpy()
+                home = np.searchsorted(edges, _rank(fp))  # not from a step before: that would be a second worker a task
                 apart = np.bitwise_count((fp.view(np.uint64)[:, None] ^ ones) & mask)
                 # a pair is found once: in the later one of its two ranges
                 row, to = np.nonzero((apart <= bits) & (homes >= home[:, None]))
@@ -198,7 +199,7 @@ def links(distinct: DataFrame, bits: int = MAX_BITS, range_rows: int = RANGE_ROW
         moved = np.flatnonzero(root != np.arange(len(fps)))
         return pd.DataFrame({"a": fps[moved], "b": fps[root[moved]]})
 
-    sent = ranged.mapInArrow(probes, "range_id long, fp long, own boolean")
+    sent = distinct.select("fp").mapInArrow(probes, "range_id long, fp long, own boolean")
     return sent.groupBy("range_id").applyInPandas(lambda key, rows: search(key, rows), "a long, b long")
 
 
