@@ -1,15 +1,19 @@
 """Packing by lexical retrieval: BM25 neighbours of a seed document fill its window.
 
-The input's own partitions are cut into shards of at most ``shard_tokens`` ids; each
-shard has an inverted BM25 index over token ids.  A seed document asks the index for
-its best unused neighbours, and they fill the window greedily; the last one is cut to
-fit and its rest stays available.  Texts over a window fill windows of their own first.
-What is left of a shard at the end is cut into sequences whose lengths are powers of
-two, which need no padding.  There is no shuffle, and a task holds one shard.
+Documents are dealt by content, wherever they were read from, to shards of at most
+``shard_tokens`` ids: by their leading term (most occurrences times idf), then by
+their heaviest BM25 term, with document frequencies of the whole corpus; what one pair
+of terms holds beyond a shard is dealt by hash.  Each shard has an inverted BM25 index
+over token ids.  A seed document asks the index for its best unused neighbours, and
+they fill the window greedily; the last one is cut to fit and its rest stays available.
+Texts over a window fill windows of their own first.  What is left of a shard at the
+end is cut into sequences whose lengths are powers of two, which need no padding.  A
+task holds one shard at a time.
 
 Defined results: a null text counts as empty and is the end id alone; repeated rows are
 packed as often as they occur; an empty table gives an empty result; equal scores go to
-the earlier document of the shard.  A retried task packs the same rows of its partition.
+the earlier document of the shard.  Shards and their order come from content and ids
+alone, so neither a retry nor another layout of the input packs differently.
 """
 
 from __future__ import annotations
@@ -23,11 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callfacts.llm.common import ship
+from callfacts.llm.common import ship, staged
 from callfacts.llm.tokens import encoder
 
 WINDOW = 4096
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 8_000_000
+FILL = 0.75  # of a shard, as terms are dealt by hash and shards come out uneven
 QUERY_TERMS = 24
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -133,6 +138,112 @@ def _powers(pieces: list[tuple[int, int, int]], total: int) -> Iterator[list[tup
         yield out
 
 
+def token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
+    """``(_id, _ids)``: the packed ids of each whole text, the end id last."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(tokenizer)
+        end = np.asarray([end_id], encode.dtype).tobytes()
+        for whole in batches:
+            for cut in range(0, whole.num_rows, 1000):
+                b = whole.slice(cut, 1000)
+                ids = [encode.encode(text.as_py()) + end for text in b.column(1)]
+                yield pa.record_batch([b.column(0), pa.array(ids, pa.binary())], names=["_id", "_ids"])
+
+    ship(docs.sparkSession)
+    return docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).mapInArrow(rows, "_id long, _ids binary")
+
+
+def document_frequencies(held: DataFrame, dtype: np.dtype) -> np.ndarray:
+    """Of every term, in how many documents of the whole corpus it occurs; one row a term comes to the driver."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(0, np.int64)
+        for b in batches:
+            for ids in b.column(0):
+                terms = np.unique(np.frombuffer(ids.as_buffer(), dtype))
+                if terms[-1] >= len(df):
+                    df = np.pad(df, (0, int(terms[-1]) + 1 - len(df)))
+                df[terms] += 1
+        terms = np.flatnonzero(df)
+        yield pa.record_batch([pa.array(terms), pa.array(df[terms])], names=["term", "n"])
+
+    rows = held.select("_ids").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(max(rows["term"].to_pylist(), default=0) + 1, np.int64)
+    out[rows["term"].to_numpy()] = rows["n"].to_numpy()
+    return out
+
+
+def with_keys(held: DataFrame, dtype: np.dtype, df: np.ndarray, n_docs: int, mean: float, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """``held`` with the leading and the heaviest term of each document that another one shares (-1: none)."""
+    shared = held.sparkSession.sparkContext.broadcast(np.where(df > 1, np.log1p((n_docs - df + 0.5) / (df + 0.5)), 0.0))
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf = shared.value
+        for batch in batches:
+            lead, heavy = [], []
+            for ids in batch.column(1):
+                doc = np.frombuffer(ids.as_buffer(), dtype)
+                terms, tf = np.unique(doc, return_counts=True)
+                raw = tf * idf[terms]
+                sat = raw / (tf + k1 * (1 - b + b * len(doc) / mean))
+                known = raw.max() > 0
+                lead.append(int(terms[raw.argmax()]) if known else -1)
+                heavy.append(int(terms[sat.argmax()]) if known else -1)
+            yield pa.record_batch([*batch.columns, pa.array(lead, pa.int64()), pa.array(heavy, pa.int64())], names=["_id", "_ids", "lead", "heavy"])
+
+    return held.mapInArrow(keys, "_id long, _ids binary, lead long, heavy long")
+
+
+def deal(sizes: dict[int, int], hot: dict[tuple[int, int], int], target: float) -> tuple[dict, dict, int]:
+    """First shard and number of shards of each leading term and of each hot pair of terms, and the number of all.
+
+    Leading terms are joined, in their order, until they fill a shard; one that holds
+    more than a shard, and each hot pair, gets shards of its own.
+    """
+    leads, pairs, rest, at = {}, {}, dict(sizes), 0
+    for (lead, heavy), n in sorted(hot.items()):
+        k = int(-(-n // target))
+        pairs[lead, heavy] = (at, k)
+        at += k
+        rest[lead] -= n
+    for t, n in sorted(rest.items()):
+        if n > target:
+            k = int(-(-n // target))
+            leads[t] = (at, k)
+            at += k
+    room = 0.0
+    for t, n in sorted(rest.items()):
+        if n <= target:
+            if n > room:
+                at, room = at + 1, target
+            leads[t] = (max(at - 1, 0), 1)
+            room -= n
+    return leads, pairs, max(at, 1)
+
+
+def with_shards(held: DataFrame, dtype: np.dtype, shard_tokens: int = SHARD_TOKENS) -> tuple[DataFrame, int]:
+    """``held`` with its keys and the number of the shard, and how many shards there are."""
+    spark = held.sparkSession
+    n_docs, total = held.agg(F.count("*"), F.sum(F.octet_length("_ids") / dtype.itemsize)).first()
+    if not n_docs:
+        return held.select("*", *[F.lit(0).cast("long").alias(c) for c in ("lead", "heavy", "shard")]), 1
+    keyed = with_keys(held, dtype, document_frequencies(held, dtype), n_docs, total / n_docs)
+    target = FILL * shard_tokens
+    tokens = (F.octet_length("_ids") / dtype.itemsize).cast("long")
+    pairs = staged(keyed.groupBy("lead", "heavy").agg(F.sum(tokens).alias("n")), "packing_keys")
+    sizes = {r["lead"]: r["n"] for r in pairs.groupBy("lead").agg(F.sum("n").alias("n")).collect()}  # one row a term
+    hot = {(r["lead"], r["heavy"]): r["n"] for r in pairs.where(F.col("n") > target).collect()}  # under total / target rows
+    leads, own, shards = deal(sizes, hot, target)
+    by_lead = spark.createDataFrame([(t, *v) for t, v in leads.items()], "lead long, a long, k long")
+    by_pair = spark.createDataFrame([(*t, *v) for t, v in own.items()], "lead long, heavy long, pa long, pk long")
+    both = keyed.join(F.broadcast(by_lead), "lead").join(F.broadcast(by_pair), ["lead", "heavy"], "left")
+    shard = F.coalesce(
+        F.col("pa") + F.pmod(F.xxhash64("_id", "_ids"), "pk"), F.col("a") + F.pmod(F.xxhash64("heavy"), "k")
+    )
+    return both.select("_id", "_ids", "lead", "heavy", shard.alias("shard")), shards
+
+
 def pack(
     docs: DataFrame,
     tokenizer: str,
@@ -144,10 +255,9 @@ def pack(
     text_col: str = "text",
 ) -> DataFrame:
     """Pieces of all documents (``PIECES``); sequence ids hold the partition in their upper half."""
+    dtype = encoder(tokenizer).dtype
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
-        end = np.asarray([end_id], encode.dtype).tobytes()
         sequence = TaskContext.get().partitionId() << 32
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -162,17 +272,20 @@ def pack(
                 sequence += 1
             yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out)], names=_NAMES)
 
-        names, held, total = [], [], 0
+        names, held, total, current = [], [], 0, None
         for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
-                names.append(doc_id)
-                held.append(np.frombuffer(encode.encode(text.as_py()) + end, encode.dtype))
-                total += len(held[-1])
-                if total >= shard_tokens:
+            for doc_id, shard, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                if held and (shard != current or total >= shard_tokens):
                     yield from flush()
                     names, held, total = [], [], 0
+                current = shard
+                names.append(doc_id)
+                held.append(np.frombuffer(ids.as_py(), dtype))
+                total += len(held[-1])
         if held:
             yield from flush()
 
-    ship(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).mapInArrow(rows, PIECES)
+    held = staged(token_ids(docs, tokenizer, end_id, id_col, text_col), "packing_ids")
+    dealt, shards = with_shards(held, dtype, shard_tokens)
+    order = ["shard", "lead", "heavy", F.xxhash64("_ids"), "_id"]
+    return dealt.repartition(shards, "shard").sortWithinPartitions(*order).select("_id", "shard", "_ids").mapInArrow(rows, PIECES)

@@ -221,6 +221,29 @@ def test_packing_puts_like_documents_together():
     assert np.mean(same) > 0.85
 
 
+def test_packing_finds_neighbours_across_partitions(spark):
+    """Like documents are spread over all partitions; another layout of the input packs the same."""
+    names = "guitar river engine doctor castle garden winter market soldier planet kitchen bridge letter horse camera island".split()
+    words = "stone paper house water light table green music story morning window summer".split()
+    rng, library = random.Random(4), Tokenizer.from_file(WORD)
+    rows = [(i, " ".join([names[i % 16]] * 12 + rng.choices(words, k=48))) for i in range(640)]
+    kept = []
+    for parts, data in ((3, rows), (7, rows[::-1])):
+        docs = staged(spark.createDataFrame(data, "doc_id long, text string").repartition(parts), "spread")
+        got = packing.pack(docs, WORD, window=512, shard_tokens=2000).toPandas()
+        assert got.length.sum() == sum(len(library.encode(t, add_special_tokens=False).ids) + 1 for _, t in rows)
+        full = [set(s.doc_id % 16) for _, s in got.groupby("sequence_id") if s.length.sum() == 512]
+        assert np.mean([len(t) == 1 for t in full]) > 0.9
+        kept.append(sorted(got.drop(columns="sequence_id").itertuples(index=False, name=None)))
+    assert kept[0] == kept[1]
+
+
+def test_packing_deals_terms_to_shards_of_bounded_size():
+    leads, pairs, n = packing.deal({1: 30, 2: 500, 3: 40, 4: 60, 5: 900}, {(5, 9): 850}, 100)
+    assert pairs == {(5, 9): (0, 9)} and leads[2] == (9, 5)
+    assert leads[1] == leads[3] == (14, 1) and leads[4] == (15, 1) and leads[5] == (16, 1) and n == 17
+
+
 def test_simhash_of_edge_rows(edge):
     got = simhash.near_duplicates(edge).collect()
     assert len(got) == edge.count()
