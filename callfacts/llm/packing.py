@@ -33,7 +33,6 @@ from callfacts.llm.tokens import encoder
 WINDOW = 4096
 SHARD_TOKENS = 8_000_000
 FILL = 0.75  # of a shard, as terms are dealt by hash and shards come out uneven
-QUERY_TERMS = 24
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
@@ -43,7 +42,7 @@ _NAMES = [x.split()[0] for x in PIECES.split(", ")]
 class Index:
     """BM25 over the token ids of a shard's documents, as postings sorted by term."""
 
-    def __init__(self, docs: list[np.ndarray], k1: float = 1.2, b: float = 0.75, query_terms: int = QUERY_TERMS):
+    def __init__(self, docs: list[np.ndarray], k1: float = 1.2, b: float = 0.75):
         found = [np.unique(d, return_counts=True) for d in docs]
         sizes = np.fromiter((len(t) for t, _ in found), np.int64, len(found))
         terms = np.concatenate([t for t, _ in found]) if found else np.empty(0, np.uint16)
@@ -55,24 +54,34 @@ class Index:
         self.first = np.searchsorted(owner, np.arange(len(docs) + 1))
         df = np.bincount(terms, minlength=int(terms.max(initial=0)) + 1)
         idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5)).astype(np.float32)
-        self.terms, self.value = terms, weight * idf[terms]  # of each document, for its queries
+        self.terms, self.n = terms, len(docs)  # of each document, for its queries
+        value = weight * idf[terms]
         order = np.argsort(terms, kind="stable")
-        self.owner, self.weight = owner[order], self.value[order]
+        at = np.concatenate([[0], np.cumsum(df)])
+        self.common = {}  # terms of over a quarter of the documents, as whole rows
+        for t in np.flatnonzero(df > len(docs) / 4):
+            mine = order[at[t] : at[t + 1]]
+            self.common[int(t)] = row = np.zeros(len(docs), np.float32)
+            row[owner[mine]] = value[mine]
+        order = order[~np.isin(terms[order], np.fromiter(self.common, np.int64))]
+        self.owner, self.weight = owner[order].astype(np.intp), value[order].astype(float)
+        df[list(self.common)] = 0
         self.at = np.concatenate([[0], np.cumsum(df)])
-        self.n, self.query_terms = len(docs), query_terms
 
     def scores(self, doc: int) -> np.ndarray:
-        """BM25 of every document for the heaviest terms of ``doc``."""
-        lo, hi = self.first[doc], self.first[doc + 1]
-        value = self.value[lo:hi]
-        best = np.argpartition(-value, self.query_terms - 1)[: self.query_terms] if hi - lo > self.query_terms else slice(None)
-        spans = [(self.at[t], self.at[t + 1]) for t in self.terms[lo:hi][best]]
-        owners = np.concatenate([self.owner[a:b] for a, b in spans]) if spans else np.empty(0, np.int32)
-        weights = np.concatenate([self.weight[a:b] for a, b in spans]) if spans else np.empty(0, np.float32)
-        return np.bincount(owners, weights, minlength=self.n)
-
-
-def pack_shard(docs: list[np.ndarray], window: int = WINDOW, query_terms: int = QUERY_TERMS) -> Iterator[list[tuple[int, int, int]]]:
+        """BM25 of every document for all terms of ``doc``."""
+        terms = self.terms[self.first[doc] : self.first[doc + 1]].tolist()
+        spans = [(self.at[t], self.at[t + 1]) for t in terms if t not in self.common]
+        owners = np.concatenate([self.owner[a:b] for a, b in spans]) if spans else np.empty(0, np.intp)
+        weights = np.concatenate([self.weight[a:b] for a, b in spans]) if spans else np.empty(0)
+        out = np.zeros(self.n, np.float32)
+        for t in terms:
+            if t in self.common:
+                out += self.common[t]
+        return out + np.bincount(owners, weights, minlength=self.n)
+
+
+def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> Iterator[list[tuple[int, int, int]]]:
     """Sequences as lists of ``(document, start, length)``; each id lies in exactly one."""
     size = np.fromiter((len(d) for d in docs), np.int64, len(docs))
     start = np.zeros(len(docs), np.int64)
@@ -83,7 +92,7 @@ def pack_shard(docs: list[np.ndarray], window: int = WINDOW, query_terms: int =
     free = start < size
     if not free.any():
         return
-    index = Index(docs, query_terms=query_terms)
+    index = Index(docs)
     seed, left = 0, int(free.sum())
     while left:
         while not free[seed]:
@@ -250,7 +259,6 @@ def pack(
     end_id: int = 2,
     window: int = WINDOW,
     shard_tokens: int = SHARD_TOKENS,
-    query_terms: int = QUERY_TERMS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -263,7 +271,7 @@ def pack(
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal sequence
             out = []
-            for pieces in pack_shard(held, window, query_terms):
+            for pieces in pack_shard(held, window):
                 at = 0
                 for d, start, n in pieces:
                     crc = zlib.crc32(held[d][start : start + n].astype("<u4"))

@@ -221,6 +221,22 @@ def test_packing_puts_like_documents_together():
     assert np.mean(same) > 0.85
 
 
+def test_packing_scores_are_the_whole_bm25_sum():
+    rng = np.random.default_rng(8)
+    docs = [np.unique(rng.zipf(1.3, 400) % 600).astype("<u2") for _ in range(60)]
+    docs = [np.concatenate([d, d[: i % 40]]) for i, d in enumerate(docs)]
+    index, mean = packing.Index(docs), np.mean([len(d) for d in docs])
+    df = np.bincount(np.concatenate([np.unique(d) for d in docs]))
+    for seed in (0, 7, 59):
+        want = []
+        for d in docs:
+            both = np.intersect1d(docs[seed], d)
+            tf = np.array([(d == t).sum() for t in both])
+            idf = np.log1p((len(docs) - df[both] + 0.5) / (df[both] + 0.5))
+            want.append((idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(d) / mean))).sum())
+        assert np.allclose(index.scores(seed), want, rtol=1e-4)
+
+
 def test_packing_finds_neighbours_across_partitions(spark):
     """Like documents are spread over all partitions; another layout of the input packs the same."""
     names = "guitar river engine doctor castle garden winter market soldier planet kitchen bridge letter horse camera island".split()
