@@ -133,9 +133,10 @@ def judge_urls(
 ) -> DataFrame:
     """``(id, host, path, rule, verdict, trust, distrust)`` of every page.
 
-    A host without a rule's verdict is blocked when its distrust, rounded to
-    ``digits``, is over ``threshold`` times its trust.  A host's seed weight is
-    the number of its pages that rules allow or block.
+    A host without a rule's verdict is blocked when its distrust is over ``threshold``
+    times its trust by more than ``10 ** (3 - digits)`` of it (sums differ by rounding),
+    so verdicts do not depend on the size of the corpus.  A host's seed weight is the
+    number of its pages that rules allow or block.
     """
     at = pages.select(F.col(id_col), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     ruled = at.select(
@@ -153,16 +154,16 @@ def judge_urls(
     trust = propagate(host_links(pages, url, html), seeds)
     verdicts = trust.select(
         "host",
-        F.round("trust", digits).alias("trust"),
-        F.round("distrust", digits).alias("distrust"),
+        (F.col("distrust") > threshold * F.col("trust") * (1 + 10.0 ** (3 - digits))).alias("bad"),
+        "trust",
+        "distrust",
     )
-    bad = F.col("distrust") > threshold * F.col("trust")
     return ruled.join(verdicts, "host", "left").select(
         id_col,
         "host",
         "path",
         "rule",
-        F.coalesce("said", F.when(bad, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
+        F.coalesce("said", F.when(F.col("bad"), F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
         F.coalesce("trust", F.lit(0.0)).alias("trust"),
         F.coalesce("distrust", F.lit(0.0)).alias("distrust"),
     )

@@ -150,6 +150,22 @@ def test_url_rules_and_trust(spark):
     assert (by[5].rule, by[5].verdict, by[6].host, by[7].path) == (None, "allow", "", "")
 
 
+def test_verdicts_do_not_depend_on_the_size_of_the_corpus(spark):
+    """Ten million blocked pages elsewhere make every share of distrust small."""
+    edges = spark.createDataFrame([(f"h{i}.net", "bad.com", 1) for i in range(300)], "src string, dst string, w long")
+    pages = [(i, f"http://h{i}.net/", '<a href="http://bad.com/de/">x</a>') for i in range(300)] + [(300, "http://bad.com/de/", "")]
+    docs = spark.createDataFrame(pages, "page_id long, url string, html string")
+    spread = url_filters.propagate
+    try:
+        for n in (0, 10**12):
+            more = spark.createDataFrame([("big.com", 0, n)], "host string, good long, bad long")
+            url_filters.propagate = lambda links, seeds: spread(edges, seeds.union(more))  # noqa: B023
+            got = url_filters.judge_urls(docs).collect()
+            assert {r.verdict for r in got} == {"block"}, n
+    finally:
+        url_filters.propagate = spread
+
+
 def test_scores_of_edge_rows(spark, edge):
     labels = spark.createDataFrame([(0, 1, 1), (0, 1, 1), (4, 0, 0), (5, None, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
     anything = lambda i: F.lit(True)
