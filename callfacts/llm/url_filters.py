@@ -78,12 +78,14 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return links.where("src != dst and src != '' and dst != ''").groupBy("src", "dst").agg(F.count("*").alias("w"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 8) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-9) -> DataFrame:
     """``(host, trust, distrust)`` for every host with a seed or a link.
 
     ``seeds``: ``(host, good, bad)``, the weights of trusted and blocked pages.
     Edges carry both normalised weights, so each round is two joins and one
     partially aggregated sum; its result is staged, as the next round reads it twice.
+    Rounds end when no host's values change by more than the share ``tolerance``: a host
+    that is reached for the first time counts as changed, however small its value.
     """
     totals = seeds.agg(F.sum("good").alias("g"), F.sum("bad").alias("b"))
     start = (
@@ -107,18 +109,21 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds:
     if weighted.isEmpty():
         return state
     zero = F.lit(0.0)
-    for _ in range(rounds):
+    moved = lambda new, old: F.when(F.col(new) > 0, F.abs(F.col(new) - F.col(old)) / F.col(new)).otherwise(0.0)
+    change = 1.0
+    while change > tolerance:
         forward = weighted.join(state, weighted.src == state.host).select(
-            F.col("dst").alias("host"), (F.col("f") * F.col("trust") * damping).alias("t"), zero.alias("d")
+            F.col("dst").alias("host"), (F.col("f") * F.col("trust") * damping).alias("t"), zero.alias("d"), zero.alias("t0"), zero.alias("d0")
         )
         backward = weighted.join(state, weighted.dst == state.host).select(
-            F.col("src").alias("host"), zero.alias("t"), (F.col("r") * F.col("distrust") * damping).alias("d")
-        )
-        again = start.select("host", F.col("s").alias("t"), F.col("z").alias("d"))
-        state = staged(
-            forward.union(backward).union(again).groupBy("host").agg(F.sum("t").alias("trust"), F.sum("d").alias("distrust")),
-            "host_trust",
+            F.col("src").alias("host"), zero.alias("t"), (F.col("r") * F.col("distrust") * damping).alias("d"), zero.alias("t0"), zero.alias("d0")
         )
+        again = start.select("host", F.col("s").alias("t"), F.col("z").alias("d"), zero.alias("t0"), zero.alias("d0"))
+        before = state.select("host", zero.alias("t"), zero.alias("d"), F.col("trust").alias("t0"), F.col("distrust").alias("d0"))
+        sums = [F.sum(a).alias(b) for a, b in (("t", "trust"), ("d", "distrust"), ("t0", "t0"), ("d0", "d0"))]
+        both = staged(forward.union(backward).union(again).union(before).groupBy("host").agg(*sums), "host_trust")
+        change = both.agg(F.max(F.greatest(moved("trust", "t0"), moved("distrust", "d0")))).first()[0] or 0.0
+        state = both.select("host", "trust", "distrust")
     return state
 
 

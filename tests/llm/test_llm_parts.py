@@ -150,6 +150,14 @@ def test_url_rules_and_trust(spark):
     assert (by[5].rule, by[5].verdict, by[6].host, by[7].path) == (None, "allow", "", "")
 
 
+def test_distrust_reaches_the_end_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(f"h{i:02}", f"h{i + 1:02}", 1) for i in range(12)], "src string, dst string, w long")
+    seeds = spark.createDataFrame([("h12", 0, 1), ("x", 0, 10**9)], "host string, good long, bad long")
+    got = {r.host: r.distrust for r in url_filters.propagate(edges, seeds).collect()}
+    want = {f"h{i:02}": 0.15 * 0.85 ** (12 - i) / (10**9 + 1) for i in range(13)}
+    assert all(math.isclose(got[h], v, rel_tol=1e-6) for h, v in want.items())
+
+
 def test_verdicts_do_not_depend_on_the_size_of_the_corpus(spark):
     """Ten million blocked pages elsewhere make every share of distrust small."""
     edges = spark.createDataFrame([(f"h{i}.net", "bad.com", 1) for i in range(300)], "src string, dst string, w long")
