@@ -107,7 +107,8 @@ def runs(docs: DataFrame, run_words: int, gram_words: int) -> DataFrame:
 def later_lines(docs: DataFrame, run_words: int = RUN_WORDS, gram_words: int = GRAM_WORDS) -> DataFrame:
     """``(_id, _hash, spans)``: the line spans to delete in each document that has any.
 
-    A document's spans are collected together; there are at most two a line of it.
+    A document's spans are collected together, once however many rows repeat it; there
+    are at most two a line of it.
     """
     found = staged(runs(docs, run_words, gram_words), "line_runs")
     place = F.struct("_id", "_hash", "position")
@@ -116,7 +117,7 @@ def later_lines(docs: DataFrame, run_words: int = RUN_WORDS, gram_words: int = G
     own = F.struct("_id", "_hash", "start")
     first = near.groupBy("run").agg(F.min(own).alias("first"), F.max(own).alias("last")).where("first < last").select("run", "first")
     later = near.join(first, "run").where(own > F.col("first"))
-    return later.groupBy("_id", "_hash").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return later.groupBy("_id", "_hash").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
 def without_lines(text: Column, spans: Column) -> Column:

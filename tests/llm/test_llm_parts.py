@@ -307,6 +307,15 @@ def test_line_dedup_of_edge_rows(spark, edge):
     assert line_dedup.dedup_lines(edge.limit(0)).count() == 0
 
 
+def test_line_dedup_gathers_spans_of_repeated_rows_once(spark):
+    text = "\n".join(" ".join(f"w{i}x{j}" for j in range(10)) for i in range(12))
+    rows = [(0, 0, text)] + [(1, 1, text)] * 40
+    got = line_dedup.later_lines(spark.createDataFrame(rows, "_id long, _hash long, _text string")).collect()
+    assert [r._id for r in got] == [1]
+    spans = [tuple(x) for x in got[0].spans]
+    assert len(spans) == len(set(spans)) > 0
+
+
 def test_mixing_of_edge_rows(spark, edge):
     for cells in (100_000, 0):  # raked on the driver, and in Spark
         got = mixing.mix(edge, max_cells=cells)
