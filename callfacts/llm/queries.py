@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: thin, with production parameters, over whole tables."""
+"""The registered queries of the operators: thin, with production parameters, over whole tables."""
 
 from __future__ import annotations
 
@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callfacts.llm import embedding_dedup, line_dedup, mixing, packing, quality_classifier, quality_rules, simhash, sql, token_files, toxicity, url_filters
+from callfacts.llm import (
+    embedding_dedup, filter_audit, line_dedup, mixing, packing, quality_classifier, quality_rules, simhash, spelling, sql,
+    suffix_dedup, token_files, toxicity, url_filters,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +78,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return filter_audit.audit(filter_audit.masks(docs), labels)
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.dedup(_table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
@@ -86,9 +103,13 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_packing": op10_packing,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE_SQL = {
     "op2_quality_rules": sql.OP2,
     "op6_url_filters": sql.OP6,
+    "op11_filter_audit": sql.OP11,
 }

@@ -75,3 +75,44 @@ def _op6(rounds: int = 8, damping: float = 0.85, digits: int = 12) -> str:
 
 
 OP6 = _op6()
+
+_NAMES11 = "kept removed redundant unique_fails good_lost toxic_lost shapley".split()
+OP11 = rf"""
+WITH t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '{_WS}+'), lambda x: x <> '') AS w,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+  FROM documents),
+m AS (
+  SELECT doc_id, part,
+         [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w),
+          100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text),
+          regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > first_id, false)] AS f
+  FROM t),
+l AS (SELECT doc_id, max(quality = 1) AS g, max(toxic = 1) AS x FROM labels GROUP BY doc_id),
+c AS (
+  SELECT part, f, count(*) AS n, count(*) FILTER (g) AS good, count(*) FILTER (x) AS toxic
+  FROM m LEFT JOIN l USING (doc_id) GROUP BY part, f),
+k AS (SELECT unnest(range(1, 6)) AS k),
+o AS (
+  SELECT [a.k, b.k, c.k, d.k, e.k] AS p FROM k a, k b, k c, k d, k e
+  WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+s AS (
+  SELECT array_to_string([substr('ABCDE', x, 1) for x in p], '') AS filter_order, step,
+         p[step] AS own, p[1:step - 1] AS prior
+  FROM o, (SELECT k AS step FROM k)),
+r AS (
+  SELECT part, filter_order, step, own, n, good, toxic, f[own] AS fails,
+         coalesce(list_bool_or([f[x] for x in prior]), false) AS gone,
+         len(list_filter(f, lambda x: x)) AS n_fails
+  FROM c, s),
+g AS (
+  SELECT part, filter_order, step, own,
+         sum(n) FILTER (NOT fails AND NOT gone) AS kept, sum(n) FILTER (fails AND NOT gone) AS removed,
+         sum(n) FILTER (fails AND gone) AS redundant, sum(n) FILTER (fails AND n_fails = 1) AS unique_fails,
+         sum(good) FILTER (fails AND NOT gone) AS good_lost, sum(toxic) FILTER (fails AND NOT gone) AS toxic_lost
+  FROM r GROUP BY part, filter_order, step, own),
+h AS (SELECT *, sum(removed) OVER (PARTITION BY part, own) AS shapley FROM g)
+SELECT part, filter_order, step::INTEGER AS step, {", ".join(f"coalesce({x}, 0)::BIGINT AS {x}" for x in _NAMES11)}
+FROM h
+"""
