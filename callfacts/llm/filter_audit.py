@@ -29,7 +29,7 @@ from callfacts.llm.common import ship, staged
 
 FILTERS = "ABCDE"
 COPY = FILTERS.index("E")
-PREFIX_BYTES = 32 << 20  # texts that one trie holds
+PREFIX_BYTES = 8 << 20  # texts that one trie holds
 DEPTH = 16  # letters of the shortest prefix
 TRIE_BYTES = 32 << 20  # texts that a task's own trie holds before it starts anew
 SALT_ROWS = 1000
