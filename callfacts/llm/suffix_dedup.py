@@ -7,7 +7,7 @@ dealt to partitions by that gram, so equal windows always meet, and each window
 dealt once.
 
 In a partition documents come in batches of rising ids.  A batch gets a sparse suffix array:
-the suffixes that start at its regions' grams, in byte order.  It is merge-scanned against
+the suffixes that start at its regions' grams, by their first bytes.  It is merge-scanned against
 the suffix array of each level of a logarithmic family; suffixes that agree in the gram
 are matched on both sides of it, window by window, byte by byte.  The batch then becomes a
 level of size 1, without the regions that earlier ones hold whole, and levels of equal size
@@ -40,10 +40,11 @@ from callfacts.llm.common import ship, staged
 from callfacts.llm.quality_rules import free_name
 
 LENGTH = 50
-GRAM = 16
+GRAM = 12
 BATCHES = 4
-PART_BYTES = 16 << 20  # text whose regions one partition holds
-BUFFER_BYTES = 8 << 20  # text that a task deals at a time
+PART_BYTES = 12 << 20  # text whose regions one partition holds
+BUFFER_BYTES = 12 << 20  # text that a task deals at a time
+MATCH_REGIONS = 20_000  # regions whose windows are compared at a time
 HOT_REGIONS = 100_000  # different regions of one gram that a partition takes
 SAMPLE = 512  # one document in so many is looked at for such grams
 
@@ -107,7 +108,7 @@ def _unplanes(data: bytes, dtype: str, n: int) -> np.ndarray:
 
 
 def _packed(docs: np.ndarray, hashes: np.ndarray, doc: np.ndarray, start: np.ndarray, size: np.ndarray, text: bytes) -> bytes:
-    parts = [_planes(x) for x in (np.diff(docs, prepend=0).astype("<i8"), hashes.astype("<i4"), doc.astype("<u4"), start.astype("<u4"), size.astype("<u4"))]
+    parts = [_planes(x) for x in (np.diff(docs, prepend=0).astype("<i8"), hashes.astype("<i4"), np.diff(doc, prepend=0).astype("<i4"), start.astype("<u4"), size.astype("<u4"))]
     return zstandard.compress(struct.pack("<II", len(docs), len(doc)) + b"".join(parts) + text, 3)
 
 
@@ -115,11 +116,12 @@ def _unpacked(blob: bytes) -> tuple:
     raw = zstandard.decompress(blob)
     n, m = struct.unpack_from("<II", raw)
     at, out = 8, []
-    for dtype, k in (("<i8", n), ("<i4", n), ("<u4", m), ("<u4", m), ("<u4", m)):
+    for dtype, k in (("<i8", n), ("<i4", n), ("<i4", m), ("<u4", m), ("<u4", m)):
         end = at + int(dtype[-1]) * k
         out.append(_unplanes(raw[at:end], dtype, k))
         at = end
     docs, hashes, doc, start, size = out
+    doc = np.cumsum(doc)
     return np.cumsum(docs)[doc], hashes[doc], start.astype(np.int64), size.astype(np.int64), raw[at:]
 
 
@@ -131,54 +133,64 @@ class Dealer:
 
     def deal(self, rows: list[tuple[int, int, bytes]]) -> Iterator[tuple[int, int, bytes]]:
         """``rows``: id, hash of the text, text.  Yields ``(partition, batch, blob)``; spans have batch -1."""
-        rows = sorted(rows)
-        first: dict[bytes, int] = {}
-        ids, hashes, texts, spans = [], [], [], []
-        last = None
-        for doc_id, h, text in rows:
-            if (doc_id, h) == last:
-                continue
-            last = doc_id, h
-            if len(text) < LENGTH:
-                continue
-            if first.setdefault(text, doc_id) < doc_id:
-                spans.append((doc_id, h, 0, len(text)))
-                continue
-            ids.append(doc_id)
-            hashes.append(h)
-            texts.append(text)
-        ids, hashes = np.array(ids, np.int64), np.array(hashes, np.int32)
-        batch = np.searchsorted(np.array(self.cuts, np.int64), ids)
-        seen: dict[bytes, int] = {}
-        dealt: dict[tuple[int, int], list] = {}
+        rows = sorted(set(rows))
+        first = {text: i for i, _, text in reversed(rows)}
+        copies = [(i, h, 0, len(text)) for i, h, text in rows if first[text] < i]
+        rows = [r for r in rows if first[r[2]] == r[0]]
+        ids = np.fromiter((i for i, _, _ in rows), np.int64, len(rows))
+        hashes = np.fromiter((h for _, h, _ in rows), np.int32, len(rows))
+        found, regions = [], []
         at = 0
-        while at < len(texts):  # a few texts at a time, for the sake of memory
+        while at < len(rows):  # a few texts at a time, for the sake of memory
             end, size = at, 0
-            while end < len(texts) and (size == 0 or size + len(texts[end]) <= 2 << 20):
-                size += len(texts[end])
+            while end < len(rows) and (size == 0 or size + len(rows[end][2]) <= 2 << 20):
+                size += len(rows[end][2])
                 end += 1
-            sizes = np.array([len(t) for t in texts[at:end]])
-            doc, start, stop, gram = regions_of(b"".join(texts[at:end]), sizes)
-            doc = doc + at
-            where = (gram >> np.uint64(20)) % np.uint64(self.parts)
-            split = np.isin(gram, self.hot)
-            for d, s, e, p, hot in zip(doc.tolist(), start.tolist(), stop.tolist(), where.tolist(), split.tolist()):
-                text, doc_id = texts[d], int(ids[d])
-                for a in range(s, e - LENGTH + 1) if hot else (s,):
-                    region = text[a : a + LENGTH] if hot else text[s:e]
-                    if hot:
-                        p = xxhash.xxh3_64_intdigest(region) % self.parts
-                    if seen.setdefault(region, doc_id) < doc_id:
-                        spans.append((doc_id, int(hashes[d]), a, a + len(region)))
-                    else:
-                        dealt.setdefault((p, int(batch[d])), []).append((d, a, region))
+            doc, start, part, own = self._regions([text for _, _, text in rows[at:end]])
+            found.append((doc + at, start, part))
+            regions += own
             at = end
-        for (p, b), found in dealt.items():
-            doc, start, text = zip(*found)
-            own, number = np.unique(np.array(doc), return_inverse=True)
-            size = np.fromiter(map(len, text), np.int64, len(text))
-            yield p, b, _packed(ids[own], hashes[own], number, np.array(start), size, b"".join(text))
-        yield from span_blobs(np.array(spans, _SPAN), self.parts)
+        doc, start, part = (np.concatenate(x) for x in zip(*found)) if found else [np.empty(0, np.int64)] * 3
+        n = len(regions)
+        size = np.fromiter(map(len, regions), np.int64, n)
+        place = dict(zip(reversed(regions), range(n - 1, -1, -1)))  # the first of equal regions, which has the least id
+        head = np.fromiter(map(place.__getitem__, regions), np.int64, n)
+        later = ids[doc[head]] < ids[doc]
+        spans = np.empty(int(later.sum()) + len(copies), _SPAN)
+        spans[len(spans) - len(copies) :] = copies
+        gone = doc[later]
+        for name, values in (("doc", ids[gone]), ("hash", hashes[gone]), ("start", start[later]), ("end", start[later] + size[later])):
+            spans[name][: len(gone)] = values
+        left = np.flatnonzero(~later)
+        batch = np.searchsorted(np.array(self.cuts, np.int64), ids)[doc[left]]
+        order = np.lexsort((batch, part[left]))
+        left, key = left[order], (part[left] * (len(self.cuts) + 1) + batch)[order]
+        edges = np.flatnonzero(np.diff(key, prepend=-1, append=-1)) if len(key) else []
+        for a, b in zip(edges[:-1], edges[1:]):
+            mine = left[a:b]
+            own, number = np.unique(doc[mine], return_inverse=True)
+            text = b"".join([regions[i] for i in mine.tolist()])
+            p, k = divmod(int(key[a]), len(self.cuts) + 1)
+            yield p, k, _packed(ids[own], hashes[own], number, start[mine], size[mine], text)
+        yield from span_blobs(spans, self.parts)
+
+    def _regions(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """Document, first byte, partition and bytes of each region; windows of hot grams are regions of their own."""
+        buf, sizes = b"".join(texts), np.array([len(t) for t in texts])
+        doc, start, stop, gram = regions_of(buf, sizes)
+        part = ((gram >> np.uint64(20)) % np.uint64(self.parts)).astype(np.int64)
+        before = (np.cumsum(sizes) - sizes)[doc]
+        hot = np.isin(gram, self.hot)
+        if hot.any():
+            count = stop[hot] - start[hot] - LENGTH + 1
+            at = _ranges(start[hot], count)
+            rest = ~hot
+            doc, before = (np.concatenate([x[rest], np.repeat(x[hot], count)]) for x in (doc, before))
+            start, stop = np.concatenate([start[rest], at]), np.concatenate([stop[rest], at + LENGTH])
+            own = [buf[a:b] for a, b in zip((before + start).tolist(), (before + stop).tolist())]
+            new = [xxhash.xxh3_64_intdigest(r) % self.parts for r in own[int(rest.sum()) :]]
+            return doc, start, np.concatenate([part[rest], np.array(new, np.int64)]), own
+        return doc, start, part, [buf[a:b] for a, b in zip((before + start).tolist(), (before + stop).tolist())]
 
 
 def span_blobs(spans: np.ndarray, parts: int) -> Iterator[tuple[int, int, bytes]]:
@@ -193,39 +205,54 @@ def span_blobs(spans: np.ndarray, parts: int) -> Iterator[tuple[int, int, bytes]
 
 
 class Level:
-    """A sparse suffix array: regions in the byte order of the suffixes from their grams on."""
+    """A sparse suffix array: regions in the order of the suffixes from their grams on.
 
-    def __init__(self, size: int, gram: np.ndarray, doc: np.ndarray, at: np.ndarray, length: np.ndarray, text: np.ndarray):
-        self.size, self.gram, self.doc, self.at, self.length, self.text = size, gram, doc, at, length, text
+    ``key`` is the first four bytes of the suffix and then a hash of its gram, so suffixes
+    stand in byte order as far as that, and equal grams beside each other.
+    """
+
+    def __init__(self, size: int, key: np.ndarray, doc: np.ndarray, at: np.ndarray, length: np.ndarray, text: bytes):
+        self.size, self.key, self.doc, self.at, self.length, self.text = size, key, doc, at, length, text
 
     @classmethod
-    def of(cls, doc: np.ndarray, length: np.ndarray, text: np.ndarray) -> tuple[Level, np.ndarray]:
+    def of(cls, doc: np.ndarray, length: np.ndarray, text: bytes) -> tuple[Level, np.ndarray]:
         """A level of size 1 of regions that follow each other in ``text``, and the order they have in it."""
-        at = np.cumsum(length) - length
-        h = _gram_hashes(text)
-        span = LENGTH - GRAM + 1
-        gram = np.empty(len(at), f"S{GRAM}")
-        for a in range(0, len(at), 50_000):
-            part = at[a : a + 50_000]
-            place = part + h[part[:, None] + np.arange(span)].argmin(1)
-            gram[a : a + 50_000] = text[place[:, None] + np.arange(GRAM)].view(f"S{GRAM}").ravel()
-        order = np.argsort(gram, kind="stable")
-        return cls(1, gram[order], doc[order], at[order], length[order], text), order
+        ends = np.cumsum(length)
+        at = ends - length
+        key = np.empty(len(at), np.uint64)
+        a = 0
+        while a < len(at):
+            b = max(a + 1, int(np.searchsorted(ends, at[a] + (2 << 20), "right")))
+            part = text[at[a] : ends[b - 1]]
+            h, own = _gram_hashes(part), at[a:b] - at[a]
+            place = own + h[own[:, None] + np.arange(LENGTH - GRAM + 1)].argmin(1)
+            lead = np.ndarray(len(part) - 3, ">u4", part, strides=(1,))[place].astype(np.uint64)
+            key[a:b] = lead << np.uint64(32) | h[place] >> np.uint64(32)
+            a = b
+        order = np.argsort(key, kind="stable")
+        return cls(1, key[order], doc[order], at[order], length[order], text), order
 
     def merged(self, other: Level) -> Level:
-        """Both levels' suffixes in one order; the sort finds two sorted runs and merges them."""
-        gram = np.concatenate([self.gram, other.gram])
-        order = np.argsort(gram, kind="stable")
+        """Both levels' suffixes in one order."""
+        key = np.concatenate([self.key, other.key])
+        order = np.argsort(key, kind="stable")
         pick = lambda a, b: np.concatenate([a, b])[order]
         return Level(
-            self.size + other.size, gram[order], pick(self.doc, other.doc), pick(self.at, other.at + len(self.text)),
-            pick(self.length, other.length), np.concatenate([self.text, other.text]),
+            self.size + other.size, key[order], pick(self.doc, other.doc), pick(self.at, other.at + len(self.text)),
+            pick(self.length, other.length), self.text + other.text,
         )
 
+    def bytes_of(self, some: np.ndarray) -> bytes:
+        text = self.text
+        return b"".join([text[a:b] for a, b in zip(self.at[some].tolist(), (self.at[some] + self.length[some]).tolist())])
+
     def kept(self, mask: np.ndarray) -> Level:
-        """Only the regions of ``mask``, with their bytes."""
-        at, length = self.at[mask], self.length[mask]
-        return Level(self.size, self.gram[mask], self.doc[mask], np.cumsum(length) - length, length, self.text[_ranges(at, length)])
+        """Only the regions of ``mask``; the bytes of the others go once they are a quarter of all."""
+        at, length, text = self.at[mask], self.length[mask], self.text
+        if int(length.sum()) * 4 < len(text) * 3:
+            text = self.bytes_of(np.flatnonzero(mask))
+            at = np.cumsum(length) - length
+        return Level(self.size, self.key[mask], self.doc[mask], at, length, text)
 
 
 def _ranges(at: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -234,7 +261,7 @@ def _ranges(at: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(at - (np.cumsum(length) - length), length)
 
 
-def first_documents(text: np.ndarray, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
+def first_documents(text: bytes, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Per window that starts at ``at`` the smallest document that has the same bytes."""
     eight = _eights(text)
     steps = [*range(0, LENGTH - 8, 8), LENGTH - 8]
@@ -245,17 +272,15 @@ def first_documents(text: np.ndarray, at: np.ndarray, doc: np.ndarray) -> np.nda
         h ^= h >> np.uint64(29)
     order = np.argsort(h)
     same = np.diff(h[order], prepend=h[order[:1]] ^ np.uint64(1)) == 0
-    for s in steps:  # equal hashes must be equal bytes
-        x = eight[at[order] + s]
-        if (same[1:] & (x[1:] != x[:-1])).any():
-            windows = text[at[:, None] + np.arange(LENGTH)].view(f"V{LENGTH}").ravel()
-            order = np.array(sorted(range(len(at)), key=lambda i: windows[i].tobytes()))
-            same = np.append(False, windows[order][1:] == windows[order][:-1])
-            break
-    group = np.cumsum(~same) - 1
-    least = np.minimum.reduceat(doc[order], np.flatnonzero(~same))
+    pairs = np.flatnonzero(same)
+    a, b = at[order[pairs]], at[order[pairs - 1]]
+    if any((eight[a + s] != eight[b + s]).any() for s in steps):  # equal hashes of unequal bytes
+        order = np.array(sorted(range(len(at)), key=lambda i: text[at[i] : at[i] + LENGTH]))
+        windows = [text[i : i + LENGTH] for i in at[order].tolist()]
+        same = np.array([False, *(x == y for x, y in zip(windows, windows[1:]))])
+    heads = np.flatnonzero(~same)
     out = np.empty(len(at), np.int64)
-    out[order] = least[group]
+    out[order] = np.repeat(np.minimum.reduceat(doc[order], heads), np.diff(heads, append=len(at)))
     return out
 
 
@@ -265,46 +290,58 @@ class Family:
     def __init__(self):
         self.levels: list[Level] = []
 
-    def add(self, doc: np.ndarray, length: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def add(self, doc: np.ndarray, length: np.ndarray, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Takes in a batch of larger ids; returns ``(region, start, end)`` of what earlier documents have."""
         new, order = Level.of(doc, length, text)
-        n = len(order)
-        fresh = np.append(True, new.gram[1:] != new.gram[:-1])
-        group, heads = np.cumsum(fresh) - 1, np.flatnonzero(fresh)
+        heads = np.flatnonzero(np.append(True, new.key[1:] != new.key[:-1]))
+        tails = np.append(heads[1:], len(order))
         known = np.minimum.reduceat(new.doc, heads) < np.maximum.reduceat(new.doc, heads)
-        grams, older = new.gram[heads], []
+        keys, within = new.key[heads], [(new, heads, tails)]
         for level in self.levels:  # merge scan: both sides are sorted
-            low, high = (np.searchsorted(level.gram, grams, side) for side in ("left", "right"))
-            known |= high > low
-            older.append((level, _ranges(low, high - low)))
-        hit = np.flatnonzero(known[group])
-        parts = [(new, hit), *older]
-        texts = [lv.text[_ranges(lv.at[i], lv.length[i])] for lv, i in parts]
-        lengths = np.concatenate([lv.length[i] for lv, i in parts])
-        owners = np.concatenate([lv.doc[i] for lv, i in parts])
-        count = lengths - LENGTH + 1
-        starts = np.cumsum(lengths) - lengths
-        mine = int(count[: len(hit)].sum())
-        covered, region = np.zeros(0, bool), np.repeat(hit, count[: len(hit)])
-        if mine:
-            at = _ranges(starts, count)
-            whose = np.repeat(owners, count)
-            joint = np.concatenate([*texts, np.zeros(8, np.uint8)])
-            covered = (first_documents(joint, at, whose) < whose)[:mine]
-        at = _ranges(np.zeros(len(hit), np.int64), count[: len(hit)])
-        left = np.ones(n, bool)
-        left[hit] = False
-        left[region[~covered]] = True  # a region that earlier documents hold whole is not kept
+            low = np.searchsorted(level.key, keys, "left")
+            hit = np.flatnonzero(np.append(level.key, np.uint64(0))[low] == keys) if len(level.key) else np.empty(0, np.int64)
+            hit = hit[low[hit] < len(level.key)]
+            high = low.copy()
+            high[hit] = np.searchsorted(level.key, keys[hit], "right")
+            known[hit] = True
+            within.append((level, low, high))
+        # groups of equal grams, some at a time: about MATCH_REGIONS regions, each group whole
+        groups = np.flatnonzero(known)
+        sizes = sum((high - low)[groups] for _, low, high in within)
+        chunk = np.cumsum(sizes) // MATCH_REGIONS
+        left = np.ones(len(order), bool)
+        out = [[np.empty(0, np.int64)] * 3]
+        for some in np.split(groups, np.flatnonzero(np.diff(chunk)) + 1) if len(groups) else []:
+            parts = [(lv, _ranges(low[some], (high - low)[some])) for lv, low, high in within]
+            out.append(self._matched(parts, left))
         self.levels.append(new.kept(left))
         while len(self.levels) > 1 and self.levels[-1].size == self.levels[-2].size:
             small, large = self.levels.pop(), self.levels.pop()
             self.levels.append(large.merged(small))
-        edge = np.diff(covered.astype(np.int8), prepend=0) != 0
-        edge |= covered & np.append(True, region[1:] != region[:-1])[: len(covered)]
-        first = np.flatnonzero(edge & covered)
-        after = np.flatnonzero((edge | ~covered)[1:]) + 1
-        stop = np.append(after, len(covered))[np.searchsorted(after, first, side="right")] if len(first) else first
-        return order[region[first]], at[first], at[stop - 1] + LENGTH if len(first) else first
+        region, start, end = (np.concatenate(x) for x in zip(*out))
+        return order[region], start, end
+
+    @staticmethod
+    def _matched(parts: list[tuple[Level, np.ndarray]], left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Matches of the first part's regions among all; those held whole by earlier documents leave ``left``."""
+        hit = parts[0][1]
+        joint = b"".join([*(lv.bytes_of(i) for lv, i in parts), bytes(8)])
+        lengths = np.concatenate([lv.length[i] for lv, i in parts])
+        count = lengths - LENGTH + 1
+        at = _ranges(np.cumsum(lengths) - lengths, count)
+        whose = np.repeat(np.concatenate([lv.doc[i] for lv, i in parts]), count)
+        mine = int(count[: len(hit)].sum())
+        covered = first_documents(joint, at, whose)[:mine] < whose[:mine]
+        own, region = count[: len(hit)], np.repeat(hit, count[: len(hit)])
+        begins = np.cumsum(own) - own
+        left[hit[np.logical_and.reduceat(covered, begins)]] = False
+        fresh = np.zeros(mine, bool)
+        fresh[begins] = True
+        before = np.append(False, covered[:-1]) & ~fresh
+        after = np.append(covered[1:], False) & ~np.append(fresh[1:], True)
+        place = np.arange(mine) - np.repeat(begins, own)
+        first, last = np.flatnonzero(covered & ~before), np.flatnonzero(covered & ~after)
+        return region[first], place[first], place[last] + LENGTH
 
 
 def _by_group(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[tuple[tuple, list[bytes]]]:
@@ -389,7 +426,7 @@ def spans(texts: DataFrame, parts: int, cuts: list[int], hot: list[int]) -> Data
                 part, family = p, Family()
             doc, hashed, start, size, text = zip(*map(_unpacked, blobs))
             doc, hashed, start, size = (np.concatenate(x) for x in (doc, hashed, start, size))
-            region, a, b = family.add(doc, size, np.frombuffer(b"".join(text), np.uint8))
+            region, a, b = family.add(doc, size, b"".join(text))
             found = np.empty(len(region), _SPAN)
             found["doc"], found["hash"] = doc[region], hashed[region]
             found["start"], found["end"] = start[region] + a, start[region] + b

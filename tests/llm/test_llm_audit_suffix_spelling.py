@@ -171,22 +171,22 @@ def test_levels_have_different_powers_of_two_and_grow_by_merging():
     rng = np.random.default_rng(1)
     family, total = suffix_dedup.Family(), 0
     for k in range(1, 14):
-        text = rng.integers(97, 123, 70 * 20, dtype=np.uint8)
+        text = rng.integers(97, 123, 70 * 20, dtype=np.uint8).tobytes()
         size = np.full(20, 70)
         region, start, end = family.add(np.full(20, k), size, text)
         assert len(region) == 0
         total += 20
         sizes = [lv.size for lv in family.levels]
         assert sizes == [1 << b for b in range(9, -1, -1) if k >> b & 1]
-        assert sum(len(lv.gram) for lv in family.levels) == total
-        assert all((lv.gram[1:] >= lv.gram[:-1]).all() for lv in family.levels)
+        assert sum(len(lv.key) for lv in family.levels) == total
+        assert all((lv.key[1:] >= lv.key[:-1]).all() for lv in family.levels)
     region, start, end = family.add(np.full(20, 99), size, text)  # the last batch again
     assert sorted(region) == list(range(20)) and set(start) == {0} and set(end) == {70}
-    assert sum(len(lv.gram) for lv in family.levels) == total  # nothing new to hold
+    assert sum(len(lv.key) for lv in family.levels) == total  # nothing new to hold
 
 
 def test_equal_hashes_are_checked_by_their_bytes(monkeypatch):
-    text = np.frombuffer(b"a" * 60 + b"b" * 60 + bytes(8), np.uint8)
+    text = b"a" * 60 + b"b" * 60 + bytes(8)
     at, doc = np.array([0, 5, 60, 65]), np.array([4, 2, 9, 7])
     assert suffix_dedup.first_documents(text, at, doc).tolist() == [2, 2, 7, 7]
     monkeypatch.setattr(suffix_dedup, "_M2", np.uint64(0))  # every hash equal
