@@ -7,6 +7,7 @@ from callfacts.functions.times import (
     MESSAGE_DATE_PATTERN,
     SOURCE_ZONE,
     add_seconds,
+    instant,
     parse_date_text,
     shift_hours,
     wall_to_utc,
@@ -18,6 +19,7 @@ __all__ = [
     "SOURCE_ZONE",
     "add_seconds",
     "fact_rules",
+    "instant",
     "message_rules",
     "numeric_key",
     "parse_date_text",

@@ -31,6 +31,18 @@ def shift_hours(ts: Column | str, hours: int = FIXED_OFFSET_HOURS) -> Column:
     return c + F.make_dt_interval(hours=F.lit(hours))
 
 
+def instant(utc: Column | str) -> Column:
+    """UTC wall time -> the instant (TIMESTAMP), whatever the session's zone.
+
+    A cast would read the wall time in the session's zone, and lose the hour that its clocks
+    skip; the parts of the wall time are counted up from 1970 instead.
+    """
+    c = F.col(utc) if isinstance(utc, str) else utc
+    day = F.unix_date(c.cast("date")).cast("long") * 86_400
+    seconds = day + F.hour(c).cast("long") * 3600 + F.minute(c).cast("long") * 60
+    return F.timestamp_micros(seconds * 1_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long"))
+
+
 def parse_date_text(text: Column | str, pattern: str = MESSAGE_DATE_PATTERN, *, strict: bool = False) -> Column:
     """Date text -> TIMESTAMP_NTZ at midnight.
 

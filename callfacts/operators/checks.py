@@ -46,7 +46,12 @@ def violation_rows(
 
 
 class StrictInputError(ValueError):
-    """Strict mode found a row its rules refuse; nothing was written."""
+    """Strict mode found a row its rules refuse; nothing was written.
+
+    ``report`` has the counts by rule where the write counted them.
+    """
+
+    report: dict[str, int] | None = None
 
 
 def require_none(df: DataFrame, rules: list[Rule], *, what: str, show: str = "id") -> None:

@@ -52,6 +52,7 @@ STRATEGIES = ("auto", "broadcast", "hash", "shuffle", "split", "spark")
 _HINTS = {"broadcast": "broadcast", "hash": "shuffle_hash", "shuffle": "merge", "spark": None}
 
 SALT = "_client_salt"
+READABLE = "_client_key_readable"
 
 # Default of the hot-key split: a key is hot from this many fact rows on.  The
 # list of hot keys is broadcast; N rows hold at most N / T keys of T rows, so
@@ -125,13 +126,31 @@ def choose_strategy(
 
 
 def _join(
-    facts: DataFrame, dim: DataFrame, out: Sequence[str], dim_columns: Sequence[str], hint: str | None
+    facts: DataFrame,
+    dim: DataFrame,
+    out: Sequence[str],
+    dim_columns: Sequence[str],
+    hint: str | None,
+    matched: str | None = None,
+    salted: bool = False,
 ) -> DataFrame:
-    """Inner equi-join of the aliased sides (P7) on the cast key, projected to ``out``."""
+    """Equi-join of the aliased sides (P7) on the cast key, projected to ``out``.
+
+    Inner, or with ``matched`` left outer with that flag.  Then a fact without a readable key
+    stands under a hash of itself, so that such facts spread over all partitions, and the
+    condition keeps it from matching a client of that number.
+    """
     f, d = facts.alias("facts"), dim.alias("clients")
     d = d.hint(hint) if hint else d
-    joined = f.join(d, F.col(f"facts.{KEY}") == F.col(f"clients.{KEY}"), "inner")
-    return joined.select(*[F.col(f"facts.`{c}`") for c in out], *[F.col(f"clients.`{c}`") for c in dim_columns])
+    on = F.col(f"facts.{KEY}") == F.col(f"clients.{KEY}")
+    if salted:
+        on = on & (F.col(f"facts.{SALT}") == F.col(f"clients.{SALT}"))
+    found = []
+    if matched:
+        on = on & F.col(f"facts.{READABLE}")
+        found = [F.col(f"clients.{KEY}").isNotNull().alias(matched)]
+    joined = f.join(d, on, "left_outer" if matched else "inner")
+    return joined.select(*[F.col(f"facts.`{c}`") for c in out], *[F.col(f"clients.`{c}`") for c in dim_columns], *found)
 
 
 def hot_keys(facts: DataFrame, hot_key_rows: int, list_rows: int | None = None) -> DataFrame:
@@ -151,7 +170,7 @@ def hot_keys(facts: DataFrame, hot_key_rows: int, list_rows: int | None = None)
 
 
 def _split_join(
-    facts: DataFrame, dim: DataFrame, out: Sequence[str], dim_columns: Sequence[str], hot_key_rows: int
+    facts: DataFrame, dim: DataFrame, out: Sequence[str], dim_columns: Sequence[str], hot_key_rows: int, matched: str | None
 ) -> DataFrame:
     hot = F.broadcast(hot_keys(facts, hot_key_rows))  # bounded by HOT_LIST_ROWS rows of 12 bytes
     # a hash of the whole fact, not a random number: a retried task deals its rows as before
@@ -160,10 +179,7 @@ def _split_join(
     spread = dim.join(hot, KEY, "left").withColumn(
         SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SALT), F.lit(1)) - 1))
     )
-    f, d = salted.alias("facts"), spread.alias("clients").hint("merge")
-    on = (F.col(f"facts.{KEY}") == F.col(f"clients.{KEY}")) & (F.col(f"facts.{SALT}") == F.col(f"clients.{SALT}"))
-    joined = f.join(d, on, "inner")
-    return joined.select(*[F.col(f"facts.`{c}`") for c in out], *[F.col(f"clients.`{c}`") for c in dim_columns])
+    return _join(salted, spread, out, dim_columns, "merge", matched, salted=True)
 
 
 def client_side(dim: DataFrame, dim_key: str = "id", dim_columns: Sequence[str] = ("name",)) -> DataFrame:
@@ -183,9 +199,13 @@ def join_client(
     broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     hash_partition_max_bytes: int = DEFAULT_HASH_PARTITION_MAX_BYTES,
+    keep_unmatched: str | None = None,
 ) -> DataFrame:
     """Inner join facts to the dimension; returns the fact columns + ``dim_columns``.
 
+    With ``keep_unmatched`` facts without a client stay, with NULL dimension columns, and the
+    column of that name says which facts have one.
+
     The text key is cast to BIGINT once on the fact side (J3).  Only the key
     and the wanted columns of the dimension take part, so the dimension's own
     ``id`` never collides with the fact's ``id``.
@@ -195,7 +215,11 @@ def join_client(
         raise ValueError(f"dimension columns {sorted(clash)} already exist in the facts")
     keyed = facts.withColumn(KEY, numeric_key(fact_key, strict=strict))
     side = client_side(dim, dim_key, dim_columns)
+    if keep_unmatched:
+        itself = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
+        keyed = keyed.withColumn(READABLE, F.col(KEY).isNotNull()).withColumn(KEY, F.coalesce(F.col(KEY), itself))
+        side = side.where(F.col(KEY).isNotNull())
     how = choose_strategy(side, strategy, broadcast_max_bytes, hash_partition_max_bytes)
     if how == "split":
-        return _split_join(keyed, side, facts.columns, dim_columns, hot_key_rows)
-    return _join(keyed, side, facts.columns, dim_columns, _HINTS[how])
+        return _split_join(keyed, side, facts.columns, dim_columns, hot_key_rows, keep_unmatched)
+    return _join(keyed, side, facts.columns, dim_columns, _HINTS[how], keep_unmatched)

@@ -12,6 +12,7 @@ from callfacts.functions.times import (
     FIXED_OFFSET_HOURS,
     MESSAGE_DATE_PATTERN,
     SOURCE_ZONE,
+    instant,
     parse_date_text,
     shift_hours,
     wall_to_utc,
@@ -71,3 +72,16 @@ def parse_message_times(
 ) -> DataFrame:
     """Message date text -> TIMESTAMP_NTZ inside the nested messages."""
     return rewrite_nested(df, column, field, lambda c: parse_date_text(c, pattern, strict=strict))
+
+
+def to_instants(df: DataFrame) -> DataFrame:
+    """Every UTC wall time (TIMESTAMP_NTZ) of the columns and of message lists as an instant (TIMESTAMP)."""
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.TimestampNTZType):
+            df = df.withColumn(f.name, instant(f"`{f.name}`"))
+        elif isinstance(f.dataType, (T.ArrayType, T.StructType)):
+            row = f.dataType.elementType if isinstance(f.dataType, T.ArrayType) else f.dataType
+            for g in row.fields if isinstance(row, T.StructType) else ():
+                if isinstance(g.dataType, T.TimestampNTZType):
+                    df = rewrite_nested(df, f.name, g.name, instant)
+    return df

@@ -9,6 +9,7 @@ from callfacts.plans.explain import plan_text
 from callfacts.plans.sizing import DEFAULT_BROADCAST_MAX_BYTES, Size, measure, row_bytes
 
 _JOB_NAMES = ("JobResult", "JoinOptions", "enrich_calls", "enrich_chat_messages", "enrich_chats", "run")
+_PUBLISHED_NAMES = ("PublishedRun", "run_published")
 
 
 def __getattr__(name):
@@ -16,6 +17,10 @@ def __getattr__(name):
         from callfacts.plans import job
 
         return getattr(job, name)
+    if name in _PUBLISHED_NAMES:
+        from callfacts.plans import published
+
+        return getattr(published, name)
     raise AttributeError(name)
 
 
@@ -27,4 +32,5 @@ __all__ = [
     "plan_text",
     "row_bytes",
     *_JOB_NAMES,
+    *_PUBLISHED_NAMES,
 ]

@@ -13,7 +13,7 @@ dimension, and used for both joins.
 from __future__ import annotations
 
 import dataclasses
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from contextlib import nullcontext
 from dataclasses import dataclass
 
@@ -28,7 +28,7 @@ from callfacts.operators.enrich import (
     client_side,
     join_client,
 )
-from callfacts.operators.normalize import parse_message_times, to_utc
+from callfacts.operators.normalize import parse_message_times, to_instants, to_utc
 from callfacts.functions.rules import key_not_number, message_rules, unreadable_rules
 from callfacts.functions.times import parse_date_text
 from callfacts.operators.checks import require_none
@@ -36,7 +36,7 @@ from callfacts.operators.shapes import as_message_list, chat_messages
 from callfacts.plans.cache import cached
 from callfacts.plans.sizing import DEFAULT_BROADCAST_MAX_BYTES
 from callfacts.sinks.publish import publish_staged
-from callfacts.sinks.writer import SelfOverwriteError, qualified, write_table
+from callfacts.sinks.writer import SelfOverwriteError, overlap, qualified, table_location, table_name, write_table
 from callfacts.sources.readers import Partition, read_calls_csv, read_chats_json, read_table, require_files
 
 
@@ -67,21 +67,31 @@ CORRUPT = "_corrupt_fact"
 
 
 def _require_apart(
-    spark: SparkSession, calls_table: str, chats_table: str, dim_table: str, dim: DataFrame, catalog: bool
+    spark: SparkSession, calls_table: str, chats_table: str, dim_table: str, fact_roots: Sequence[str], catalog: bool
 ) -> None:
-    """Refuse targets that are one another, or the dimension, before anything is written."""
+    """Refuse targets that are one another, the dimension or a fact folder, before anything is written.
+
+    Names are resolved by the catalog, so ``t`` and ``default.t`` are one table; tables under
+    different names are told apart by the folders that hold their files.
+    """
+    held = [x for x in [table_location(spark, dim_table)] if x]
+    if not held:  # a view: the folders of the files it reads
+        held = sorted({f.rsplit("/", 1)[0] for f in spark.table(dim_table).inputFiles()})
+    dims, facts = ([qualified(spark, x) for x in xs] for xs in (held, fact_roots))
     if catalog:
-        names = [n.lower() for n in (calls_table, chats_table, dim_table)]
+        names = [table_name(spark, n) for n in (calls_table, chats_table, dim_table)]
         if len(set(names)) < 3:
             raise SelfOverwriteError(f"the targets and the dimension must be three tables, not {names}")
-        return
-    a, b = (qualified(spark, t) for t in (calls_table, chats_table))
-    if f"{a}/".startswith(f"{b}/") or f"{b}/".startswith(f"{a}/"):
-        raise SelfOverwriteError(f"the two targets overlap: {a} and {b}")
-    for f in (qualified(spark, x) for x in dim.inputFiles()):
-        for t in (a, b):
-            if f"{f}/".startswith(f"{t}/"):
-                raise SelfOverwriteError(f"refusing to write to {t}: the dimension is read from {f}")
+        at = [qualified(spark, x) if x else None for x in (table_location(spark, t) for t in (calls_table, chats_table))]
+    else:
+        at = [qualified(spark, t) for t in (calls_table, chats_table)]
+    if all(at) and overlap(*at):
+        raise SelfOverwriteError(f"the two targets overlap: {at[0]} and {at[1]}")
+    for t in filter(None, at):
+        for what, folders in (("the dimension is", dims), ("the facts are", facts)):
+            for f in folders:
+                if overlap(f, t):
+                    raise SelfOverwriteError(f"refusing to write to {t}: {what} read from {f}")
 
 
 def _shape(df: DataFrame, schema, keep_partition: bool) -> DataFrame:
@@ -166,6 +176,7 @@ def run(
     timestamp_format: str | None = None,
     chat_schema: T.StructType = S.CHAT_RAW,
     allow_empty: bool = False,
+    instants: bool = False,
 ) -> JobResult:
     """Run the job for ``partition`` (a date, a list of dates, or None = all).
 
@@ -178,21 +189,22 @@ def run(
 
     Times are read by the ISO rules or by ``timestamp_format``; chats whose
     ``messages`` are one object each are read with a ``chat_schema`` that says
-    so, and come out with a list of one message.  With a strict mode a record
+    so, and come out with a list of one message.  Times are written as UTC wall times, or with
+    ``instants`` as instants.  With a strict mode a record
     that cannot be read whole fails the job before any write.  A requested
-    date without a byte of data fails too, unless ``allow_empty``.
+    date without a record fails too, unless ``allow_empty``.
     """
     if publish not in ("overwrite", "staged"):
         raise ValueError("publish is 'overwrite' or 'staged'")
     if publish == "staged" and not (catalog and staging_root and partition_overwrite is None and mode == "overwrite"):
         raise ValueError("staged publish needs catalog targets, a staging_root and whole-table overwrite")
     dim = read_table(spark, dim_table, S.CLIENT)
-    _require_apart(spark, calls_table, chats_table, dim_table, dim, catalog)
+    _require_apart(spark, calls_table, chats_table, dim_table, [calls_root, chats_root], catalog)
     read = dict(timestamp_format=timestamp_format, corrupt_column=CORRUPT)  # pruned where no rule asks for it
     calls = read_calls_csv(spark, calls_root, partition, **read)  # fails here if a date is missing
     chats = as_message_list(read_chats_json(spark, chats_root, partition, schema=chat_schema, **read))
     if not allow_empty:
-        require_files(calls, calls_root, partition)  # ... or holds no data
+        require_files(calls, calls_root, partition)  # ... or holds no record
         require_files(chats, chats_root, partition)
     # Strict modes are checked before any write: an overwrite removes the old
     # target when it starts, so a failure inside it would leave nothing.
@@ -221,6 +233,8 @@ def run(
     with nullcontext(dim) if how == "broadcast" else cached(dim) as shared:
         calls_out = enrich_calls(calls, shared, time_rule=time_rule, join=fixed, keep_partition=keep)
         chats_out = enrich_chats(chats, shared, join=fixed, strict_dates=strict_dates, keep_partition=keep)
+        if instants:
+            calls_out, chats_out = to_instants(calls_out), to_instants(chats_out)
         if publish == "staged":
             outputs = {calls_table: calls_out, chats_table: chats_out}
             publish_staged(spark, outputs, staging_root=staging_root, fmt=sink_format, options=sink_options)

@@ -15,6 +15,7 @@ single write all-or-nothing; two writes in a row are not one transaction.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +70,30 @@ def _inside(path: str, root: str) -> bool:
     return path == root or path.startswith(root.rstrip("/") + "/")
 
 
+def overlap(a: str, b: str) -> bool:
+    """One of two qualified folders is, or lies in, the other."""
+    return _inside(a, b) or _inside(b, a)
+
+
+def table_name(spark: SparkSession, name: str) -> str:
+    """``catalog.database.table`` of a name, whatever parts of it are written out."""
+    parts = [p[1:-1].replace("``", "`") if p[:1] == "`" else p for p in re.findall(r"`(?:[^`]|``)*`|[^.]+", name)]
+    if len(parts) == 1 and any(v.name.lower() == parts[0].lower() and v.isTemporary for v in spark.catalog.listTables(pattern=parts[0])):
+        return parts[0].lower()
+    if len(parts) < 3:
+        parts = [spark.catalog.currentCatalog(), *([spark.catalog.currentDatabase()] if len(parts) == 1 else []), *parts]
+    return ".".join(parts).lower()
+
+
+def table_location(spark: SparkSession, name: str) -> str | None:
+    """The folder of a catalog table's files; None for a view or a table that does not exist."""
+    if not spark.catalog.tableExists(name):
+        return None
+    quoted = ".".join(f"`{p}`" if p[:1] != "`" else p for p in re.findall(r"`(?:[^`]|``)*`|[^.]+", name))
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
 def guard_self_overwrite(df: DataFrame, target: str, read_roots: Sequence[str] | None = None) -> None:
     """Refuse to overwrite a folder that ``df`` reads from.
 
@@ -118,7 +143,10 @@ def write_table(
     if dynamic_insert and df.sparkSession.catalog.tableExists(target):
         # saveAsTable would replace the whole table; an insert replaces only the
         # dates present in ``df``.  insertInto binds by position: use the table's order.
+        # The table's own partition columns decide the folders, so they decide the exchange.
         order = df.sparkSession.table(target).columns
+        folders = [c.name for c in df.sparkSession.catalog.listColumns(target) if c.isPartition]
+        df = df.hint("rebalance", *folders) if folders else df
         df.select(*order).write.options(**opts).insertInto(target, overwrite=True)
         return
     if partition_by:

@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callfacts import schemas as S
@@ -108,30 +109,95 @@ def read_chats_json(
     return S.conform(df, schema, keep=_keep(corrupt_column))
 
 
-class EmptyInputError(ValueError):
-    """A requested fact folder holds no data files; nothing was written."""
+def _read_lines(
+    spark: SparkSession, root: str, partition: Partition, schema: T.StructType, parse, raw_column: str, corrupt_column: str
+) -> DataFrame:
+    lines = spark.read.option("basePath", root.rstrip("/")).schema(S.with_partition(T.StructType([T.StructField("value", T.StringType())])))
+    lines = lines.text(partition_paths(root, partition)).where(F.trim("value") != "")
+    fields = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType())])
+    parsed = lines.withColumn("fact", parse(F.col("value"), fields))
+    return parsed.select(*[F.col(f"fact.{f}") for f in fields.names], F.col("value").alias(raw_column), S.PARTITION_COLUMN)
+
+
+def read_call_lines(
+    spark: SparkSession,
+    root: str,
+    partition: Partition = None,
+    *,
+    raw_column: str,
+    corrupt_column: str,
+    timestamp_format: str | None = None,
+) -> DataFrame:
+    """S2 with the whole line of every call beside its fields, whether it could be read or not.
+
+    ``corrupt_column`` is NULL where the record was read whole, as with ``read_calls_csv``.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_column}
+    options |= {"timestampNTZFormat": timestamp_format} if timestamp_format else {}
+    ddl = lambda f: ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in f)
+    parse = lambda c, f: F.from_csv(c, ddl(f), options)
+    return _read_lines(spark, root, partition, S.CALL, parse, raw_column, corrupt_column)
+
+
+def read_chat_lines(
+    spark: SparkSession,
+    root: str,
+    partition: Partition = None,
+    *,
+    raw_column: str,
+    corrupt_column: str,
+    schema: T.StructType = S.CHAT_RAW,
+    timestamp_format: str | None = None,
+) -> DataFrame:
+    """S3 with the whole line of every chat beside its fields."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_column}
+    options |= {"timestampNTZFormat": timestamp_format} if timestamp_format else {}
+    parse = lambda c, f: F.from_json(c, f, options)
+    return _read_lines(spark, root, partition, schema, parse, raw_column, corrupt_column)
 
 
-def bytes_below(spark: SparkSession, path: str) -> int:
-    """Bytes of all files below a folder, from the file system's own summary."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+class EmptyInputError(ValueError):
+    """A requested fact folder holds no record; nothing was written."""
 
 
 def require_files(df: DataFrame, root: str, partition: Partition = None) -> None:
-    """Fail when a requested date folder exists but holds no bytes of data.
+    """Fail when a requested date folder exists but holds no record.
 
-    With a declared schema Spark reads such a folder as zero rows, and a
-    whole-table overwrite would then empty the target.  (Without a schema the
-    read itself fails, as it cannot infer one.)  One folder summary per named
-    date, or one of the root; no list of files comes to Python.
+    ``df`` is the read of ``partition``.  With a declared schema Spark reads such a folder as
+    zero rows, and a whole-table overwrite would then empty the target.  (Without a schema the
+    read itself fails, as it cannot infer one.)  Sizes do not tell: hidden files, blank lines
+    and an empty compressed file have bytes.  One row of each named date is asked for, or one
+    of the root.
     """
-    empty = [p for p in partition_paths(root, partition) if bytes_below(df.sparkSession, p) == 0]
+    dates = [None] if partition is None else [partition] if isinstance(partition, str) else list(partition)
+    of = lambda d: df if d is None else df.where(F.col(S.PARTITION_COLUMN) == F.lit(d).cast("date"))
+    empty = [p for d in dates if of(d).isEmpty() for p in partition_paths(root, d)]
     if empty:
         raise EmptyInputError(f"no data in {empty}; nothing was written")
 
 
+LEDGER = "kind STRING, date STRING, path STRING, size BIGINT, changed TIMESTAMP"
+
+
+def input_files(spark: SparkSession, kind: str, root: str) -> DataFrame:
+    """The files below a fact root as Spark lists them (``LEDGER``); no content is read."""
+    files = spark.read.format("binaryFile").option("basePath", root.rstrip("/")).load(root.rstrip("/"))
+    date = F.col(S.PARTITION_COLUMN).cast("string") if S.PARTITION_COLUMN in files.columns else F.lit("")
+    return files.select(F.lit(kind).alias("kind"), F.coalesce(date, F.lit("")).alias("date"), "path", F.col("length").alias("size"), F.col("modificationTime").alias("changed"))
+
+
+def changed_dates(before: DataFrame, now: DataFrame) -> DataFrame:
+    """``(kind, date, files)``: dates with a new, changed or vanished file, and their files now.
+
+    An outer join on the path; what comes out has one row per changed date.
+    """
+    key, a, b = ["kind", "date", "path"], before.alias("a"), now.alias("b")
+    same = (F.col("a.size") == F.col("b.size")) & (F.col("a.changed") == F.col("b.changed"))
+    both = a.join(b, key, "full_outer").select(*key, F.coalesce(same, F.lit(False)).alias("same"), F.col("b.size").alias("size"))
+    dates = both.groupBy("kind", "date").agg(F.bool_and("same").alias("same"), F.count("size").alias("files"))
+    return dates.where(~F.col("same")).drop("same")
+
+
 def read_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """One row per line, column ``value``."""
     return spark.read.text(path if isinstance(path, str) else list(path))

@@ -18,11 +18,14 @@ from callfacts import fixtures, scratch
 from callfacts import schemas as S
 from callfacts.functions.rules import unreadable_rules
 from callfacts.functions.times import parse_date_text
-from callfacts.operators.checks import violation_rows
+from callfacts.operators.checks import StrictInputError, violation_rows
 from callfacts.operators.enrich import join_client
 from callfacts.operators.normalize import rewrite_nested, to_utc
 from callfacts.plans.job import JoinOptions, enrich_calls, enrich_chat_messages, enrich_chats, run
-from callfacts.sinks.writer import target_name, write_table
+from callfacts.plans.published import quarantine_name, run_published
+from callfacts.sinks.manifest import current, read_output
+from callfacts.sinks.staged_source import StagedTable
+from callfacts.sinks.writer import connector_options, target_name, write_table
 from callfacts.sources.readers import read_calls_csv, read_chats_json, read_table, read_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -241,7 +244,8 @@ def _run_job(spark: SparkSession, sf_dir: str, root: str, **options) -> None:
 def _both_targets(calls: DataFrame, chats: DataFrame) -> DataFrame:
     """Calls, and every message of the chats, under the names of their targets."""
     cols = ["id", "clientId", "startAt", "endAt", "name"]
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("message_id", "bigint"), ("text", "string"), ("sendAt", "timestamp_ntz"))]
+    time = chats.schema["messages"].dataType.elementType["sendAt"].dataType
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("message_id", "bigint"), ("text", "string"), ("sendAt", time))]
     left = calls.select(F.lit(target_name("calls", TARGET_SUFFIX)).alias("target"), *cols, *none)
     return left.unionByName(_each_message(chats).withColumn("target", F.lit(target_name("chats", TARGET_SUFFIX))))
 
@@ -290,6 +294,101 @@ def two_sinks_staged_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _both_targets(spark.read.table(calls_t), spark.read.table(chats_t))
 
 
+def sink_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job through the warehouse sink with its five settings, then both tables read through it."""
+    spark.dataSource.register(StagedTable)
+    settings = dict(host="warehouse", user="loader", db="staging", password="-")
+    settings["stagingFsUrl"] = scratch.fresh_folder(spark, "sinks", "warehouse")
+    options = connector_options(settings)
+    tables = [target_name(t, TARGET_SUFFIX) for t in ("calls", "chats")]
+    into = dict(sink_format=StagedTable.name(), sink_options=options, target_option="table")
+    _run_job(spark, sf_dir, "", calls_table=tables[0], chats_table=tables[1], **into)
+    read = lambda t: spark.read.format(StagedTable.name()).options(**options, table=t).load()
+    return _both_targets(*map(read, tables))
+
+
+def two_sinks_cached_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job with a dimension over the broadcast bound: cached for both joins, then released."""
+    root = scratch.fresh_folder(spark, "sinks", "cached")
+    _run_job(spark, sf_dir, root, join=JoinOptions(broadcast_max_bytes=0))
+    return _job_output(spark, root)
+
+
+def job_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job with instants in its targets, as microseconds since 1970."""
+    root = scratch.fresh_folder(spark, "sinks", "instants")
+    _run_job(spark, sf_dir, root, instants=True)
+    calls, chats = (spark.read.parquet(f"{root}/{target_name(t, TARGET_SUFFIX)}") for t in ("calls", "chats"))
+    both = _both_targets(calls, chats.select("id", "clientId", "startAt", "endAt", "name", "messages"))
+    times = [F.unix_micros(c).alias(c) for c in ("startAt", "endAt", "sendAt")]
+    return both.select("target", "id", "message_id", *times)
+
+
+def _published(spark: SparkSession, sf_dir: str, root: str, **options):
+    given = dict(
+        calls_root=fixtures.call_folder(spark, sf_dir),
+        chats_root=fixtures.chat_folder(spark, sf_dir),
+        dim_table=fixtures.register_clients(spark, sf_dir),
+        calls_table=target_name("calls", TARGET_SUFFIX),
+        chats_table=target_name("chats", TARGET_SUFFIX),
+    )
+    return run_published(spark, root=root, **(given | options))
+
+
+def _published_output(spark: SparkSession, root: str) -> DataFrame:
+    """Both targets of one version."""
+    seen = current(spark, root)
+    return _both_targets(*[read_output(spark, root, target_name(t, TARGET_SUFFIX), seen) for t in ("calls", "chats")])
+
+
+def two_sinks_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both targets published by one commit: every date, and then one date of it again."""
+    root = scratch.fresh_folder(spark, "sinks", "manifest")
+    _published(spark, sf_dir, root)
+    _published(spark, sf_dir, root, partition=ONE_DATE)
+    return _published_output(spark, root)
+
+
+def job_changed_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over the facts that landed first, then one over the dates that late files changed."""
+    root, calls, chats = (scratch.fresh_folder(spark, "sinks", x) for x in ("changed", "landed_calls", "landed_chats"))
+    for late in (False, True):
+        fixtures.land(spark, sf_dir, calls, chats, late)
+        _published(spark, sf_dir, root, calls_root=calls, chats_root=chats, changed_only=True)
+    return _published_output(spark, root)
+
+
+def job_gate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gate of a strict run counted while the refused calls were written."""
+    root = scratch.fresh_folder(spark, "sinks", "gate")
+    try:
+        _published(spark, sf_dir, root, calls_root=fixtures.dirty_call_folder(spark, sf_dir), join=JoinOptions(strict=True))
+    except StrictInputError as refused:
+        counts = list(refused.report.items())
+    else:
+        raise AssertionError("a strict run published calls that break its rules")
+    if current(spark, root).version:
+        raise AssertionError("a refused run must not publish")
+    return spark.createDataFrame(counts, "rule string, n long")
+
+
+def facts_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty calls and chats routed in one pass each: target rows, and quarantined ones with raw line and reasons."""
+    root = scratch.fresh_folder(spark, "sinks", "quarantine")
+    dirty = dict(calls_root=fixtures.dirty_call_folder(spark, sf_dir), chats_root=fixtures.dirty_chat_folder(spark, sf_dir))
+    _published(spark, sf_dir, root, quarantine=True, **dirty)
+    seen, parts = current(spark, root), []
+    for kind in ("calls", "chats"):
+        target = target_name(kind, TARGET_SUFFIX)
+        kept, held = (read_output(spark, root, n, seen) for n in (target, quarantine_name(target)))
+        none = lambda c: F.lit(None).cast("string").alias(c)
+        raw = F.col("raw") if kind == "calls" else F.lit(None).cast("string").alias("raw")
+        parts.append(kept.select(F.lit(target).alias("output"), "id", "clientId", "name", none("raw"), none("reasons")))
+        reasons = F.array_join("reasons", "; ").alias("reasons")
+        parts.append(held.select(F.lit(quarantine_name(target)).alias("output"), "id", "clientId", none("name"), raw, reasons))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 def stream_client_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The calls enrichment as a stream over the date folders (available-now run)."""
     from callfacts.streaming import run_available_now, start
@@ -354,6 +453,13 @@ QUERIES: dict[str, Query] = {
     "join_hot_keys": join_hot_keys,
     "stream_client_calls": stream_client_calls,
     "stream_client_chats": stream_client_chats,
+    "two_sinks_cached_dim": two_sinks_cached_dim,
+    "job_instants": job_instants,
+    "sink_warehouse": sink_warehouse,
+    "two_sinks_manifest": two_sinks_manifest,
+    "job_changed_input": job_changed_input,
+    "job_gate_counts": job_gate_counts,
+    "facts_quarantine": facts_quarantine,
 }
 
 
@@ -465,6 +571,41 @@ FROM conversations GROUP BY conv_id, turn // 64 HAVING bool_or(turn % 4 = 3)""",
         calls_where=f"WHERE c.date = DATE '{ONE_DATE}'", chats_where=f"WHERE c.date = DATE '{ONE_DATE}'"
     ),
     "job_fixed_offset": _two_sinks(_FIXED_CALLS),
+    "two_sinks_cached_dim": _two_sinks(),
+    "sink_warehouse": _two_sinks(),
+    "job_instants": f"SELECT target, id, message_id, epoch_us(startAt) AS startAt, epoch_us(endAt) AS endAt, epoch_us(sendAt) AS sendAt "
+    f"FROM ({_two_sinks()})",
+    "two_sinks_manifest": _two_sinks(),
+    "job_changed_input": _two_sinks(),
+    "job_gate_counts": f"""WITH {_DIRTY}
+SELECT 'rows' AS rule, count(*) AS n FROM dirty
+UNION ALL SELECT 'clientId is not a number', count(*) FILTER (clientId IS NOT NULL AND TRY_CAST(clientId AS BIGINT) IS NULL) FROM dirty
+UNION ALL SELECT 'startAt is unreadable', 0 UNION ALL SELECT 'endAt is unreadable', 0""",
+    "facts_quarantine": f"""WITH {_DIRTY}, {_CHATS},
+checked AS (
+  SELECT d.*, cu.c_name AS name, list_filter([
+    CASE WHEN clientId IS NULL THEN 'clientId is missing' END,
+    CASE WHEN clientId IS NOT NULL AND TRY_CAST(clientId AS BIGINT) IS NULL THEN 'clientId is not a number' END,
+    CASE WHEN startAt IS NULL THEN 'startAt is missing' END, CASE WHEN endAt IS NULL THEN 'endAt is missing' END,
+    CASE WHEN endAt < startAt THEN 'endAt is before startAt' END,
+    CASE WHEN TRY_CAST(clientId AS BIGINT) IS NOT NULL AND cu.c_custkey IS NULL THEN 'no such client' END], lambda x: x IS NOT NULL) AS why
+  FROM dirty d LEFT JOIN customer cu ON cu.c_custkey = TRY_CAST(d.clientId AS BIGINT)),
+spoiled AS (
+  SELECT c.id, c.clientId, cu.c_name AS name, list_filter([
+    CASE WHEN EXISTS (SELECT 1 FROM conversations v WHERE v.conv_id * 1000000 + v.turn // 64 = c.id AND v.turn % 4 = 3)
+      THEN 'message date is unreadable' END,
+    CASE WHEN cu.c_custkey IS NULL THEN 'no such client' END], lambda x: x IS NOT NULL) AS why
+  FROM chats c LEFT JOIN customer cu ON cu.c_custkey = TRY_CAST(c.clientId AS BIGINT))
+SELECT CASE WHEN len(why) = 0 THEN 'calls{TARGET_SUFFIX}' ELSE 'calls{TARGET_SUFFIX}_quarantine' END AS output, id, clientId,
+       CASE WHEN len(why) = 0 THEN name END AS name,
+       CASE WHEN len(why) > 0 THEN concat(id, ',', coalesce(clientId, ''), ',', coalesce(strftime(startAt, '%Y-%m-%d %H:%M:%S.%f'), ''),
+            ',', coalesce(strftime(endAt, '%Y-%m-%d %H:%M:%S.%f'), '')) END AS raw,
+       CASE WHEN len(why) > 0 THEN array_to_string(why, '; ') END AS reasons
+FROM checked
+UNION ALL
+SELECT CASE WHEN len(why) = 0 THEN 'chats{TARGET_SUFFIX}' ELSE 'chats{TARGET_SUFFIX}_quarantine' END, id, clientId,
+       CASE WHEN len(why) = 0 THEN name END, NULL, CASE WHEN len(why) > 0 THEN array_to_string(why, '; ') END
+FROM spoiled""",
     "sink_target_option": f"WITH {_CALLS} {_CLIENT_CALLS}",
     "join_hot_keys": f"WITH {_CALLS} {_CLIENT_CALLS}",
     "calls_iso_times": f"""WITH {_CALLS},

@@ -1,5 +1,6 @@
 """Inputs and targets stay whole: unreadable records, empty files, overlapping folders, file counts."""
 
+import gzip
 import os
 
 import pytest
@@ -138,3 +139,70 @@ def test_a_stream_refuses_the_split(spark):
             spark, kind="calls", fact_root=fixtures.call_folder(spark, SF_SMALL), target="/nowhere", checkpoint="/nowhere",
             dim_table=fixtures.register_clients(spark, SF_SMALL), join=JoinOptions(strategy="split"),
         )
+
+
+def _kept_table(spark, name, n=3):
+    spark.range(n).selectExpr("id", "'x' AS clientId").write.mode("overwrite").saveAsTable(name)
+
+
+@pytest.mark.parametrize("other", ["default.one_stg", "`default`.`one_stg`", "spark_catalog.default.one_stg", "ONE_stg"])
+@pytest.mark.parametrize("publish", ["overwrite", "staged"])
+def test_one_table_under_two_names_is_refused(spark, other, publish):
+    _kept_table(spark, "one_stg")
+    staging = scratch.fresh_folder(spark, "tests", "staging")
+    with pytest.raises(SelfOverwriteError, match="three tables"):
+        _job(spark, catalog=True, calls_table="one_stg", chats_table=other, publish=publish, staging_root=staging)
+    assert spark.table("one_stg").count() == 3 and not os.path.exists(staging.removeprefix("file:"))
+
+
+def test_a_catalog_target_over_the_dimension_or_the_facts_is_refused(spark):
+    root = scratch.fresh_folder(spark, "tests", "located")
+    spark.range(5).selectExpr("id", "'n' AS name").write.parquet(f"{root}/dim")
+    spark.catalog.createTable("dim_located", path=f"{root}/dim", source="parquet")
+    spark.catalog.createTable("calls_over_dim", path=f"{root}/dim", source="parquet")
+    with pytest.raises(SelfOverwriteError, match="dimension"):
+        _job(spark, catalog=True, dim_table="dim_located", calls_table="calls_over_dim", chats_table="chats_apart")
+    assert spark.table("dim_located").count() == 5
+    facts = _calls(spark, "2024-01-05 10:00:00")
+    spark.sql(f"CREATE TABLE calls_over_facts (value STRING) USING text LOCATION '{facts}/date={DATE}'")
+    with pytest.raises(SelfOverwriteError, match="facts"):
+        _job(spark, catalog=True, calls_root=facts, calls_table="calls_over_facts", chats_table="chats_apart")
+    assert read_calls_csv(spark, facts).count() == 1
+    _kept_table(spark, "shared_a")
+    at = spark.sql("DESCRIBE TABLE EXTENDED shared_a").where("col_name = 'Location'").first().data_type
+    spark.catalog.createTable("shared_b", path=at, source="parquet")
+    with pytest.raises(SelfOverwriteError, match="overlap"):
+        _job(spark, catalog=True, calls_table="shared_a", chats_table="shared_b")
+    assert spark.table("shared_a").count() == 3
+
+
+NO_RECORDS = {
+    "hidden file": {"part-0.csv": b"", "_meta": b"x" * 50},
+    "blank lines": {"part-0.csv": b"\n\n"},
+    "empty gzip": {"part-0.csv.gz": gzip.compress(b"")},
+}
+
+
+@pytest.mark.parametrize("files", NO_RECORDS.values(), ids=NO_RECORDS)
+def test_input_without_a_record_leaves_the_targets(spark, files):
+    root = scratch.fresh_folder(spark, "tests", "empty")
+    folder = f"{root.removeprefix('file:')}/date={DATE}"
+    os.makedirs(folder)
+    for name, data in files.items():
+        with open(f"{folder}/{name}", "wb") as f:
+            f.write(data)
+    target = scratch.fresh_folder(spark, "tests", "kept")
+    write_table(spark.range(3), f"{target}/calls")
+    for options in (dict(calls_root=root), dict(chats_root=root)):
+        with pytest.raises(EmptyInputError, match="no data"):
+            _job(spark, calls_table=f"{target}/calls", **options)
+        assert spark.read.parquet(f"{target}/calls").count() == 3
+
+
+def test_dynamic_overwrite_of_a_table_makes_few_files(spark):
+    calls = fixtures.calls_frame(spark, "/root/testdata/sf0.01").repartition(8)
+    dates = calls.select("date").distinct().count()
+    for _ in range(2):  # the first write makes the table, the second inserts into it
+        write_table(calls, "few_files", catalog=True, partition_overwrite="dynamic")
+        assert len(spark.table("few_files").inputFiles()) <= 1.5 * dates
+    assert spark.table("few_files").count() == calls.count()
