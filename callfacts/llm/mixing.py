@@ -1,18 +1,26 @@
 """Mixing sources to target weights by raking (iterative proportional fitting).
 
-Token counts of the cells (source, language, topic) are raked until each margin has
-its target shares; a document is kept with the probability ``rate`` times the
-raked over the observed tokens of its cell, at most 1.  The rate is set so that the
-expected tokens kept are ``keep`` of all.  A seeded hash of the document decides, so
-a retry or a second run keeps the same rows.
-
-A topic is the nearest of ``TOPICS`` centroids of hashed words, fitted on a bounded
-sample and assigned to every whole text.  Without given targets a margin's target
-shares are the observed ones to the power ``TEMPER``, which raises small categories.
+Every cell (source, language, topic) gets a probability, at most 1, such that each margin's
+expected kept tokens have its target shares: the cells are raked under that bound, so a cell
+that reaches it stays there and the others make up for it.  A document is kept by a seeded
+hash of itself, so a retry or a second run keeps the same rows.
+
+``keep`` of all tokens are kept.  Where the targets cannot be met with so many, ``keep`` is
+lowered, at most to ``least_keep``; if they cannot be met then, ``UnmetTargets`` says which.
+Margins without given targets get those of a mix that can be had: cells in proportion to their
+tokens to the power ``TEMPER``, which raises small ones, none beyond all tokens that it has,
+raked to the given margins.  (Tempering each margin on its own would ask for shares that no
+mix has where, say, a topic occurs in one language only.)
+
+A topic is the nearest of ``TOPICS`` centroids of hashed words.  They are fitted by spherical
+k-means over all documents, whose vectors are made once and whose sums per centroid are added
+up in Spark; only the first centroids are picked from ``SEEDS`` documents of least hash.
 
 Cells up to ``MAX_CELLS`` are raked on the driver and their probabilities broadcast;
 beyond that (many thousand sources) the same sweeps run as joins and sums in Spark.
 
+Tokens are words between white space, so a text without any has one.
+
 Defined results: null categories are a category of their own; a null text counts as empty
 (no tokens, topic 0, kept as its cell says); cells without tokens keep all their
 documents; equal rows share their fate; an empty table gives an empty result.  Extra
@@ -35,59 +43,130 @@ from callfacts.llm.tokens import Generations
 
 TOPICS = 8
 BUCKETS = 512
-SAMPLE_ROWS = 2000  # documents that the topics are fitted on
+SEEDS = 256  # documents that the first centroids are picked from
+ROUNDS = 10
 TEMPER = 0.8
 KEEP = 0.7
+LEAST_KEEP = 0.35
 MAX_CELLS = 100_000
-SWEEPS = 30
-CLOSE = 1e-6  # relative error of the margins at which raking stops
+SWEEPS = 500
+CLOSE = 1e-5  # relative error of the margins at which raking stops
+MET = 1e-3  # and that the worst margin may have
+SWEEPS_IN_SPARK = 60
 SEED = 17
 
 Targets = Mapping[str, Mapping[str, float]]
 
 
+class UnmetTargets(ValueError):
+    """Target shares that no probabilities up to 1 can give."""
+
+
 def _bucket_of(word: str) -> int:
     return zlib.crc32(word.lower().encode()) % BUCKETS
 
 
-def word_vectors(texts: list[str | None], cache: Generations) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors of hashed words (log counts), and the number of words."""
+def word_counts(texts: list[str | None], cache: Generations) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrences by bucket, and the number of words."""
     out, sizes = np.zeros((len(texts), BUCKETS), np.float32), np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
         words = (text or "").split()
         sizes[i] = len(words)
         if words:
-            out[i] = np.log1p(np.bincount([cache[w] for w in words], minlength=BUCKETS))
-    norm = np.linalg.norm(out, axis=1, keepdims=True)
-    return out / np.maximum(norm, 1e-12), sizes
+            out[i] = np.bincount(np.fromiter(map(cache.__getitem__, words), np.int64, len(words)), minlength=BUCKETS)
+    return out, sizes
 
 
-def fit_topics(docs: DataFrame, text_col: str, topics: int = TOPICS, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
-    """Centroids by spherical k-means over a seeded sample of at most ``sample_rows`` documents."""
-    n = docs.count()
-    if not n:
-        return np.zeros((1, BUCKETS), np.float32)
-    cut = 1 << 30 if n <= sample_rows else int(0.9 * sample_rows / n * (1 << 30)) + 1
-    chosen = docs.where(F.pmod(F.xxhash64(text_col, F.lit(SEED)), F.lit(1 << 30)) < cut)
+def _unit(counts: np.ndarray) -> np.ndarray:
+    """Unit vectors of log counts; zero stays zero."""
+    x = np.log1p(counts)
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x, _ = word_vectors(b.column(0).to_pylist(), Generations(_bucket_of, 100_000))
-            yield pa.record_batch([pa.array(list(x), pa.list_(pa.float32()))], names=["x"])
+
+def _vectors(docs: DataFrame, text_col: str) -> DataFrame:
+    """``(h, x)`` of every document: a hash of the text and its counts, an empty bucket as nothing."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = Generations(_bucket_of, 100_000)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                b = whole.slice(at, 500)
+                x, _ = word_counts(b.column(1).to_pylist(), cache)
+                rows = [_planes(r) for r in x.astype("<u4")]
+                yield pa.record_batch([b.column(0), pa.array(rows, pa.binary())], names=["h", "x"])
 
     ship(docs.sparkSession)
-    rows = chosen.select(text_col).limit(sample_rows).mapInArrow(vectors, "x array<float>").collect()
-    x = np.array([r["x"] for r in rows], np.float32).reshape(-1, BUCKETS)
-    x = x[np.lexsort(x.T[::-1])]  # the order of the rows doesn't matter
-    if not len(x):
+    return docs.select(F.xxhash64(text_col, F.lit(SEED)).alias("h"), text_col).mapInArrow(run, "h long, x binary")
+
+
+def _planes(counts: np.ndarray) -> bytes:
+    """Counts byte by byte, up to the highest byte that any of them has: usually one byte a bucket."""
+    planes = counts.view(np.uint8).reshape(BUCKETS, 4).T
+    return planes[: max(1, int(counts.max(initial=0)).bit_length() + 7 >> 3)].tobytes()
+
+
+def _counts(rows: list[bytes]) -> np.ndarray:
+    out = np.zeros((len(rows), 4, BUCKETS), np.uint8)
+    for i, r in enumerate(rows):
+        out[i, : len(r) // BUCKETS] = np.frombuffer(r, np.uint8).reshape(-1, BUCKETS)
+    return np.ascontiguousarray(out.transpose(0, 2, 1)).view("<u4").reshape(len(rows), BUCKETS).astype(np.float32)
+
+
+def first_centroids(x: np.ndarray, topics: int) -> np.ndarray:
+    """Centroids far from each other among ``x``: each next one is the farthest from those before."""
+    picked = [int((x @ x.sum(0)).argmax())]
+    near = x @ x[picked[0]]
+    while len(picked) < min(topics, len(x)) and near.min() < 1 - 1e-6:
+        picked.append(int(near.argmin()))
+        near = np.maximum(near, x @ x[picked[-1]])
+    return x[picked]
+
+
+def fit_topics(docs: DataFrame, text_col: str, topics: int = TOPICS, rounds: int = ROUNDS) -> np.ndarray:
+    """Centroids by spherical k-means over all documents.
+
+    A round is one pass over the vectors; a task gives the sum of each centroid's vectors, eight
+    tasks add those up, and eight rows come to the driver whatever the input.
+    """
+    vectors = staged(_vectors(docs, text_col), "topic_vectors")
+    spark = docs.sparkSession
+    seeds = vectors.dropDuplicates(["h"]).orderBy("h").limit(SEEDS).collect()
+    start = _unit(_counts([bytes(r["x"]) for r in seeds]))
+    start = start[start.any(axis=1)]
+    if not len(start):
         return np.zeros((1, BUCKETS), np.float32)
-    rng = np.random.default_rng(SEED)
-    centre = x[rng.choice(len(x), min(topics, len(x)), replace=False)]
-    for _ in range(15):
-        near = (x @ centre.T).argmax(1)
-        moved = np.array([x[near == k].sum(0) if (near == k).any() else centre[k] for k in range(len(centre))])
-        centre = moved / np.maximum(np.linalg.norm(moved, axis=1, keepdims=True), 1e-12)
-    return centre.astype(np.float32)
+    centre = first_centroids(start, topics).astype(np.float32)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(centre.shape)
+        for b in batches:
+            for row in b.column(0):
+                out += np.frombuffer(row.as_buffer()).reshape(out.shape)
+        yield pa.record_batch([pa.array([out.tobytes()], pa.binary())], names=["s"])
+
+    for _ in range(rounds):
+        held = spark.sparkContext.broadcast(centre)
+
+        def sums(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            c = held.value
+            out = np.zeros(c.shape)
+            for whole in batches:
+                for at in range(0, whole.num_rows, 1000):
+                    x = _unit(_counts([r.as_py() for r in whole.slice(at, 1000).column(0)]))
+                    near = (x @ c.T).argmax(1)
+                    out += (near == np.arange(len(c))[:, None]).astype(np.float32) @ x
+            yield pa.record_batch([pa.array([out.tobytes()], pa.binary())], names=["s"])
+
+        parts = vectors.select("x").mapInArrow(sums, "s binary").repartition(8).mapInArrow(total, "s binary").collect()
+        moved = np.sum([np.frombuffer(r["s"]).reshape(centre.shape) for r in parts], axis=0)
+        norm = np.linalg.norm(moved, axis=1, keepdims=True)
+        fresh = np.where(norm > 0, moved / np.maximum(norm, 1e-12), centre).astype(np.float32)
+        held.destroy()
+        still = np.abs(fresh - centre).max() < 1e-4
+        centre = fresh
+        if still:
+            break
+    return centre
 
 
 def with_topics(docs: DataFrame, centre: np.ndarray, out: str, text_col: str) -> DataFrame:
@@ -100,8 +179,8 @@ def with_topics(docs: DataFrame, centre: np.ndarray, out: str, text_col: str) ->
         cache = state.setdefault("cache", Generations(_bucket_of, 100_000))
         topic, size = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
         for at in range(0, len(texts), 500):
-            x, n = word_vectors(texts.slice(at, 500).to_pylist(), cache)
-            topic.append((x @ held.value.T).argmax(1).astype(np.int32))
+            x, n = word_counts(texts.slice(at, 500).to_pylist(), cache)
+            topic.append((_unit(x) @ held.value.T).argmax(1).astype(np.int32))
             size.append(n)
         cols = [pa.array(np.concatenate(topic)), pa.array(np.concatenate(size))]
         return pa.StructArray.from_arrays(cols, ["topic", "tokens"])
@@ -109,111 +188,216 @@ def with_topics(docs: DataFrame, centre: np.ndarray, out: str, text_col: str) ->
     return docs.withColumn(out, F.arrow_udf(assign, "topic int, tokens long")(F.col(text_col)))
 
 
-def target_shares(observed: dict, given: Mapping[str, float] | None, temper: float = TEMPER) -> dict:
+def checked_targets(targets: Targets, margins: list[str]) -> None:
+    """Refuse targets that no mix can have, whatever the data."""
+    if set(targets) - set(margins):
+        raise UnmetTargets(f"no margin is called {sorted(set(targets) - set(margins))}; they are {margins}")
+    for m, given in targets.items():
+        if any(not v >= 0 for v in given.values()) or sum(given.values()) > 1 + 1e-9:
+            raise UnmetTargets(f"target shares of {m} must be at least 0 and at most 1 together: {dict(given)}")
+
+
+def target_shares(observed: dict, given: Mapping[str, float], name: str = "") -> dict:
     """Shares of a margin's categories, which add up to 1.
 
     Given shares hold for the categories they name; the others divide what is left in
     proportion to what was observed.
     """
-    total = sum(observed.values())
-    if given is None:
-        raw = {c: (v / total) ** temper if total and v else 0.0 for c, v in observed.items()}
-    else:
-        named = {c: given[c] for c in observed if c in given}
-        other = sum(v for c, v in observed.items() if c not in given)
-        left = max(0.0, 1 - sum(given.values()))
-        raw = {c: named.get(c, left * v / other if other else 0.0) for c, v in observed.items()}
-    whole = sum(raw.values())
-    return {c: v / whole if whole else 0.0 for c, v in raw.items()}
-
-
-def rake(tokens: np.ndarray, codes: list[np.ndarray], shares: list[np.ndarray]) -> np.ndarray:
-    """Raked weights of the cells; ``codes[m]`` numbers each cell's category in margin ``m``."""
-    w, total = tokens.astype(float), tokens.sum()
-    for _ in range(SWEEPS):
-        off = 0.0
-        for code, share in zip(codes, shares):
-            have = np.bincount(code, w, len(share))
-            factor = np.divide(share * total, have, out=np.ones(len(share)), where=have > 0)
-            off = max(off, np.abs(factor[have > 0] - 1).max(initial=0))
-            w = w * factor[code]
+    absent = sorted(c for c, v in given.items() if v > 0 and not observed.get(c))
+    if absent:
+        raise UnmetTargets(f"{name}: no tokens of {absent}")
+    left, other = 1 - sum(given.values()), sum(v for c, v in observed.items() if c not in given)
+    if left > 1e-9 and not other:
+        raise UnmetTargets(f"{name}: the shares of all categories add up to {1 - left:g}")
+    return {c: given[c] if c in given else left * v / other if other else 0.0 for c, v in observed.items()}
+
+
+def tempered(tokens: np.ndarray, keep: float) -> np.ndarray:
+    """Tokens to keep of each cell: in proportion to a power of what it has, at most all, ``keep`` of all together."""
+    raw, low, high = tokens**TEMPER, 0.0, float(tokens.max(initial=1.0)) ** (1 - TEMPER)
+    for _ in range(100):
+        mid = (low + high) / 2
+        low, high = (mid, high) if np.minimum(tokens, mid * raw).sum() < keep * tokens.sum() else (low, mid)
+    return np.minimum(tokens, high * raw)
+
+
+def rake(
+    tokens: np.ndarray, codes: list[np.ndarray], wanted: list[np.ndarray], start: np.ndarray | None = None, sweeps: int = SWEEPS
+) -> tuple[np.ndarray, float]:
+    """Probabilities of the cells and the largest relative error of a margin.
+
+    ``codes[m]`` numbers each cell's category in margin ``m``, ``wanted[m]`` is what each
+    category's kept tokens should be.  A cell's probability is 1 or ``start`` (1 everywhere)
+    times its categories' factors; each step solves one margin's factors exactly.
+    """
+    r, off = np.ones(len(tokens)) if start is None else start.astype(float), np.inf
+    for _ in range(sweeps):
+        for code, want in zip(codes, wanted):
+            r = r * _factors(tokens, r, code, want)[code]
+        off = max(_error(tokens, r, code, want) for code, want in zip(codes, wanted))
         if off < CLOSE:
             break
-    return w
+    return np.minimum(1, r), off
+
+
+def _factors(tokens: np.ndarray, r: np.ndarray, code: np.ndarray, want: np.ndarray) -> np.ndarray:
+    """Per category the factor ``f`` with ``sum(tokens * min(1, r * f)) = want``, or of all its tokens."""
+    f = np.ones(len(want))
+    have = np.bincount(code, tokens * r, len(want))
+    f = np.divide(want, have, out=f, where=have > 0)
+    for _ in range(50):  # from below: what is over the bound is fixed, the rest makes up for it
+        full = r * f[code] >= 1
+        fixed, free = (np.bincount(code, x, len(want)) for x in (tokens * full, tokens * r * ~full))
+        new = np.divide(want - fixed, free, out=f.copy(), where=free > 0)
+        new = np.where((free > 0) & (new > f), new, f)
+        if np.allclose(new, f, rtol=1e-12, atol=0):
+            break
+        f = new
+    return f
 
 
-def rate_for(tokens: np.ndarray, ratio: np.ndarray, keep: float) -> float:
-    """The rate at which ``sum(tokens * min(1, rate * ratio))`` is ``keep`` of all tokens, by bisection."""
-    low, high = 0.0, 1 / max(ratio[ratio > 0].min(initial=1.0), 1e-12)
-    for _ in range(80):
-        mid = (low + high) / 2
-        low, high = (mid, high) if (tokens * np.minimum(1, mid * ratio)).sum() < keep * tokens.sum() else (low, mid)
-    return high
+def _error(tokens: np.ndarray, r: np.ndarray, code: np.ndarray, want: np.ndarray) -> float:
+    have = np.bincount(code, tokens * np.minimum(1, r), len(want))
+    return float(np.abs(np.divide(have, want, out=np.ones(len(want)), where=want > 0) - 1).max(initial=0))
 
 
-def _cells_on_driver(cells: DataFrame, margins: list[str], targets: Targets, keep: float) -> DataFrame:
-    spark, rows = cells.sparkSession, cells.collect()
-    tokens = np.array([r["tokens"] for r in rows], float)
-    codes, shares = [], []
-    for m in margins:
+def solve_cells(tokens: np.ndarray, names: Mapping[str, list], targets: Targets, keep: float, least_keep: float) -> np.ndarray:
+    """The cells' probabilities; ``names[m]`` is each cell's category in margin ``m``."""
+    total = float(tokens.sum())
+    if not total:
+        return np.ones(len(tokens))
+    code, seen = {}, {}
+    for m, values in names.items():
         observed: dict = {}
-        for r in rows:
-            observed[r[m]] = observed.get(r[m], 0) + r["tokens"]
+        for v, n in zip(values, tokens):
+            observed[v] = observed.get(v, 0.0) + float(n)
         number = {c: i for i, c in enumerate(observed)}
-        share = target_shares(observed, targets.get(m))
-        codes.append(np.array([number[r[m]] for r in rows], int))
-        shares.append(np.array([share[c] for c in observed]))
-    ratio = np.divide(rake(tokens, codes, shares), tokens, out=np.zeros(len(rows)), where=tokens > 0)
-    p = np.minimum(1, rate_for(tokens, ratio, keep) * ratio)
+        code[m], seen[m] = np.array([number[v] for v in values], int), observed
+
+    def attempt(share: float) -> tuple[np.ndarray, float, list[str]]:
+        want, beyond = {}, []
+        for m, given in targets.items():
+            shares = target_shares(seen[m], given, name=m)
+            beyond += [f"{m} {c!r}: {v:.4g} wanted, {seen[m][c] / total / share:.4g} there" for c, v in shares.items() if v * share * total > seen[m][c] * (1 + 1e-9)]
+            want[m] = np.array([shares[c] for c in seen[m]]) * share * total
+        if beyond:
+            return np.ones(len(tokens)), np.inf, beyond
+        likely = tempered(tokens, share)
+        if want:
+            first = np.divide(likely, tokens, out=np.ones(len(tokens)), where=tokens > 0)
+            p, off = rake(tokens, [code[m] for m in want], list(want.values()), first)
+            if off > MET:
+                return p, off, []
+            likely = p * tokens
+        wanted = [want[m] if m in want else np.bincount(code[m], likely, len(seen[m])) for m in seen]
+        return *rake(tokens, list(code.values()), wanted), []
+
+    p, off, _ = attempt(keep)
+    if off > MET:
+        p, off, beyond = attempt(least_keep)
+        if off > MET:
+            raise UnmetTargets(f"keeping {least_keep:g} of all tokens: {'; '.join(beyond) or f'margins are off by {off:.2g}'}")
+        low, high = least_keep, keep
+        for _ in range(12):  # the largest share that meets them
+            mid = (low + high) / 2
+            q, far, _ = attempt(mid)
+            low, high, p = (mid, high, q) if far <= MET else (low, mid, p)
+    p = p.copy()
     p[tokens == 0] = 1.0
-    data = [(*(r[m] for m in margins), float(x)) for r, x in zip(rows, p)]
+    return p
+
+
+def _cells_on_driver(cells: DataFrame, margins: list[str], targets: Targets, keep: float, least_keep: float) -> DataFrame:
+    spark, rows = cells.sparkSession, sorted(cells.collect())
+    names = {m: [r[m] for r in rows] for m in margins}
+    p = solve_cells(np.array([r["tokens"] for r in rows], float), names, targets, keep, least_keep)
     fields = ", ".join(f"{m} string" for m in margins)
-    return F.broadcast(spark.createDataFrame(data, f"{fields}, p double"))
+    return F.broadcast(spark.createDataFrame([(*(r[m] for m in margins), float(x)) for r, x in zip(rows, p)], f"{fields}, p double"))
+
 
+def _cells_in_spark(cells: DataFrame, margins: list[str], targets: Targets, keep: float, least_keep: float) -> DataFrame:
+    """The same raking with sums and joins by margin; categories come to the driver, cells do not.
 
-def _cells_in_spark(cells: DataFrame, margins: list[str], targets: Targets, keep: float) -> DataFrame:
-    """The same raking with one sum and one join a margin; only totals come to the driver."""
+    A margin's categories are few beside the cells, and their factors are what is solved for.
+    """
     spark = cells.sparkSession
-    w = staged(cells.withColumn("w", F.col("tokens").cast("double")), "cells")
-    total = w.agg(F.sum("w")).first()[0] or 0.0
-    wanted = {}
-    for m in margins:
-        seen = cells.groupBy(m).agg(F.sum("tokens").cast("double").alias("o"))
-        given = targets.get(m)
-        if given is None:
-            raw = seen.select(m, F.when(F.col("o") > 0, F.pow(F.col("o") / max(total, 1.0), F.lit(TEMPER))).otherwise(0.0).alias("t"))
-        else:
-            named = spark.createDataFrame([(c, float(v)) for c, v in given.items()], f"{m} string, g double")
-            both = seen.join(F.broadcast(named), m, "left")
-            other = both.where("g is null").agg(F.sum("o")).first()[0] or 0.0
-            left = max(0.0, 1 - sum(given.values()))
-            raw = both.select(m, F.coalesce("g", left * F.col("o") / (other or 1.0)).alias("t"))
-        whole = raw.agg(F.sum("t")).first()[0] or 1.0
-        wanted[m] = staged(raw.select(m, (F.col("t") / whole * total).alias("t")), "shares")
-    for _ in range(SWEEPS):
-        off = 0.0
+    seen = {m: {r[m]: float(r["o"]) for r in cells.groupBy(m).agg(F.sum("tokens").cast("double").alias("o")).collect()} for m in margins}
+    total = sum(seen[margins[0]].values()) if margins else 0.0
+    if not total:
+        return cells.select(*margins, F.lit(1.0).alias("p"))
+
+    def raked(rows: DataFrame, wanted: Targets) -> tuple[DataFrame, float]:
+        """``rows`` with ``r`` from their own times factors by category that meet ``wanted``."""
+        factor, off = {m: dict.fromkeys(seen[m], 1.0) for m in wanted}, np.inf
+        for _ in range(SWEEPS_IN_SPARK):
+            off = 0.0
+            for m in wanted:
+                got = _with_factors(rows, factor).groupBy(m).agg(
+                    F.sum(F.when(F.col("r") >= 1, F.col("tokens")).otherwise(0)).cast("double").alias("fixed"),
+                    F.sum(F.when(F.col("r") < 1, F.col("tokens") * F.col("r")).otherwise(0.0)).alias("free"),
+                ).collect()
+                for g in got:
+                    want, have = wanted[m][g[m]], g["fixed"] + g["free"]
+                    off = max(off, abs(have / want - 1) if want else 0.0)
+                    room = (want - g["fixed"]) / g["free"] if g["free"] > 0 else 0.0
+                    factor[m][g[m]] *= min(4.0, room) if room > 0.25 else max(0.25, want / have if have else 1.0)
+            if off < CLOSE:
+                break
+        return staged(_with_factors(rows, factor), "raked_cells"), off
+
+    def attempt(share: float) -> tuple[DataFrame, float]:
+        want = {}
+        for m, given in targets.items():
+            shares = target_shares(seen[m], given, name=m)
+            if any(v * share * total > seen[m][c] * (1 + 1e-9) for c, v in shares.items()):
+                return cells, np.inf
+            want[m] = {c: v * share * total for c, v in shares.items()}
+        power = F.pow(F.col("tokens").cast("double"), F.lit(TEMPER))
+        low, high = 0.0, float(cells.agg(F.max("tokens")).first()[0]) ** (1 - TEMPER)
+        for _ in range(40):
+            mid = (low + high) / 2
+            kept = cells.agg(F.sum(F.least(F.col("tokens").cast("double"), mid * power))).first()[0]
+            low, high = (mid, high) if kept < share * total else (low, mid)
+        ratio = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), high * power / F.col("tokens"))).otherwise(1.0)
+        likely = staged(cells.withColumn("r", ratio), "likely_cells")
+        if want:
+            likely, off = raked(likely, want)
+            if off > MET:
+                return likely, off
         for m in margins:
-            have = w.groupBy(m).agg(F.sum("w").alias("h")).join(wanted[m], m)
-            factor = staged(have.select(m, F.when(F.col("h") > 0, F.col("t") / F.col("h")).otherwise(1.0).alias("f")), "factors")
-            off = max(off, factor.agg(F.max(F.abs(F.col("f") - 1))).first()[0] or 0.0)
-            w = w.join(factor, m).withColumn("w", F.col("w") * F.col("f")).drop("f")
-        w = staged(w, "cells")
-        if off < CLOSE:
-            break
-    ratio = staged(w.select(*margins, "tokens", F.when(F.col("tokens") > 0, F.col("w") / F.col("tokens")).alias("r")), "ratios")
-    smallest = ratio.agg(F.min(F.when(F.col("r") > 0, F.col("r")))).first()[0] or 1.0
-    low, high = 0.0, 1 / max(smallest, 1e-12)
-    for _ in range(40):
-        mid = (low + high) / 2
-        got = ratio.agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), mid * F.col("r")))).first()[0] or 0.0
-        low, high = (mid, high) if got < keep * total else (low, mid)
-    return ratio.select(*margins, F.coalesce(F.least(F.lit(1.0), high * F.col("r")), F.lit(1.0)).alias("p"))
+            if m not in want:
+                sums = likely.groupBy(m).agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), "r")).alias("w")).collect()
+                want[m] = {g[m]: float(g["w"]) for g in sums}
+        return raked(cells.withColumn("r", F.lit(1.0)), want)
+
+    done, off = attempt(keep)
+    if off > MET:
+        done, off = attempt(least_keep)
+        if off > MET:
+            raise UnmetTargets(f"keeping {least_keep:g} of all tokens, margins are off by {off:.2g}")
+        low, high = least_keep, keep
+        for _ in range(6):
+            mid = (low + high) / 2
+            other, far = attempt(mid)
+            low, high, done = (mid, high, other) if far <= MET else (low, mid, done)
+    return done.select(*margins, F.when(F.col("tokens") > 0, F.least(F.lit(1.0), "r")).otherwise(1.0).alias("p"))
+
+
+def _with_factors(cells: DataFrame, factor: Mapping[str, Mapping[str, float]]) -> DataFrame:
+    """``cells`` with ``r`` times their categories' factors."""
+    spark, r = cells.sparkSession, F.col("r")
+    for i, (m, by) in enumerate(factor.items()):
+        table = spark.createDataFrame([(c, float(v)) for c, v in by.items()], f"{m} string, f{i} double")
+        cells = cells.join(table, m)
+        r = r * F.col(f"f{i}")
+    return cells.withColumn("r", r).drop(*[f"f{i}" for i in range(len(factor))])
 
 
 def mix(
     docs: DataFrame,
     targets: Targets | None = None,
     keep: float = KEEP,
+    least_keep: float = LEAST_KEEP,
     source: str = "source",
     lang: str = "lang",
     id_col: str = "doc_id",
@@ -223,8 +407,10 @@ def mix(
     """``docs`` with the struct ``mix`` last: topic, tokens, probability, kept.
 
     ``targets``: per margin (``source``, ``lang``, ``topic``) the wanted token shares of
-    categories, as text.
+    categories, as text.  ``UnmetTargets`` if they name a category without tokens, add up to
+    more than 1, or cannot be met by keeping ``least_keep`` of all tokens or more.
     """
+    checked_targets(targets or {}, ["source", "lang", "topic"])
     out = free_name(docs, "mix")
     tagged = with_topics(docs, fit_topics(docs, text_col), out, text_col)
     none = "\x00"  # stands for a null category
@@ -234,7 +420,7 @@ def mix(
     cells = tagged.select(*[c.alias(m) for m, c in parts.items()], F.col(out)["tokens"].alias("n")).groupBy(*margins).agg(F.sum("n").alias("tokens"))
     cells = staged(cells, "cells")
     solve = _cells_on_driver if cells.count() <= max_cells else _cells_in_spark
-    p = solve(cells, margins, targets or {}, keep)
+    p = solve(cells, margins, targets or {}, keep, min(keep, least_keep))
     names = {m: free_name(tagged, f"{out}_{m}") for m in margins}
     p = p.select(*[F.col(m).alias(names[m]) for m in margins], F.col("p").alias(free_name(tagged, f"{out}_p")))
     chance = F.col(p.columns[-1])

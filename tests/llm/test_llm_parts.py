@@ -326,12 +326,107 @@ def test_mixing_of_edge_rows(spark, edge):
     assert mixing.sampled(edge).columns == edge.columns
 
 
+def plain_rake(tokens, names, wanted):
+    """Bounded raking by bisection, one category at a time: ``wanted[margin][category]`` in tokens."""
+    r = [1.0] * len(tokens)
+    for _ in range(300):
+        for m, want in wanted.items():
+            for c, goal in want.items():
+                mine = [i for i, x in enumerate(names[m]) if x == c]
+                low, high = 0.0, 1e9
+                for _ in range(100):
+                    mid = (low * high) ** 0.5 if low else high / 1e6 if high > 1e-9 else 0
+                    low, high = (mid, high) if sum(tokens[i] * min(1, r[i] * mid) for i in mine) < goal else (low, mid)
+                for i in mine:
+                    r[i] *= high
+    return np.minimum(1, r)
+
+
+def test_raking_matches_bisection_and_meets_every_margin():
+    rng = np.random.default_rng(4)
+    cells = [(f"s{a}", f"l{b}", f"t{c}") for a in range(4) for b in range(3) for c in range(2) if (a + b) % 3 or c]
+    names = {m: [c[i] for c in cells] for i, m in enumerate(("source", "lang", "topic"))}
+    tokens = rng.integers(1, 1000, len(cells)).astype(float)
+    for targets in ({}, {"source": {"s0": 0.4}}, {"lang": {"l0": 0.5, "l1": 0.25, "l2": 0.25}, "topic": {"t0": 0.3}}):
+        p = mixing.solve_cells(tokens, names, targets, 0.5, 0.3)
+        kept = tokens * p
+        by = {m: {c: kept[[x == c for x in v]].sum() for c in set(v)} for m, v in names.items()}
+        for m, given in targets.items():
+            for c, share in given.items():
+                assert by[m][c] / kept.sum() == pytest.approx(share, rel=2e-3)
+        assert np.allclose(plain_rake(tokens, names, by), p, atol=2e-3)
+        assert (kept.sum() / tokens.sum() == pytest.approx(0.5, rel=1e-3)) or targets
+
+
+def test_raking_of_a_tiny_source_and_of_topics_bound_to_a_language():
+    tokens, names = [], {"source": [], "lang": [], "topic": []}
+    shares = [0.33, 0.2, 0.12, 0.1, 0.08, 0.06, 0.04, 0.03, 0.02, 0.01, 0.005, 0.0015, 0.0005]
+    for i, s in enumerate(shares):
+        for j, t in enumerate((0.5, 0.3, 0.15, 0.05)):
+            tokens.append(1e7 * s * t)
+            for m, c in zip(names, (f"s{i}", "en" if j < 2 else f"l{j}", f"t{j}")):
+                names[m].append(c)
+    tokens = np.array(tokens)
+    p = mixing.solve_cells(tokens, names, {}, 0.7, 0.35)
+    likely = mixing.tempered(tokens, 0.7)
+    for m, v in names.items():
+        for c in set(v):
+            at = [x == c for x in v]
+            assert (tokens * p)[at].sum() == pytest.approx(likely[at].sum(), rel=0.01)
+    assert p[-1] == p.max()
+
+
+@pytest.mark.parametrize(
+    "targets,message",
+    [
+        ({"source": {"s1": 0.5}}, "source 's1': 0.5 wanted"),
+        ({"source": {"zz": 0.1}}, "no tokens of .'zz'."),
+        ({"source": {"s0": 0.9, "s1": 0.9}}, "at most 1 together"),
+        ({"source": {"s0": 0.5, "s1": 0.01}}, "add up to 0.51"),
+        ({"planet": {"earth": 1.0}}, "no margin is called"),
+        ({"lang": {"en": -0.1}}, "at least 0"),
+        ({"source": {"s0": 0.6, "s1": 0.4}, "lang": {"de": 0.3, "en": 0.7}}, "margins are off"),
+    ],
+)
+def test_targets_that_cannot_be_met_raise(spark, targets, message):
+    rows = [(i, "word " * 10, "de" if i % 4 == 0 else "en", "s1" if i % 4 == 0 else "s0") for i in range(80)]
+    if "at most" in message or "add up" in message or "wanted" in message:
+        rows = [(i, "word " * 10, "en", "s1" if i == 0 else "s0") for i in range(80)]
+    docs = staged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), "unmet")
+    for cells in (100_000, 0):
+        with pytest.raises(mixing.UnmetTargets, match=message if cells else None):
+            mixing.mix(docs, targets, keep=0.6, max_cells=cells).collect()
+
+
 def test_both_ways_of_raking_agree(spark):
     rows = [(i, f"word{i % 5} " * (1 + i % 7), ["en", "de", "fr"][i % 3], f"s{i % 4 if i % 2 else 0}") for i in range(300)]
     docs = staged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), "raked")
-    targets = {"lang": {"en": 0.5, "de": 0.3}, "source": {"s1": 0.4}}
-    p = [mixing.mix(docs, targets, max_cells=m).select("doc_id", "mix.*").toPandas().sort_values("doc_id") for m in (1000, 0)]
-    assert np.allclose(p[0].probability, p[1].probability, atol=1e-4)
+    for targets in ({"lang": {"en": 0.4, "de": 0.3}, "source": {"s1": 0.25}}, {}):
+        p = [mixing.mix(docs, targets, max_cells=m).select("doc_id", "mix.*").toPandas().sort_values("doc_id") for m in (1000, 0)]
+        assert np.allclose(p[0].probability, p[1].probability, atol=1e-3)
+
+
+def test_topics_are_fitted_on_all_documents(spark):
+    """A theme of one document in a hundred gets its topic, wherever its documents stand."""
+    words = [f"theme{t}w{k}" for t in range(3) for k in range(30)]
+    rng = random.Random(1)
+    theme = lambda i: 2 if i % 100 == 7 else i % 2
+    rows = [(i, " ".join(rng.choices(words[30 * theme(i) : 30 * theme(i) + 30], k=60))) for i in range(3000)]
+    docs = staged(spark.createDataFrame(rows, "doc_id long, text string"), "themes")
+    centre = mixing.fit_topics(docs, "text", topics=3)
+    got = mixing.with_topics(docs, centre, "m", "text").select("doc_id", "m.topic").collect()
+    seen = {theme(r.doc_id): r.topic for r in got}
+    assert len(set(seen.values())) == 3 and all(seen[theme(r.doc_id)] == r.topic for r in got)
+    again = mixing.fit_topics(docs.repartition(7), "text", topics=3)
+    assert np.allclose(again, centre, atol=1e-4)  # another layout of the input
+
+
+@given(st.lists(st.sampled_from([0, 1, 200, 300, 70_000, 20_000_000]), min_size=1, max_size=5))
+@settings(max_examples=30, deadline=None)
+def test_packed_counts_come_back(values):
+    counts = np.zeros(mixing.BUCKETS, "<u4")
+    counts[: len(values)] = values
+    assert (mixing._counts([mixing._planes(counts)])[0] == counts.astype(np.float32)).all()
 
 
 def test_embeddings_of_edge_rows(spark):

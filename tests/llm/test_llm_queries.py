@@ -11,7 +11,7 @@ from conftest import SF_ORACLE
 from oracle import compare, duck
 from tokenizers import Tokenizer
 
-from callfacts.llm import line_dedup, quality_rules
+from callfacts.llm import line_dedup, mixing, quality_rules
 from callfacts.llm.queries import ORACLE_SQL, QUERIES
 
 
@@ -180,13 +180,18 @@ def test_mixing_reaches_its_targets(spark):
     got = QUERIES["op4_mixing"](spark, "/root/testdata/sf0.1").toPandas()
     assert len(got) == 10_000 and got.probability.between(0, 1).all()
     expected, drawn = (got.tokens * got.probability).sum(), got.tokens[got.kept].sum()
-    assert abs(expected / got.tokens.sum() - 0.7) < 0.01
+    assert abs(expected / got.tokens.sum() - 0.7) < 0.001
     assert abs(drawn / expected - 1) < 0.05
-    for margin in ("source", "lang"):
-        seen = got.groupby(margin).tokens.sum() / got.tokens.sum()
-        want = seen**0.8 / (seen**0.8).sum()
-        have = (got.tokens * got.probability).groupby(got[margin]).sum() / expected
-        assert (have - want).abs().max() < 0.03
+    cells = got.groupby(["source", "lang", "topic"], as_index=False).tokens.sum()
+    cells["likely"] = mixing.tempered(cells.tokens.to_numpy(float), 0.7)
+    for margin in ("source", "lang", "topic"):
+        want = cells.groupby(margin).likely.sum()
+        have = (got.tokens * got.probability).groupby(got[margin]).sum()
+        assert (have / want - 1).abs().max() < 0.01
+        assert have.rank().corr(got.groupby(margin).tokens.sum().rank()) > 0.9
+    small = got.groupby("source").tokens.sum().idxmin()  # small categories are raised
+    rate = lambda rows: (rows.tokens * rows.probability).sum() / rows.tokens.sum()
+    assert rate(got[got.source == small]) > rate(got)
 
 
 def test_cascade_stops_at_the_best_rule_first(spark):
