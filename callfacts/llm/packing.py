@@ -43,11 +43,8 @@ class Index:
     """BM25 over the token ids of a shard's documents, as postings sorted by term."""
 
     def __init__(self, docs: list[np.ndarray], k1: float = 1.2, b: float = 0.75):
-        found = [np.unique(d, return_counts=True) for d in docs]
-        sizes = np.fromiter((len(t) for t, _ in found), np.int64, len(found))
-        terms = np.concatenate([t for t, _ in found]) if found else np.empty(0, np.uint16)
-        tf = np.concatenate([c for _, c in found]).astype(np.float32) if found else np.empty(0, np.float32)
-        owner = np.repeat(np.arange(len(docs), dtype=np.int32), sizes)
+        owner, terms, tf = term_counts(docs) if docs else [np.empty(0, np.int64)] * 3
+        owner, terms, tf = owner.astype(np.int32), terms.astype(np.uint32), tf.astype(np.float32)
         length = np.fromiter((len(d) for d in docs), np.float32, len(docs))
         norm = k1 * (1 - b + b * length / max(1.0, float(length.mean()) if len(docs) else 1.0))
         weight = tf * (k1 + 1) / (tf + norm[owner])
@@ -163,17 +160,39 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_co
     return docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).mapInArrow(rows, "_id long, _ids binary")
 
 
+def term_counts(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(document, term, occurrences)`` of some documents, in this order, by one sort for all of them."""
+    size = np.fromiter(map(len, docs), np.int64, len(docs))
+    keys = np.repeat(np.arange(len(docs), dtype=np.uint64) << np.uint64(32), size) | np.concatenate(docs).astype(np.uint64)
+    keys.sort()
+    heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    first = keys[heads]
+    return (first >> np.uint64(32)).astype(np.int64), (first & np.uint64(0xFFFFFFFF)).astype(np.int64), np.diff(heads, append=len(keys))
+
+
+def _some(column: pa.Array, dtype: np.dtype, ids: int = 1 << 20) -> Iterator[list[np.ndarray]]:
+    """The documents of a column, about ``ids`` ids at a time."""
+    held, size = [], 0
+    for x in column:
+        held.append(np.frombuffer(x.as_buffer(), dtype))
+        size += len(held[-1])
+        if size >= ids:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def document_frequencies(held: DataFrame, dtype: np.dtype) -> np.ndarray:
     """Of every term, in how many documents of the whole corpus it occurs; one row a term comes to the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.zeros(0, np.int64)
         for b in batches:
-            for ids in b.column(0):
-                terms = np.unique(np.frombuffer(ids.as_buffer(), dtype))
-                if terms[-1] >= len(df):
-                    df = np.pad(df, (0, int(terms[-1]) + 1 - len(df)))
-                df[terms] += 1
+            for docs in _some(b.column(0), dtype):
+                here = np.bincount(term_counts(docs)[1], minlength=len(df))
+                here[: len(df)] += df
+                df = here
         terms = np.flatnonzero(df)
         yield pa.record_batch([pa.array(terms), pa.array(df[terms])], names=["term", "n"])
 
@@ -183,22 +202,30 @@ def document_frequencies(held: DataFrame, dtype: np.dtype) -> np.ndarray:
     return out
 
 
-def with_keys(held: DataFrame, dtype: np.dtype, df: np.ndarray, n_docs: int, mean: float, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+def best_terms(docs: list[np.ndarray], idf: np.ndarray, mean: float, k1: float = 1.2, b: float = 0.75) -> tuple[np.ndarray, np.ndarray]:
+    """Per document the term of most occurrences times idf and the heaviest by BM25; the smaller on a tie, -1 for none."""
+    doc, term, tf = term_counts(docs)
+    length = np.fromiter(map(len, docs), np.int64, len(docs))
+    raw = tf * idf[term]
+    heads = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+    out = []
+    for weight in (raw, raw / (tf + k1 * (1 - b + b * length[doc] / mean))):
+        top = np.maximum.reduceat(weight, heads)
+        best = np.flatnonzero(weight == np.repeat(top, np.diff(heads, append=len(doc))))
+        first = best[np.searchsorted(best, heads)]
+        out.append(np.where(top > 0, term[first], -1))
+    return out[0], np.where(out[0] < 0, -1, out[1])
+
+
+def with_keys(held: DataFrame, dtype: np.dtype, df: np.ndarray, n_docs: int, mean: float) -> DataFrame:
     """``held`` with the leading and the heaviest term of each document that another one shares (-1: none)."""
     shared = held.sparkSession.sparkContext.broadcast(np.where(df > 1, np.log1p((n_docs - df + 0.5) / (df + 0.5)), 0.0))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf = shared.value
         for batch in batches:
-            lead, heavy = [], []
-            for ids in batch.column(1):
-                doc = np.frombuffer(ids.as_buffer(), dtype)
-                terms, tf = np.unique(doc, return_counts=True)
-                raw = tf * idf[terms]
-                sat = raw / (tf + k1 * (1 - b + b * len(doc) / mean))
-                known = raw.max() > 0
-                lead.append(int(terms[raw.argmax()]) if known else -1)
-                heavy.append(int(terms[sat.argmax()]) if known else -1)
+            best = [best_terms(docs, idf, mean) for docs in _some(batch.column(1), dtype)]
+            lead, heavy = (np.concatenate(x) for x in zip(*best)) if best else [np.empty(0, np.int64)] * 2
             yield pa.record_batch([*batch.columns, pa.array(lead, pa.int64()), pa.array(heavy, pa.int64())], names=["_id", "_ids", "lead", "heavy"])
 
     return held.mapInArrow(keys, "_id long, _ids binary, lead long, heavy long")

@@ -54,7 +54,7 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """``limit`` bounds the cached chunks of each of two generations (about 170 bytes each)."""
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 500_000):
         self.library = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size(True) <= 1 << 16 else "<u4")
         self.kind = self._kind(self.library)
@@ -134,12 +134,10 @@ class Encoder:
                 text = text.lower()
             except UnicodeEncodeError:
                 pass
-            chunks = self.chunks
-            return b"".join([chunks[c] for c in text.replace("\n", " ").split(" ")])
+            return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
         first, *rest = text.split(" ")
-        chunks = self.chunks
         try:
-            return b"".join([self.firsts[first], *[chunks[c] for c in rest]])
+            return b"".join([self.firsts[first], *map(self.chunks.__getitem__, rest)])
         except TypeError:
             return self._whole(text)
 

@@ -261,6 +261,20 @@ def test_packing_scores_are_the_whole_bm25_sum():
         assert np.allclose(index.scores(seed), want, rtol=1e-4)
 
 
+def test_best_terms_of_many_documents_equal_those_of_each():
+    rng = np.random.default_rng(6)
+    docs = [rng.integers(0, 40, rng.integers(1, 60)).astype("<u2") for _ in range(80)] + [np.array([7], "<u2")]
+    idf = np.where(np.arange(40) % 5, rng.random(40).round(1), 0.0)
+    idf[7] = 0.0
+    lead, heavy = packing.best_terms(docs, idf, 30.0)
+    for d, a, b in zip(docs, lead, heavy):
+        terms, tf = np.unique(d, return_counts=True)
+        raw = tf * idf[terms]
+        sat = raw / (tf + 1.2 * (0.25 + 0.75 * len(d) / 30.0))
+        assert (a, b) == ((terms[raw.argmax()], terms[sat.argmax()]) if raw.max() > 0 else (-1, -1))
+    assert lead[-1] == -1
+
+
 def test_packing_finds_neighbours_across_partitions(spark):
     """Like documents are spread over all partitions; another layout of the input packs the same."""
     names = "guitar river engine doctor castle garden winter market soldier planet kitchen bridge letter horse camera island".split()
