@@ -8,8 +8,10 @@ from callfacts.functions.times import (
     SOURCE_ZONE,
     add_seconds,
     instant,
+    later_utc,
     parse_date_text,
     shift_hours,
+    skipped,
     wall_to_utc,
 )
 
@@ -20,10 +22,12 @@ __all__ = [
     "add_seconds",
     "fact_rules",
     "instant",
+    "later_utc",
     "message_rules",
     "numeric_key",
     "parse_date_text",
     "shift_hours",
+    "skipped",
     "violations",
     "wall_to_utc",
 ]

@@ -3,7 +3,7 @@ UTC time, so no result depends on ``spark.sql.session.timeZone``."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values that the results depend on:
@@ -15,14 +15,51 @@ FIXED_OFFSET_HOURS = -3
 MESSAGE_DATE_PATTERN = "MM/dd/yyyy"
 
 
-def wall_to_utc(ts: Column | str, zone: str = SOURCE_ZONE) -> Column:
+REPEATED = ("earlier", "later", "null")
+
+
+def repeat_lengths(zone: str) -> list[int]:
+    """By how many seconds clocks of the zone have ever been, or will be, put back; from the zone's own rules."""
+    rules = SparkSession.getActiveSession()._jvm.java.time.ZoneId.of(zone).getRules()
+    steps = [(t.getOffsetBefore(), t.getOffsetAfter()) for t in [*rules.getTransitions(), *rules.getTransitionRules()]]
+    return sorted({a.getTotalSeconds() - b.getTotalSeconds() for a, b in steps if a.getTotalSeconds() > b.getTotalSeconds()})
+
+
+def later_utc(ts: Column | str, zone: str = SOURCE_ZONE) -> Column:
+    """The second UTC time of a wall time that clocks show twice; NULL for any other.
+
+    The first one, put off by a length that the zone's clocks were once put back by, shows the
+    same wall time only within a repeated hour.
+    """
+    c = F.col(ts) if isinstance(ts, str) else ts
+    first = F.convert_timezone(F.lit(zone), F.lit("UTC"), c)
+    put_off = [first + F.make_dt_interval(secs=F.lit(s)) for s in repeat_lengths(zone)]
+    shown = [F.when(F.convert_timezone(F.lit("UTC"), F.lit(zone), u) == c, u) for u in put_off]
+    return F.coalesce(*shown, F.lit(None).cast("timestamp_ntz"))
+
+
+def skipped(ts: Column | str, zone: str = SOURCE_ZONE) -> Column:
+    """Whether clocks of the zone never show this wall time, since they were put forward over it."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    there = F.convert_timezone(F.lit(zone), F.lit("UTC"), c)
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), there) != c
+
+
+def wall_to_utc(ts: Column | str, zone: str = SOURCE_ZONE, repeated: str = "earlier") -> Column:
     """Wall time in ``zone`` -> UTC, by the zone's rules (offset changes, DST).
 
     ``convert_timezone`` on NTZ input is exact and independent of the session
     zone, unlike ``to_utc_timestamp`` which goes through a session-zone
-    TIMESTAMP.
+    TIMESTAMP.  A wall time that clocks show twice is the ``earlier`` or the ``later`` one, or
+    ``null``; one that they skip moves on by the length of the gap (see ``skipped``).
     """
-    return F.convert_timezone(F.lit(zone), F.lit("UTC"), F.col(ts) if isinstance(ts, str) else ts)
+    if repeated not in REPEATED:
+        raise ValueError(f"repeated is one of {REPEATED}")
+    c = F.col(ts) if isinstance(ts, str) else ts
+    first = F.convert_timezone(F.lit(zone), F.lit("UTC"), c)
+    if repeated == "later":
+        return F.coalesce(later_utc(c, zone), first)
+    return F.when(later_utc(c, zone).isNull(), first) if repeated == "null" else first
 
 
 def shift_hours(ts: Column | str, hours: int = FIXED_OFFSET_HOURS) -> Column:

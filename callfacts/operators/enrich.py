@@ -20,6 +20,11 @@ Strategies
                facts are dealt over as many salts as they hold that many rows
                and their dimension rows are repeated once per salt, so every
                key goes through the one sort-merge join on (key, salt).
+``bucketed``   the dimension is a table bucketed and sorted by its id (see
+               ``save_bucketed``), so a daily join never shuffles or sorts it; the
+               facts are shuffled to its buckets.  AQE cannot split a bucket, so
+               hot keys are found as above and joined apart: their dimension rows
+               are broadcast behind the measured bound, their facts not shuffled.
 ``spark``      no hint and no size check: Spark and AQE choose from their own
                estimates (a file-size estimate is not a proven bound; kept
                for comparison and for sessions that tune the thresholds).
@@ -48,7 +53,7 @@ from callfacts.functions.keys import numeric_key
 from callfacts.plans.sizing import DEFAULT_BROADCAST_MAX_BYTES, measure, parse_bytes
 
 KEY = "_client_key"
-STRATEGIES = ("auto", "broadcast", "hash", "shuffle", "split", "spark")
+STRATEGIES = ("auto", "broadcast", "hash", "shuffle", "split", "bucketed", "spark")
 _HINTS = {"broadcast": "broadcast", "hash": "shuffle_hash", "shuffle": "merge", "spark": None}
 
 SALT = "_client_salt"
@@ -182,6 +187,38 @@ def _split_join(
     return _join(salted, spread, out, dim_columns, "merge", matched, salted=True)
 
 
+class BucketsError(ValueError):
+    """A dimension that is not bucketed on its key as the session's joins need it."""
+
+
+def save_bucketed(dim: DataFrame, table: str, buckets: int | None = None, key: str = "id") -> str:
+    """Save the dimension as a catalog table bucketed and sorted by its key, for ``bucketed`` joins.
+
+    One shuffle now instead of one a join.  A join then has as many tasks as there are
+    ``buckets`` (by default the session's number of shuffle partitions).
+    """
+    n = buckets or shuffle_partitions(dim.sparkSession)
+    # as many tasks as buckets, dealt as the buckets are: one file each
+    dealt = dim.repartition(n, key)
+    dealt.write.format("parquet").mode("overwrite").bucketBy(n, key).sortBy(key).saveAsTable(table)
+    return table
+
+
+def _bucketed_join(
+    facts: DataFrame, dim: DataFrame, out: Sequence[str], dim_columns: Sequence[str], hot_key_rows: int, max_bytes: int, matched: str | None
+) -> DataFrame:
+    hot = hot_keys(facts, hot_key_rows)
+    known = dim.join(F.broadcast(hot.select(KEY)), KEY, "left_semi")
+    size = measure(known)
+    if size.bytes > max_bytes:
+        raise BroadcastTooLarge(f"the dimension rows of the hot keys have {size.bytes} bytes; the broadcast bound is {max_bytes}")
+    marked = facts.join(F.broadcast(hot), KEY, "left")
+    cold = _join(marked.where(F.col(SALT).isNull()).drop(SALT), dim, out, dim_columns, "merge", matched)
+    if "Bucketed: true" not in cold._jdf.queryExecution().executedPlan().toString():
+        raise BucketsError("the dimension would be shuffled: save it with save_bucketed, by the key it is joined on")
+    return cold.unionByName(_join(marked.where(F.col(SALT).isNotNull()).drop(SALT), known, out, dim_columns, "broadcast", matched))
+
+
 def client_side(dim: DataFrame, dim_key: str = "id", dim_columns: Sequence[str] = ("name",)) -> DataFrame:
     """The part of the dimension that takes part in the join: key + wanted columns."""
     return dim.select(F.col(dim_key).cast("bigint").alias(KEY), *dim_columns)
@@ -220,6 +257,8 @@ def join_client(
         keyed = keyed.withColumn(READABLE, F.col(KEY).isNotNull()).withColumn(KEY, F.coalesce(F.col(KEY), itself))
         side = side.where(F.col(KEY).isNotNull())
     how = choose_strategy(side, strategy, broadcast_max_bytes, hash_partition_max_bytes)
+    if how == "bucketed":
+        return _bucketed_join(keyed, side, facts.columns, dim_columns, hot_key_rows, broadcast_max_bytes, keep_unmatched)
     if how == "split":
         return _split_join(keyed, side, facts.columns, dim_columns, hot_key_rows, keep_unmatched)
     return _join(keyed, side, facts.columns, dim_columns, _HINTS[how], keep_unmatched)

@@ -28,15 +28,17 @@ def to_utc(
     zone: str = SOURCE_ZONE,
     offset_hours: int = FIXED_OFFSET_HOURS,
     columns: Sequence[str] = TIME_COLUMNS,
+    repeated: str = "earlier",
 ) -> DataFrame:
     """Replace wall-time columns by UTC.
 
     ``rule="zone"``  -- by the zone's rules (P2, the default);
     ``rule="fixed"`` -- a flat ``offset_hours`` (P3).  The two agree on 2024
     data but not where the zone had another offset (Moscow before 2014-10-26).
+    ``repeated`` says which UTC time a wall time has that the zone's clocks show twice.
     """
     if rule == "zone":
-        exprs = {c: wall_to_utc(c, zone) for c in columns}
+        exprs = {c: wall_to_utc(c, zone, repeated) for c in columns}
     elif rule == "fixed":
         exprs = {c: shift_hours(c, offset_hours) for c in columns}
     else:

@@ -17,9 +17,9 @@ from pyspark.sql import types as T
 from callfacts import fixtures, scratch
 from callfacts import schemas as S
 from callfacts.functions.rules import unreadable_rules
-from callfacts.functions.times import parse_date_text
+from callfacts.functions.times import later_utc, parse_date_text, skipped
 from callfacts.operators.checks import StrictInputError, violation_rows
-from callfacts.operators.enrich import join_client
+from callfacts.operators.enrich import join_client, save_bucketed
 from callfacts.operators.normalize import rewrite_nested, to_utc
 from callfacts.plans.job import JoinOptions, enrich_calls, enrich_chat_messages, enrich_chats, run
 from callfacts.plans.published import quarantine_name, run_published
@@ -112,6 +112,16 @@ def times_fixed_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_utc(_orders_as_calls(spark, sf_dir), rule="fixed", columns=("startAt",))
 
 
+def times_clock_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order times in the night hours in which clocks change: both UTC times, and which kind of hour it is."""
+    minutes = F.make_dt_interval(mins=(F.pmod(F.col("id"), F.lit(180)) + 60).cast("int"))
+    wall = _orders_as_calls(spark, sf_dir).withColumn("startAt", F.to_date("startAt").cast("timestamp_ntz") + minutes)
+    late = later_utc("startAt")
+    kind = F.when(late.isNotNull(), "repeated").when(skipped("startAt"), "skipped").otherwise("plain")
+    both = wall.withColumns({"hour": kind, "endAt": F.col("startAt")})
+    return to_utc(to_utc(both, columns=("endAt",), repeated="later"), columns=("startAt",))
+
+
 def _dirty_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_chats_json(spark, fixtures.dirty_chat_folder(spark, sf_dir))
 
@@ -190,6 +200,13 @@ def join_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calls
 
 
+def join_bucketed_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both joins against a dimension saved in buckets once; some clients are hot at this bound."""
+    dim = spark.table(save_bucketed(_dim(spark, sf_dir), "dim_client_bucketed"))
+    how = JoinOptions(strategy="bucketed", hot_key_rows=20)
+    return _both_targets(enrich_calls(_calls(spark, sf_dir), dim, join=how), enrich_chats(_chats(spark, sf_dir), dim, join=how))
+
+
 def call_rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return violation_rows(fixtures.dirty_calls_frame(spark, sf_dir).drop("date"))
 
@@ -454,6 +471,8 @@ QUERIES: dict[str, Query] = {
     "stream_client_calls": stream_client_calls,
     "stream_client_chats": stream_client_chats,
     "two_sinks_cached_dim": two_sinks_cached_dim,
+    "times_clock_changes": times_clock_changes,
+    "join_bucketed_dim": join_bucketed_dim,
     "job_instants": job_instants,
     "sink_warehouse": sink_warehouse,
     "two_sinks_manifest": two_sinks_manifest,
@@ -572,6 +591,15 @@ FROM conversations GROUP BY conv_id, turn // 64 HAVING bool_or(turn % 4 = 3)""",
     ),
     "job_fixed_offset": _two_sinks(_FIXED_CALLS),
     "two_sinks_cached_dim": _two_sinks(),
+    "join_bucketed_dim": _two_sinks(),
+    "times_clock_changes": f"""
+WITH walls AS (SELECT o_orderkey AS id, date_trunc('day', o_orderdate) + to_minutes(o_orderkey % 180 + 60) AS t FROM orders),
+utc AS (SELECT id, t, {_utc('t')} AS late FROM walls),
+kinds AS (  -- the later time an hour before shows the same wall time, or the wall time never shows
+  SELECT *, timezone('Europe/Moscow', timezone('UTC', late - INTERVAL 1 HOUR)) = t AS twice,
+         timezone('Europe/Moscow', timezone('UTC', late)) <> t AS never FROM utc)
+SELECT id, CASE WHEN twice THEN late - INTERVAL 1 HOUR ELSE late END AS startAt, late AS endAt,
+       CASE WHEN twice THEN 'repeated' WHEN never THEN 'skipped' ELSE 'plain' END AS hour FROM kinds""",
     "sink_warehouse": _two_sinks(),
     "job_instants": f"SELECT target, id, message_id, epoch_us(startAt) AS startAt, epoch_us(endAt) AS endAt, epoch_us(sendAt) AS sendAt "
     f"FROM ({_two_sinks()})",
