@@ -43,6 +43,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of staged files that no plan reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """Connected components by alternating large-star and small-star steps.
 

@@ -19,9 +19,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callfacts.llm.common import staged
+from callfacts.llm.common import delete_folder, staged
+from callfacts.scratch import fresh_folder
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+STEP = 4
 HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]+)"""
 
 
@@ -82,48 +84,56 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, toleran
     """``(host, trust, distrust)`` for every host with a seed or a link.
 
     ``seeds``: ``(host, good, bad)``, the weights of trusted and blocked pages.
-    Edges carry both normalised weights, so each round is two joins and one
-    partially aggregated sum; its result is staged, as the next round reads it twice.
-    Rounds end when no host's values change by more than the share ``tolerance``: a host
-    that is reached for the first time counts as changed, however small its value.
+    Every link stands in one table in both directions, with the share of trust that it hands on
+    and the share of distrust that it hands back, so a round is one join and one partially
+    aggregated sum.  ``STEP`` rounds make one staged table; the one before is deleted then, as
+    nothing reads it any more.  Rounds end when no host's values change by more than the share
+    ``tolerance`` in the last of them: a host that is reached for the first time counts as
+    changed, however small its value.
     """
     totals = seeds.agg(F.sum("good").alias("g"), F.sum("bad").alias("b"))
     start = (
         seeds.crossJoin(F.broadcast(totals))  # one row of totals
         .select(
             "host",
-            (F.coalesce(F.col("good") / F.nullif("g", F.lit(0)), F.lit(0.0)) * (1 - damping)).alias("s"),
-            (F.coalesce(F.col("bad") / F.nullif("b", F.lit(0)), F.lit(0.0)) * (1 - damping)).alias("z"),
+            (F.coalesce(F.col("good") / F.nullif("g", F.lit(0)), F.lit(0.0)) * (1 - damping)).alias("t"),
+            (F.coalesce(F.col("bad") / F.nullif("b", F.lit(0)), F.lit(0.0)) * (1 - damping)).alias("d"),
         )
     )
     out_w = edges.groupBy("src").agg(F.sum("w").alias("ow"))
     in_w = edges.groupBy("dst").agg(F.sum("w").alias("iw"))
-    weighted = staged(
-        edges.join(out_w, "src").join(in_w, "dst").select(
-            "src", "dst", (F.col("w") / F.col("ow")).alias("f"), (F.col("w") / F.col("iw")).alias("r")
-        ),
-        "host_edges",
+    zero = F.lit(0.0)
+    both_ways = F.array(
+        F.struct(F.col("src").alias("at"), F.col("dst").alias("to"), (F.col("w") / F.col("ow") * damping).alias("wt"), zero.alias("wd")),
+        F.struct(F.col("dst").alias("at"), F.col("src").alias("to"), zero.alias("wt"), (F.col("w") / F.col("iw") * damping).alias("wd")),
     )
+    hands = staged(edges.join(out_w, "src").join(in_w, "dst").select(F.explode(both_ways).alias("e")).select("e.*"), "host_edges")
     start = staged(start, "host_seeds")
-    state = start.select("host", F.col("s").alias("trust"), F.col("z").alias("distrust"))
-    if weighted.isEmpty():
+    state = start.select("host", F.col("t").alias("trust"), F.col("d").alias("distrust"))
+    if hands.isEmpty():
         return state
-    zero = F.lit(0.0)
     moved = lambda new, old: F.when(F.col(new) > 0, F.abs(F.col(new) - F.col(old)) / F.col(new)).otherwise(0.0)
-    change = 1.0
+    change, folder = 1.0, None
     while change > tolerance:
-        forward = weighted.join(state, weighted.src == state.host).select(
-            F.col("dst").alias("host"), (F.col("f") * F.col("trust") * damping).alias("t"), zero.alias("d"), zero.alias("t0"), zero.alias("d0")
-        )
-        backward = weighted.join(state, weighted.dst == state.host).select(
-            F.col("src").alias("host"), zero.alias("t"), (F.col("r") * F.col("distrust") * damping).alias("d"), zero.alias("t0"), zero.alias("d0")
-        )
-        again = start.select("host", F.col("s").alias("t"), F.col("z").alias("d"), zero.alias("t0"), zero.alias("d0"))
-        before = state.select("host", zero.alias("t"), zero.alias("d"), F.col("trust").alias("t0"), F.col("distrust").alias("d0"))
-        sums = [F.sum(a).alias(b) for a, b in (("t", "trust"), ("d", "distrust"), ("t0", "t0"), ("d0", "d0"))]
-        both = staged(forward.union(backward).union(again).union(before).groupBy("host").agg(*sums), "host_trust")
-        change = both.agg(F.max(F.greatest(moved("trust", "t0"), moved("distrust", "d0")))).first()[0] or 0.0
-        state = both.select("host", "trust", "distrust")
+        before = None
+        for step in range(STEP):
+            given = hands.join(state, hands["at"] == state["host"]).select(
+                F.col("to").alias("host"), (F.col("wt") * F.col("trust")).alias("t"), (F.col("wd") * F.col("distrust")).alias("d")
+            )
+            if step == STEP - 1:  # beside the last round's values those that it started from
+                before = state.select("host", zero.alias("t"), zero.alias("d"), F.col("trust").alias("t0"), F.col("distrust").alias("d0"))
+            rows = given.unionByName(start)
+            if before is not None:
+                rows = rows.select("*", zero.alias("t0"), zero.alias("d0")).unionByName(before)
+            sums = [F.sum(a).alias(b) for a, b in (("t", "trust"), ("d", "distrust"), ("t0", "t0"), ("d0", "d0")) if a in rows.columns]
+            state = rows.groupBy("host").agg(*sums)
+        last, folder = folder, fresh_folder(state.sparkSession, "llm", "host_trust")
+        state.write.parquet(folder)
+        state = state.sparkSession.read.schema(state.schema).parquet(folder)
+        change = state.agg(F.max(F.greatest(moved("trust", "t0"), moved("distrust", "d0")))).first()[0] or 0.0
+        state = state.select("host", "trust", "distrust")
+        if last:
+            delete_folder(state.sparkSession, last)
     return state
 
 
