@@ -19,7 +19,7 @@ up in Spark; only the first centroids are picked from ``SEEDS`` documents of lea
 Cells up to ``MAX_CELLS`` are raked on the driver and their probabilities broadcast;
 beyond that (many thousand sources) the same sweeps run as joins and sums in Spark.
 
-Tokens are words between white space, so a text without any has one.
+Tokens are words between ASCII white space, so a text without any has one.
 
 Defined results: null categories are a category of their own; a null text counts as empty
 (no tokens, topic 0, kept as its cell says); cells without tokens keep all their
@@ -29,7 +29,7 @@ columns stay, and the new ones take free names.
 
 from __future__ import annotations
 
-import zlib
+import re
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -39,7 +39,6 @@ from pyspark.sql import functions as F
 
 from callfacts.llm.common import ship, staged
 from callfacts.llm.quality_rules import free_name
-from callfacts.llm.tokens import Generations
 
 TOPICS = 8
 BUCKETS = 512
@@ -55,6 +54,16 @@ MET = 1e-3  # and that the worst margin may have
 SWEEPS_IN_SPARK = 60
 SEED = 17
 
+PIECE = 1 << 20  # bytes of text that are hashed at a time
+_ANY_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
+_BASE = 0x9E3779B97F4A7C15 | 1
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
+#: a value of each byte; capital letters have those of small ones
+_VALUES = np.array([(b + 32 if 65 <= b <= 90 else b) * 0xC2B2AE3D27D4EB4F + 0x165667B19E3779F9 & (1 << 64) - 1 for b in range(256)], np.uint64)
+_held: list[np.ndarray] = []
+
 Targets = Mapping[str, Mapping[str, float]]
 
 
@@ -62,54 +71,92 @@ class UnmetTargets(ValueError):
     """Target shares that no probabilities up to 1 can give."""
 
 
-def _bucket_of(word: str) -> int:
-    return zlib.crc32(word.lower().encode()) % BUCKETS
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash's base and of its inverse, modulo 2^64."""
+    if len(_held) < 2 or len(_held[0]) < n:
+        out = []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            x = np.full(max(n, PIECE + 1), base, np.uint64)
+            x[0] = 1
+            out.append(np.multiply.accumulate(x))
+        _held[:] = out
+    return _held[0], _held[1]
 
 
-def word_counts(texts: list[str | None], cache: Generations) -> tuple[np.ndarray, np.ndarray]:
-    """Occurrences by bucket, and the number of words."""
-    out, sizes = np.zeros((len(texts), BUCKETS), np.float32), np.zeros(len(texts), np.int64)
+def _pieces(texts: list[bytes | None]) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Whole words of the texts, with the numbers of the texts, about ``PIECE`` bytes at a time."""
+    owner, held, size = [], [], 0
     for i, text in enumerate(texts):
-        words = (text or "").split()
-        sizes[i] = len(words)
-        if words:
-            out[i] = np.bincount(np.fromiter(map(cache.__getitem__, words), np.int64, len(words)), minlength=BUCKETS)
-    return out, sizes
+        text = text or b""
+        at = 0
+        while at < len(text):
+            end = len(text)
+            if end - at > PIECE:  # cut a long text at white space, as near behind the limit as there is
+                space = _ANY_SPACE.search(text, at + PIECE)
+                end = space.start() if space else end
+            owner.append(i)
+            held.append(text[at:end])
+            size += end - at
+            at = end
+            if size >= PIECE:
+                yield owner, held
+                owner, held, size = [], [], 0
+    if held:
+        yield owner, held
+
+
+def word_counts(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Words by bucket of their hash, and the number of words, of UTF-8 texts.
+
+    Words stand between ASCII white space; A-Z count as a-z.  All words of a piece are hashed at
+    once: sums of their bytes' values times the powers of a base.
+    """
+    counts, sizes = np.zeros(len(texts) * BUCKETS, np.int64), np.zeros(len(texts), np.int64)
+    for owner, held in _pieces(texts):
+        buf = np.frombuffer(b" ".join(held) + b" ", np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, held), np.int64, len(held)) + 1)
+        power, inverse = _powers(len(buf) + 1)
+        inside = ~_SPACE[buf]
+        edge = np.flatnonzero(np.diff(inside, prepend=False))
+        start, stop = edge[::2], edge[1::2]
+        total = np.zeros(len(buf) + 1, np.uint64)
+        np.cumsum(_VALUES[buf] * inverse[: len(buf)], out=total[1:])
+        bucket = ((total[stop] - total[start]) * power[stop] * _SPREAD >> np.uint64(55)).astype(np.int64)
+        doc = np.array(owner)[np.searchsorted(ends, start, side="right")]
+        counts += np.bincount(doc * BUCKETS + bucket, minlength=len(counts))
+        sizes += np.bincount(doc, minlength=len(sizes))
+    return counts.reshape(-1, BUCKETS), sizes
 
 
 def _unit(counts: np.ndarray) -> np.ndarray:
-    """Unit vectors of log counts; zero stays zero."""
-    x = np.log1p(counts)
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    """Unit vectors of log counts, in half precision as they are staged; zero stays zero."""
+    x = np.log1p(counts.astype(np.float32))
+    return (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)).astype("<f2")
+
 
+def _nearest(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    return (x.astype(np.float32) @ centre.T).argmax(1).astype(np.int32)
 
-def _vectors(docs: DataFrame, text_col: str) -> DataFrame:
-    """``(h, x)`` of every document: a hash of the text and its counts, an empty bucket as nothing."""
+
+def vectors(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep``, a hash of the text, its vector and its number of words, of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Generations(_bucket_of, 100_000)
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 b = whole.slice(at, 500)
-                x, _ = word_counts(b.column(1).to_pylist(), cache)
-                rows = [_planes(r) for r in x.astype("<u4")]
-                yield pa.record_batch([b.column(0), pa.array(rows, pa.binary())], names=["h", "x"])
+                counts, sizes = word_counts(b.column(b.num_columns - 1).to_pylist())
+                x = pa.array([r.tobytes() for r in _unit(counts)], pa.binary())
+                yield pa.record_batch([*b.columns[:-1], x, pa.array(sizes)], names=[*keep, "h", "x", "n"])
 
     ship(docs.sparkSession)
-    return docs.select(F.xxhash64(text_col, F.lit(SEED)).alias("h"), text_col).mapInArrow(run, "h long, x binary")
-
+    fields = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    rows = docs.select(*keep, F.xxhash64(text_col, F.lit(SEED)).alias("h"), F.col(text_col).cast("binary"))
+    return rows.mapInArrow(run, f"{fields}{', ' if keep else ''}h long, x binary, n long")
 
-def _planes(counts: np.ndarray) -> bytes:
-    """Counts byte by byte, up to the highest byte that any of them has: usually one byte a bucket."""
-    planes = counts.view(np.uint8).reshape(BUCKETS, 4).T
-    return planes[: max(1, int(counts.max(initial=0)).bit_length() + 7 >> 3)].tobytes()
 
-
-def _counts(rows: list[bytes]) -> np.ndarray:
-    out = np.zeros((len(rows), 4, BUCKETS), np.uint8)
-    for i, r in enumerate(rows):
-        out[i, : len(r) // BUCKETS] = np.frombuffer(r, np.uint8).reshape(-1, BUCKETS)
-    return np.ascontiguousarray(out.transpose(0, 2, 1)).view("<u4").reshape(len(rows), BUCKETS).astype(np.float32)
+def _matrix(rows: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), "<f2").reshape(-1, BUCKETS)
 
 
 def first_centroids(x: np.ndarray, topics: int) -> np.ndarray:
@@ -122,16 +169,15 @@ def first_centroids(x: np.ndarray, topics: int) -> np.ndarray:
     return x[picked]
 
 
-def fit_topics(docs: DataFrame, text_col: str, topics: int = TOPICS, rounds: int = ROUNDS) -> np.ndarray:
-    """Centroids by spherical k-means over all documents.
+def fit_topics(held: DataFrame, topics: int = TOPICS, rounds: int = ROUNDS) -> np.ndarray:
+    """Centroids by spherical k-means over all documents; ``held``: their staged :func:`vectors`.
 
     A round is one pass over the vectors; a task gives the sum of each centroid's vectors, eight
     tasks add those up, and eight rows come to the driver whatever the input.
     """
-    vectors = staged(_vectors(docs, text_col), "topic_vectors")
-    spark = docs.sparkSession
-    seeds = vectors.dropDuplicates(["h"]).orderBy("h").limit(SEEDS).collect()
-    start = _unit(_counts([bytes(r["x"]) for r in seeds]))
+    spark = held.sparkSession
+    seeds = held.select("h", "x").dropDuplicates(["h"]).orderBy("h").limit(SEEDS).collect()
+    start = _matrix([bytes(r["x"]) for r in seeds]).astype(np.float32)
     start = start[start.any(axis=1)]
     if not len(start):
         return np.zeros((1, BUCKETS), np.float32)
@@ -145,23 +191,22 @@ def fit_topics(docs: DataFrame, text_col: str, topics: int = TOPICS, rounds: int
         yield pa.record_batch([pa.array([out.tobytes()], pa.binary())], names=["s"])
 
     for _ in range(rounds):
-        held = spark.sparkContext.broadcast(centre)
+        now = spark.sparkContext.broadcast(centre)
 
-        def sums(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            c = held.value
+        def sums(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
+            c = now.value
             out = np.zeros(c.shape)
             for whole in batches:
                 for at in range(0, whole.num_rows, 1000):
-                    x = _unit(_counts([r.as_py() for r in whole.slice(at, 1000).column(0)]))
-                    near = (x @ c.T).argmax(1)
-                    out += (near == np.arange(len(c))[:, None]).astype(np.float32) @ x
+                    x = _matrix(whole.slice(at, 1000).column(0).to_pylist())
+                    out += (_nearest(x, c) == np.arange(len(c))[:, None]).astype(np.float32) @ x.astype(np.float32)
             yield pa.record_batch([pa.array([out.tobytes()], pa.binary())], names=["s"])
 
-        parts = vectors.select("x").mapInArrow(sums, "s binary").repartition(8).mapInArrow(total, "s binary").collect()
+        parts = held.select("x").mapInArrow(sums, "s binary").repartition(8).mapInArrow(total, "s binary").collect()
         moved = np.sum([np.frombuffer(r["s"]).reshape(centre.shape) for r in parts], axis=0)
         norm = np.linalg.norm(moved, axis=1, keepdims=True)
         fresh = np.where(norm > 0, moved / np.maximum(norm, 1e-12), centre).astype(np.float32)
-        held.destroy()
+        now.destroy()
         still = np.abs(fresh - centre).max() < 1e-4
         centre = fresh
         if still:
@@ -169,23 +214,31 @@ def fit_topics(docs: DataFrame, text_col: str, topics: int = TOPICS, rounds: int
     return centre
 
 
+def topic_of(held: DataFrame, centre: np.ndarray) -> DataFrame:
+    """Staged :func:`vectors` with the column ``topic``."""
+    now = held.sparkSession.sparkContext.broadcast(centre)
+
+    def assign(x: pa.Array) -> pa.Array:
+        near = [_nearest(_matrix(x.slice(at, 1000).to_pylist()), now.value) for at in range(0, len(x), 1000)]
+        return pa.array(np.concatenate([np.empty(0, np.int32), *near]))
+
+    return held.withColumn("topic", F.arrow_udf(assign, "int")("x"))
+
+
 def with_topics(docs: DataFrame, centre: np.ndarray, out: str, text_col: str) -> DataFrame:
     """``docs`` with the struct ``out``: topic and number of words of each whole text."""
     ship(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(centre)
-    state: dict = {}
+    now = docs.sparkSession.sparkContext.broadcast(centre)
 
     def assign(texts: pa.Array) -> pa.Array:
-        cache = state.setdefault("cache", Generations(_bucket_of, 100_000))
         topic, size = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
         for at in range(0, len(texts), 500):
-            x, n = word_counts(texts.slice(at, 500).to_pylist(), cache)
-            topic.append((_unit(x) @ held.value.T).argmax(1).astype(np.int32))
+            counts, n = word_counts(texts.slice(at, 500).to_pylist())
+            topic.append(_nearest(_unit(counts), now.value))
             size.append(n)
-        cols = [pa.array(np.concatenate(topic)), pa.array(np.concatenate(size))]
-        return pa.StructArray.from_arrays(cols, ["topic", "tokens"])
+        return pa.StructArray.from_arrays([pa.array(np.concatenate(topic)), pa.array(np.concatenate(size))], ["topic", "tokens"])
 
-    return docs.withColumn(out, F.arrow_udf(assign, "topic int, tokens long")(F.col(text_col)))
+    return docs.withColumn(out, F.arrow_udf(assign, "topic int, tokens long")(F.col(text_col).cast("binary")))
 
 
 def checked_targets(targets: Targets, margins: list[str]) -> None:
@@ -412,19 +465,24 @@ def mix(
     """
     checked_targets(targets or {}, ["source", "lang", "topic"])
     out = free_name(docs, "mix")
-    tagged = with_topics(docs, fit_topics(docs, text_col), out, text_col)
     none = "\x00"  # stands for a null category
     text_of = lambda c: F.coalesce(c.cast("string"), F.lit(none))
-    parts = {"source": text_of(F.col(source)), "lang": text_of(F.col(lang)), "topic": text_of(F.col(out)["topic"])}
+    named = docs.select(text_of(F.col(source)).alias("source"), text_of(F.col(lang)).alias("lang"), F.col(text_col).alias("text"))
+    held = staged(vectors(named, "text", ["source", "lang"]), "topic_vectors")
+    centre = fit_topics(held)
+    cells = topic_of(held, centre).withColumn("topic", F.col("topic").cast("string"))
+    tagged = with_topics(docs, centre, out, text_col)
+    parts = {"source": text_of(F.col(source)), "lang": text_of(F.col(lang)), "topic": F.col(out)["topic"].cast("string")}
     margins = list(parts)
-    cells = tagged.select(*[c.alias(m) for m, c in parts.items()], F.col(out)["tokens"].alias("n")).groupBy(*margins).agg(F.sum("n").alias("tokens"))
+    cells = cells.groupBy(*margins).agg(F.sum("n").alias("tokens"))
     cells = staged(cells, "cells")
     solve = _cells_on_driver if cells.count() <= max_cells else _cells_in_spark
     p = solve(cells, margins, targets or {}, keep, min(keep, least_keep))
     names = {m: free_name(tagged, f"{out}_{m}") for m in margins}
     p = p.select(*[F.col(m).alias(names[m]) for m in margins], F.col("p").alias(free_name(tagged, f"{out}_p")))
-    chance = F.col(p.columns[-1])
-    joined = tagged.withColumns({names[m]: c for m, c in parts.items()}).join(p, list(names.values()))
+    # a vector on the line between two centroids may fall to the other side in the second pass
+    chance = F.coalesce(F.col(p.columns[-1]), F.lit(keep))
+    joined = tagged.withColumns({names[m]: c for m, c in parts.items()}).join(p, list(names.values()), "left")
     draw = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(SEED)), F.lit(1 << 52)) / float(1 << 52)
     mixed = F.col(out).withField("probability", chance).withField("kept", draw < chance)
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns], mixed.alias(out))
