@@ -153,7 +153,7 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_co
         for whole in batches:
             for cut in range(0, whole.num_rows, 1000):
                 b = whole.slice(cut, 1000)
-                ids = [encode.encode(text.as_py()) + end for text in b.column(1)]
+                ids = [x + end for x in encode.encode_all(b.column(1).to_pylist())]
                 yield pa.record_batch([b.column(0), pa.array(ids, pa.binary())], names=["_id", "_ids"])
 
     ship(docs.sparkSession)

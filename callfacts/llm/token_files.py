@@ -158,11 +158,12 @@ def write_tokens(
         encode, writer = encoder(tokenizer), None
         end = np.asarray([end_id], encode.dtype)
         pid = TaskContext.get().partitionId()
-        for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
-                writer = writer or ShardWriter(root, f"shard-{pid:06d}-{uuid.uuid4().hex}", encode.dtype, seq_len)
-                ids = np.frombuffer(encode.encode(text.as_py()), encode.dtype)
-                writer.add(doc_id, np.concatenate([ids, end]))
+        for whole in batches:
+            for cut in range(0, whole.num_rows, 1000):
+                b = whole.slice(cut, 1000)
+                for doc_id, packed in zip(b.column(0).to_pylist(), encode.encode_all(b.column(1).to_pylist())):
+                    writer = writer or ShardWriter(root, f"shard-{pid:06d}-{uuid.uuid4().hex}", encode.dtype, seq_len)
+                    writer.add(doc_id, np.concatenate([np.frombuffer(packed, encode.dtype), end]))
         if writer:
             writer.close()
             row = ([pid], [writer.ids_path], [writer.docs_path], [writer.n_docs], [writer.n_ids])

@@ -27,6 +27,7 @@ from callfacts.llm import (
     simhash,
     sql,
     token_files,
+    tokens,
     toxicity,
     url_filters,
 )
@@ -68,6 +69,21 @@ def test_encoder_equals_the_library(path, text):
 _encoders: dict = {}
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(list("abé .,\n'#1日")), max_size=25) | st.none(), max_size=12), st.sampled_from([BYTE, WORD]))
+def test_many_texts_together_equal_each_alone(texts, path):
+    library = Tokenizer.from_file(path)
+    for limit, piece in ((1000, 1 << 19), (4, 8), (1, 1)):  # a table that is cleared all the time, and short pieces
+        encode = Encoder(path, limit=limit)
+        old, tokens.PIECE = tokens.PIECE, piece
+        try:
+            got = encode.encode_all(texts)
+        finally:
+            tokens.PIECE = old
+        want = [np.array(library.encode(t or "", add_special_tokens=False).ids, encode.dtype).tobytes() for t in texts]
+        assert got == want
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(-3, 3), max_size=14))
 def test_segments_are_the_maximal_ones(scores):
