@@ -412,3 +412,18 @@ def test_options_that_exclude_each_other(spark):
         _run(spark, root, quarantine=True, strict_dates=True)
     with pytest.raises(ValueError, match="finds the dates itself"):
         _run(spark, root, changed_only=True, partition=DATE)
+
+
+def test_command_line_of_a_published_run(spark, capsys):
+    from callfacts.__main__ import main
+
+    root, given = _folder(spark, "cli"), _landed(spark)
+    fixtures.register_clients(spark, SF_SMALL)
+    args = ["--tableSuffix", "_stg", "--publish", "manifest", "--staging-root", root]
+    args += ["--calls-root", given["calls_root"], "--chats-root", given["chats_root"], "--changed-only", "--quarantine"]
+    assert main(args) == 0 and '"version": 1' in capsys.readouterr().out
+    assert main(args) == 0 and '"calls_stg": []' in capsys.readouterr().out
+    assert sorted(current(spark, root).outputs) == ["calls_stg", "calls_stg_quarantine", "chats_stg", "chats_stg_quarantine"]
+    for wrong in (["--tableSuffix", "_s"], ["--tableSuffix", "_s", "--changed-only"], [*args, "--catalog"], args[:4]):
+        with pytest.raises(SystemExit):
+            main(wrong)
