@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from callfacts.llm.common import ship, staged
 from callfacts.llm.tokens import encoder
 from callfacts.scratch import fresh_folder
+from callfacts.sinks.writer import qualified
 
 SEQ_LEN = 2048
 ROWS = 64
@@ -49,6 +50,12 @@ def file_system(root: str) -> tuple[fs.FileSystem, str]:
     return fs.LocalFileSystem(), root
 
 
+def shared_address(spark, root: str) -> str:
+    """The whole address of a folder: without a scheme it is in Hadoop's default file system, as for Spark."""
+    whole = qualified(spark, root)
+    return whole.removeprefix("file://") if whole.startswith("file://") else whole
+
+
 class ShardWriter:
     """Writes ids as they come; holds at most one record batch of them."""
 
@@ -171,6 +178,7 @@ def write_tokens(
             yield pa.record_batch([pa.array(x, t) for x, t in zip(row, types)], names=["shard", "ids_path", "docs_path", "n_docs", "n_ids"])
 
     ship(docs.sparkSession)
+    root = shared_address(docs.sparkSession, root)
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     tie = F.xxhash64("_text")
     ordered = rows.repartitionByRange("_id", tie).sortWithinPartitions("_id", tie)

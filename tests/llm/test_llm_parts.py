@@ -103,6 +103,24 @@ def test_segments_are_the_maximal_ones(scores):
     assert all(abs(sum(scores[a:b]) - s) < 1e-9 for a, b, s in got)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | st.integers(1, 10**6), max_size=16), st.integers(0, 2**32))
+def test_segments_equal_those_of_the_definition(hits, seed):
+    """Hits of distinct scores over a background: the best segment, then those left and right of it."""
+    rng = np.random.default_rng(seed)
+    scores = [-1.0 if h is None else h / 2.5e5 + rng.random() * 1e-6 for h in hits]
+
+    def best(lo, hi):
+        found = [(sum(scores[a:b]), a - b, a, b) for a in range(lo, hi) for b in range(a + 1, hi + 1)]
+        total, _, a, b = max(found, default=(0, 0, 0, 0))
+        return best(lo, a) + [(a, b, total)] + best(b, hi) if total > 0 else []
+
+    got = toxicity.maximal_segments([(i, s) for i, s in enumerate(scores) if s > 0], -1.0)
+    want = best(0, len(scores))
+    assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in want]
+    assert np.allclose([s for *_, s in got], [s for *_, s in want])
+
+
 def maximal_with_negatives(scores):
     """The scan takes positive hits over a constant background; give it -1 between hits of any size."""
     hits = [(i, s + 1.0) for i, s in enumerate(scores) if s >= 0]
@@ -116,8 +134,13 @@ def test_isotonic_is_the_least_squares_rising_fit():
     rng = np.random.default_rng(0)
     x = np.arange(60.0)
     y = (rng.random(60) < x / 60).astype(float)
-    knots, values = quality_classifier.isotonic(x, y)
-    assert (np.diff(knots) > 0).all() and (np.diff(values) >= -1e-12).all()
+    for y in (y, 1 - y, np.zeros(60), np.round(np.sort(rng.random(60)))):
+        knots, values = quality_classifier.isotonic(x, y)
+        # the least-squares rising fit at i: the largest over starts of the smallest over ends of the mean between them
+        fit = np.array([max(min(y[a : b + 1].mean() for b in range(i, 60)) for a in range(i + 1)) for i in range(60)])
+        blocks = np.split(np.arange(60), np.flatnonzero(np.diff(fit) > 1e-12) + 1)
+        assert np.allclose(knots, [x[b].mean() for b in blocks])
+        assert np.allclose(values, [(y[b].sum() + 0.5) / (len(b) + 1) for b in blocks])
 
 
 def test_components_of_chains_stars_and_rings(spark):
