@@ -191,16 +191,18 @@ class BucketsError(ValueError):
     """A dimension that is not bucketed on its key as the session's joins need it."""
 
 
-def save_bucketed(dim: DataFrame, table: str, buckets: int | None = None, key: str = "id") -> str:
+def save_bucketed(dim: DataFrame, table: str, buckets: int | None = None, key: str = "id", path: str | None = None) -> str:
     """Save the dimension as a catalog table bucketed and sorted by its key, for ``bucketed`` joins.
 
     One shuffle now instead of one a join.  A join then has as many tasks as there are
-    ``buckets`` (by default the session's number of shuffle partitions).
+    ``buckets`` (by default the session's number of shuffle partitions).  With ``path`` the
+    table's files lie there instead of in the warehouse.
     """
     n = buckets or shuffle_partitions(dim.sparkSession)
     # as many tasks as buckets, dealt as the buckets are: one file each
     dealt = dim.repartition(n, key)
-    dealt.write.format("parquet").mode("overwrite").bucketBy(n, key).sortBy(key).saveAsTable(table)
+    where = {"path": path} if path else {}
+    dealt.write.format("parquet").mode("overwrite").options(**where).bucketBy(n, key).sortBy(key).saveAsTable(table)
     return table
 
 

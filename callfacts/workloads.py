@@ -202,7 +202,8 @@ def join_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def join_bucketed_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both joins against a dimension saved in buckets once; some clients are hot at this bound."""
-    dim = spark.table(save_bucketed(_dim(spark, sf_dir), "dim_client_bucketed"))
+    path = scratch.fresh_folder(spark, "sinks", "bucketed")
+    dim = spark.table(save_bucketed(_dim(spark, sf_dir), "dim_client_bucketed", path=path))
     how = JoinOptions(strategy="bucketed", hot_key_rows=20)
     return _both_targets(enrich_calls(_calls(spark, sf_dir), dim, join=how), enrich_chats(_chats(spark, sf_dir), dim, join=how))
 

@@ -6,7 +6,7 @@ from zoneinfo import ZoneInfo
 import pytest
 from pyspark.sql import functions as F
 
-from callfacts import fixtures
+from callfacts import fixtures, scratch
 from callfacts.functions import instant, later_utc, skipped, wall_to_utc
 from callfacts.functions.times import repeat_lengths
 from callfacts.operators.enrich import BroadcastTooLarge, BucketsError, join_client, save_bucketed
@@ -75,6 +75,13 @@ def bucketed(spark):
     return spark.table(save_bucketed(fixtures.clients_frame(spark, SF_SMALL), "dim_bucketed_test"))
 
 
+def test_a_bucketed_table_is_saved_again_in_another_place(spark):
+    for n in (3, 5):
+        path = scratch.fresh_folder(spark, "tests", "buckets")
+        table = save_bucketed(spark.range(n).selectExpr("id", "'n' AS name"), "dim_saved_twice", path=path)
+        assert spark.table(table).count() == spark.read.parquet(path).count() == n
+
+
 def _rows(df):
     return sorted(map(str, df.collect()))
 
